@@ -45,7 +45,7 @@ def key6(col) -> Column:
     Used on *both* sides of every join, so equality is exact and consistent.
     """
     c = _c(col).cast("double")
-    return F.format_string("%.5e", F.when(c == 0, F.lit(0.0)).otherwise(c))
+    return F.when(c.isNotNull(), F.format_string("%.5e", F.when(c == 0, F.lit(0.0)).otherwise(c)))
 
 
 def _rtrim0(col: Column) -> Column:
