@@ -106,3 +106,13 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)
+
+
+def bind_stats(df: DataFrame, stats: DataFrame, name: str = "_st") -> DataFrame:
+    """Attach a one-row statistics table to every row as one struct column.
+
+    The statistics run once as a single scalar subquery (no join); refer to the
+    fields as ``F.col(name).getField(...)``.  Bind once and reuse the column,
+    rather than repeating ``.scalar()`` in many expressions.
+    """
+    return df.withColumn(name, stats.select(F.struct(*[F.col(f"`{c}`") for c in stats.columns])).scalar())

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from designlab.functions.numeric import bind_stats
 from designlab.operators.rank import dist_rank
 
 
@@ -22,16 +23,17 @@ def minmax_scale(df: DataFrame, cols: Sequence[str], suffix: str = "_scaled") ->
     (Spark ML's MinMaxScaler maps a constant column to 0.5 and scales vectors, so
     we use our own single aggregate.)
     """
-    stats = df.agg(F.struct(*[F.min(c).cast("double").alias(f"mn_{i}") for i, c in enumerate(cols)],
-                            *[F.max(c).cast("double").alias(f"mx_{i}") for i, c in enumerate(cols)]).alias("s"))
-    s = stats.select("s").scalar()
-    out = df
+    stats = df.agg(*[F.min(c).cast("double").alias(f"mn_{i}") for i, c in enumerate(cols)],
+                   *[F.max(c).cast("double").alias(f"mx_{i}") for i, c in enumerate(cols)])
+    out = bind_stats(df, stats, "_mm")
+    s = F.col("_mm")
     for i, c in enumerate(cols):
         mn, mx = s.getField(f"mn_{i}"), s.getField(f"mx_{i}")
         x = F.col(c).cast("double")
         scaled = F.when(x.isNull(), F.lit(None).cast("double")).when(mx == mn, F.lit(0.0)).otherwise(
             F.try_divide(x - mn, mx - mn))
         out = out.withColumn(f"{c}{suffix}", scaled)
+    out = out.drop("_mm")
     return out
 
 

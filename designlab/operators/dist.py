@@ -20,7 +20,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import is_finite
+from designlab.functions.numeric import bind_stats, is_finite
 from designlab.operators.rank import dist_rank, exact_quantiles
 
 
@@ -34,12 +34,6 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.agg(F.array(*aggs).alias("m")).select(F.inline("m"))
 
 
-def _stats(df: DataFrame, col: str) -> Column:
-    s = df.agg(F.struct(F.min(col).cast("double").alias("lo"), F.max(col).cast("double").alias("hi"),
-                        F.count(col).alias("n"), F.stddev_samp(F.col(col).cast("double")).alias("sd")).alias("s"))
-    return s.select("s").scalar()
-
-
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between min and max; the last bin is closed; empty bins kept.
 
@@ -48,12 +42,14 @@ def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     spark = df.sparkSession
     x = F.col(col).cast("double")
     data = df.select(x.alias("x")).where(is_finite("x"))
-    s = _stats(data, "x")
-    lo = F.when(s.lo == s.hi, s.lo - 0.5).otherwise(s.lo)
-    hi = F.when(s.lo == s.hi, s.hi + 0.5).otherwise(s.hi)
+    st = data.agg(F.min("x").alias("lo0"), F.max("x").alias("hi0"))
+    st = st.select(F.when(F.col("lo0") == F.col("hi0"), F.col("lo0") - 0.5).otherwise(F.col("lo0")).alias("lo"),
+                   F.when(F.col("lo0") == F.col("hi0"), F.col("hi0") + 0.5).otherwise(F.col("hi0")).alias("hi"))
+    lo, hi = F.col("_st.lo"), F.col("_st.hi")
+    data = bind_stats(data, st)
     idx = F.least(F.floor((F.col("x") - lo) * (F.lit(float(bins)) / (hi - lo))), F.lit(bins - 1)).cast("long")
     counts = data.groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("count"))
-    edges = spark.range(0, bins, 1, 1).withColumnRenamed("id", "bin")
+    edges = bind_stats(spark.range(0, bins, 1, 1).withColumnRenamed("id", "bin"), st)
     step = (hi - lo) / F.lit(float(bins))
     out = edges.join(counts, "bin", "left").select(
         "bin", (lo + F.col("bin") * step).alias("lo_edge"),
@@ -130,18 +126,17 @@ def kde_1d(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, group: st
         def s(c):
             return F.col(c)
     else:
-        sc = st.select(F.struct("lo", "hi", "n", "sd", "bw", "g0", "gstep")).scalar()
-        # scalar subqueries cannot sit inside the lambda: bind them to columns first
-        joined = data.withColumns({f"_{c}": sc.getField(c) for c in ("bw", "g0", "gstep")})
+        # one scalar subquery bound as a struct column (lambdas cannot hold subqueries)
+        joined = bind_stats(data, st.select("bw", "g0", "gstep"))
         def s(c):
-            return F.col(f"_{c}")
+            return F.col("_st").getField(c)
     idx = F.sequence(F.lit(0), F.lit(grid - 1))
     contrib = F.transform(idx, lambda i: F.exp(-0.5 * F.pow((s("g0") + i * s("gstep") - F.col("x")) / s("bw"), 2)))
     summed = _grid_sum(joined.where(s("bw") > 0), contrib, gcols)
     if gcols:
         out = summed.join(st, gcols)
     else:
-        out = summed.select("*", *[sc.getField(c).alias(c) for c in ("n", "bw", "g0", "gstep")])
+        out = bind_stats(summed, st.select("n", "bw", "g0", "gstep")).select("_arr", "_st.*")
     norm = F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))
     return out.select(*gcols, F.posexplode("_arr").alias("i", "k"), "g0", "gstep", "n", "bw").select(
         *gcols, F.col("i").cast("long").alias("i"), (F.col("g0") + F.col("i") * F.col("gstep")).alias("x"),
@@ -152,29 +147,32 @@ def kde_2d(df: DataFrame, xcol: str, ycol: str, grid: int = 50, cut: float = 3.0
     """2-D Gaussian KDE (Scott factor n^(-1/6) times the sample covariance) on a grid x grid lattice."""
     x, y = F.col(xcol).cast("double"), F.col(ycol).cast("double")
     data = df.select(x.alias("x"), y.alias("y")).where(is_finite("x") & is_finite("y"))
-    st = data.agg(F.struct(
-        F.count(F.lit(1)).alias("n"), F.min("x").alias("xlo"), F.max("x").alias("xhi"),
-        F.min("y").alias("ylo"), F.max("y").alias("yhi"), F.var_samp("x").alias("vx"),
-        F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("cxy")).alias("s")).select("s").scalar()
-    f2 = F.pow(st.n.cast("double"), F.lit(-1.0 / 3.0))     # factor^2 = n^(-2/6)
-    a, b, c = st.vx * f2, st.cxy * f2, st.vy * f2            # bandwidth covariance [[a, b], [b, c]]
+    raw = data.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("xlo"), F.max("x").alias("xhi"),
+                   F.min("y").alias("ylo"), F.max("y").alias("yhi"), F.var_samp("x").alias("vx"),
+                   F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("cxy"))
+    f2 = F.pow(F.col("n").cast("double"), F.lit(-1.0 / 3.0))     # factor^2 = n^(-2/6)
+    a, b, c = F.col("vx") * f2, F.col("cxy") * f2, F.col("vy") * f2   # bandwidth covariance [[a, b], [b, c]]
+    p = raw.select("n", "xlo", "xhi", "ylo", "yhi", a.alias("a"), b.alias("b"), c.alias("c"))
+    a, b, c = F.col("a"), F.col("b"), F.col("c")
     det = a * c - b * b
-    ia, ib, ic = c / det, -b / det, a / det                  # inverse
     bx, by = F.sqrt(a), F.sqrt(c)
-    x0, y0 = st.xlo - cut * bx, st.ylo - cut * by
-    sx = ((st.xhi + cut * bx) - x0) / F.lit(float(grid - 1))
-    sy = ((st.yhi + cut * by) - y0) / F.lit(float(grid - 1))
+    x0, y0 = F.col("xlo") - cut * bx, F.col("ylo") - cut * by
+    p = p.select("n", det.alias("det"), (c / det).alias("ia"), (-b / det).alias("ib"), (a / det).alias("ic"),
+                 x0.alias("x0"), y0.alias("y0"),
+                 (((F.col("xhi") + cut * bx) - x0) / F.lit(float(grid - 1))).alias("sx"),
+                 (((F.col("yhi") + cut * by) - y0) / F.lit(float(grid - 1))).alias("sy"))
     idx = F.sequence(F.lit(0), F.lit(grid * grid - 1))
-    # scalar subqueries cannot sit inside the lambda: bind them to columns first
-    bound = data.withColumns({"_x0": x0, "_y0": y0, "_sx": sx, "_sy": sy, "_ia": ia, "_ib": ib, "_ic": ic})
+    s = F.col("_st")
+    bound = bind_stats(data, p)
 
     def contrib(k):
-        dx = F.col("_x0") + F.floor(k / grid) * F.col("_sx") - F.col("x")
-        dy = F.col("_y0") + (k % grid) * F.col("_sy") - F.col("y")
-        return F.exp(-0.5 * (F.col("_ia") * dx * dx + 2 * F.col("_ib") * dx * dy + F.col("_ic") * dy * dy))
-    summed = _grid_sum(bound, F.transform(idx, contrib))
-    norm = st.n * F.lit(2 * math.pi) * F.sqrt(det)
-    out = summed.select(F.posexplode("_arr").alias("k", "v"))
+        dx = s.x0 + F.floor(k / grid) * s.sx - F.col("x")
+        dy = s.y0 + (k % grid) * s.sy - F.col("y")
+        return F.exp(-0.5 * (s.ia * dx * dx + 2 * s.ib * dx * dy + s.ic * dy * dy))
+    summed = bind_stats(_grid_sum(bound, F.transform(idx, contrib)), p)
+    norm = s.n * F.lit(2 * math.pi) * F.sqrt(s.det)
+    x0, y0, sx, sy = s.x0, s.y0, s.sx, s.sy
+    out = summed.select("_st", F.posexplode("_arr").alias("k", "v"))
     return out.select((F.floor(F.col("k") / grid)).cast("long").alias("i"), (F.col("k") % grid).cast("long").alias("j"),
                       (x0 + F.floor(F.col("k") / grid) * sx).alias("x"), (y0 + (F.col("k") % grid) * sy).alias("y"),
                       (F.col("v") / norm).alias("density"))
@@ -185,8 +183,6 @@ def hexbin(df: DataFrame, xcol: str, ycol: str, gridsize: int = 50, log: bool =
     centre wins), empty cells dropped; ``log`` adds log10(count)."""
     x, y = F.col(xcol).cast("double"), F.col(ycol).cast("double")
     data = df.select(x.alias("x"), y.alias("y")).where(is_finite("x") & is_finite("y"))
-    st = data.agg(F.struct(F.min("x").alias("xmin"), F.max("x").alias("xmax"),
-                           F.min("y").alias("ymin"), F.max("y").alias("ymax")).alias("s")).select("s").scalar()
     nx = gridsize
     ny = int(nx / math.sqrt(3))
 
@@ -195,27 +191,33 @@ def hexbin(df: DataFrame, xcol: str, ycol: str, gridsize: int = 50, log: bool =
         lo2 = F.when(same & (hi == 0), F.lit(-0.1)).when(same, lo - 0.1 * F.abs(lo)).otherwise(lo)
         hi2 = F.when(same & (hi == 0), F.lit(0.1)).when(same, hi + 0.1 * F.abs(hi)).otherwise(hi)
         return lo2, hi2
-    xmin, xmax = nonsingular(st.xmin, st.xmax)
-    ymin, ymax = nonsingular(st.ymin, st.ymax)
+    raw = data.agg(F.min("x").alias("xmin"), F.max("x").alias("xmax"), F.min("y").alias("ymin"), F.max("y").alias("ymax"))
+    xmin, xmax = nonsingular(F.col("xmin"), F.col("xmax"))
+    ymin, ymax = nonsingular(F.col("ymin"), F.col("ymax"))
     pad = F.lit(1e-9) * (xmax - xmin)
-    xmin, xmax = xmin - pad, xmax + pad
-    sx = (xmax - xmin) / F.lit(float(nx))
-    sy = (ymax - ymin) / F.lit(float(ny))
-    ix = (F.col("x") - xmin) / sx
-    iy = (F.col("y") - ymin) / sy
+    st = raw.select((xmin - pad).alias("xmin"), ymin.alias("ymin"),
+                    (((xmax + pad) - (xmin - pad)) / F.lit(float(nx))).alias("sx"),
+                    ((ymax - ymin) / F.lit(float(ny))).alias("sy"))
+    b = bind_stats(data, st)
+    s = F.col("_st")
+    ix = (F.col("x") - s.xmin) / s.sx
+    iy = (F.col("y") - s.ymin) / s.sy
+    b = b.select("_st", ix.alias("ix"), iy.alias("iy"))
+    ix, iy = F.col("ix"), F.col("iy")
     ix1, iy1 = F.bround(ix, 0), F.bround(iy, 0)
     ix2, iy2 = F.floor(ix), F.floor(iy)
     d1 = F.pow(ix - ix1, 2) + 3.0 * F.pow(iy - iy1, 2)
     d2 = F.pow(ix - ix2 - 0.5, 2) + 3.0 * F.pow(iy - iy2 - 0.5, 2)
     first = d1 < d2
-    cell = data.select(
+    cell = b.select(
         F.when(first, F.lit(1)).otherwise(F.lit(2)).alias("lattice"),
         F.when(first, ix1).otherwise(ix2).cast("long").alias("i"),
         F.when(first, iy1).otherwise(iy2).cast("long").alias("j"))
     counts = cell.groupBy("lattice", "i", "j").agg(F.count(F.lit(1)).alias("count"))
     off = F.when(F.col("lattice") == 2, F.lit(0.5)).otherwise(F.lit(0.0))
-    out = counts.select("lattice", "i", "j", (xmin + (F.col("i") + off) * sx).alias("x_center"),
-                        (ymin + (F.col("j") + off) * sy).alias("y_center"), "count")
+    counts = bind_stats(counts, st)
+    out = counts.select("lattice", "i", "j", (s.xmin + (F.col("i") + off) * s.sx).alias("x_center"),
+                        (s.ymin + (F.col("j") + off) * s.sy).alias("y_center"), "count")
     if log:
         out = out.withColumn("log10_count", F.log10(F.col("count").cast("double")))
     return out
@@ -258,11 +260,13 @@ def pair_distance_hist(df: DataFrame, group_col: str, cols: Sequence[str], bins:
     no pair rows are produced, and no pairs across groups are formed.
     """
     spark = df.sparkSession
-    mu_sd = df.agg(*[F.struct(F.avg(c).alias("m"), F.stddev_pop(c).alias("s")).alias(c) for c in cols])
-    stat = mu_sd.select(F.struct(*cols).alias("z")).scalar()
-    z = df.select(group_col, *[((F.col(c) - stat.getField(c).getField("m")) /
-                                F.when(stat.getField(c).getField("s") == 0, F.lit(1.0))
-                                .otherwise(stat.getField(c).getField("s"))).alias(c) for c in cols])
+    mu_sd = df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)],
+                   *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(cols)])
+    b = bind_stats(df, mu_sd)
+    st = F.col("_st")
+    z = b.select(group_col, *[((F.col(c) - st.getField(f"m{i}")) /
+                               F.when(st.getField(f"s{i}") == 0, F.lit(1.0)).otherwise(st.getField(f"s{i}"))).alias(c)
+                              for i, c in enumerate(cols)])
     names = list(cols)
 
     def dists(pdf: pd.DataFrame) -> np.ndarray:
@@ -277,9 +281,9 @@ def pair_distance_hist(df: DataFrame, group_col: str, cols: Sequence[str], bins:
         d = dists(pdf)
         return pd.DataFrame({"lo": [d.min() if len(d) else np.nan], "hi": [d.max() if len(d) else np.nan]})
 
-    r = z.groupBy(group_col).applyInPandas(rng, "lo double, hi double").agg(
-        F.struct(F.min("lo").alias("lo"), F.max("hi").alias("hi")).alias("r")).select("r").scalar()
-    z2 = z.withColumn("_lo", r.lo).withColumn("_hi", r.hi)
+    r = z.groupBy(group_col).applyInPandas(rng, "lo double, hi double").agg(F.min("lo").alias("_lo"),
+                                                                             F.max("hi").alias("_hi"))
+    z2 = bind_stats(z, r, "_r").select("*", "_r._lo", "_r._hi").drop("_r")
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         d = dists(pdf)
