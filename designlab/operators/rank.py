@@ -16,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from designlab.session import cut_lineage
+
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -44,6 +46,10 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id()))
+    # Both branches below must see the same partition assignment: the sampled
+    # range bounds of two separate exchanges differ.  A reliable checkpoint in the
+    # shared folder pins it (and survives executor loss without recomputation).
+    ranged = cut_lineage(ranged)
 
     stats = ranged.groupBy("_pid", *group_cols).agg(
         F.count(F.lit(1)).alias("_cnt"), F.min("_pos").alias("_first"))
