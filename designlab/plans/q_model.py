@@ -1 +1,233 @@
-"""Queries registered by this module."""
+"""Surrogate-model queries: fits, scoring, persistence, sweeps, plug-in predictors, curves, log union."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.ml.feature import PCA
+from pyspark.ml.functions import array_to_vector
+from pyspark.ml.regression import LinearRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import functions as F
+
+from designlab.functions.numeric import bind_stats
+from designlab.operators import board, clean, prep, surrogate
+from designlab.plans.registry import register
+from designlab.plans.standins import PREDICTIONS_SQL, RUNLOG_CTES, predictions, run_log
+from designlab.plans.tables import table
+from designlab.session import checkpoint_dir
+from designlab.sources import files
+
+SEED = 42
+ROW_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+INPUTS = ("l_quantity", "l_discount", "l_tax")
+LABEL = "l_extendedprice"
+
+# Plug-in predictor of the stand-in (fixed values): price = 900 + 1000 q - 20000 discount + 5000 tax
+PLUG_COEF = (1000.0, -20000.0, 5000.0)
+PLUG_INTERCEPT = 900.0
+# Constant inputs of the response curve (fixed values)
+CURVE_CONSTANTS = {"l_discount": 0.05, "l_tax": 0.04}
+
+
+def _f(x: float) -> str:
+    return f"CAST({float(x)!r} AS DOUBLE)"
+
+
+def _plug_sql(q: str, d: str, t: str) -> str:
+    c = PLUG_COEF
+    return (f"((({q} * {_f(0.0)} + {_f(PLUG_INTERCEPT)}) + {q} * {_f(c[0])}) + {d} * {_f(c[1])}) "
+            f"+ {t} * {_f(c[2])}")
+
+
+def _split(spark, d):
+    li = table(spark, d, "lineitem").select(*ROW_KEY, *INPUTS, LABEL)
+    return prep.row_split(li, ROW_KEY, 0.2, 0.1, SEED)
+
+
+@register("linear_fit", sql="""
+SELECT round(regr_slope(l_extendedprice, l_quantity), 6) AS slope,
+       round(regr_intercept(l_extendedprice, l_quantity), 6) AS intercept, count(*) AS n FROM lineitem""")
+def linear_fit(spark, d):
+    """L7 (single input): ordinary least squares through Spark ML's normal-equation solver."""
+    li = table(spark, d, "lineitem").select("l_quantity", LABEL)
+    va = VectorAssembler(inputCols=["l_quantity"], outputCol="features").transform(li)
+    m = LinearRegression(featuresCol="features", labelCol=LABEL, solver="normal", regParam=0.0,
+                         standardization=False).fit(va)
+    return li.agg(F.count(F.lit(1)).alias("n")).select(
+        F.lit(float(m.coefficients[0])).alias("slope"), F.lit(float(m.intercept)).alias("intercept"), "n")
+
+
+@register("fit_score")
+def fit_score(spark, d):
+    """Linear, huber, early-stopped GBT and forest surrogates fitted on train rows,
+    scored on the held-out test rows (one metric row per learner)."""
+    split = _split(spark, d)
+    train = split.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
+    test = split.where(F.col("split") == "test")
+    fits = {
+        "linear": surrogate.fit_surrogate(train.where(~F.col("is_val")), INPUTS, LABEL, "linear"),
+        "huber": surrogate.fit_surrogate(train.where(~F.col("is_val")), INPUTS, LABEL, "linear",
+                                         loss="huber", regParam=0.01),
+        "gbt": surrogate.fit_surrogate(train, INPUTS, LABEL, "gbt", maxIter=20, maxDepth=4,
+                                       validationIndicatorCol="is_val", validationTol=0.001, seed=SEED),
+        "rf": surrogate.fit_surrogate(train.where(~F.col("is_val")), INPUTS, LABEL, "rf",
+                                      numTrees=10, maxDepth=6, seed=SEED),
+    }
+    out = None
+    for name, model in fits.items():
+        row = surrogate.score(model, test, LABEL).withColumn("learner", F.lit(name))
+        out = row if out is None else out.unionByName(row)
+    return out.select("learner", "n", "mae", "rmse", "r2", "mape", "max_error", "median_ae")
+
+
+@register("pca_2d")
+def pca_2d(spark, d):
+    """Embeddings standardised with population std, first two principal components,
+    each flipped so its largest absolute loading is positive."""
+    emb = table(spark, d, "embeddings")
+    vec = emb.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("v"))
+    st = vec.select(Summarizer.metrics("mean", "variance", "count").summary(F.col("v")).alias("s")).first()["s"]
+    n = float(st["count"])
+    mean = [float(x) for x in st["mean"]]
+    sd = [float((v * (n - 1) / n) ** 0.5) if n > 1 else 0.0 for v in st["variance"]]
+    sd = [s if s > 0 else 1.0 for s in sd]          # parameter-sized: one value per dimension
+    m_arr = F.array(*[F.lit(x) for x in mean])
+    s_arr = F.array(*[F.lit(x) for x in sd])
+    z = emb.select("vec_id", "label", F.zip_with(F.zip_with(F.col("embedding").cast("array<double>"), m_arr,
+                                                            lambda x, m: x - m), s_arr, lambda x, s: x / s).alias("z"))
+    model = PCA(k=2, inputCol="zv", outputCol="pc").fit(z.select(array_to_vector("z").alias("zv")))
+    pcs = model.pc.toArray()
+    cols = []
+    for k in range(2):
+        v = pcs[:, k]
+        sign = 1.0 if v[abs(v).argmax()] >= 0 else -1.0
+        w = F.array(*[F.lit(float(sign * x)) for x in v])
+        cols.append(F.aggregate(F.zip_with("z", w, lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
+                    .alias(f"pc{k + 1}"))
+    return z.select("vec_id", "label", *cols)
+
+
+SWEEP = [{"name": f"lin_{loss}_{reg}", "kind": "linear", "loss": loss, "regParam": reg}
+         for loss in ("squaredError", "huber") for reg in (0.0, 0.01, 0.1, 1.0)]
+
+
+@register("sweep")
+def sweep(spark, d):
+    """One fit + held-out metrics + log row per configuration, four fits in flight at once."""
+    split = _split(spark, d)
+    train = split.where(F.col("split") == "train")
+    test = split.where(F.col("split") == "test")
+    return surrogate.sweep(spark, train, test, INPUTS, LABEL, SWEEP, parallelism=4)
+
+
+@register("model_roundtrip")
+def model_roundtrip(spark, d):
+    """Save the fitted pipeline under model_<base>__yymmdd_HHMMSS in the
+    shared folder, load it back, time per-row inference, and score held-out rows."""
+    split = _split(spark, d)
+    train = split.where(F.col("split") == "train")
+    test = split.where(F.col("split") == "test")
+    model = surrogate.fit_surrogate(train, INPUTS, LABEL, "linear")
+    name = surrogate.model_name(f"{d}/lineitem.parquet")
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/models-{uuid.uuid4().hex[:8]}"
+    surrogate.save_model(model, folder, name)
+    loaded = surrogate.load_model(folder, name)
+    scored, ms = surrogate.timed_inference(loaded, test)
+    m = surrogate.score(loaded, test, LABEL)
+    same = model.transform(test).select(*ROW_KEY, F.col("prediction").alias("p0")).join(
+        scored.select(*ROW_KEY, F.col("prediction").alias("p1")), list(ROW_KEY)).agg(
+        F.max(F.abs(F.col("p0") - F.col("p1"))).alias("max_diff"))
+    return m.select(F.lit(name).alias("model_name"), "n", "mae", "rmse", "r2",
+                    F.lit(ms).alias("inference_time_ms")).withColumn("max_diff", same.scalar())
+
+
+@register("solver_csv")
+def solver_csv(spark, d):
+    """A5: lineitem written as a solver export ('%' preamble, last comment line = header) into the
+    shared folder, then read back with the header taken from the preamble."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/solver-{uuid.uuid4().hex[:8]}"
+    cols = [*INPUTS, LABEL]
+    table(spark, d, "lineitem").select(*cols).write.mode("overwrite").csv(f"{folder}/body")
+    preamble = ["% Model,lineitem.mph", "% Version,6.3", "% Date,\"Jan 1 2025, 00:00\"", "% Dimension,1",
+                f"% Expressions,{len(cols)}", "% Description,stand-in export", "% " + ",".join(cols)]
+    spark.createDataFrame([(x,) for x in preamble], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{folder}/preamble")
+    return files.read_solver_csv(spark, f"{folder}/*")
+
+
+@register("plug_predict", sql=f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round({_plug_sql('l_quantity', 'l_discount', 'l_tax')}, 6) AS y_pred FROM lineitem""")
+def plug_predict(spark, d):
+    """A foreign predictor object with .predict applied to Arrow batches (mapInPandas)."""
+    li = table(spark, d, "lineitem").select(*ROW_KEY, *INPUTS)
+    model = surrogate.LinearFormula(PLUG_COEF, PLUG_INTERCEPT)
+    return surrogate.plug_predict(li, model, INPUTS).select(*ROW_KEY, "y_pred")
+
+
+@register("fixed_input_curve", sql=f"""
+SELECT l_quantity, {_f(CURVE_CONSTANTS['l_discount'])} AS l_discount, {_f(CURVE_CONSTANTS['l_tax'])} AS l_tax,
+       round({_plug_sql('l_quantity', _f(CURVE_CONSTANTS['l_discount']), _f(CURVE_CONSTANTS['l_tax']))}, 6) AS y_pred
+FROM (SELECT DISTINCT l_quantity FROM lineitem)""")
+def fixed_input_curve(spark, d):
+    """Response over the observed sweep values with the other inputs held constant."""
+    sweep_vals = table(spark, d, "lineitem").select("l_quantity").distinct()
+    x = clean.fixed_inputs(sweep_vals, CURVE_CONSTANTS, "l_quantity", list(INPUTS))
+    model = surrogate.LinearFormula(PLUG_COEF, PLUG_INTERCEPT)
+    return surrogate.plug_predict(x, model, INPUTS)
+
+
+def _composite_top(spark, d, k):
+    return board.top_k(board.composite_score(run_log(spark, d)), "composite", k)
+
+
+@register("models_by_inputs", sql=f"""{RUNLOG_CTES},
+rl AS (SELECT *, 1 - r2 AS r2_inverted FROM runlog),
+st AS (SELECT min(mae) mn1, max(mae) mx1, min(rmse) mn2, max(rmse) mx2, min(r2_inverted) mn3, max(r2_inverted) mx3,
+              min(median_ae) mn4, max(median_ae) mx4 FROM rl),
+sc AS (SELECT rl.*, ((CASE WHEN mx1 = mn1 THEN 0.0 ELSE (mae - mn1) / (mx1 - mn1) END)
+                    + (CASE WHEN mx2 = mn2 THEN 0.0 ELSE (rmse - mn2) / (mx2 - mn2) END)
+                    + (CASE WHEN mx3 = mn3 THEN 0.0 ELSE (r2_inverted - mn3) / (mx3 - mn3) END)
+                    + (CASE WHEN mx4 = mn4 THEN 0.0 ELSE (median_ae - mn4) / (mx4 - mn4) END)) / 4.0 AS composite FROM rl, st),
+top AS (SELECT model_name, mae, median_ae FROM sc ORDER BY composite NULLS LAST, model_name LIMIT 3)
+SELECT model_name, l_quantity, round(mae + (median_ae / 10.0) * l_quantity, 6) AS y_pred
+FROM top, (SELECT DISTINCT l_quantity FROM lineitem)""")
+def models_by_inputs(spark, d):
+    """Each of the three best models (stand-in predictor y = mae + median_ae/10 * q) applied to one
+    shared input table; the bounded model list rides along as one bound array, no join."""
+    top = _composite_top(spark, d, 3).select("model_name", "mae", "median_ae")
+    models = top.agg(F.collect_list(F.struct("model_name", "mae", "median_ae")).alias("models"))
+    x = bind_stats(table(spark, d, "lineitem").select("l_quantity").distinct(), models, "_m")
+    x = x.select("l_quantity", F.explode("_m.models").alias("m"))
+    return x.select(F.col("m.model_name").alias("model_name"), "l_quantity",
+                    (F.col("m.mae") + (F.col("m.median_ae") / 10.0) * F.col("l_quantity")).alias("y_pred"))
+
+
+@register("curve_overlay", sql=f"""
+WITH {PREDICTIONS_SQL}
+SELECT time_s, round(avg(y_true), 6) AS y_sim, round(avg(y_pred), 6) AS y_model, count(*) AS n
+FROM predictions GROUP BY time_s""")
+def curve_overlay(spark, d):
+    """Simulated curve beside the predicted one at the same sweep value (equi-join on it)."""
+    p = predictions(spark, d)
+    sim = p.groupBy("time_s").agg(F.avg("y_true").alias("y_sim"), F.count(F.lit(1)).alias("n"))
+    mod = p.groupBy("time_s").agg(F.avg("y_pred").alias("y_model"))
+    return sim.join(mod, "time_s").select("time_s", "y_sim", "y_model", "n")
+
+
+@register("log_union", sql=f"""{RUNLOG_CTES},
+old AS (SELECT model_name, data_file, mae FROM runlog),
+new AS (SELECT model_name || '_retrained' AS model_name, data_file, mae, batch_norm FROM runlog
+        WHERE model_name IN (SELECT model_name FROM runlog ORDER BY mae NULLS LAST, model_name LIMIT 3))
+SELECT model_name, data_file, round(mae, 6) AS mae, coalesce(batch_norm, false) AS batch_norm
+FROM (SELECT * FROM old UNION ALL BY NAME SELECT * FROM new)""")
+def log_union(spark, d):
+    """A log written before ``batch_norm`` existed, unioned by name with new rows that
+    carry it; the missing column is filled with its default (false)."""
+    log = run_log(spark, d)
+    old = log.select("model_name", "data_file", "mae")
+    new = board.top_k(log, "mae", 3).select(F.concat(F.col("model_name"), F.lit("_retrained")).alias("model_name"),
+                                           "data_file", "mae", "batch_norm")
+    return files.union_logs(old, new, {"batch_norm": False}).select("model_name", "data_file", "mae", "batch_norm")
