@@ -97,12 +97,25 @@ def hash_order_key(seed, ident) -> Column:
     return F.md5(F.concat_ws("|", F.lit(str(seed)), _c(ident).cast("string")))
 
 
+def round_to(col, digits: int) -> Column:
+    """round(x * 10^d) / 10^d, half away from zero on the binary value of x * 10^d.
+
+    Computed this way (not on the decimal text of x), a value that sits on a
+    decimal tie rounds the same way as in C-based engines; non-finite results
+    return the input.
+    """
+    c = _c(col).cast("double")
+    m = F.lit(float(10 ** digits))
+    r = F.round(c * m, 0) / m
+    return F.when(is_finite(r), r).otherwise(c)
+
+
 def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     """Round every double column (sums depend on partition order)."""
     cols = []
     for f in df.schema.fields:
         if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
-            cols.append(F.round(F.col(f"`{f.name}`").cast("double"), digits).alias(f.name))
+            cols.append(round_to(F.col(f"`{f.name}`"), digits).alias(f.name))
         else:
             cols.append(F.col(f"`{f.name}`"))
     return df.select(*cols)

@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from designlab.functions.numeric import round_to
 from designlab.operators import board, dist
 from designlab.plans.registry import register
 from designlab.plans.standins import PREDICTIONS_SQL, RUNLOG_CTES, predictions, run_log
@@ -105,7 +106,7 @@ FROM g, lineitem GROUP BY g.i, g.x, g.n, g.bw""", digits=None)
 def kde_1d(spark, d):
     """Gaussian KDE (Scott bandwidth, 200 points, cut 3) of l_extendedprice, exact sum."""
     k = dist.kde_1d(table(spark, d, "lineitem"), "l_extendedprice", KDE_GRID)
-    return k.select("i", F.round("x", 4).alias("x"), F.round("density", 12).alias("density"))
+    return k.select("i", round_to("x", 4).alias("x"), round_to("density", 12).alias("density"))
 
 
 @register("kde_2d", sql=f"""{RUNLOG_CTES},
@@ -127,8 +128,8 @@ def kde_2d(spark, d):
     """2-D Gaussian KDE of (total units, MAE) over the run log on a 50 x 50 grid."""
     log = run_log(spark, d).withColumn("tu", board.total_units().cast("double"))
     k = dist.kde_2d(log, "tu", "mae", KDE2_GRID)
-    return k.select("i", "j", F.round("x", 6).alias("x"), F.round("y", 6).alias("y"),
-                    F.round("density", 15).alias("density"))
+    return k.select("i", "j", round_to("x", 6).alias("x"), round_to("y", 6).alias("y"),
+                    round_to("density", 15).alias("density"))
 
 
 def _hex_sql() -> str:
@@ -174,8 +175,8 @@ def violin_stats(spark, d):
     from designlab.operators.rank import exact_quantiles
     q = exact_quantiles(log, "mae", [0.25, 0.5, 0.75], ["activation"], ["q1", "median", "q3"])
     out = k.join(q, "activation")
-    return out.select("activation", "i", F.round("x", 6).alias("x"), F.round("density", 12).alias("density"),
-                      F.round("q1", 6).alias("q1"), F.round("median", 6).alias("median"), F.round("q3", 6).alias("q3"))
+    return out.select("activation", "i", round_to("x", 6).alias("x"), round_to("density", 12).alias("density"),
+                      round_to("q1", 6).alias("q1"), round_to("median", 6).alias("median"), round_to("q3", 6).alias("q3"))
 
 
 @register("trial_count", sql="""

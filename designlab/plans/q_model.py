@@ -231,3 +231,34 @@ def log_union(spark, d):
     new = board.top_k(log, "mae", 3).select(F.concat(F.col("model_name"), F.lit("_retrained")).alias("model_name"),
                                            "data_file", "mae", "batch_norm")
     return files.union_logs(old, new, {"batch_norm": False}).select("model_name", "data_file", "mae", "batch_norm")
+
+
+@register("error_rows", sql=f"""
+WITH {PREDICTIONS_SQL}
+SELECT model_name, l_orderkey, l_linenumber, round(time_s / 10.0, 6) AS current, round(y_pred - y_true, 6) AS signed_error,
+       round(y_true - y_pred, 6) AS residual, round(abs(y_true - y_pred), 6) AS abs_error
+FROM predictions ORDER BY abs(y_true - y_pred), model_name, l_orderkey, l_linenumber""")
+def error_rows(spark, d):
+    """Signed error, residual, absolute error and time/10 per prediction, ordered by |error|."""
+    p = predictions(spark, d)
+    return p.select("model_name", "l_orderkey", "l_linenumber", (F.col("time_s") / 10.0).alias("current"),
+                    (F.col("y_pred") - F.col("y_true")).alias("signed_error"),
+                    (F.col("y_true") - F.col("y_pred")).alias("residual"),
+                    F.abs(F.col("y_true") - F.col("y_pred")).alias("abs_error")) \
+        .orderBy("abs_error", "model_name", "l_orderkey", "l_linenumber")
+
+
+@register("dense_curve_scored", sql=f"""
+WITH t AS (SELECT l_discount, l_tax, min(l_quantity) AS t_min, max(l_quantity) AS t_max FROM lineitem GROUP BY 1, 2),
+p AS (SELECT l_discount, l_tax, i, CASE WHEN i = 199 THEN t_max ELSE t_min + i * ((t_max - t_min) / 199.0) END AS t
+      FROM t, range(200) r(i))
+SELECT l_discount, l_tax, i, round(t, 6) AS t, round({_plug_sql('t', 'l_discount', 'l_tax')}, 6) AS y_pred FROM p""")
+def dense_curve_scored(spark, d):
+    """200 evenly spaced sweep values between each trial's min and max, its inputs fixed, scored
+    by the plug-in predictor."""
+    from designlab.operators import dist
+    tr = dist.trial_ranges(table(spark, d, "lineitem"), ("l_discount", "l_tax"), "l_quantity")
+    pts = dist.dense_curves(tr, ("l_discount", "l_tax"), 200)
+    model = surrogate.LinearFormula(PLUG_COEF, PLUG_INTERCEPT)
+    return surrogate.plug_predict(pts, model, ["t", "l_discount", "l_tax"]).select(
+        "l_discount", "l_tax", "i", "t", "y_pred")

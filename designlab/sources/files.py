@@ -88,7 +88,8 @@ def param_list(design: DataFrame, units: dict[str, str | None], params: Sequence
     stacked = design.select(F.col(order_col).alias("_o"), F.explode(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(p).alias("name"), F.col(p).cast("double").alias("v"))
         for i, p in enumerate(params)])).alias("_s")).select("_o", "_s.*")
-    v = F.round("v", 6) if legacy_round else F.col("v")
+    # numpy's round: rint(v * 1e6) / 1e6 (half to even on the binary value)
+    v = F.bround(F.col("v") * F.lit(1e6), 0) / F.lit(1e6) if legacy_round else F.col("v")
     stacked = stacked.withColumn("block", F.floor(F.col("_o") / F.lit(block_size))).withColumn("txt", sig6(v))
     agg = stacked.groupBy("pos", "name", "block").agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_o", "txt"))), lambda x: x.getField("txt")),
