@@ -48,33 +48,18 @@ def key6(col) -> Column:
     return F.when(c.isNotNull(), F.format_string("%.5e", F.when(c == 0, F.lit(0.0)).otherwise(c)))
 
 
-def _rtrim0(col: Column) -> Column:
-    return F.regexp_replace(col, "0+$", "")
-
-
 def sig6(col) -> Column:
     """``%.6g`` text as a C printf writes it: 6 significant digits, trailing zeros removed,
-    exponent form when the decimal exponent is below -4 or at least 6."""
+    exponent form when the decimal exponent is below -4 or at least 6.  -0.0 is written as 0.
+
+    Java's ``%g`` picks the same form but keeps trailing zeros, so one format call
+    and one regex strip them.
+    """
     c = _c(col).cast("double")
-    s = key6(c)
-    sign = F.regexp_extract(s, r"^(-?)", 1)
-    d0 = F.regexp_extract(s, r"^-?(\d)\.", 1)
-    frac = F.regexp_extract(s, r"\.(\d+)e", 1)
-    x = F.regexp_extract(s, r"e([+-]\d+)$", 1).cast("int")
-    digits = F.concat(d0, frac)
-    tfrac = _rtrim0(frac)
-    sci = F.concat(
-        sign, d0,
-        F.when(tfrac != "", F.concat(F.lit("."), tfrac)).otherwise(F.lit("")),
-        F.lit("e"), F.when(x < 0, F.lit("-")).otherwise(F.lit("+")),
-        F.lpad(F.abs(x).cast("string"), 2, "0"),
-    )
-    int_part = F.when(x >= 0, F.substring(digits, F.lit(1), x + 1)).otherwise(F.lit("0"))
-    frac_part = F.when(x >= 0, _rtrim0(F.substring(digits, x + 2, F.lit(6))))
-    frac_part = frac_part.otherwise(_rtrim0(F.concat(F.repeat(F.lit("0"), -x - 1), digits)))
-    fixed = F.concat(sign, int_part,
-                     F.when(frac_part != "", F.concat(F.lit("."), frac_part)).otherwise(F.lit("")))
-    text = F.when((x < -4) | (x >= 6), sci).otherwise(fixed)
+    t = F.format_string("%.6g", F.when(c == 0, F.lit(0.0)).otherwise(c))
+    text = (F.when(F.instr(t, "e") > 0, F.regexp_replace(t, r"\.?0+e", "e"))
+            .when(F.instr(t, ".") > 0, F.regexp_replace(t, r"\.?0+$", ""))
+            .otherwise(t))
     return (F.when(c.isNull(), F.lit(None).cast("string"))
             .when(F.isnan(c), F.lit("nan"))
             .when(c == float("inf"), F.lit("inf"))

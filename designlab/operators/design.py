@@ -154,17 +154,48 @@ def lhs_in_groups(ids: DataFrame, bounds: dict[str, tuple[float, float]], group_
     return out.drop("_n")
 
 
-def _min_pair_distance(names: Sequence[str], group_col: str):
+def map_groups(df: DataFrame, group_col: str, fn, schema: str) -> DataFrame:
+    """Run ``fn(pandas frame of whole groups) -> pandas frame`` over groups of bounded size.
+
+    Rows are hash-partitioned and sorted by the group, then streamed through
+    ``mapInPandas`` in Arrow batches; a group cut by a batch boundary is carried
+    into the next batch, so memory holds one batch plus one group.
+    """
+    ordered = df.repartition(group_col).sortWithinPartitions(group_col)
+
+    def run(batches):
+        carry = None
+        for pdf in batches:
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            if pdf.empty:
+                continue
+            last = pdf[group_col].iloc[-1]
+            tail = pdf[group_col] == last
+            carry = pdf[tail]
+            done = pdf[~tail]
+            if len(done):
+                yield fn(done)
+        if carry is not None and len(carry):
+            yield fn(carry)
+    return ordered.mapInPandas(run, schema)
+
+
+def _min_pair_distances(names: Sequence[str], group_col: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = pdf[list(names)].to_numpy(dtype=float)
-        if len(x) < 2:
-            d = np.inf
-        else:
-            diff = x[:, None, :] - x[None, :, :]
-            dist = np.sqrt((diff * diff).sum(axis=2))
-            np.fill_diagonal(dist, np.inf)
-            d = float(dist.min())
-        return pd.DataFrame({group_col: [pdf[group_col].iloc[0]], "min_dist": [d]})
+        keys, dists = [], []
+        for key, g in pdf.groupby(group_col, sort=False):
+            x = g[list(names)].to_numpy(dtype=float)
+            if len(x) < 2:
+                d = np.inf
+            else:
+                diff = x[:, None, :] - x[None, :, :]
+                dist = np.sqrt((diff * diff).sum(axis=2))
+                np.fill_diagonal(dist, np.inf)
+                d = float(dist.min())
+            keys.append(key)
+            dists.append(d)
+        return pd.DataFrame({group_col: keys, "min_dist": dists})
     return fn
 
 
@@ -184,8 +215,8 @@ def maximin_lhs(ids: DataFrame, bounds: dict[str, tuple[float, float]], group_co
     if scale == "unit":
         feats = cands.select(group_col, id_col, *[((F.col(n) - lo) / F.lit(float(hi - lo) or 1.0)).alias(n)
                                                   for n, (lo, hi) in bounds.items()])
-    scores = feats.select(group_col, *names).groupBy(group_col).applyInPandas(
-        _min_pair_distance(names, group_col), schema=f"{group_col} long, min_dist double")
+    scores = map_groups(feats.select(group_col, *names), group_col, _min_pair_distances(names, group_col),
+                        f"{group_col} long, min_dist double")
     best = scores.orderBy(F.desc("min_dist"), F.asc(group_col)).limit(1)
     # one row: broadcast is bounded
     return cands.join(F.broadcast(best), group_col, "inner").select(group_col, id_col, *names, "min_dist")

@@ -1,11 +1,10 @@
 """Distribution tables behind the report charts: correlation, histograms, densities, hex bins,
 quantile bands, box and violin statistics, trial counts.
 
-Column statistics (min, max, std, n) reach the rows through scalar subqueries
-(one aggregate pass each); bin and grid tables are parameter-sized.  Kernel
-densities evaluate the whole grid per row as an array and sum the arrays with
-the ML ``Summarizer`` (a partial, map-side aggregate), so there is no join of
-data and grid.
+Column statistics (min, max, std, n) reach the rows through one bound scalar
+subquery; bin and grid tables are parameter-sized.  Kernel densities are summed
+per Arrow batch with numpy (every grid point at once) and the partial sums are
+added by Spark, so there is no join of data and grid.
 """
 
 from __future__ import annotations
@@ -15,12 +14,11 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from designlab.functions.numeric import bind_stats, is_finite
+from designlab.operators.design import map_groups
 from designlab.operators.rank import dist_rank, exact_quantiles
 
 
@@ -103,11 +101,33 @@ def box_stats(df: DataFrame, group: str, value: str) -> tuple[DataFrame, DataFra
     return stats, outliers
 
 
-def _grid_sum(data: DataFrame, contrib: Column, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Sum per-row arrays element-wise (ML Summarizer: partial aggregate, no join with the grid)."""
-    vec = data.select(*group_cols, array_to_vector(contrib).alias("_vec"))
-    summed = vec.groupBy(*group_cols).agg(Summarizer.sum(F.col("_vec")).alias("_s"))
-    return summed.select(*group_cols, vector_to_array("_s").alias("_arr"))
+def _partial_grid_sums(data: DataFrame, gcols: Sequence[str], kernel, grid_len: int) -> DataFrame:
+    """Per Arrow batch and group: the kernel summed over the batch's rows at every grid point
+    (numpy, vectorised), then summed over batches by Spark (partial aggregate).
+
+    ``kernel(pdf_chunk) -> ndarray[rows, grid_len]`` reads the bound statistics
+    from the chunk's own columns.  No data x grid join, no per-row arrays in the JVM.
+    """
+    gcols = list(gcols)
+    chunk = max(1, 4_000_000 // grid_len)
+
+    def fn(batches):
+        for pdf in batches:
+            groups = pdf.groupby(gcols, dropna=False, sort=False) if gcols else [((), pdf)]
+            for key, sub in groups:
+                acc = np.zeros(grid_len)
+                for start in range(0, len(sub), chunk):
+                    acc += kernel(sub.iloc[start:start + chunk]).sum(axis=0)
+                key = key if isinstance(key, tuple) else (key,)
+                row = {c: [k] for c, k in zip(gcols, key)}
+                row["_arr"] = [acc.tolist()]
+                yield pd.DataFrame(row)
+
+    schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in data.schema.fields if f.name in gcols]
+                       + ["_arr array<double>"])
+    parts = data.mapInPandas(fn, schema)
+    summed = parts.select(*gcols, F.posexplode("_arr").alias("i", "k")).groupBy(*gcols, "i").agg(F.sum("k").alias("k"))
+    return summed
 
 
 def kde_1d(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, group: str | None = None) -> DataFrame:
@@ -121,26 +141,23 @@ def kde_1d(df: DataFrame, col: str, grid: int = 200, cut: float = 3.0, group: st
     st = st.withColumn("bw", F.col("sd") * F.pow(F.col("n").cast("double"), F.lit(-0.2)))
     st = st.withColumn("g0", F.col("lo") - cut * F.col("bw")).withColumn(
         "gstep", ((F.col("hi") + cut * F.col("bw")) - (F.col("lo") - cut * F.col("bw"))) / F.lit(float(grid - 1)))
+    st = st.select(*gcols, "n", "bw", "g0", "gstep").where(F.col("bw") > 0)
     if gcols:
-        joined = data.join(st, gcols)  # one stats row per group; AQE broadcasts it when small
-        def s(c):
-            return F.col(c)
+        joined = data.join(st, gcols)        # one stats row per group; AQE broadcasts it when small
     else:
-        # one scalar subquery bound as a struct column (lambdas cannot hold subqueries)
-        joined = bind_stats(data, st.select("bw", "g0", "gstep"))
-        def s(c):
-            return F.col("_st").getField(c)
-    idx = F.sequence(F.lit(0), F.lit(grid - 1))
-    contrib = F.transform(idx, lambda i: F.exp(-0.5 * F.pow((s("g0") + i * s("gstep") - F.col("x")) / s("bw"), 2)))
-    summed = _grid_sum(joined.where(s("bw") > 0), contrib, gcols)
-    if gcols:
-        out = summed.join(st, gcols)
-    else:
-        out = bind_stats(summed, st.select("n", "bw", "g0", "gstep")).select("_arr", "_st.*")
+        joined = bind_stats(data, st).select("x", "_st.*")
+    idx = np.arange(grid, dtype=float)
+
+    def kernel(pdf):
+        g = pdf["g0"].to_numpy()[:, None] + idx[None, :] * pdf["gstep"].to_numpy()[:, None]
+        u = (g - pdf["x"].to_numpy()[:, None]) / pdf["bw"].to_numpy()[:, None]
+        return np.exp(-0.5 * u * u)
+
+    summed = _partial_grid_sums(joined, gcols, kernel, grid)
+    out = summed.join(st, gcols) if gcols else bind_stats(summed, st).select("*", "_st.*").drop("_st")
     norm = F.col("n") * F.col("bw") * F.lit(math.sqrt(2 * math.pi))
-    return out.select(*gcols, F.posexplode("_arr").alias("i", "k"), "g0", "gstep", "n", "bw").select(
-        *gcols, F.col("i").cast("long").alias("i"), (F.col("g0") + F.col("i") * F.col("gstep")).alias("x"),
-        (F.col("k") / norm).alias("density"))
+    return out.select(*gcols, F.col("i").cast("long").alias("i"), (F.col("g0") + F.col("i") * F.col("gstep")).alias("x"),
+                      (F.col("k") / norm).alias("density"))
 
 
 def kde_2d(df: DataFrame, xcol: str, ycol: str, grid: int = 50, cut: float = 3.0) -> DataFrame:
@@ -161,21 +178,23 @@ def kde_2d(df: DataFrame, xcol: str, ycol: str, grid: int = 50, cut: float = 3.0
                  x0.alias("x0"), y0.alias("y0"),
                  (((F.col("xhi") + cut * bx) - x0) / F.lit(float(grid - 1))).alias("sx"),
                  (((F.col("yhi") + cut * by) - y0) / F.lit(float(grid - 1))).alias("sy"))
-    idx = F.sequence(F.lit(0), F.lit(grid * grid - 1))
-    s = F.col("_st")
-    bound = bind_stats(data, p)
+    bound = bind_stats(data, p).select("x", "y", "_st.*")
+    kk = np.arange(grid * grid)
+    ii, jj = (kk // grid).astype(float), (kk % grid).astype(float)
+
+    def kernel(pdf):
+        col = lambda n: pdf[n].to_numpy()[:, None]
+        dx = col("x0") + ii[None, :] * col("sx") - col("x")
+        dy = col("y0") + jj[None, :] * col("sy") - col("y")
+        return np.exp(-0.5 * (col("ia") * dx * dx + 2 * col("ib") * dx * dy + col("ic") * dy * dy))
 
-    def contrib(k):
-        dx = s.x0 + F.floor(k / grid) * s.sx - F.col("x")
-        dy = s.y0 + (k % grid) * s.sy - F.col("y")
-        return F.exp(-0.5 * (s.ia * dx * dx + 2 * s.ib * dx * dy + s.ic * dy * dy))
-    summed = bind_stats(_grid_sum(bound, F.transform(idx, contrib)), p)
+    summed = bind_stats(_partial_grid_sums(bound, [], kernel, grid * grid), p)
+    s = F.col("_st")
     norm = s.n * F.lit(2 * math.pi) * F.sqrt(s.det)
-    x0, y0, sx, sy = s.x0, s.y0, s.sx, s.sy
-    out = summed.select("_st", F.posexplode("_arr").alias("k", "v"))
-    return out.select((F.floor(F.col("k") / grid)).cast("long").alias("i"), (F.col("k") % grid).cast("long").alias("j"),
-                      (x0 + F.floor(F.col("k") / grid) * sx).alias("x"), (y0 + (F.col("k") % grid) * sy).alias("y"),
-                      (F.col("v") / norm).alias("density"))
+    k = F.col("i")
+    return summed.select((F.floor(k / grid)).cast("long").alias("i"), (k % grid).cast("long").alias("j"),
+                         (s.x0 + F.floor(k / grid) * s.sx).alias("x"), (s.y0 + (k % grid) * s.sy).alias("y"),
+                         (F.col("k") / norm).alias("density"))
 
 
 def hexbin(df: DataFrame, xcol: str, ycol: str, gridsize: int = 50, log: bool = False) -> DataFrame:
@@ -277,18 +296,23 @@ def pair_distance_hist(df: DataFrame, group_col: str, cols: Sequence[str], bins:
         d = x[i] - x[j]
         return np.sqrt((d * d).sum(axis=1))
 
+    def per_group(pdf: pd.DataFrame):
+        for _, g in pdf.groupby(group_col, sort=False):
+            yield g, dists(g)
+
     def rng(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = dists(pdf)
+        ds = [d for _, d in per_group(pdf) if len(d)]
+        d = np.concatenate(ds) if ds else np.empty(0)
         return pd.DataFrame({"lo": [d.min() if len(d) else np.nan], "hi": [d.max() if len(d) else np.nan]})
 
-    r = z.groupBy(group_col).applyInPandas(rng, "lo double, hi double").agg(F.min("lo").alias("_lo"),
-                                                                             F.max("hi").alias("_hi"))
+    r = map_groups(z, group_col, rng, "lo double, hi double").agg(F.min("lo").alias("_lo"), F.max("hi").alias("_hi"))
     z2 = bind_stats(z, r, "_r").select("*", "_r._lo", "_r._hi").drop("_r")
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        d = dists(pdf)
-        if len(d) == 0:
+        ds = [d for _, d in per_group(pdf) if len(d)]
+        if not ds:
             return pd.DataFrame({"bin": pd.Series([], dtype="int64"), "count": pd.Series([], dtype="int64")})
+        d = np.concatenate(ds)
         lo, hi = float(pdf["_lo"].iloc[0]), float(pdf["_hi"].iloc[0])
         if hi == lo:
             lo, hi = lo - 0.5, hi + 0.5
@@ -296,7 +320,6 @@ def pair_distance_hist(df: DataFrame, group_col: str, cols: Sequence[str], bins:
         u, c = np.unique(b, return_counts=True)
         return pd.DataFrame({"bin": u, "count": c.astype("int64")})
 
-    counts = z2.groupBy(group_col).applyInPandas(count, "bin long, count long").groupBy("bin").agg(
-        F.sum("count").alias("count"))
+    counts = map_groups(z2, group_col, count, "bin long, count long").groupBy("bin").agg(F.sum("count").alias("count"))
     edges = spark.range(0, bins, 1, 1).withColumnRenamed("id", "bin")
     return edges.join(counts, "bin", "left").select("bin", F.coalesce("count", F.lit(0).cast("long")).alias("count"))
