@@ -1,0 +1,9 @@
+"""Streaming helpers.
+
+The original work has no streaming; the one incremental need is counting
+results per design row while a solver keeps writing result files.
+"""
+
+from designlab.streaming.results import result_counts_stream, start_result_counts
+
+__all__ = ["result_counts_stream", "start_result_counts"]

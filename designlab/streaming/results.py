@@ -1,0 +1,37 @@
+"""E1 on a stream: rows per canonical design key over a folder of arriving result CSV files."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from designlab.operators.checks import keyed
+from designlab.session import checkpoint_dir
+
+
+def result_counts_stream(spark: SparkSession, folder: str, schema: T.StructType, key_cols: Sequence[str],
+                         max_files_per_trigger: int | None = None) -> DataFrame:
+    """Streaming DataFrame of (key, n): result rows per canonical key, updated as files arrive."""
+    reader = spark.readStream.schema(schema).option("header", True)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    rows = reader.csv(folder)
+    return keyed(rows, key_cols).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+def start_result_counts(counts: DataFrame, table_path: str, name: str = "result_counts",
+                        checkpoint: str | None = None) -> StreamingQuery:
+    """Keep a Parquet table of the current counts: each micro-batch rewrites the full (complete-mode)
+    result, with progress kept in the shared checkpoint folder so a restart resumes."""
+    spark = counts.sparkSession
+    ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/stream-{name}"
+
+    def write(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(table_path)
+
+    return (counts.writeStream.outputMode("complete").foreachBatch(write)
+            .option("checkpointLocation", ckpt).queryName(name).start())
