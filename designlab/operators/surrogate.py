@@ -70,6 +70,20 @@ def score(model: PipelineModel, df: DataFrame, label: str, group_cols: Sequence[
     return regression_metrics(pred.withColumn("y_true", F.col(label).cast("double")), group_cols)
 
 
+def score_many(models: dict[str, PipelineModel], df: DataFrame, label: str, name_col: str = "model_name") -> DataFrame:
+    """Score several fitted models on the same rows in one metric pass (one row per model).
+
+    Predictions of all models are stacked with their name, so the exact median
+    and every other metric come from a single grouped aggregate.
+    """
+    stacked = None
+    for name, model in models.items():
+        pred = model.transform(df).select(F.lit(name).alias(name_col), F.col(label).cast("double").alias("y_true"),
+                                          F.col("prediction").alias("y_pred"))
+        stacked = pred if stacked is None else stacked.unionByName(pred)
+    return regression_metrics(stacked, [name_col])
+
+
 def model_name(data_path: str, now: _dt.datetime | None = None) -> str:
     """A10: ``model_<file base>__yymmdd_HHMMSS``."""
     import os
@@ -115,6 +129,7 @@ def sweep(spark: SparkSession, train: DataFrame, test: DataFrame, inputs: Sequen
         return {"model_name": name, "learner": kind, "params": repr(sorted(cfg.items())),
                 "training_duration": dur, **{k: (float(v) if v is not None else None) for k, v in m.items()}}
 
+    # fits and their scoring jobs overlap across threads
     with ThreadPoolExecutor(max_workers=parallelism) as pool:
         rows = list(pool.map(run, configs))
     train.unpersist()

@@ -75,10 +75,7 @@ def fit_score(spark, d):
         "rf": surrogate.fit_surrogate(train.where(~F.col("is_val")), INPUTS, LABEL, "rf",
                                       numTrees=10, maxDepth=6, seed=SEED),
     }
-    out = None
-    for name, model in fits.items():
-        row = surrogate.score(model, test, LABEL).withColumn("learner", F.lit(name))
-        out = row if out is None else out.unionByName(row)
+    out = surrogate.score_many(fits, test, LABEL, "learner")
     return out.select("learner", "n", "mae", "rmse", "r2", "mape", "max_error", "median_ae")
 
 
