@@ -151,7 +151,7 @@ def solver_csv(spark, d):
                 f"% Expressions,{len(cols)}", "% Description,stand-in export", "% " + ",".join(cols)]
     spark.createDataFrame([(x,) for x in preamble], "value string").coalesce(1).write.mode("overwrite").text(
         f"{folder}/preamble")
-    return files.read_solver_csv(spark, f"{folder}/*")
+    return files.read_solver_csv(spark, [f"{folder}/preamble", f"{folder}/body"])
 
 
 @register("plug_predict", sql=f"""

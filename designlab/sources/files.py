@@ -41,7 +41,7 @@ def read_unit_csv(spark: SparkSession, path: str) -> DataFrame:
     return unit_split(raw)
 
 
-def solver_header(spark: SparkSession, path: str, comment: str = "%") -> list[str]:
+def solver_header(spark: SparkSession, path: str | list[str], comment: str = "%") -> list[str]:
     """A5: column names = the last comment line of the preamble (one small aggregate)."""
     lines = spark.read.text(path).withColumn("_pos", F.monotonically_increasing_id())
     last = lines.where(F.col("value").startswith(comment)).agg(F.max_by("value", "_pos")).first()[0]
@@ -50,7 +50,7 @@ def solver_header(spark: SparkSession, path: str, comment: str = "%") -> list[st
     return [c for c in re.split(r"\s{2,}|,|\t", body) if c]
 
 
-def read_solver_csv(spark: SparkSession, path: str, comment: str = "%", sep: str = ",") -> DataFrame:
+def read_solver_csv(spark: SparkSession, path: str | list[str], comment: str = "%", sep: str = ",") -> DataFrame:
     """A5: solver output with ``%`` comment preamble; numeric body typed as double."""
     names = solver_header(spark, path, comment)
     schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
