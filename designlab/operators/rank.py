@@ -90,6 +90,16 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
         return res.select(*group_cols, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
 
     ranked = dist_rank(clean, [F.col("_v")], group_cols, rank_col="_r", count_col="_n")
+    return quantiles_from_ranks(ranked, qs, group_cols, names)
+
+
+def quantiles_from_ranks(ranked: DataFrame, qs: Sequence[float], group_cols: Sequence[str],
+                         names: Sequence[str], value_col: str = "_v", rank_col: str = "_r",
+                         count_col: str = "_n") -> DataFrame:
+    """Quantiles from rows already ranked by value inside their group (``dist_rank`` output)."""
+    group_cols = list(group_cols)
+    ranked = ranked.withColumnsRenamed({value_col: "_v", rank_col: "_r", count_col: "_n"}) \
+        if (value_col, rank_col, count_col) != ("_v", "_r", "_n") else ranked
     # 1-based ranks bracketing each position h = (n-1)q
     needed = None
     lo_hi = []
