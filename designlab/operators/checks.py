@@ -115,3 +115,28 @@ def report(design: DataFrame, status: DataFrame, results: DataFrame, expected: i
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(k).alias("kind"), F.col(k).cast("long").alias("errors"))
         for i, k in enumerate(kinds)])))
+
+
+def with_line_numbers(df: DataFrame, col: str = "row_no", first_line: int = 2) -> DataFrame:
+    """File line of each row (header is line 1): exact position in scan order.
+
+    Scan order is file order for a single file; the rank is distributed (no
+    single-partition window).
+    """
+    from designlab.operators.rank import dist_rank
+    tagged = df.withColumn("_scan", F.monotonically_increasing_id())
+    ranked = dist_rank(tagged, [F.col("_scan")], rank_col="_line")
+    return ranked.withColumn(col, F.col("_line") + (first_line - 1)).drop("_scan", "_line")
+
+
+def duplicate_matches(design: DataFrame, status: DataFrame) -> DataFrame:
+    """D3: design rows matched by more than one status row, with the match count and the first
+    two matching status rows (aggregates only: one output row per design row, never the
+    product of duplicate design rows and duplicate status rows)."""
+    st = status.groupBy("key").agg(F.count(F.lit(1)).alias("n_status"), F.min("row_no").alias("first_row"))
+    st = st.where(F.col("n_status") > 1)
+    second = status.join(st.select("key", "first_row"), "key").where(F.col("row_no") > F.col("first_row")) \
+        .groupBy("key").agg(F.min("row_no").alias("second_row"))
+    multi = st.join(second, "key", "left")
+    return design.join(multi, "key").select(F.col("row_no").alias("design_row"), "key", "n_status",
+                                            "first_row", "second_row")

@@ -72,3 +72,17 @@ def test_verdict_uses_first_status_match(spark):
     results = [(1.0, "x"), (1.0, "x")]
     v = checks.verdicts(*_frames(spark, design, status, results), expected=EXPECTED).first()
     assert v["success"] == 1 and v["verdict"] == "ok" and v["n_status"] == 2
+
+
+def test_duplicate_matches(spark):
+    design = [(1.0, "x", 1), (2.0, "x", 2)]
+    status = [(1.0, "x", 3, 1), (1.0, "x", 7, 0), (2.0, "x", 4, 1)]
+    d, s, _ = _frames(spark, design, status, [])
+    rows = [(r.design_row, r.n_status, r.first_row, r.second_row) for r in checks.duplicate_matches(d, s).collect()]
+    assert rows == [(1, 2, 3, 7)]
+
+
+def test_line_numbers_follow_scan_order(spark):
+    df = spark.createDataFrame([(v,) for v in "abcdefg"], "v string").coalesce(1)
+    got = [(r.v, r.row_no) for r in checks.with_line_numbers(df).orderBy("row_no").collect()]
+    assert got == [(v, i + 2) for i, v in enumerate("abcdefg")]
