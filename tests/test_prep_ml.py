@@ -54,3 +54,13 @@ def test_plug_predict_and_roundtrip(spark, tmp_dir):
     a = [r.prediction for r in model.transform(train).collect()]
     b = [r.prediction for r in loaded.transform(train).collect()]
     assert a == b
+
+
+def test_splits_independent_of_partitioning(spark):
+    base = spark.range(0, 2000, 1, 1).select((F.col("id") % 211).alias("g"), F.col("id"))
+    a = sorted((r.id, r.split) for r in prep.row_split(base, ["id"], 0.2, 0.1, 7).collect())
+    b = sorted((r.id, r.split) for r in prep.row_split(base.repartition(13), ["id"], 0.2, 0.1, 7).collect())
+    assert a == b
+    c = sorted((r.id, r.split) for r in prep.group_split(base, "g", 0.2, 0.1, 7).collect())
+    d = sorted((r.id, r.split) for r in prep.group_split(base.repartition(9), "g", 0.2, 0.1, 7).collect())
+    assert c == d
