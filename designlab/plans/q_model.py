@@ -147,7 +147,7 @@ def solver_csv(spark, d):
     folder = f"{checkpoint_dir(spark).rstrip('/')}/solver-{uuid.uuid4().hex[:8]}"
     cols = [*INPUTS, LABEL]
     table(spark, d, "lineitem").select(*cols).write.mode("overwrite").csv(f"{folder}/body")
-    preamble = ["% Model,lineitem.mph", "% Version,6.3", "% Date,\"Jan 1 2025, 00:00\"", "% Dimension,1",
+    preamble = ["% Model,lineitem", "% Version,6.3", "% Date,\"Jan 1 2025, 00:00\"", "% Dimension,1",
                 f"% Expressions,{len(cols)}", "% Description,stand-in export", "% " + ",".join(cols)]
     spark.createDataFrame([(x,) for x in preamble], "value string").coalesce(1).write.mode("overwrite").text(
         f"{folder}/preamble")

@@ -80,3 +80,31 @@ def test_run_log_append_and_union(spark, tmp_dir):
     got = {r.model_name: r.batch_norm for r in log.collect()}
     assert got == {"m1": False, "m2": True}
     assert log.where(F.col("model_name") == "m1").first()["mae"] == 0.5
+
+
+def test_design_space_workflow(spark, tmp_dir):
+    from designlab.operators.doe import DesignSpace
+    p = os.path.join(tmp_dir, "space.json")
+    with open(p, "w") as f:
+        json.dump(SPACE, f)
+    ds = DesignSpace.from_json(spark, p, koh=1.0)
+    assert ds.names == ["W_mem", "T", "eps_H2", "p_gas"]
+    lhs = ds.latin_hypercube(30, seed=2)
+    assert lhs.columns == ["design_id", "W_mem", "T", "eps_H2", "p_gas", "i0_ref_O2", "i0_ref_H2"]
+    assert lhs.count() == 30
+    ff = ds.full_factorial()
+    assert ff.count() == 3 * 4 * 4 * 3
+    mm = ds.maximin_latin_hypercube(10, 5, seed=3)
+    assert sorted(r.design_id for r in mm.collect()) == list(range(10))
+    out = os.path.join(tmp_dir, "lhs_csv")
+    ds.save_csv(lhs, out)
+    text = spark.read.option("header", True).csv(out)
+    first = text.first()
+    assert first["W_mem"].endswith("[m]") and first["T"].endswith("[degC]") and first["i0_ref_O2"].endswith("[A/m^2]")
+    lst = os.path.join(tmp_dir, "lhs_list")
+    ds.save_param_list(lhs, lst)
+    lines = [r.value for r in spark.read.text(lst).collect()]
+    assert len(lines) == 6 and any(x.startswith('W_mem "') and x.endswith("[m]") for x in lines)
+    looked = DesignSpace.from_json(spark, p, koh=1.0, use_lookup=True).full_factorial()
+    vals = {r["T"]: r["i0_ref_O2"] for r in looked.select("T", "i0_ref_O2").distinct().collect()}
+    assert vals[30.0] == 0.014 and vals[80.0] == 0.035
