@@ -174,3 +174,64 @@ class LinearFormula:
         for i, c in enumerate(self.coef):
             out = out + x[:, i] * c
         return out
+
+
+# ---------------------------------------------------------------- train-and-log workflow
+
+def build_and_train(spark: SparkSession, data: DataFrame, outputs: int | Sequence[str] = 1, kind: str = "linear",
+                    test_size: float = 0.2, val_size: float = 0.1, group_key=None, seed: int = 42,
+                    row_key: Sequence[str] | None = None, data_file: str = "data.csv",
+                    models_folder: str | None = None, log_path: str | None = None, **params) -> dict:
+    """Whole training run on a results table: drop incomplete rows, split (rows, or whole groups
+    when ``group_key`` is given), fit one surrogate per output on the training rows (scaler
+    fitted there too), score the held-out rows, optionally save the pipelines and append a run-log row.
+
+    Returns a dict with the fitted models, the metric table and the log row.
+    """
+    import datetime as dt
+
+    from designlab.operators import clean, prep
+    from designlab.sources import files
+
+    data = clean.drop_incomplete(data)
+    inputs, outs = clean.split_io(data, outputs)
+    if group_key is not None:
+        split = prep.group_split(data, group_key, test_size, val_size, seed)
+    else:
+        split = prep.row_split(data, list(row_key or data.columns), test_size, val_size, seed)
+    train = split.where(F.col("split") != "test").withColumn("_is_val", F.col("split") == "val")
+    test = split.where(F.col("split") == "test")
+    fit_rows = train if kind == "gbt" and "validationIndicatorCol" in params else train.where(~F.col("_is_val"))
+    if kind == "gbt" and "validationIndicatorCol" in params:
+        params = {**params, "validationIndicatorCol": "_is_val"}
+
+    t0 = time.perf_counter()
+    models = {o: fit_surrogate(fit_rows, inputs, o, kind, **params) for o in outs}
+    duration = time.perf_counter() - t0
+
+    stacked = None
+    inf_ms = []
+    for o, m in models.items():
+        scored, ms = timed_inference(m, test)
+        inf_ms.append(ms)
+        part = scored.select(F.lit(o).alias("output"), F.col(o).cast("double").alias("y_true"),
+                             F.col("prediction").alias("y_pred"))
+        stacked = part if stacked is None else stacked.unionByName(part)
+    per_output = regression_metrics(stacked, ["output"])
+    summary = per_output.agg(F.avg("mae").alias("mae"), F.sqrt(F.avg(F.col("rmse") * F.col("rmse"))).alias("rmse"),
+                             F.avg("r2").alias("r2"), F.avg("mape").alias("mape"),
+                             F.max("max_error").alias("max_error"), F.avg("median_ae").alias("median_ae")).first()
+
+    now = dt.datetime.now()
+    name = model_name(data_file, now)
+    if models_folder:
+        for o, m in models.items():
+            save_model(m, models_folder, name if len(models) == 1 else f"{name}__{o}")
+    row = {"model_name": name, "data_file": data_file, "trained_at": now.replace(microsecond=0),
+           "training_duration": duration, "num_features": len(inputs), "num_outputs": len(outs),
+           "test_size": float(test_size), "loss_function": str(params.get("loss", params.get("lossType", ""))),
+           "optimizer": kind, "inference_time_ms": float(sum(inf_ms) / len(inf_ms)),
+           **{k: (float(v) if v is not None else None) for k, v in summary.asDict().items()}}
+    if log_path:
+        files.append_run_log(spark, spark.createDataFrame([row]), log_path)
+    return {"models": models, "metrics": per_output, "log_row": row}

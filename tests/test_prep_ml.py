@@ -64,3 +64,23 @@ def test_splits_independent_of_partitioning(spark):
     c = sorted((r.id, r.split) for r in prep.group_split(base, "g", 0.2, 0.1, 7).collect())
     d = sorted((r.id, r.split) for r in prep.group_split(base.repartition(9), "g", 0.2, 0.1, 7).collect())
     assert c == d
+
+
+def test_build_and_train_logs_a_run(spark, tmp_dir):
+    import os
+
+    from designlab.sources import files
+    rng = np.random.default_rng(5)
+    x1, x2 = rng.uniform(0, 1, 300), rng.uniform(0, 1, 300)
+    y = 2 * x1 + 3 * x2
+    df = spark.createDataFrame([(i, float(a), float(b), float(c)) for i, (a, b, c) in enumerate(zip(x1, x2, y))],
+                               "sim long, x1 double, x2 double, y double")
+    log = os.path.join(tmp_dir, "log")
+    out = surrogate.build_and_train(spark, df.drop("sim"), outputs=1, kind="linear", data_file="res_001.csv",
+                                    models_folder=os.path.join(tmp_dir, "models"), log_path=log)
+    assert out["log_row"]["mae"] < 1e-6 and out["log_row"]["num_features"] == 2
+    logged = files.read_run_log(spark, log).collect()
+    assert len(logged) == 1 and logged[0]["model_name"].startswith("model_res_001__")
+    gb = surrogate.build_and_train(spark, df, outputs=["y"], kind="gbt", group_key="sim", maxIter=5,
+                                   validationIndicatorCol="v", seed=1)
+    assert gb["metrics"].count() == 1
