@@ -217,9 +217,14 @@ def maximin_lhs(ids: DataFrame, bounds: dict[str, tuple[float, float]], group_co
                                                   for n, (lo, hi) in bounds.items()])
     scores = map_groups(feats.select(group_col, *names), group_col, _min_pair_distances(names, group_col),
                         f"{group_col} long, min_dist double")
-    best = scores.orderBy(F.desc("min_dist"), F.asc(group_col)).limit(1)
-    # one row: broadcast is bounded
-    return cands.join(F.broadcast(best), group_col, "inner").select(group_col, id_col, *names, "min_dist")
+    # the winner is one row; bringing it back as a literal lets the filter reach the id source,
+    # so only the winning candidate's hypercube is rebuilt (not every candidate a second time)
+    best = scores.orderBy(F.desc("min_dist"), F.asc(group_col)).limit(1).first()
+    if best is None:
+        return cands.select(group_col, id_col, *names).withColumn("min_dist", F.lit(None).cast("double")).limit(0)
+    win = ids.where(F.col(group_col) == F.lit(best[group_col]))
+    out = lhs_in_groups(win, bounds, group_col, seed, id_col)
+    return out.select(group_col, id_col, *names).withColumn("min_dist", F.lit(float(best["min_dist"])))
 
 
 # Sobol direction-number parameters (Joe & Kuo 2008), dimensions 2..10 (fixed values):
