@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from designlab.operators import board, prep, search
 from designlab.plans.registry import register
-from designlab.plans.standins import ACTIVATIONS, LOSSES, OPTIMIZERS, RUNLOG_CTES, run_log
+from designlab.plans.standins import RUNLOG_CTES, run_log
 from designlab.plans.tables import table
 
 SEED = 42
