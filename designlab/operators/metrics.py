@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from designlab.operators.rank import dist_rank, exact_median, quantiles_from_ranks
+from designlab.operators.rank import exact_median
 
 METRIC_COLS = ("n", "mae", "rmse", "r2", "mape", "max_error", "median_ae")
 
@@ -61,20 +61,11 @@ def regression_metrics(df: DataFrame, group_cols: Sequence[str] = (), y_col: str
     """
     group_cols = list(group_cols)
     data = df.where(F.col(y_col).isNotNull() & F.col(p_col).isNotNull())
-    if median_approx:
-        base = _finish(data.groupBy(*group_cols).agg(*metric_aggs(y_col, p_col, mape_eps)))
-        med = exact_median(data.withColumn("_ae", F.abs(F.col(y_col) - F.col(p_col))), "_ae",
-                           group_cols, "median_ae", approx=True)
-    else:
-        # rank the absolute errors once; the checkpointed ranks also feed the other metrics,
-        # so the (possibly joined) input is not evaluated again
-        slim = data.select(*group_cols, F.col(y_col).cast("double").alias(y_col),
-                           F.col(p_col).cast("double").alias(p_col),
-                           F.abs(F.col(y_col) - F.col(p_col)).cast("double").alias("_v"))
-        slim = slim.where(~F.isnan("_v"))
-        ranked = dist_rank(slim, [F.col("_v")], group_cols, rank_col="_r", count_col="_n")
-        base = _finish(ranked.groupBy(*group_cols).agg(*metric_aggs(y_col, p_col, mape_eps)))
-        med = quantiles_from_ranks(ranked, [0.5], group_cols, ["median_ae"])
+    # scores come straight from the input rows (their sums keep the input's order); the median
+    # ranks only (group, |error|)
+    base = _finish(data.groupBy(*group_cols).agg(*metric_aggs(y_col, p_col, mape_eps)))
+    med = exact_median(data.withColumn("_ae", F.abs(F.col(y_col) - F.col(p_col))), "_ae",
+                       group_cols, "median_ae", approx=median_approx)
     if group_cols:
         out = base.join(med, group_cols, "left")
     else:

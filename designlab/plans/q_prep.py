@@ -119,6 +119,8 @@ def config_grid(spark, d):
     wide = log.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in GRID_COLS]).first()   # categorical, bounded
     lists = {c: list(wide[c]) for c in GRID_COLS}
     grid = search.product_table(spark, lists)
+    types = dict(log.select(*GRID_COLS).dtypes)
+    grid = grid.select("config_id", *[F.col(c).cast(types[c]).alias(c) for c in GRID_COLS])
     return search.seeded_sample(grid, SAMPLE_K, "config_id", SEED)
 
 
