@@ -67,3 +67,51 @@ def test_hexbin_counts_all_points(spark):
     df = spark.createDataFrame([(float(a), float(b)) for a, b in rng.normal(0, 1, (300, 2))], "x double, y double")
     h = dist.hexbin(df, "x", "y", 10)
     assert h.agg(F.sum("count")).first()[0] == 300
+
+
+def _hexbin_reference(x, y, gridsize):
+    # matplotlib's two-lattice assignment written directly in numpy
+    nx = gridsize
+    ny = int(nx / np.sqrt(3))
+    xmin, xmax, ymin, ymax = x.min(), x.max(), y.min(), y.max()
+    pad = 1e-9 * (xmax - xmin)
+    xmin, xmax = xmin - pad, xmax + pad
+    sx, sy = (xmax - xmin) / nx, (ymax - ymin) / ny
+    ix, iy = (x - xmin) / sx, (y - ymin) / sy
+    ix1, iy1 = np.round(ix), np.round(iy)
+    ix2, iy2 = np.floor(ix), np.floor(iy)
+    d1 = (ix - ix1) ** 2 + 3.0 * (iy - iy1) ** 2
+    d2 = (ix - ix2 - 0.5) ** 2 + 3.0 * (iy - iy2 - 0.5) ** 2
+    first = d1 < d2
+    cells = {}
+    for f, a, b, c, d in zip(first, ix1, iy1, ix2, iy2):
+        key = (1, int(a), int(b)) if f else (2, int(c), int(d))
+        cells[key] = cells.get(key, 0) + 1
+    return cells
+
+
+def test_hexbin_matches_direct_formula(spark):
+    rng = np.random.default_rng(4)
+    pts = rng.normal(0, 1, (500, 2))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in pts], "x double, y double")
+    got = {(r.lattice, r.i, r.j): r["count"] for r in dist.hexbin(df, "x", "y", 12).collect()}
+    assert got == _hexbin_reference(pts[:, 0], pts[:, 1], 12)
+
+
+def test_search_draws_bounds_and_determinism(spark):
+    from designlab.operators import search
+    t = spark.range(2000).withColumnRenamed("id", "trial")
+    u = search.u(1, "p", F.col("trial"))
+    df = t.select(search.draw_int(u, 1, 8).alias("i"), search.draw_log_uniform(u, 1e-5, 5e-2).alias("lr"),
+                  search.draw_log_int(u, 16, 512).alias("units"), search.draw_choice(u, ["a", "b", "c"]).alias("c"),
+                  search.draw_step_int(u, 16, 256, 16).alias("s")).toPandas()
+    assert df["i"].between(1, 8).all() and set(df["i"]) == set(range(1, 9))
+    assert df["lr"].between(1e-5, 5e-2).all()
+    assert df["units"].between(16, 512).all()
+    assert set(df["c"]) == {"a", "b", "c"}
+    assert (df["s"] % 16 == 0).all() and df["s"].between(16, 256).all()
+    again = t.select(search.draw_int(u, 1, 8).alias("i")).toPandas()
+    assert (again["i"] == df["i"]).all()
+    grid = search.product_table(spark, {"a": [1, 2], "b": ["x", "y", "z"]})
+    assert grid.count() == 6
+    assert search.seeded_sample(grid, 4, "config_id", 3).count() == 4

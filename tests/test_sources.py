@@ -108,3 +108,12 @@ def test_design_space_workflow(spark, tmp_dir):
     looked = DesignSpace.from_json(spark, p, koh=1.0, use_lookup=True).full_factorial()
     vals = {r["T"]: r["i0_ref_O2"] for r in looked.select("T", "i0_ref_O2").distinct().collect()}
     assert vals[30.0] == 0.014 and vals[80.0] == 0.035
+
+
+def test_read_csv_na_tokens(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "r.csv")
+    with open(p, "w") as f:
+        f.write("a,b,c\n1.5,NA,x\n,2,\nNaN,3,y\nabc,4,z\n")
+    df = files.read_csv(spark, p, "a double, b int, c string")
+    rows = [tuple(r) for r in df.collect()]
+    assert rows == [(1.5, None, "x"), (None, 2, None), (None, 3, "y"), (None, 4, "z")]
