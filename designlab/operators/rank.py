@@ -40,12 +40,16 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
     """
     group_cols = list(group_cols)
     orders = [_col(c) for c in order_cols]
-    keys = [F.col(g) for g in group_cols] + orders
+    # a per-row tie-breaker as the last range key lets the range partitioner split a value
+    # repeated on a third of the rows (ties are ranked in arbitrary order either way)
+    tagged = df.withColumn("_tb", F.monotonically_increasing_id())
+    keys = [F.col(g) for g in group_cols] + orders + [F.col("_tb")]
     n = _parts(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *keys)
+    ranged = (tagged.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
+              .withColumn("_pos", F.monotonically_increasing_id())
+              .drop("_tb"))
     # Both branches below must see the same partition assignment: the sampled
     # range bounds of two separate exchanges differ.  A reliable checkpoint in the
     # shared folder pins it (and survives executor loss without recomputation).

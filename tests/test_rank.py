@@ -53,3 +53,12 @@ def test_quantiles_skip_null_and_nan(spark):
 def test_single_row_group(spark):
     df = spark.createDataFrame([(1, 5.0)], "g int, v double")
     assert exact_quantiles(df, "v", [0.25, 0.75], ["g"], ["a", "b"]).first().asDict() == {"g": 1, "a": 5.0, "b": 5.0}
+
+
+def test_tied_hot_value_is_spread(spark):
+    # a third of the rows share one value: the range exchange still splits them
+    df = spark.range(0, 3000, 1, 4).select(F.when(F.col("id") % 3 == 0, F.lit(5.0)).otherwise(F.col("id").cast("double")).alias("v"))
+    r = dist_rank(df, [F.col("v")], rank_col="r", num_partitions=6)
+    sizes = [row[0] for row in r.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert max(sizes) < 1000
+    assert sorted(x.r for x in r.collect()) == list(range(1, 3001))
