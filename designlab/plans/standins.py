@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from designlab.operators.metrics import regression_metrics
 from designlab.plans.tables import table
+from designlab.session import cut_lineage
 
 # Categorical hyper-parameter values of the stand-in run log (fixed values)
 ACTIVATIONS = ("relu", "tanh", "elu", "selu")
@@ -57,7 +58,16 @@ def _sql_list(values) -> str:
 
 
 def run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One log row per supplier-model: scores + hyper-parameter columns."""
+    """One log row per supplier-model: scores + hyper-parameter columns.
+
+    The log is small (one row per model) but expensive (it scores every
+    prediction), and reports read it several times (statistics subqueries,
+    top-k, joins), so it is written once to the checkpoint folder.
+    """
+    return cut_lineage(_run_log(spark, sf_dir))
+
+
+def _run_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     m = regression_metrics(predictions(spark, sf_dir), ["model_key", "model_name"])
     sup = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     j = m.join(sup, m.model_key == sup.s_suppkey)
