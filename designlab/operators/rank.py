@@ -1,9 +1,12 @@
 """Exact ranks and quantiles without funnelling a group into one task.
 
-``dist_rank`` range-partitions on (group, order) keys, so even a group holding a
-third of all rows is spread over many range partitions.  Each partition numbers
-its rows locally; a small table of per-(partition, group) counts gives every
-partition its offset inside the group.  The result is an exact ``row_number``.
+``dist_rank`` range-partitions on (group, order, row tie-breaker) keys, so even a
+group, or a single value, holding a third of all rows is spread over many range
+partitions.  Each partition numbers its rows locally; a small table of
+per-(partition, group) counts gives every partition its offset inside the group.
+The result is an exact ``row_number``.  The range-partitioned rows are written
+once to the checkpoint folder, so the counts and the numbering see the same
+partition assignment and a lost executor does not re-draw it.
 
 ``exact_quantiles`` builds on it: it keeps only the (at most two) rows around each
 requested position and interpolates linearly, as numpy / pandas / DuckDB do.
@@ -34,8 +37,8 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
               num_partitions: int | None = None) -> DataFrame:
     """Add an exact 1-based ``rank_col`` (row_number) within ``group_cols`` ordered by ``order_cols``.
 
-    ``order_cols`` may hold Columns with ``.desc()`` etc.; make the order total
-    (add a unique column last) when ranks must be stable under task retries.
+    ``order_cols`` may hold Columns with ``.desc()`` etc.; rows tied on the order get
+    consecutive ranks in arbitrary order (add a unique column to make the order total).
     ``count_col`` optionally adds the group size.
     """
     group_cols = list(group_cols)
