@@ -259,3 +259,18 @@ def dense_curve_scored(spark, d):
     model = surrogate.LinearFormula(PLUG_COEF, PLUG_INTERCEPT)
     return surrogate.plug_predict(pts, model, ["t", "l_discount", "l_tax"]).select(
         "l_discount", "l_tax", "i", "t", "y_pred")
+
+
+@register("csv_scan", sql="""
+SELECT l_orderkey, l_linenumber, l_quantity, CASE WHEN l_discount = 0 THEN NULL ELSE l_discount END AS l_discount,
+       l_extendedprice FROM lineitem""")
+def csv_scan(spark, d):
+    """A3: lineitem written as a header CSV (zero discounts written as the token 'NA') into the shared
+    folder, read back with an explicit schema: NA tokens and empty cells become NULL."""
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex[:8]}"
+    li = table(spark, d, "lineitem")
+    li.select("l_orderkey", "l_linenumber", "l_quantity",
+              F.when(F.col("l_discount") == 0, F.lit("NA")).otherwise(F.col("l_discount").cast("string")).alias("l_discount"),
+              "l_extendedprice").write.mode("overwrite").option("header", True).csv(folder)
+    schema = "l_orderkey bigint, l_linenumber int, l_quantity double, l_discount double, l_extendedprice double"
+    return files.read_csv(spark, folder, schema)
