@@ -134,10 +134,14 @@ def union_logs(old: DataFrame, new: DataFrame, defaults: dict | None = None) ->
 
 
 def append_run_log(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Append rows to the Parquet run log (an absent log starts empty); the schema is fixed."""
+    """Append rows to the Parquet run log (an absent log starts empty); the schema is fixed.
+
+    The log is partitioned by ``data_file``, so a report on one data file reads
+    only that partition.
+    """
     aligned = spark.createDataFrame([], RUN_LOG_SCHEMA).unionByName(rows, allowMissingColumns=True)
     aligned.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG_SCHEMA.fields]) \
-        .write.mode("append").parquet(path)
+        .write.mode("append").partitionBy("data_file").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:

@@ -117,3 +117,13 @@ def test_read_csv_na_tokens(spark, tmp_dir):
     df = files.read_csv(spark, p, "a double, b int, c string")
     rows = [tuple(r) for r in df.collect()]
     assert rows == [(1.5, None, "x"), (None, 2, None), (None, 3, "y"), (None, 4, "z")]
+
+
+def test_run_log_prunes_by_data_file(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "plog")
+    rows = spark.createDataFrame([("m1", "a.csv", 0.5), ("m2", "b.csv", 0.4)], "model_name string, data_file string, mae double")
+    files.append_run_log(spark, rows, p)
+    log = files.read_run_log(spark, p).where(F.col("data_file") == "a.csv")
+    assert [r.model_name for r in log.collect()] == ["m1"]
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "a.csv" in plan
