@@ -282,3 +282,22 @@ def param_list_export(spark, d):
     rnd = design.random_uniform(_ids(spark, d), _bounds(_params(spark, d)), SEED)
     out = files.param_list(rnd, OUT_UNITS, NAMES, block_size=BLOCK)
     return out.select("pos", "name", F.col("block").cast("long").alias("block"), "line")
+
+
+@register("design_csv_roundtrip", sql=f"""
+WITH {LEVELS_SQL}, {BOUNDS_SQL},
+r AS (SELECT o_orderkey AS design_id, {", ".join(_rescale_sql(_hu(str(SEED), n, 'o_orderkey'), n) + f' AS {n}' for n in NAMES)}
+      FROM orders, bd)
+SELECT design_id, {", ".join((f'CAST({_sig6_sql(n)} AS DOUBLE) AS "{n} [{OUT_UNITS[n]}]"' if OUT_UNITS[n] else n) for n in NAMES)}
+FROM r""", digits=12)
+def design_csv_roundtrip(spark, d):
+    """A6 then A4: the random design written as a unit-tagged CSV in the shared folder, read back with
+    units moved from the cells to the headers (values keep 6 significant digits)."""
+    import uuid
+
+    from designlab.session import checkpoint_dir
+    rnd = design.random_uniform(_ids(spark, d), _bounds(_params(spark, d)), SEED)
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/design-{uuid.uuid4().hex[:8]}"
+    files.design_text(rnd, OUT_UNITS).write.mode("overwrite").option("header", True).csv(folder)
+    back = files.read_unit_csv(spark, folder)
+    return back.select(F.col("design_id").cast("long").alias("design_id"), *[c for c in back.columns if c != "design_id"])
