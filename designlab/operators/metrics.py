@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from designlab.operators.rank import exact_median
+from designlab.session import pin_if_large
 
 METRIC_COLS = ("n", "mae", "rmse", "r2", "mape", "max_error", "median_ae")
 
@@ -61,6 +62,12 @@ def regression_metrics(df: DataFrame, group_cols: Sequence[str] = (), y_col: str
     """
     group_cols = list(group_cols)
     data = df.where(F.col(y_col).isNotNull() & F.col(p_col).isNotNull())
+    if not median_approx:
+        # the exact median reads the rows twice more (range sampling, range exchange); when the
+        # input is large, pin the slim (group, y, p) rows once so a costly input (a join) is
+        # evaluated a single time.  The checkpoint keeps the input's partitioning and order.
+        data = pin_if_large(data.select(*group_cols, F.col(y_col).cast("double").alias(y_col),
+                                        F.col(p_col).cast("double").alias(p_col)))
     # scores come straight from the input rows (their sums keep the input's order); the median
     # ranks only (group, |error|)
     base = _finish(data.groupBy(*group_cols).agg(*metric_aggs(y_col, p_col, mape_eps)))

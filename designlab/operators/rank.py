@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from designlab.session import cut_lineage
+from designlab.session import cut_lineage, pin_if_large
 
 
 def _col(c) -> Column:
@@ -43,6 +43,9 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
     """
     group_cols = list(group_cols)
     orders = [_col(c) for c in order_cols]
+    # the range exchange reads its input twice (bound sampling, then the shuffle): a large,
+    # costly input is evaluated once
+    df = pin_if_large(df)
     # a per-row tie-breaker as the last range key lets the range partitioner split a value
     # repeated on a third of the rows (ties are ranked in arbitrary order either way)
     tagged = df.withColumn("_tb", F.monotonically_increasing_id())

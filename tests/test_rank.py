@@ -62,3 +62,17 @@ def test_tied_hot_value_is_spread(spark):
     sizes = [row[0] for row in r.groupBy(F.spark_partition_id()).count().select("count").collect()]
     assert max(sizes) < 1000
     assert sorted(x.r for x in r.collect()) == list(range(1, 3001))
+
+
+def test_pin_if_large_threshold(spark):
+    from designlab.session import PIN_THRESHOLD_CONF, pin_if_large
+    df = spark.range(100)
+    assert pin_if_large(df) is df                       # tiny: recomputed, not written
+    spark.conf.set(PIN_THRESHOLD_CONF, "0")
+    try:
+        assert pin_if_large(df) is df                   # a plain scan is re-read, not written
+        agg = df.groupBy((df.id % 7).alias("k")).count()
+        pinned = pin_if_large(agg)
+        assert pinned is not agg and pinned.count() == 7
+    finally:
+        spark.conf.unset(PIN_THRESHOLD_CONF)
