@@ -83,11 +83,17 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
 
 def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
                     group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    approx: bool = False, accuracy: int = 10000) -> DataFrame:
+                    approx: bool = False, accuracy: int = 10000, method: str = "auto") -> DataFrame:
     """Linear-interpolated quantiles of ``value_col`` per group (NULL / NaN skipped).
 
     One output row per group with one column per quantile.  ``approx=True``
     switches to ``percentile_approx`` (bounded memory, approximate values).
+
+    Exact methods: ``"sort"`` ranks every row (one range exchange); ``"bracket"``
+    brackets each target rank between two sketch quantiles, counts the rows below
+    the bracket and ranks only the rows inside it (a small fraction), falling back
+    to ``"sort"`` for any group whose bracket misses.  ``"auto"`` picks ``"bracket"``
+    when the scanned input exceeds ``designlab.pin.thresholdBytes``.
     """
     group_cols = list(group_cols)
     names = list(names) if names else [f"q{int(round(q * 100)):02d}" for q in qs]
@@ -98,11 +104,66 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
         arr = F.percentile_approx("_v", list(qs), accuracy)
         res = clean.groupBy(*group_cols).agg(arr.alias("_qs"))
         return res.select(*group_cols, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
-
+    if method == "auto":
+        from designlab.session import PIN_THRESHOLD_CONF, PIN_THRESHOLD_DEFAULT, input_bytes
+        limit = int(df.sparkSession.conf.get(PIN_THRESHOLD_CONF, str(PIN_THRESHOLD_DEFAULT)))
+        method = "bracket" if input_bytes(df) > limit else "sort"
+    if method == "bracket":
+        return _bracket_quantiles(pin_if_large(clean), list(qs), group_cols, names, accuracy)
     ranked = dist_rank(clean, [F.col("_v")], group_cols, rank_col="_r", count_col="_n")
     return quantiles_from_ranks(ranked, qs, group_cols, names)
 
 
+def _bracket_quantiles(clean: DataFrame, qs: list[float], group_cols: list[str], names: list[str],
+                       accuracy: int, margin: float | None = None) -> DataFrame:
+    """Exact quantiles from sketch brackets: see ``exact_quantiles(method="bracket")``.
+
+    The sketch's rank error is at most n / accuracy, so brackets at q -/+ 4 / accuracy
+    hold the target ranks; ``margin`` overrides that (tests force misses with 0).
+    """
+    margin = 4.0 / accuracy if margin is None else margin
+    lo_p = [max(0.0, q - margin) for q in qs]
+    hi_p = [min(1.0, q + margin) for q in qs]
+    plist = sorted(set(lo_p + hi_p))
+    sk = clean.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"),
+                                         F.percentile_approx("_v", plist, accuracy).alias("_pa"))
+    sk = sk.select(*group_cols, "_n",
+                   *[F.element_at("_pa", plist.index(p) + 1).alias(f"_lo{b}") for b, p in enumerate(lo_p)],
+                   *[F.element_at("_pa", plist.index(p) + 1).alias(f"_hi{b}") for b, p in enumerate(hi_p)])
+    sk = cut_lineage(sk)                        # one row per group, read by three branches
+    j = clean.join(sk, group_cols)              # AQE broadcasts the bracket table when small
+    nb = len(qs)
+    below = j.groupBy(*group_cols).agg(
+        *[F.count(F.when(F.col("_v") < F.col(f"_lo{b}"), 1)).alias(f"_c{b}") for b in range(nb)])
+    tags = F.array(*[F.when((F.col("_v") >= F.col(f"_lo{b}")) & (F.col("_v") <= F.col(f"_hi{b}")), F.lit(b))
+                     for b in range(nb)])
+    inside = j.select(*group_cols, "_v", F.explode(tags).alias("_b")).where(F.col("_b").isNotNull())
+    ranked = dist_rank(inside, [F.col("_v")], group_cols + ["_b"], rank_col="_r")
+    ranked = ranked.join(below, group_cols).join(sk.select(*group_cols, "_n"), group_cols)
+    c_b = F.element_at(F.array(*[F.col(f"_c{b}") for b in range(nb)]), (F.col("_b") + 1).cast("int"))
+    ranked = ranked.withColumn("_gr", c_b + F.col("_r"))
+    aggs = []
+    for b, (q, nm) in enumerate(zip(qs, names)):
+        h = (F.col("_n") - 1) * F.lit(float(q))
+        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
+        in_b = F.col("_b") == b
+        v_lo = F.max(F.when(in_b & (F.col("_gr") == lo), F.col("_v")))
+        v_hi = F.max(F.when(in_b & (F.col("_gr") == hi), F.col("_v")))
+        frac = F.max(h - F.floor(h))
+        aggs.append((v_lo + frac * (v_hi - v_lo)).alias(nm))
+    got = ranked.groupBy(*group_cols).agg(*aggs)
+    # a group whose bracket missed (no row at a target rank) is recomputed by full ranking
+    found = F.lit(True)
+    for nm in names:
+        found = found & F.col(nm).isNotNull()
+    complete = got.where(found)
+    missed = sk.select(*group_cols).join(complete.select(*group_cols), group_cols, "left_anti")
+    retry = clean.join(missed, group_cols, "left_semi")
+    redo = quantiles_from_ranks(dist_rank(retry, [F.col("_v")], group_cols, rank_col="_r", count_col="_n"),
+                                qs, group_cols, names)
+    return complete.unionByName(redo)
+
+
 def quantiles_from_ranks(ranked: DataFrame, qs: Sequence[float], group_cols: Sequence[str],
                          names: Sequence[str], value_col: str = "_v", rank_col: str = "_r",
                          count_col: str = "_n") -> DataFrame:

@@ -76,3 +76,31 @@ def test_pin_if_large_threshold(spark):
         assert pinned is not agg and pinned.count() == 7
     finally:
         spark.conf.unset(PIN_THRESHOLD_CONF)
+
+
+@pytest.mark.parametrize("accuracy", [50, 10000])
+def test_bracket_quantiles_match_numpy(spark, accuracy):
+    # a hot group, ties, single-row and two-row groups; low accuracy forces wide / missed brackets
+    rows = [(0, float(v % 37)) for v in range(2000)] + [(1, 5.0)] + [(2, 1.0), (2, 9.0)] + \
+           [(3, float(v)) for v in range(300)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    qs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    got = {r["g"]: r for r in exact_quantiles(df, "v", qs, ["g"], method="bracket", accuracy=accuracy).collect()}
+    pdf = df.toPandas()
+    for g, sub in pdf.groupby("g"):
+        want = np.percentile(sub["v"].to_numpy(), [q * 100 for q in qs])
+        have = [got[g][f"q{int(q * 100):02d}"] for q in qs]
+        assert np.allclose(have, want, rtol=0, atol=1e-9), (g, have, want)
+
+
+def test_bracket_misses_fall_back_to_full_ranking(spark):
+    from designlab.operators.rank import _bracket_quantiles
+    rows = [(0, float((v * 7919) % 1009)) for v in range(3000)] + [(1, float(v)) for v in range(10)]
+    df = spark.createDataFrame(rows, "g int, _v double")
+    qs = [0.25, 0.5, 0.75]
+    names = ["a", "b", "c"]
+    got = {r["g"]: r for r in _bracket_quantiles(df, qs, ["g"], names, accuracy=20, margin=0.0).collect()}
+    pdf = df.toPandas()
+    for g, sub in pdf.groupby("g"):
+        want = np.percentile(sub["_v"].to_numpy(), [25, 50, 75])
+        assert np.allclose([got[g][n] for n in names], want, rtol=0, atol=1e-9)
