@@ -19,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from designlab.functions.numeric import bind_stats
 from designlab.session import cut_lineage, pin_if_large
 
 
@@ -105,9 +106,9 @@ def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
         res = clean.groupBy(*group_cols).agg(arr.alias("_qs"))
         return res.select(*group_cols, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
     if method == "auto":
-        from designlab.session import PIN_THRESHOLD_CONF, PIN_THRESHOLD_DEFAULT, input_bytes
+        from designlab.session import PIN_THRESHOLD_CONF, PIN_THRESHOLD_DEFAULT, UNKNOWN_SIZE, input_bytes
         limit = int(df.sparkSession.conf.get(PIN_THRESHOLD_CONF, str(PIN_THRESHOLD_DEFAULT)))
-        method = "bracket" if input_bytes(df) > limit else "sort"
+        method = "bracket" if limit < input_bytes(df) < UNKNOWN_SIZE else "sort"
     if method == "bracket":
         return _bracket_quantiles(pin_if_large(clean), list(qs), group_cols, names, accuracy)
     ranked = dist_rank(clean, [F.col("_v")], group_cols, rank_col="_r", count_col="_n")
@@ -131,7 +132,15 @@ def _bracket_quantiles(clean: DataFrame, qs: list[float], group_cols: list[str],
                    *[F.element_at("_pa", plist.index(p) + 1).alias(f"_lo{b}") for b, p in enumerate(lo_p)],
                    *[F.element_at("_pa", plist.index(p) + 1).alias(f"_hi{b}") for b, p in enumerate(hi_p)])
     sk = cut_lineage(sk)                        # one row per group, read by three branches
-    j = clean.join(sk, group_cols)              # AQE broadcasts the bracket table when small
+
+    def attach(df: DataFrame, small: DataFrame) -> DataFrame:
+        # per group: an equi-join (AQE broadcasts the small side when it is small);
+        # no groups: the single row rides along as a bound struct
+        if group_cols:
+            return df.join(small, group_cols)
+        return bind_stats(df, small, "_sk").select("*", "_sk.*").drop("_sk")
+
+    j = attach(clean, sk)
     nb = len(qs)
     below = j.groupBy(*group_cols).agg(
         *[F.count(F.when(F.col("_v") < F.col(f"_lo{b}"), 1)).alias(f"_c{b}") for b in range(nb)])
@@ -139,7 +148,7 @@ def _bracket_quantiles(clean: DataFrame, qs: list[float], group_cols: list[str],
                      for b in range(nb)])
     inside = j.select(*group_cols, "_v", F.explode(tags).alias("_b")).where(F.col("_b").isNotNull())
     ranked = dist_rank(inside, [F.col("_v")], group_cols + ["_b"], rank_col="_r")
-    ranked = ranked.join(below, group_cols).join(sk.select(*group_cols, "_n"), group_cols)
+    ranked = attach(attach(ranked, below), sk.select(*group_cols, "_n"))
     c_b = F.element_at(F.array(*[F.col(f"_c{b}") for b in range(nb)]), (F.col("_b") + 1).cast("int"))
     ranked = ranked.withColumn("_gr", c_b + F.col("_r"))
     aggs = []
@@ -157,8 +166,11 @@ def _bracket_quantiles(clean: DataFrame, qs: list[float], group_cols: list[str],
     for nm in names:
         found = found & F.col(nm).isNotNull()
     complete = got.where(found)
-    missed = sk.select(*group_cols).join(complete.select(*group_cols), group_cols, "left_anti")
-    retry = clean.join(missed, group_cols, "left_semi")
+    if group_cols:
+        missed = sk.select(*group_cols).join(complete.select(*group_cols), group_cols, "left_anti")
+        retry = clean.join(missed, group_cols, "left_semi")
+    else:
+        retry = clean.where(complete.select(F.count(F.lit(1))).scalar() == 0)
     redo = quantiles_from_ranks(dist_rank(retry, [F.col("_v")], group_cols, rank_col="_r", count_col="_n"),
                                 qs, group_cols, names)
     return complete.unionByName(redo)

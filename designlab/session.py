@@ -71,9 +71,16 @@ def input_bytes(df: DataFrame) -> int:
     """
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
+    except Exception:  # noqa: BLE001 - no estimate
+        return UNKNOWN_SIZE
+    # in-memory and RDD-backed leaves report spark.sql.defaultSizeInBytes (no estimate)
+    if any(x >= UNKNOWN_SIZE for x in sizes):
+        return UNKNOWN_SIZE
+    return sum(sizes)
+
+
+UNKNOWN_SIZE = 1 << 62
 
 
 PIN_THRESHOLD_CONF = "designlab.pin.thresholdBytes"
@@ -83,10 +90,12 @@ PIN_THRESHOLD_DEFAULT = 1 << 30
 def pin_if_large(df: DataFrame) -> DataFrame:
     """Checkpoint a plan that will be read several times when its inputs exceed
     ``designlab.pin.thresholdBytes`` (default 1 GiB) and recomputing it means more than a file
-    scan: a large join costs more to redo than its slim output costs to write once."""
+    scan: a large join costs more to redo than its slim output costs to write once.  Inputs
+    without a size estimate (in-memory rows) are not pinned."""
     spark = df.sparkSession
     limit = int(spark.conf.get(PIN_THRESHOLD_CONF, str(PIN_THRESHOLD_DEFAULT)))
-    return cut_lineage(df) if input_bytes(df) > limit and _has_shuffle(df) else df
+    size = input_bytes(df)
+    return cut_lineage(df) if limit < size < UNKNOWN_SIZE and _has_shuffle(df) else df
 
 
 _SHUFFLING = ("Join", "Aggregate", "Window", "Repartition", "Sort", "Distinct", "Expand")

@@ -104,3 +104,9 @@ def test_bracket_misses_fall_back_to_full_ranking(spark):
     for g, sub in pdf.groupby("g"):
         want = np.percentile(sub["_v"].to_numpy(), [25, 50, 75])
         assert np.allclose([got[g][n] for n in names], want, rtol=0, atol=1e-9)
+
+
+def test_bracket_without_groups(spark):
+    df = spark.range(0, 5001).select(((F.col("id") * 37) % 5001).cast("double").alias("v"))
+    got = exact_quantiles(df, "v", [0.1, 0.5], method="bracket").first()
+    assert (got["q10"], got["q50"]) == (500.0, 2500.0)
