@@ -235,3 +235,15 @@ def build_and_train(spark: SparkSession, data: DataFrame, outputs: int | Sequenc
     if log_path:
         files.append_run_log(spark, spark.createDataFrame([row]), log_path)
     return {"models": models, "metrics": per_output, "log_row": row}
+
+
+def saved_models(spark: SparkSession, folder: str) -> DataFrame:
+    """Names of the pipelines saved under ``folder`` (read from their metadata files)."""
+    meta = spark.read.text(f"{folder.rstrip('/')}/*/metadata")
+    return meta.select(F.regexp_extract(F.input_file_name(), r"/([^/]+)/metadata/[^/]*$", 1).alias("model_name")) \
+        .where(F.col("model_name") != "").distinct()
+
+
+def logged_with_artifacts(log: DataFrame, spark: SparkSession, folder: str) -> DataFrame:
+    """Run-log rows whose model was saved (rows without an artifact are skipped)."""
+    return log.join(saved_models(spark, folder), "model_name", "left_semi")

@@ -54,6 +54,9 @@ def test_plug_predict_and_roundtrip(spark, tmp_dir):
     a = [r.prediction for r in model.transform(train).collect()]
     b = [r.prediction for r in loaded.transform(train).collect()]
     assert a == b
+    log = spark.createDataFrame([(name, 0.1), ("model_gone__250101_000000", 0.2)], "model_name string, mae double")
+    kept = [r.model_name for r in surrogate.logged_with_artifacts(log, spark, tmp_dir).collect()]
+    assert kept == [name]
 
 
 def test_splits_independent_of_partitioning(spark):
