@@ -89,7 +89,8 @@ class DesignSpace:
         return self.with_links(design.random_uniform(self._ids(samples), self.bounds, seed))
 
     def latin_hypercube(self, samples: int = 20, seed: int = 42) -> DataFrame:
-        return self.with_links(design.lhs(self._ids(samples), self.bounds, seed))
+        # ids are dense (spark.range), so strata come from keyed permutations: no shuffle
+        return self.with_links(design.lhs_permuted(self._ids(samples), self.bounds, samples, seed))
 
     def maximin_latin_hypercube(self, samples: int = 20, iterations: int = 50, seed: int = 42,
                                 scale: str = "physical") -> DataFrame:

@@ -99,3 +99,14 @@ def test_linked_formula_and_lookup(spark):
         space.linked_column("W", "x", F.col("T"), None, 1.0)
     # a base absent from the design is skipped
     assert space.with_linked(df.select(F.col("T").alias("W")), {"T": ("degC", ["i0_ref_O2"])}).columns == ["W"]
+
+
+@pytest.mark.parametrize("n", [1, 2, 7, 256, 1000])
+def test_lhs_permuted_one_point_per_stratum(spark, n):
+    d = design.lhs_permuted(_ids(spark, n, 3), BOUNDS, n, seed=9).toPandas()
+    assert len(d) == n
+    for name, (lo, hi) in BOUNDS.items():
+        strata = np.floor((d[name] - lo) / (hi - lo) * n).astype(int)
+        assert sorted(strata.tolist()) == list(range(n))
+    again = design.lhs_permuted(_ids(spark, n, 5), BOUNDS, n, seed=9).orderBy("design_id").toPandas()
+    assert np.allclose(again[list(BOUNDS)].to_numpy(), d.sort_values("design_id")[list(BOUNDS)].to_numpy())
