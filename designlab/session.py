@@ -51,7 +51,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        # Unset only in local runs and tests; a cluster names a shared folder.
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: exact ranks and pinned "
+                               "inputs are checkpointed there")
+        # local runs and tests only: a scratch folder on this machine
         conf_dir = tempfile.mkdtemp(prefix="designlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
