@@ -27,10 +27,23 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+RANGE_PARTITION_BYTES = 32 << 20
+
+
 def _parts(df: DataFrame, num_partitions: int | None) -> int:
+    """Range partitions: the session's shuffle partitions, fewer when the scanned input is small
+    (about 32 MiB of input per partition, but never fewer than the cluster's cores), so tiny
+    inputs do not pay for hundreds of tasks."""
     if num_partitions:
         return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    from designlab.session import UNKNOWN_SIZE, input_bytes
+    spark = df.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    size = input_bytes(df)
+    if size < UNKNOWN_SIZE:
+        floor_n = min(n, max(1, spark.sparkContext.defaultParallelism))
+        n = max(floor_n, min(n, -(-size // RANGE_PARTITION_BYTES)))
+    return n
 
 
 def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (),
