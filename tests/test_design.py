@@ -110,3 +110,13 @@ def test_lhs_permuted_one_point_per_stratum(spark, n):
         assert sorted(strata.tolist()) == list(range(n))
     again = design.lhs_permuted(_ids(spark, n, 5), BOUNDS, n, seed=9).orderBy("design_id").toPandas()
     assert np.allclose(again[list(BOUNDS)].to_numpy(), d.sort_values("design_id")[list(BOUNDS)].to_numpy())
+
+
+def test_design_space_from_table(spark):
+    from designlab.operators.doe import DesignSpace
+    df = spark.createDataFrame([(1.0, 30.0), (2.0, 50.0), (2.0, 30.0), (-0.0, 50.0)], "a double, t double")
+    ds = DesignSpace.from_table(df, [space.TableParam("A", "a", "um", "m", 1e-6, 0.0),
+                                     space.TableParam("T", "t", "degC", None, 1.0, 0.0, ("i0_ref_O2",))], koh=1.0)
+    assert ds.params[0].levels == [0.0, 1e-6, 2e-6] and ds.units["A"] == "m"
+    ff = ds.full_factorial()
+    assert ff.count() == 6 and "i0_ref_O2" in ff.columns

@@ -87,3 +87,12 @@ def test_build_and_train_logs_a_run(spark, tmp_dir):
     gb = surrogate.build_and_train(spark, df, outputs=["y"], kind="gbt", group_key="sim", maxIter=5,
                                    validationIndicatorCol="v", seed=1)
     assert gb["metrics"].count() == 1
+
+
+def test_build_and_train_two_outputs(spark):
+    rng = np.random.default_rng(8)
+    x = rng.uniform(0, 1, 200)
+    df = spark.createDataFrame([(float(a), float(2 * a), float(3 * a + 1)) for a in x], "x double, y1 double, y2 double")
+    out = surrogate.build_and_train(spark, df, outputs=2, kind="linear")
+    assert sorted(r.output for r in out["metrics"].collect()) == ["y1", "y2"]
+    assert out["log_row"]["num_outputs"] == 2 and out["log_row"]["mae"] < 1e-6
