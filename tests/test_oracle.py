@@ -53,3 +53,13 @@ def test_query(spark, con, name):
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.count() > 0
+
+
+def test_registry_is_consistent():
+    assert set(ORACLE) <= set(QUERIES)
+    assert all(fn.__doc__ for fn in QUERIES.values())
+    # a LIMIT appears only where top-k is the feature (leaderboards, best rows, seeded samples)
+    assert all("limit" not in sql.lower() or any(k in name for k in ("top", "best", "rank", "layer", "one_hot", "winners",
+                                                                      "composite", "config", "maximin", "log_union",
+                                                                      "models_by"))
+               for name, sql in ORACLE.items())
