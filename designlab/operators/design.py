@@ -336,3 +336,47 @@ def sobol(ids: DataFrame, bounds: dict[str, tuple[float, float]], seed: int | No
             acc = acc.bitwiseXOR(F.lit(sobol_shift(seed, d)).cast("long"))
         cols.append(_rescale(acc.cast("double") / F.lit(float(1 << SOBOL_BITS)), lo, hi).alias(n))
     return ids.select(*cols)
+
+
+def _candidate_lhs(it: int, seed: int, samples: int, lows, widths):
+    """One candidate hypercube, reproducible from (seed, candidate number) alone."""
+    rng = np.random.default_rng(np.random.SeedSequence([int(seed), int(it)]))
+    d = len(lows)
+    strata = np.stack([rng.permutation(samples) for _ in range(d)], axis=1)
+    u = (strata + rng.random((samples, d))) / samples
+    return u * widths + lows
+
+
+def maximin_lhs_generated(spark: SparkSession, bounds: dict[str, tuple[float, float]], samples: int = 20,
+                          iterations: int = 50, seed: int = 42, num_partitions: int | None = None) -> DataFrame:
+    """B5 for generated candidates: one row per candidate from ``spark.range(iterations)``; each
+    task builds its candidates' hypercubes (numpy, seeded by candidate number) and scores them,
+    so there is no shuffle; the best candidate (largest minimum distance in physical units,
+    earliest on ties) is then rebuilt as ``samples`` rows."""
+    names = list(bounds)
+    lows = np.array([bounds[n][0] for n in names], dtype=float)
+    widths = np.array([bounds[n][1] - bounds[n][0] for n in names], dtype=float)
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def score(batches):
+        for pdf in batches:
+            out = []
+            for it in pdf["id"].to_numpy():
+                x = _candidate_lhs(it, seed, samples, lows, widths)
+                if samples < 2:
+                    out.append(np.inf)
+                    continue
+                diff = x[:, None, :] - x[None, :, :]
+                dist = np.sqrt((diff * diff).sum(axis=2))
+                np.fill_diagonal(dist, np.inf)
+                out.append(float(dist.min()))
+            yield pd.DataFrame({"iteration": pdf["id"].to_numpy(), "min_dist": out})
+
+    scores = spark.range(0, iterations, 1, parts).mapInPandas(score, "iteration long, min_dist double")
+    best = scores.orderBy(F.desc("min_dist"), F.asc("iteration")).limit(1).first()   # one row
+    it, md = int(best["iteration"]), float(best["min_dist"])
+    x = _candidate_lhs(it, seed, samples, lows, widths)
+    rows = [(i, *map(float, x[i])) for i in range(samples)]                          # `samples` rows
+    schema = ", ".join(["design_id long"] + [f"`{n}` double" for n in names])
+    return spark.createDataFrame(rows, schema).withColumn("iteration", F.lit(it).cast("long")) \
+        .withColumn("min_dist", F.lit(md))

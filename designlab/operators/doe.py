@@ -94,6 +94,10 @@ class DesignSpace:
 
     def maximin_latin_hypercube(self, samples: int = 20, iterations: int = 50, seed: int = 42,
                                 scale: str = "physical") -> DataFrame:
+        if scale == "physical":
+            # candidates are generated and scored inside tasks: no shuffle
+            best = design.maximin_lhs_generated(self.spark, self.bounds, samples, iterations, seed)
+            return self.with_links(best.drop("iteration", "min_dist"))
         ids = self._ids(samples * iterations).withColumn(
             "iteration", F.floor(F.col("design_id") / samples).cast("long"))
         best = design.maximin_lhs(ids, self.bounds, "iteration", seed, scale=scale)

@@ -120,3 +120,22 @@ def test_design_space_from_table(spark):
     assert ds.params[0].levels == [0.0, 1e-6, 2e-6] and ds.units["A"] == "m"
     ff = ds.full_factorial()
     assert ff.count() == 6 and "i0_ref_O2" in ff.columns
+
+
+@pytest.mark.parametrize("parts", [1, 7])
+def test_maximin_generated_is_best_lhs(spark, parts):
+    best = design.maximin_lhs_generated(spark, BOUNDS, samples=15, iterations=40, seed=5, num_partitions=parts).toPandas()
+    assert len(best) == 15
+    for name, (lo, hi) in BOUNDS.items():
+        strata = np.floor((best[name] - lo) / (hi - lo) * 15).astype(int)
+        assert sorted(strata.tolist()) == list(range(15))
+    lows = np.array([b[0] for b in BOUNDS.values()])
+    widths = np.array([b[1] - b[0] for b in BOUNDS.values()])
+
+    def mind(x):
+        dd = np.sqrt(((x[:, None, :] - x[None, :, :]) ** 2).sum(-1))
+        np.fill_diagonal(dd, np.inf)
+        return dd.min()
+    scores = [mind(design._candidate_lhs(i, 5, 15, lows, widths)) for i in range(40)]
+    assert best["iteration"].iloc[0] == int(np.argmax(scores))
+    assert math.isclose(best["min_dist"].iloc[0], max(scores))
