@@ -104,12 +104,14 @@ def best_per_metric(df: DataFrame, metrics: Sequence[str] = BEST_FOUR, name_col:
 
 
 def winners_merged(best: DataFrame, name_col: str = "model_name") -> DataFrame:
-    """One row per winning model; its metric labels joined by '/' in metric order."""
-    return best.groupBy(name_col).agg(
+    """One row per winning model; its metric labels joined by '/' in metric order, and the chart
+    label ``Best MAE/RMSE``."""
+    out = best.groupBy(name_col).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("metric_pos", "metric"))),
                                  lambda x: x.getField("metric")), "/").alias("labels"),
         F.min("metric_pos").alias("first_pos"),
     )
+    return out.withColumn("label", F.concat(F.lit("Best "), F.upper("labels")))
 
 
 def distance_from_best(top: DataFrame, metrics: Sequence[str]) -> DataFrame:

@@ -92,7 +92,8 @@ def best_per_metric(spark, d):
 
 
 @register("winners_merged", sql=f"""{BEST_CTES}
-SELECT model_name, string_agg(metric, '/' ORDER BY metric_pos) AS labels, min(metric_pos) AS first_pos
+SELECT model_name, string_agg(metric, '/' ORDER BY metric_pos) AS labels, min(metric_pos) AS first_pos,
+       'Best ' || upper(string_agg(metric, '/' ORDER BY metric_pos)) AS label
 FROM best GROUP BY model_name""")
 def winners_merged(spark, d):
     """One row per winning model, labels joined by '/'."""

@@ -23,8 +23,8 @@ def test_best_per_metric_and_winners(spark):
     best = board.best_per_metric(df, ["mae", "r2"])
     got = {r.metric: r.model_name for r in best.collect()}
     assert got == {"mae": "a", "r2": "b"}
-    w = {r.model_name: r.labels for r in board.winners_merged(best).collect()}
-    assert w == {"a": "mae", "b": "r2"}
+    w = {r.model_name: (r.labels, r.label) for r in board.winners_merged(best).collect()}
+    assert w == {"a": ("mae", "Best MAE"), "b": ("r2", "Best R2")}
 
 
 def test_histogram_edges(spark):
