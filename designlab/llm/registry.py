@@ -6,13 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from designlab.llm import bpe, digest_index, packing, quality
+from designlab.llm import bpe, digest_index, packing, quality, substring, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict of the rule list, else of the mined rules, for every page."""
+    return url_rules.filter_urls(_table(spark, sf_dir, "pages"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and cascade verdict of every document."""
     return quality.quality_report(_table(spark, sf_dir, "documents"))
@@ -23,6 +28,11 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest_index.op6_report(_table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat an earlier document's 13-word windows, removed."""
+    return substring.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of the ids and the decoded text of every document."""
     return bpe.op8_report(_table(spark, sf_dir, "documents"))
@@ -34,8 +44,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op5_quality_rules, op6_exact_dedup, op8_bpe, op10_packing)}
-SQL = {"op5_quality_rules": quality.OP5_SQL.strip(), "op6_exact_dedup": digest_index.OP6_SQL.strip()}
+    f.__name__: f for f in (op1_url_rules, op5_quality_rules, op6_exact_dedup, op7_substring_dedup, op8_bpe,
+                            op10_packing)}
+SQL = {"op5_quality_rules": quality.OP5_SQL.strip(), "op6_exact_dedup": digest_index.OP6_SQL.strip(),
+       "op7_substring_dedup": substring.OP7_SQL.strip()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
