@@ -19,6 +19,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from designlab.llm.stored import plain_names
 from designlab.session import checkpoint_dir
 
 INDEX_BUCKETS = 64
@@ -94,6 +95,15 @@ def dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
         F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def keep_first(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
+    """``docs`` with one row of each text, all columns unchanged."""
+    stay = (dedup(docs.select("doc_id", "text"), index or temporary_index(docs.sparkSession)).where("kept")
+            .select(F.col("doc_id").alias("_id"), F.unhex("text_sha256").alias("_kept")).distinct())
+    rows = plain_names(docs).withColumn("_digest", F.unhex(text_digest(F.col("text"))))
+    same = (rows["_digest"] == stay["_kept"]) & rows["doc_id"].eqNullSafe(stay["_id"])
+    return rows.join(stay, same, "left_semi").dropDuplicates(["doc_id", "_digest"]).drop("_digest").toDF(*docs.columns)
+
+
 def op6_report(docs: DataFrame) -> DataFrame:
     return dedup(docs, temporary_index(docs.sparkSession))
 

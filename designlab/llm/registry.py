@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from designlab.llm import bpe, digest_index, packing, quality, substring, url_rules
+from designlab.llm import bpe, digest_index, jaccard, packing, quality, substring, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,6 +38,11 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op8_report(_table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return jaccard.join(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in cost-balanced sequences."""
     return packing.op10_report(_table(spark, sf_dir, "documents"))
@@ -45,9 +50,9 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_rules, op5_quality_rules, op6_exact_dedup, op7_substring_dedup, op8_bpe,
-                            op10_packing)}
+                            op9_jaccard_join, op10_packing)}
 SQL = {"op5_quality_rules": quality.OP5_SQL.strip(), "op6_exact_dedup": digest_index.OP6_SQL.strip(),
-       "op7_substring_dedup": substring.OP7_SQL.strip()}
+       "op7_substring_dedup": substring.OP7_SQL.strip(), "op9_jaccard_join": jaccard.OP9_SQL.strip()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

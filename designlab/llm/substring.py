@@ -21,9 +21,12 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
+from designlab.llm.stored import plain_names
 from designlab.llm.textarrays import Words, covered, per_doc, slices, text_bytes
 
 WINDOW = 13
@@ -112,10 +115,10 @@ def _kept(part, words: Words) -> np.ndarray:
 
 def remove(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated words removed; a changed text is its kept words joined by one space."""
-    from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
-    keyed = _keyed(docs)
-    rows = keyed.join(repeated(keyed), ["_id", "_h"], "left").select(*docs.columns, "at")
-    schema = StructType([*docs.schema.fields, StructField("at", ArrayType(IntegerType()))])
+    plain = plain_names(docs)
+    keyed = _keyed(plain)
+    rows = keyed.join(repeated(keyed), ["_id", "_h"], "left").select(*plain.columns, "at")
+    schema = StructType([*plain.schema.fields, StructField("at", ArrayType(IntegerType()))])
 
     def run(batches):
         for batch in batches:
@@ -123,10 +126,10 @@ def remove(docs: DataFrame) -> DataFrame:
                 keep = _kept(part, words)
                 changed = pa.array(per_doc(~keep, words.first) > 0)
                 i = part.schema.get_field_index("text")
-                text = pa.compute.if_else(changed, words.joined(keep), part.column("text").cast(pa.string()))
+                text = pc.if_else(changed, words.joined(keep), part.column("text").cast(pa.string()))
                 yield part.set_column(i, "text", text)
 
-    return rows.mapInArrow(run, schema).drop("at")
+    return rows.mapInArrow(run, schema).drop("at").toDF(*docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:
