@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from designlab.llm import bpe, digest_index, jaccard, packing, quality, substring, url_rules
+from designlab.llm import bpe, digest_index, jaccard, langid, packing, quality, substring, suffixes, toxicity, url_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,21 @@ def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.report(_table(spark, sf_dir, "documents"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    return toxicity.report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document outside 200-byte strings that occur again."""
+    return suffixes.report(_table(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and cascade verdict of every document."""
     return quality.quality_report(_table(spark, sf_dir, "documents"))
@@ -49,8 +64,8 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_url_rules, op5_quality_rules, op6_exact_dedup, op7_substring_dedup, op8_bpe,
-                            op9_jaccard_join, op10_packing)}
+    f.__name__: f for f in (op1_url_rules, op2_language, op3_toxicity, op4_suffix_dedup, op5_quality_rules,
+                            op6_exact_dedup, op7_substring_dedup, op8_bpe, op9_jaccard_join, op10_packing)}
 SQL = {"op5_quality_rules": quality.OP5_SQL.strip(), "op6_exact_dedup": digest_index.OP6_SQL.strip(),
        "op7_substring_dedup": substring.OP7_SQL.strip(), "op9_jaccard_join": jaccard.OP9_SQL.strip()}
 
