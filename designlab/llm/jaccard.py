@@ -56,8 +56,12 @@ def _sets(batch):
                 has = words.counts[short] > j
                 own[has] = mix(own[has] + hashes[words.first[short[has]] + j])
             keys, doc = np.concatenate([keys, own]), np.concatenate([doc, short])
-        order = np.lexsort((keys, doc))
+        # documents with short texts are out of order by now; every document is sorted on its own
+        order = np.argsort(doc, kind="stable") if len(short) else slice(None)
         keys, doc = keys[order], doc[order]
+        bounds = np.searchsorted(doc, np.arange(words.n_docs + 1)).tolist()
+        for x, y in zip(bounds[:-1], bounds[1:], strict=True):
+            keys[x:y].sort()
         new = np.ones(len(keys), bool)
         new[1:] = (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])
         keys, doc = keys[new], doc[new]
@@ -130,7 +134,10 @@ def prefixes(docs: DataFrame, hot) -> DataFrame:
                 if len(known):
                     at = np.minimum(np.searchsorted(known, keys), len(known) - 1)
                     level = np.where(known[at] == keys, levels[at], 0)
-                order = np.lexsort((mix(keys), level, doc))
+                order = np.arange(len(keys))
+                for d in np.unique(doc[level > 0]).tolist():
+                    x, y = first[d], first[d + 1]
+                    order[x:y] = x + np.argsort(level[x:y], kind="stable")
                 rank = np.arange(len(keys)) - first[doc]
                 take = rank < (n - (4 * n + 4) // 5 + 1)[doc]
                 yield pa.RecordBatch.from_arrays(
@@ -168,8 +175,9 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     # one row per needed node: copies of one text go before their sets are read
     first = nodes.join(needed, "node").select("node", "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    items = stored(sets_of(texts.join(first, texts["doc_id"].eqNullSafe(first["doc_id"]), "left_semi"))
-                   .join(needed, "node", "left_semi").dropDuplicates(["node"]))
+    # not written: both joins read the exchange that drops duplicates
+    items = (sets_of(texts.join(first, texts["doc_id"].eqNullSafe(first["doc_id"]), "left_semi"))
+             .groupBy("node").agg(F.first("items").alias("items")))
     both = (close.join(items.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
             .join(items.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"))
 
