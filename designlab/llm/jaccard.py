@@ -6,7 +6,7 @@ one node.  Two nodes link when 100 * |A & B| >= 80 * |A | B|, that is 9 * |A & B
 Candidates share a shingle among the ceil-based prefix of n - ceil(0.8 n) + 1 shingles in one global
 order, which loses no link.  The order puts shingles that are frequent somewhere last; it is only a hint,
 so the bounded table behind it (``HOT_SHINGLES`` rows) never changes results.  A shingle's nodes are then
-joined in two steps.  First each node meets the smallest node of its shingle; in a group of near
+joined in two steps.  First each node meets one smallest node of its shingles; in a group of near
 copies that links nearly all, with one pair per node.  Then, where a shingle's nodes still lie in several
 components, blocks of nodes meet in an R-tree: shingles are hashed into ``GROUPS`` groups, the
 group counts are a point, and the summed minima of two points bound the overlap, of a point and a box's
@@ -30,7 +30,8 @@ from designlab.llm.stored import components, stored
 from designlab.llm.textarrays import Words, mix, per_doc, slices, text_bytes
 
 SHINGLE = 5
-GROUPS = 64
+#: groups of the R-tree's points (a power of two); pairs are bounded with up to one group per FILL shingles
+GROUPS, FILL = 64, 4
 #: most frequent shingles that the global order knows (16 bytes each, on the driver and every executor)
 HOT_SHINGLES = 200_000
 #: a shingle is counted where this many documents of one slice (4 MB of text) hold it
@@ -88,16 +89,23 @@ def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
 
 
 def members(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, vec): set id, set size and group counts (little-endian 32-bit) per document."""
+    """(doc_id, node, n, vec): set id, set size and group counts (little-endian 32-bit) per document.
+
+    Long sets have more groups, a power of two with at most FILL shingles each, or the bound would prune little.
+    """
     def run(batches):
         for batch in batches:
             for part, keys, first, doc in _sets(batch):
-                n_docs = len(first) - 1
-                group = (keys % np.uint64(GROUPS)).astype(np.int64)
-                vec = np.bincount(doc * GROUPS + group, minlength=n_docs * GROUPS).astype("<u4")
+                bounds, sizes = first.tolist(), []
+                vecs = []
+                for x, y in zip(bounds[:-1], bounds[1:], strict=True):
+                    groups = max(GROUPS, 1 << ((y - x) // FILL).bit_length())
+                    vecs.append(np.bincount((keys[x:y] & np.uint64(groups - 1)).astype(np.int64), minlength=groups))
+                    sizes.append(groups)
+                vec = np.concatenate(vecs).astype("<u4") if vecs else np.zeros(0, "<u4")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(_node(keys, first)), pa.array(np.diff(first)),
-                     _binary(vec, np.arange(1, n_docs + 1) * GROUPS)], names=["doc_id", "node", "n", "vec"])
+                    _binary(vec, np.cumsum(sizes, dtype=np.int64))], names=["doc_id", "node", "n", "vec"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInArrow(run, "doc_id long, node long, n long, vec binary"))
@@ -165,10 +173,13 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
 
     def bounded(batches):
         for batch in batches:
-            if batch.num_rows:
-                x, y = (_points(batch.column(k)) for k in ("vec_a", "vec_b"))
-                ok = 9 * np.minimum(x, y).sum(1) >= 4 * (x.sum(1) + y.sum(1))
-                yield batch.select(["a", "b"]).filter(pa.array(ok))
+            ok = np.zeros(batch.num_rows, bool)
+            for i, (x, y) in enumerate(zip(batch.column("vec_a"), batch.column("vec_b"), strict=True)):
+                x, y = (np.frombuffer(v.as_buffer(), "<u4") for v in (x, y))
+                both = min(len(x), len(y))
+                x, y = _folded(x, both), _folded(y, both)
+                ok[i] = 9 * int(np.minimum(x, y).sum()) >= 4 * (int(x.sum()) + int(y.sum()))
+            yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     close = stored(pairs.join(left, "a").join(right, "b").mapInArrow(bounded, "a long, b long"))
     needed = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
@@ -192,8 +203,14 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
+    """Counts of fewer groups (both numbers are powers of two and groups are taken modulo them)."""
+    return counts.reshape(-1, groups).sum(0, dtype=np.int64)
+
+
 def _points(column) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), "<u4").reshape(-1, GROUPS).astype(np.int64)
+    """One row of GROUPS counts per vector."""
+    return np.array([_folded(np.frombuffer(v, "<u4"), GROUPS) for v in column.to_pylist()]).reshape(-1, GROUPS)
 
 
 class CountTree:
@@ -269,7 +286,10 @@ def join(docs: DataFrame) -> DataFrame:
     keys = prefixes(docs, hot_shingles(docs))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     groups = stored(keys.join(shared.select("key", "lo"), "key").distinct())
-    star = groups.where("node <> lo").select(F.col("lo").alias("a"), F.col("node").alias("b")).distinct()
+    # each node meets the smallest node that it shares most prefix shingles with
+    star = (groups.where("node <> lo").groupBy("node", "lo").agg(F.count("*").alias("times"))
+            .groupBy("node").agg(F.max(F.struct("times", "lo")).alias("best"))
+            .select(F.col("best.lo").alias("a"), F.col("node").alias("b")))
     edges = stored(verified(star, docs, nodes))
     labels = components(edges)
     more = stored(verified(residual_pairs(groups.select("key", "node"), nodes, labels), docs, nodes))
