@@ -166,22 +166,33 @@ def sets_of(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "node long, items binary")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link; pairs below the count-vector bound go before sets are read."""
+def may_link(x: np.ndarray, y: np.ndarray, sizes: int) -> bool:
+    """The count-vector bound of two sets with ``sizes`` shingles together allows a link."""
+    if len(x) != len(y):
+        both = min(len(x), len(y))
+        x, y = _folded(x, both), _folded(y, both)
+    return 9 * int(np.minimum(x, y).sum()) >= 4 * sizes
+
+
+def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that the count-vector bound allows."""
     left = nodes.select(F.col("node").alias("a"), F.col("vec").alias("vec_a"))
     right = nodes.select(F.col("node").alias("b"), F.col("vec").alias("vec_b"))
 
-    def bounded(batches):
+    def run(batches):
         for batch in batches:
             ok = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("vec_a"), batch.column("vec_b"), strict=True)):
                 x, y = (np.frombuffer(v.as_buffer(), "<u4") for v in (x, y))
-                both = min(len(x), len(y))
-                x, y = _folded(x, both), _folded(y, both)
-                ok[i] = 9 * int(np.minimum(x, y).sum()) >= 4 * (int(x.sum()) + int(y.sum()))
+                ok[i] = may_link(x, y, int(x.sum()) + int(y.sum()))
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
-    close = stored(pairs.join(left, "a").join(right, "b").mapInArrow(bounded, "a long, b long"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
+    close = stored(pairs)
     needed = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
     # one row per needed node: copies of one text go before their sets are read
     first = nodes.join(needed, "node").select("node", "doc_id")
@@ -208,11 +219,6 @@ def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
     return counts.reshape(-1, groups).sum(0, dtype=np.int64)
 
 
-def _points(column) -> np.ndarray:
-    """One row of GROUPS counts per vector."""
-    return np.array([_folded(np.frombuffer(v, "<u4"), GROUPS) for v in column.to_pylist()]).reshape(-1, GROUPS)
-
-
 class CountTree:
     """Two levels of boxes over count vectors, packed by set size and then by the widest groups."""
 
@@ -246,7 +252,9 @@ def _block_pairs(table: pa.Table) -> pa.Table:
     """Unconnected pairs across two blocks of one shingle's nodes that survive the bound."""
     side = table.column("side").to_numpy()
     node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
-    points = _points(table.column("vec"))
+    vecs = [np.frombuffer(v, "<u4") for v in table.column("vec").to_pylist()]
+    points = np.array([_folded(v, GROUPS) for v in vecs]).reshape(-1, GROUPS)
+    sizes = points.sum(1)
     left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
     within = not len(right)
     right = left if within else right
@@ -255,6 +263,9 @@ def _block_pairs(table: pa.Table) -> pa.Table:
     for r in right:
         hit = left[tree.search(points[r])]
         hit = hit[(comp[hit] != comp[r]) & ((node[hit] < node[r]) | (not within))]
+        # long sets once more by their finer counts
+        hit = np.array([h for h in hit.tolist() if len(vecs[h]) == len(vecs[r]) == GROUPS
+                        or may_link(vecs[h], vecs[r], int(sizes[h] + sizes[r]))], np.int64)
         a.append(np.minimum(node[hit], node[r]))
         b.append(np.maximum(node[hit], node[r]))
     empty = [np.zeros(0, np.int64)]
@@ -290,7 +301,7 @@ def join(docs: DataFrame) -> DataFrame:
     star = (groups.where("node <> lo").groupBy("node", "lo").agg(F.count("*").alias("times"))
             .groupBy("node").agg(F.max(F.struct("times", "lo")).alias("best"))
             .select(F.col("best.lo").alias("a"), F.col("node").alias("b")))
-    edges = stored(verified(star, docs, nodes))
+    edges = stored(verified(bounded(star, nodes), docs, nodes))
     labels = components(edges)
     more = stored(verified(residual_pairs(groups.select("key", "node"), nodes, labels), docs, nodes))
     if not more.isEmpty():
