@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from designlab.llm.stored import plain_names
+from designlab.llm.stored import plain_names, stored
 from designlab.llm.textarrays import Words, covered, per_doc, slices, text_bytes
 
 WINDOW = 13
@@ -100,12 +100,13 @@ def repeated(keyed: DataFrame) -> DataFrame:
     marks = anchors(keyed)
     shared = (marks.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
               .where("lo < hi").select("key"))
-    at = marks.join(shared, "key").groupBy("_id", "_h").agg(F.collect_set("pos").alias("at"))
-    rows = windows(keyed.join(at, ["_id", "_h"]))
+    # each step is written, so that the shuffles before it can be cleaned
+    at = stored(marks.join(shared, "key").groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
+    rows = stored(windows(keyed.join(at, ["_id", "_h"])))
     first = (rows.groupBy("a", "b").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
              .where("lo < hi").select("a", "b", "lo"))
-    return (rows.join(first, ["a", "b"]).where("_id > lo")
-            .groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
+    return stored(rows.join(first, ["a", "b"]).where("_id > lo")
+                  .groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
 
 
 def _kept(part, words: Words) -> np.ndarray:
