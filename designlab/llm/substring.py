@@ -98,13 +98,13 @@ def windows(found: DataFrame) -> DataFrame:
 def repeated(keyed: DataFrame) -> DataFrame:
     """(_id, _h, at): per document the starts of windows that an earlier document holds too."""
     marks = anchors(keyed)
-    shared = (marks.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-              .where("lo < hi").select("key"))
     # each step is written, so that the shuffles before it can be cleaned
+    shared = stored(marks.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
+                    .where("lo < hi").select("key"))
     at = stored(marks.join(shared, "key").groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
     rows = stored(windows(keyed.join(at, ["_id", "_h"])))
-    first = (rows.groupBy("a", "b").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-             .where("lo < hi").select("a", "b", "lo"))
+    first = stored(rows.groupBy("a", "b").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
+                   .where("lo < hi").select("a", "b", "lo"))
     return stored(rows.join(first, ["a", "b"]).where("_id > lo")
                   .groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
 
