@@ -39,7 +39,7 @@ SPREAD = LENGTH - GRAM + 1
 #: different segments of one anchor per block
 BLOCK = 4000
 #: segment bytes per sorting group
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 MASK = (1 << 64) - 1
 LAST = (1 << 63) - 1
 
