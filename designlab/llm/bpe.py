@@ -16,7 +16,9 @@ from __future__ import annotations
 
 import functools
 import heapq
+import itertools
 import json
+import re
 import unicodedata
 
 import numpy as np
@@ -47,6 +49,46 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in printable else chr(next(spare)) for b in range(256)]
 
 
+class Grown:
+    """Integers appended one batch at a time to an array that doubles when full."""
+
+    def __init__(self) -> None:
+        self.data, self.used, self.new = np.empty(1024, np.int64), 0, []
+
+    def __len__(self) -> int:
+        return self.used + len(self.new)
+
+    def array(self) -> np.ndarray:
+        if self.new:
+            total = len(self)
+            if total > len(self.data):
+                room = np.empty(2 * total, np.int64)
+                room[:self.used] = self.data[:self.used]
+                self.data = room
+            self.data[self.used:total] = self.new
+            self.used, self.new = total, []
+        return self.data[:self.used]
+
+
+class Rows(dict):
+    """Word -> row of the encoder's cache; a word that is not there yet is encoded."""
+
+    def __init__(self, coder: WordBpe):
+        super().__init__()
+        self.coder = coder
+
+    def add(self, word: str, ids: list[int]) -> int:
+        coder = self.coder
+        row = self[word] = len(coder.start)
+        coder.start.new.append(len(coder.flat))
+        coder.count.new.append(len(ids))
+        coder.flat.new += ids
+        return row
+
+    def __missing__(self, word: str) -> int:
+        return self.add(word, self.coder.encode_word(word))
+
+
 class WordBpe:
     """Encoder and decoder for one vocabulary file."""
 
@@ -58,8 +100,9 @@ class WordBpe:
         chars = byte_characters()
         self.inner = [vocab[c] for c in chars]
         self.last = [vocab[c + suffix] for c in chars]
-        #: (left id, right id) -> (rank, merged id)
-        self.merges = {(vocab[a], vocab[b]): (i, vocab[a + b]) for i, (a, b) in enumerate(model["merges"])}
+        #: (left id, right id) -> rank; rank -> merged id
+        self.ranks = {(vocab[a], vocab[b]): i for i, (a, b) in enumerate(model["merges"])}
+        self.merged = [vocab[a + b] for a, b in model["merges"]]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max(max(vocab.values()), *self.special.values()) + 1
         self.tokens = [""] * size
@@ -67,54 +110,54 @@ class WordBpe:
             self.tokens[i] = text
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         self.words = regex.compile(split.replace("\\s", WHITE))
-        self.blank = regex.compile(f"[{WHITE}]+")
+        # the same pattern for lower-cased ASCII texts, where letters and digits are plain ranges
+        plain = split.replace("\\s", " \\t-\\r").replace("\\p{L}", "a-z").replace("\\p{N}", "0-9")
+        self.ascii_words = self.words if "\\p" in plain else re.compile(plain)
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         self.clear()
 
     def clear(self) -> None:
-        self.row: dict[str, int] = {}
-        self.flat: list[int] = []
-        self.start: list[int] = []
-        self.count: list[int] = []
-        self.arrays = None
+        self.row = Rows(self)
+        self.flat, self.start, self.count = Grown(), Grown(), Grown()
+        for s, i in self.special.items():
+            self.row.add(s, [i])
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge adjacent parts by rank; ids is changed in place and returned."""
         if len(ids) > LONG_WORD:
             return self._merge_long(ids)
-        find = self.merges.get
-        none = (NO_RANK, -1)
-        ranks = [find(p, none)[0] for p in zip(ids, ids[1:], strict=False)]
+        find, merged = self.ranks.get, self.merged
+        ranks = [find(p, NO_RANK) for p in itertools.pairwise(ids)]
         while ranks:
             low = min(ranks)
             if low == NO_RANK:
                 break
             i = ranks.index(low)
-            ids[i] = find((ids[i], ids[i + 1]))[1]
+            part = ids[i] = merged[low]
             del ids[i + 1], ranks[i]
             if i < len(ranks):
-                ranks[i] = find((ids[i], ids[i + 1]), none)[0]
+                ranks[i] = find((part, ids[i + 1]), NO_RANK)
             if i:
-                ranks[i - 1] = find((ids[i - 1], ids[i]), none)[0]
+                ranks[i - 1] = find((ids[i - 1], part), NO_RANK)
         return ids
 
     def _merge_long(self, ids: list[int]) -> list[int]:
-        find, n = self.merges.get, len(ids)
+        find, n = self.ranks.get, len(ids)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        heap = [(find(p)[0], i, *p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.merges]
+        heap = [(find(p), i, *p) for i, p in enumerate(itertools.pairwise(ids)) if p in self.ranks]
         heapq.heapify(heap)
         while heap:
-            _, i, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if ids[i] != a or j < 0 or ids[j] != b:
                 continue  # one of the parts has merged since
-            ids[i], ids[j] = find((a, b))[1], -1
+            ids[i], ids[j] = self.merged[rank], -1
             after[i] = after[j]
             if after[i] >= 0:
                 before[after[i]] = i
             for k in (before[i], i):
-                if k >= 0 and after[k] >= 0 and (hit := find((ids[k], ids[after[k]]))):
-                    heapq.heappush(heap, (hit[0], k, ids[k], ids[after[k]]))
+                if k >= 0 and after[k] >= 0 and (hit := find((ids[k], ids[after[k]]))) is not None:
+                    heapq.heappush(heap, (hit, k, ids[k], ids[after[k]]))
         return [x for x in ids if x >= 0]
 
     def encode_word(self, word: str) -> list[int]:
@@ -122,27 +165,16 @@ class WordBpe:
         return self.merge([*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]])
 
     def split(self, text: str) -> list[str]:
-        """Words of a text without special tokens."""
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text)
-            # one character at a time: no final-sigma rule
-            text = self.blank.sub(" ", text).replace("Σ", "σ")
-        return self.words.findall(text.lower())
-
-    def _add(self, word: str, ids: list[int]) -> None:
-        self.row[word] = len(self.start)
-        self.start.append(len(self.flat))
-        self.count.append(len(ids))
-        self.flat += ids
-        self.arrays = None
+        """Words of a text without special tokens; white space only separates them, whatever its kind."""
+        if text.isascii():
+            return self.ascii_words.findall(text.lower())
+        # one character at a time: no final-sigma rule
+        return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
     def encode_batch(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts one after another, number of ids per text)."""
         if len(self.row) > CACHE_WORDS:
             self.clear()
-        for s, i in self.special.items():
-            if s not in self.row:
-                self._add(s, [i])
         every: list[str] = []
         sizes = []
         for text in texts:
@@ -157,12 +189,8 @@ class WordBpe:
                 else:
                     every += self.split(text)
             sizes.append(len(every) - before)
-        for word in set(every).difference(self.row):
-            self._add(word, self.encode_word(word))
-        if self.arrays is None:
-            self.arrays = tuple(np.array(x, np.int64) for x in (self.flat, self.start, self.count))
-        flat, start, count = self.arrays
         rows = np.fromiter(map(self.row.__getitem__, every), np.int64, len(every))
+        flat, start, count = self.flat.array(), self.start.array(), self.count.array()
         counts = count[rows]
         ends = np.cumsum(counts)
         total = int(ends[-1]) if len(ends) else 0
