@@ -19,17 +19,19 @@ import heapq
 import itertools
 import json
 import re
+import sys
 import unicodedata
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from designlab.llm.textarrays import slices
 
 LONG_WORD = 200
+#: words of at most so many bytes are merged together, so many at a time
+TABLE_BYTES, TABLE_ROWS = 32, 4096
 #: cached words per worker; the cache is emptied when full
 CACHE_WORDS = 300_000
 NO_RANK = 1 << 62
@@ -50,43 +52,53 @@ def byte_characters() -> list[str]:
 
 
 class Grown:
-    """Integers appended one batch at a time to an array that doubles when full."""
+    """Integers appended one block at a time to an array that doubles when full."""
 
     def __init__(self) -> None:
-        self.data, self.used, self.new = np.empty(1024, np.int64), 0, []
+        self.data, self.used = np.empty(1024, np.int64), 0
 
-    def __len__(self) -> int:
-        return self.used + len(self.new)
+    def extend(self, block: np.ndarray) -> None:
+        total = self.used + len(block)
+        if total > len(self.data):
+            room = np.empty(2 * total, np.int64)
+            room[:self.used] = self.data[:self.used]
+            self.data = room
+        self.data[self.used:total] = block
+        self.used = total
 
     def array(self) -> np.ndarray:
-        if self.new:
-            total = len(self)
-            if total > len(self.data):
-                room = np.empty(2 * total, np.int64)
-                room[:self.used] = self.data[:self.used]
-                self.data = room
-            self.data[self.used:total] = self.new
-            self.used, self.new = total, []
         return self.data[:self.used]
 
 
-class Rows(dict):
-    """Word -> row of the encoder's cache; a word that is not there yet is encoded."""
+@functools.lru_cache(maxsize=4)
+def members(kind: str) -> np.ndarray:
+    """Whether each code point has general category ``kind`` in the Unicode tables of the tokenizers
+    library (the language's own and other modules' tables are of other Unicode versions)."""
+    from tokenizers import Regex, pre_tokenizers
 
-    def __init__(self, coder: WordBpe):
-        super().__init__()
-        self.coder = coder
+    points = [c for c in range(sys.maxunicode + 1) if not 0xD800 <= c < 0xE000]
+    found = np.zeros(sys.maxunicode + 2, bool)
+    runs = pre_tokenizers.Split(Regex(f"[^\\p{{{kind}}}]+"), "removed").pre_tokenize_str("".join(map(chr, points)))
+    for run, _ in runs:
+        found[[ord(c) for c in run]] = True
+    return found
 
-    def add(self, word: str, ids: list[int]) -> int:
-        coder = self.coder
-        row = self[word] = len(coder.start)
-        coder.start.new.append(len(coder.flat))
-        coder.count.new.append(len(ids))
-        coder.flat.new += ids
-        return row
 
-    def __missing__(self, word: str) -> int:
-        return self.add(word, self.coder.encode_word(word))
+@functools.lru_cache(maxsize=4)
+def character_class(kind: str) -> str:
+    """Ranges of the characters of a general category, for a regular expression."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], members(kind)]).astype(np.int8)))
+    return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2], strict=True))
+
+
+@functools.lru_cache(maxsize=1)
+def newer_capitals() -> dict[int, str]:
+    """Lower case of letters that the library knows and the language's tables don't."""
+    from tokenizers import normalizers
+
+    lower = normalizers.Lowercase()
+    new = [c for c in map(chr, np.flatnonzero(members("L"))) if unicodedata.category(c) == "Cn"]
+    return {ord(c): small for c in new if (small := lower.normalize_str(c)) != c}
 
 
 class WordBpe:
@@ -103,24 +115,105 @@ class WordBpe:
         #: (left id, right id) -> rank; rank -> merged id
         self.ranks = {(vocab[a], vocab[b]): i for i, (a, b) in enumerate(model["merges"])}
         self.merged = [vocab[a + b] for a, b in model["merges"]]
+        self.base = max(vocab.values()) + 1
+        keys = np.array([a * self.base + b for a, b in self.ranks], np.int64)
+        order = np.argsort(keys)
+        self.pair_keys, self.pair_ranks = keys[order], order
+        self.merged_ids = np.array(self.merged, np.int64)
+        inner, last = np.array(self.inner, np.int64), np.array(self.last, np.int64)
+        self.symbols = np.stack([inner, last])
+        #: rank of two bytes inside a word, and of a word's last two
+        self.byte_ranks = np.stack([self.find(np.repeat(inner, 256), np.tile(x, 256)).reshape(256, 256)
+                                    for x in (inner, last)])
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         size = max(max(vocab.values()), *self.special.values()) + 1
         self.tokens = [""] * size
         for text, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = text
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        self.words = regex.compile(split.replace("\\s", WHITE))
-        # the same pattern for lower-cased ASCII texts, where letters and digits are plain ranges
-        plain = split.replace("\\s", " \\t-\\r").replace("\\p{L}", "a-z").replace("\\p{N}", "0-9")
-        self.ascii_words = self.words if "\\p" in plain else re.compile(plain)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
+        # letters and numbers by the language's own tables, as ranges
+        self.words = re.compile(split.replace("\\s", WHITE).replace("\\p{L}", character_class("L"))
+                                .replace("\\p{N}", character_class("N")))
+        # the same pattern for lower-cased ASCII texts
+        self.ascii_words = re.compile(split.replace("\\s", " \\t-\\r").replace("\\p{L}", "a-z")
+                                      .replace("\\p{N}", "0-9"))
+        capitals = newer_capitals()
+        self.newer = re.compile("[" + "".join(map(chr, capitals)) + "]") if capitals else None
+        self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.clear()
 
     def clear(self) -> None:
-        self.row = Rows(self)
+        self.row: dict[str, int] = {}
         self.flat, self.start, self.count = Grown(), Grown(), Grown()
         for s, i in self.special.items():
-            self.row.add(s, [i])
+            self._add([s], np.array([i]), np.array([1]))
+
+    def _add(self, words: list[str], ids: np.ndarray, counts: np.ndarray) -> None:
+        self.row.update(zip(words, range(self.count.used, self.count.used + len(words)), strict=True))
+        self.start.extend(self.flat.used + np.cumsum(counts) - counts)
+        self.count.extend(counts)
+        self.flat.extend(ids)
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Ranks of pairs of ids (NO_RANK where they don't merge)."""
+        keys = left * self.base + right
+        at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
+        return np.where(self.pair_keys[at] == keys, self.pair_ranks[at], NO_RANK)
+
+    def merge_table(self, data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per word) of short words given as bytes; every word merges its lowest rank in each round.
+
+        One row per word holds its parts, another the ranks of adjacent parts.  A round finds each
+        row's leftmost minimum, deletes that boundary and refreshes the ranks on both sides; rows
+        without a rank left are done.
+        """
+        n, wide = len(lengths), int(lengths.max(initial=1))
+        cols = np.arange(wide)
+        inside = cols < lengths[:, None]
+        raw = data[np.where(inside, starts[:, None] + cols, 0)]
+        ends = (cols == lengths[:, None] - 1).astype(np.int64)
+        parts = self.symbols[ends, raw]
+        ranks = np.full((n, wide), NO_RANK, np.int64)
+        if wide > 1:
+            ranks[:, :-1] = np.where(inside[:, 1:], self.byte_ranks[ends[:, 1:], raw[:, :-1], raw[:, 1:]], NO_RANK)
+        out = np.zeros((n, wide), np.int64)
+        counts = lengths.copy()
+        rows, size = np.arange(n), lengths.copy()
+        while len(rows):
+            at = ranks.argmin(axis=1)
+            low = ranks[np.arange(len(rows)), at]
+            done = low == NO_RANK
+            if done.any():
+                out[rows[done]], counts[rows[done]] = parts[done], size[done]
+                rows, size, at, low, parts, ranks = (x[~done] for x in (rows, size, at, low, parts, ranks))
+                if not len(rows):
+                    break
+            every, new = np.arange(len(rows)), self.merged_ids[low]
+            parts[:, :-1] = np.where(cols[:-1] > at[:, None], parts[:, 1:], parts[:, :-1])
+            ranks[:, :-1] = np.where(cols[:-1] >= at[:, None], ranks[:, 1:], ranks[:, :-1])
+            ranks[:, -1] = NO_RANK
+            parts[every, at] = new
+            size -= 1
+            k = np.flatnonzero(at + 1 < size)
+            ranks[k, at[k]] = self.find(new[k], parts[k, at[k] + 1])
+            k = np.flatnonzero(at > 0)
+            ranks[k, at[k] - 1] = self.find(parts[k, at[k] - 1], new[k])
+        return out[cols < counts[:, None]], counts
+
+    def learn(self, words: list[str]) -> None:
+        """Encode words and put them in the cache: short ones by table, others one by one."""
+        words = sorted(words, key=len)
+        raw = [w.encode("utf-8") for w in words]
+        lengths = np.fromiter(map(len, raw), np.int64, len(raw))
+        short = lengths <= TABLE_BYTES
+        rows = np.flatnonzero(short)
+        for some in np.array_split(rows, max(1, -(-len(rows) // TABLE_ROWS))) if len(rows) else ():
+            data = np.frombuffer(b"".join(raw[i] for i in some), np.uint8)
+            ends = np.cumsum(lengths[some])
+            self._add([words[i] for i in some], *self.merge_table(data, ends - lengths[some], lengths[some]))
+        for i in np.flatnonzero(~short):
+            ids = self.encode_word(words[i])
+            self._add([words[i]], np.array(ids), np.array([len(ids)]))
 
     def merge(self, ids: list[int]) -> list[int]:
         """Merge adjacent parts by rank; ids is changed in place and returned."""
@@ -168,6 +261,8 @@ class WordBpe:
         """Words of a text without special tokens; white space only separates them, whatever its kind."""
         if text.isascii():
             return self.ascii_words.findall(text.lower())
+        if self.newer and self.newer.search(text):
+            text = text.translate(newer_capitals())
         # one character at a time: no final-sigma rule
         return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
@@ -189,6 +284,7 @@ class WordBpe:
                 else:
                     every += self.split(text)
             sizes.append(len(every) - before)
+        self.learn(list(set(every).difference(self.row)))
         rows = np.fromiter(map(self.row.__getitem__, every), np.int64, len(every))
         flat, start, count = self.flat.array(), self.start.array(), self.count.array()
         counts = count[rows]
