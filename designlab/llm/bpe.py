@@ -33,10 +33,11 @@ LONG_WORD = 200
 #: words of at most so many bytes are merged together, so many at a time
 TABLE_BYTES, TABLE_ROWS = 32, 4096
 #: cached words per worker; the cache is emptied when full
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 NO_RANK = 1 << 62
 # the pattern's white space: Unicode's White_Space property (the language's own \s differs)
-WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
+WHITE_LATIN = "\\t-\\r \\x85\\xa0"
+WHITE = WHITE_LATIN + "\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 
 
 def default_vocabulary() -> str:
@@ -85,9 +86,9 @@ def members(kind: str) -> np.ndarray:
 
 
 @functools.lru_cache(maxsize=4)
-def character_class(kind: str) -> str:
-    """Ranges of the characters of a general category, for a regular expression."""
-    edges = np.flatnonzero(np.diff(np.concatenate([[False], members(kind)]).astype(np.int8)))
+def character_class(kind: str, end: int = sys.maxunicode + 1) -> str:
+    """Ranges of the characters below ``end`` of a general category, for a regular expression."""
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], members(kind)[:end], [False]]).astype(np.int8)))
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in zip(edges[::2], edges[1::2], strict=True))
 
 
@@ -131,12 +132,14 @@ class WordBpe:
         for text, i in [*vocab.items(), *self.special.items()]:
             self.tokens[i] = text
         split = spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
-        # letters and numbers by the language's own tables, as ranges
-        self.words = re.compile(split.replace("\\s", WHITE).replace("\\p{L}", character_class("L"))
-                                .replace("\\p{N}", character_class("N")))
-        # the same pattern for lower-cased ASCII texts
-        self.ascii_words = re.compile(split.replace("\\s", " \\t-\\r").replace("\\p{L}", "a-z")
-                                      .replace("\\p{N}", "0-9"))
+        # letters and numbers are tried first: no other alternative begins with one
+        first = (r"[\p{L}]+", r"[\p{N}]")
+        split = "|".join(sorted(split.split("|"), key=lambda x: x not in first)) if "|".join(first) in split else split
+        # letters and numbers as ranges
+        self.words, self.latin_words = (
+            re.compile(split.replace("\\s", white).replace("\\p{L}", character_class("L", end))
+                       .replace("\\p{N}", character_class("N", end)))
+            for white, end in ((WHITE, sys.maxunicode + 1), (WHITE_LATIN, 256)))
         capitals = newer_capitals()
         self.newer = re.compile("[" + "".join(map(chr, capitals)) + "]") if capitals else None
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
@@ -203,7 +206,7 @@ class WordBpe:
     def learn(self, words: list[str]) -> None:
         """Encode words and put them in the cache: short ones by table, others one by one."""
         words = sorted(words, key=len)
-        raw = [w.encode("utf-8") for w in words]
+        raw = [self.lowered(w).encode("utf-8") for w in words]
         lengths = np.fromiter(map(len, raw), np.int64, len(raw))
         short = lengths <= TABLE_BYTES
         rows = np.flatnonzero(short)
@@ -253,16 +256,25 @@ class WordBpe:
                     heapq.heappush(heap, (hit, k, ids[k], ids[after[k]]))
         return [x for x in ids if x >= 0]
 
+    def lowered(self, word: str) -> str:
+        """A word without the capitals that only the library knows."""
+        if word.isascii() or not self.newer or not self.newer.search(word):
+            return word
+        return word.translate(newer_capitals())
+
     def encode_word(self, word: str) -> list[int]:
-        raw = word.encode("utf-8")
+        raw = self.lowered(word).encode("utf-8")
         return self.merge([*map(self.inner.__getitem__, raw[:-1]), self.last[raw[-1]]])
 
     def split(self, text: str) -> list[str]:
         """Words of a text without special tokens; white space only separates them, whatever its kind."""
-        if text.isascii():
-            return self.ascii_words.findall(text.lower())
-        if self.newer and self.newer.search(text):
-            text = text.translate(newer_capitals())
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            pass
+        else:
+            # composed already, and small character sets match faster
+            return self.latin_words.findall(text.lower())
         # one character at a time: no final-sigma rule
         return self.words.findall(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
 
