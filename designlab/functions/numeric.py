@@ -106,6 +106,16 @@ def round_doubles(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*cols)
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which NULL keys match each other; the key columns are the left side's."""
+    names = {c: f"_right_{i}" for i, c in enumerate(on)}
+    cond = None
+    for c, r in names.items():
+        same = F.col(f"`{c}`").eqNullSafe(F.col(r))
+        cond = same if cond is None else cond & same
+    return left.join(right.withColumnsRenamed(names), cond, how).drop(*names.values())
+
+
 def bind_stats(df: DataFrame, stats: DataFrame, name: str = "_st") -> DataFrame:
     """Attach a one-row statistics table to every row as one struct column.
 

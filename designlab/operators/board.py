@@ -13,23 +13,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import bind_stats
+from designlab.functions.numeric import bind_stats, nan_to_null
 from designlab.operators.rank import dist_rank
 
 
 def minmax_scale(df: DataFrame, cols: Sequence[str], suffix: str = "_scaled") -> DataFrame:
-    """(x - min) / (max - min) per column; a constant column maps to 0, NULL stays NULL.
+    """(x - min) / (max - min) per column; a constant column maps to 0, NULL and NaN give NULL.
 
     (Spark ML's MinMaxScaler maps a constant column to 0.5 and scales vectors, so
     we use our own single aggregate.)
     """
-    stats = df.agg(*[F.min(c).cast("double").alias(f"mn_{i}") for i, c in enumerate(cols)],
-                   *[F.max(c).cast("double").alias(f"mx_{i}") for i, c in enumerate(cols)])
+    values = [nan_to_null(F.col(c).cast("double")) for c in cols]
+    stats = df.agg(*[F.min(v).alias(f"mn_{i}") for i, v in enumerate(values)],
+                   *[F.max(v).alias(f"mx_{i}") for i, v in enumerate(values)])
     out = bind_stats(df, stats, "_mm")
     s = F.col("_mm")
     for i, c in enumerate(cols):
         mn, mx = s.getField(f"mn_{i}"), s.getField(f"mx_{i}")
-        x = F.col(c).cast("double")
+        x = values[i]
         scaled = F.when(x.isNull(), F.lit(None).cast("double")).when(mx == mn, F.lit(0.0)).otherwise(
             F.try_divide(x - mn, mx - mn))
         out = out.withColumn(f"{c}{suffix}", scaled)
@@ -46,7 +47,7 @@ def row_mean(cols: Sequence) -> Column:
 
 
 # Metric families of the composite score (fixed values)
-COMPOSITE_SIX = ("mae", "rmse", "mape", "max_error", "median_ae", "val_loss_best")
+COMPOSITE_SIX = ("mae", "rmse", "val_loss_best", "mape", "median_ae", "inference_time_ms")
 COMPOSITE_FOUR = ("mae", "rmse", "r2_inverted", "median_ae")
 
 
@@ -65,22 +66,23 @@ def composite_score(df: DataFrame, metrics: Sequence[str] = COMPOSITE_FOUR,
 
 def top_k(df: DataFrame, metric: str, k: int, ascending: bool = True,
           tie_cols: Sequence[str] = ("model_name",)) -> DataFrame:
-    """k best rows by ``metric``; NULL metrics last, ties by ``tie_cols``."""
-    key = F.asc_nulls_last(metric) if ascending else F.desc_nulls_last(metric)
+    """k best rows by ``metric``; NULL and NaN metrics last, ties by ``tie_cols``."""
+    value = nan_to_null(F.col(metric).cast("double"))
+    key = value.asc_nulls_last() if ascending else value.desc_nulls_last()
     return df.orderBy(key, *[F.asc(c) for c in tie_cols]).limit(k)
 
 
 def with_rank(df: DataFrame, metric: str, ascending: bool = True,
               tie_cols: Sequence[str] = ("model_name",), rank_col: str = "rank") -> DataFrame:
     """Exact 1-based leaderboard position for every row (distributed rank)."""
-    m = F.col(metric)
+    m = nan_to_null(F.col(metric).cast("double"))
     key = [F.when(m.isNull(), 1).otherwise(0), m if ascending else -m]
     return dist_rank(df, key + [F.col(c) for c in tie_cols], rank_col=rank_col)
 
 
 # Metric directions (fixed values): r2 is better when larger, every other metric when smaller.
-BEST_SEVEN = ("mae", "rmse", "r2", "mape", "max_error", "median_ae", "val_loss_best")
-BEST_FOUR = ("mae", "rmse", "r2", "median_ae")
+BEST_SEVEN = ("mae", "rmse", "val_loss_best", "mape", "median_ae", "inference_time_ms", "r2")
+BEST_FOUR = ("mae", "r2", "rmse", "val_loss_best")
 
 
 def best_per_metric(df: DataFrame, metrics: Sequence[str] = BEST_FOUR, name_col: str = "model_name",
@@ -133,8 +135,8 @@ def distance_from_best(top: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 
 def numeric_means(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Mean of each listed column (one aggregate)."""
-    return df.agg(*[F.avg(F.col(c).cast("double")).alias(c) for c in cols])
+    """Mean of each listed column over its values that are neither NULL nor NaN (one aggregate)."""
+    return df.agg(*[F.avg(nan_to_null(F.col(c).cast("double"))).alias(c) for c in cols])
 
 
 def unpivot_metrics(df: DataFrame, cols: Sequence[str], value_name: str = "value") -> DataFrame:
@@ -164,11 +166,16 @@ def layer_matrix(df: DataFrame, id_cols: Sequence[str], text_col: str = "layer_s
 
 
 def one_hot(df: DataFrame, categories: dict[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
-    """One 0/1 column per (column, category) from a declared category list; booleans pass through."""
+    """One 0/1 column per (column, category); booleans pass through, a NULL is 0 everywhere.
+
+    The declared categories come first, then any other value that the rows hold: ``df`` is a short
+    list of best rows, so its distinct values are few.
+    """
+    seen = df.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in categories]).first()
     cols = [F.col(c) for c in keep]
     for c, values in categories.items():
-        for v in values:
-            cols.append((F.col(c) == F.lit(v)).cast("int").alias(f"{c}_{v}"))
+        for v in [*values, *(x for x in seen[c] if x not in values)]:
+            cols.append(F.col(c).eqNullSafe(F.lit(v)).cast("int").alias(f"{c}_{v}"))
     return df.select(*cols)
 
 

@@ -130,13 +130,13 @@ def with_line_numbers(df: DataFrame, col: str = "row_no", first_line: int = 2) -
 
 
 def duplicate_matches(design: DataFrame, status: DataFrame) -> DataFrame:
-    """D3: design rows matched by more than one status row, with the match count and the first
-    two matching status rows (aggregates only: one output row per design row, never the
-    product of duplicate design rows and duplicate status rows)."""
-    st = status.groupBy("key").agg(F.count(F.lit(1)).alias("n_status"), F.min("row_no").alias("first_row"))
-    st = st.where(F.col("n_status") > 1)
-    second = status.join(st.select("key", "first_row"), "key").where(F.col("row_no") > F.col("first_row")) \
-        .groupBy("key").agg(F.min("row_no").alias("second_row"))
-    multi = st.join(second, "key", "left")
-    return design.join(multi, "key").select(F.col("row_no").alias("design_row"), "key", "n_status",
-                                            "first_row", "second_row")
+    """D3: every status row of each design key that more than one status row matches, long form
+    (key, n_design, n_status, status_row): one row per key and status row, whatever their number.
+
+    Design keys are reduced to one row each before the join, so duplicate design rows and duplicate
+    status rows make no product; the design rows of a key are ``design`` joined on it.
+    """
+    designs = design.groupBy("key").agg(F.count(F.lit(1)).alias("n_design"))
+    multi = status.groupBy("key").agg(F.count(F.lit(1)).alias("n_status")).where(F.col("n_status") > 1)
+    return status.join(multi.join(designs, "key"), "key").select(
+        "key", "n_design", "n_status", F.col("row_no").alias("status_row"))

@@ -16,6 +16,7 @@ from designlab.functions.numeric import is_finite, key6
 
 UNIT_TAIL = r"^(.*?)(\[.*?\])$"   # value then a trailing [unit]
 ANY_UNIT = r"\[.*?]"               # every [..] group
+NUMBER = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?(inf|infinity|nan)$"
 
 
 def strip_units(col) -> Column:
@@ -32,14 +33,26 @@ def strip_unit_headers(df: DataFrame) -> DataFrame:
 
 
 def canonical(col) -> Column:
-    """Numbers -> 6-significant-digit key text, other text unchanged (units stripped)."""
+    """Numbers -> 6-significant-digit key text, other text unchanged (units stripped).
+
+    Only decimal and exponent notation is a number: the cast alone would also take the type
+    suffixes of Java literals (``1d``, ``2f``).
+    """
     s = strip_units(col)
-    return F.coalesce(key6(s.try_cast("double")), s)
+    return F.coalesce(F.when(s.rlike(NUMBER), key6(s.try_cast("double"))), s)
+
+
+def joined_key(parts: Sequence[Column], sep: str = "|") -> Column:
+    """Text key that is equal only for equal parts, position by position: a NULL part counts as an
+    empty one, and the separator (and the escape sign) inside a part is escaped."""
+    escaped = [F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("\\"), F.lit("\\\\")),
+                         F.lit(sep), F.lit("\\" + sep)) for c in parts]
+    return F.concat_ws(sep, *escaped)
 
 
 def canonical_key(cols: Sequence[str], sep: str = "|") -> Column:
-    """Composite text key of canonical values."""
-    return F.concat_ws(sep, *[canonical(F.col(c).cast("string")) for c in cols])
+    """Composite text key of canonical values, compared by position."""
+    return joined_key([canonical(F.col(c).cast("string")) for c in cols], sep)
 
 
 def split_unit(col) -> tuple[Column, Column]:
@@ -57,21 +70,24 @@ def unit_split(df: DataFrame, order_col: str | None = None, cast: str | None = "
 
     A header that already holds ``[`` is left alone.  ``order_col`` gives file
     order (default: scan order via ``monotonically_increasing_id``).  Columns in
-    ``keep`` pass through untouched.
+    ``keep`` pass through untouched.  A column in which no filled cell parses as
+    ``cast`` stays text; in the others a cell that does not parse becomes NULL.
     """
     text_cols = [c for c in df.columns if c not in keep and c != order_col]
     base = df if order_col else df.withColumn("_row", F.monotonically_increasing_id())
     oc = order_col or "_row"
     parts = {c: split_unit(F.col(f"`{c}`").cast("string")) for c in text_cols}
-    # one aggregate: first non-empty unit per column in file order
+    # one aggregate: first non-empty unit per column in file order, and cells that are no numbers
     firsts = base.agg(*[F.min_by(u, F.when(u != "", F.col(oc))).alias(f"u{i}")
-                        for i, (c, (_, u)) in enumerate(parts.items())]).first()
+                        for i, (c, (_, u)) in enumerate(parts.items())],
+                      *[(F.bool_or(F.trim(v) != "") & ~F.bool_or(F.trim(v).try_cast(cast or "string").isNotNull()))
+                        .alias(f"text{i}") for i, (c, (v, _)) in enumerate(parts.items())]).first()
     out_cols = [F.col(f"`{k}`") for k in keep]
     for i, (c, (v, _)) in enumerate(parts.items()):
-        unit = firsts[f"u{i}"] if firsts is not None else None
+        unit = firsts[f"u{i}"]
         name = c if ("[" in c or not unit) else f"{c} {unit}"
         v = F.when(F.trim(v) == "", F.lit(None)).otherwise(F.trim(v))
-        out_cols.append((v.try_cast(cast) if cast else v).alias(name))
+        out_cols.append((v.try_cast(cast) if cast and not firsts[f"text{i}"] else v).alias(name))
     if order_col:
         out_cols.insert(0, F.col(order_col))
     return base.select(*out_cols)

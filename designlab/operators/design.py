@@ -325,7 +325,10 @@ def sobol(ids: DataFrame, bounds: dict[str, tuple[float, float]], seed: int | No
     """Sobol point number ``index_col`` (default the id) per row, Gray-code order, with a seeded
     digital shift (XOR) when ``seed`` is given.  Pure per-row bit arithmetic: no shuffle.
     """
-    idx = F.col(index_col or id_col).cast("long")
+    raw = F.col(index_col or id_col).cast("long")
+    # beyond the direction numbers' bits points would repeat silently
+    idx = F.when(raw.isNull() | raw.between(0, (1 << SOBOL_BITS) - 1), raw).otherwise(
+        F.raise_error(F.concat(F.lit(f"Sobol index outside 0 to 2^{SOBOL_BITS} - 1: "), raw.cast("string"))))
     gray = idx.bitwiseXOR(F.shiftright(idx, 1))
     cols = [F.col(id_col)]
     for d, (n, (lo, hi)) in enumerate(bounds.items()):

@@ -17,19 +17,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import bind_stats, is_finite
+from designlab.functions.numeric import bind_stats, is_finite, nan_to_null, null_safe_join
 from designlab.operators.design import map_groups
 from designlab.operators.rank import dist_rank, exact_quantiles
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair (pairwise complete), long (a, b, corr)."""
-    aggs = []
-    for a in cols:
-        for b in cols:
-            aggs.append(F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"),
-                                 F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("corr")))
-    return df.agg(F.array(*aggs).alias("m")).select(F.inline("m"))
+    """Pearson correlation of every column pair (pairwise complete, NaN counts as missing),
+    long (a, b, corr); each unordered pair is aggregated once."""
+    cols = list(cols)
+    x = [nan_to_null(F.col(c).cast("double")) for c in cols]
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    wide = df.agg(*[F.corr(x[i], x[j]).alias(f"c{i}_{j}") for i, j in pairs])
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("a"), F.lit(b).alias("b"), F.col(f"c{min(i, j)}_{max(i, j)}").alias("corr"))
+        for i, a in enumerate(cols) for j, b in enumerate(cols)])))
 
 
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
@@ -87,7 +89,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> tuple[DataFrame, DataFra
     q = exact_quantiles(df, value, [0.25, 0.5, 0.75], [group], ["q1", "median", "q3"])
     q = q.withColumn("iqr", F.col("q3") - F.col("q1"))
     v = F.col(value).cast("double")
-    j = df.select(group, v.alias("v")).where(is_finite("v")).join(q, group)
+    j = null_safe_join(df.select(group, v.alias("v")).where(is_finite("v")), q, [group])
     lo_f = F.col("q1") - 1.5 * F.col("iqr")
     hi_f = F.col("q3") + 1.5 * F.col("iqr")
     inside = (F.col("v") >= lo_f) & (F.col("v") <= hi_f)
@@ -96,7 +98,7 @@ def box_stats(df: DataFrame, group: str, value: str) -> tuple[DataFrame, DataFra
         F.min(F.when(inside, F.col("v"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("v"))).alias("whisker_hi"),
         F.count(F.when(~inside, 1)).alias("n_outliers"))
-    stats = q.join(w, group).select(group, "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers")
+    stats = null_safe_join(q, w, [group]).select(group, "n", "q1", "median", "q3", "iqr", "whisker_lo", "whisker_hi", "n_outliers")
     outliers = j.where(~inside).select(group, "v")
     return stats, outliers
 

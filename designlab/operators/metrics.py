@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from designlab.functions.numeric import null_safe_join
 from designlab.operators.rank import exact_median
 from designlab.session import pin_if_large
 
@@ -74,7 +75,7 @@ def regression_metrics(df: DataFrame, group_cols: Sequence[str] = (), y_col: str
     med = exact_median(data.withColumn("_ae", F.abs(F.col(y_col) - F.col(p_col))), "_ae",
                        group_cols, "median_ae", approx=median_approx)
     if group_cols:
-        out = base.join(med, group_cols, "left")
+        out = null_safe_join(base, med, group_cols, "left")
     else:
         out = base.withColumn("median_ae", med.select("median_ae").scalar())
     return out.select(*group_cols, *METRIC_COLS)

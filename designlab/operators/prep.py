@@ -13,12 +13,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import bind_stats
+from designlab.functions.numeric import bind_stats, null_safe_join
+from designlab.operators.clean import joined_key
 from designlab.operators.rank import dist_rank
 
 
 def _key_text(cols: Sequence[str]) -> Column:
-    return F.concat_ws("|", *[F.col(c).cast("string") for c in cols])
+    return joined_key([F.col(c).cast("string") for c in cols])
 
 
 def row_split(df: DataFrame, key_cols: Sequence[str], test_size: float = 0.2, val_size: float = 0.1,
@@ -41,12 +42,12 @@ def group_split(df: DataFrame, group_key: Column | str, test_size: float = 0.2,
     """L2 + L3: whole groups go to one side.  Test groups = first ceil(test_size * G) groups in
     seeded hash order; validation = the next ceil(val_size * G_train); the rest train.
 
-    Ranks are taken over the distinct keys only; labels reach the rows by a join
-    on the key (AQE broadcasts the key table when it is small).
+    Rows with a NULL key form one group of their own.  Ranks are taken over the distinct keys
+    only; labels reach the rows by a join on the key (AQE broadcasts the key table when it is small).
     """
     key = F.col(group_key) if isinstance(group_key, str) else group_key
     rows = df.withColumn("_gk", key.cast("string"))
-    keys = rows.select("_gk").where(F.col("_gk").isNotNull()).distinct()
+    keys = rows.select("_gk").distinct()
     keys = keys.withColumn("_h", F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("_gk"))))
     ranked = dist_rank(keys, [F.col("_h"), F.col("_gk")], rank_col="_r", count_col="_g")
     n_test = F.ceil(F.col("_g") * F.lit(float(test_size)))
@@ -55,7 +56,7 @@ def group_split(df: DataFrame, group_key: Column | str, test_size: float = 0.2,
              .when(F.col("_r") <= n_test + n_val, F.lit("val"))
              .otherwise(F.lit("train")))
     labels = ranked.select("_gk", label.alias(split_col))
-    return rows.join(labels, "_gk", "left").drop("_gk")
+    return null_safe_join(rows, labels, ["_gk"], "left").drop("_gk")
 
 
 def fit_standard(df: DataFrame, cols: Sequence[str]) -> DataFrame:

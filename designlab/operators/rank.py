@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import bind_stats
+from designlab.functions.numeric import bind_stats, null_safe_join
 from designlab.session import cut_lineage, pin_if_large
 
 
@@ -90,7 +90,7 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
         stats = F.broadcast(stats)
     # grouped: AQE broadcasts the stats table when its measured size is small,
     # and keeps a sort-merge join otherwise
-    out = ranged.join(stats, ["_pid", *group_cols], "inner")
+    out = null_safe_join(ranged, stats, ["_pid", *group_cols])
     out = out.withColumn(rank_col, (F.col("_off") + F.col("_pos") - F.col("_first") + 1).cast("long"))
     return out.drop("_pid", "_pos", "_first", "_off")
 
@@ -150,7 +150,7 @@ def _bracket_quantiles(clean: DataFrame, qs: list[float], group_cols: list[str],
         # per group: an equi-join (AQE broadcasts the small side when it is small);
         # no groups: the single row rides along as a bound struct
         if group_cols:
-            return df.join(small, group_cols)
+            return null_safe_join(df, small, group_cols)
         return bind_stats(df, small, "_sk").select("*", "_sk.*").drop("_sk")
 
     j = attach(clean, sk)
@@ -180,8 +180,8 @@ def _bracket_quantiles(clean: DataFrame, qs: list[float], group_cols: list[str],
         found = found & F.col(nm).isNotNull()
     complete = got.where(found)
     if group_cols:
-        missed = sk.select(*group_cols).join(complete.select(*group_cols), group_cols, "left_anti")
-        retry = clean.join(missed, group_cols, "left_semi")
+        missed = null_safe_join(sk.select(*group_cols), complete.select(*group_cols), group_cols, "left_anti")
+        retry = null_safe_join(clean, missed, group_cols, "left_semi")
     else:
         retry = clean.where(complete.select(F.count(F.lit(1))).scalar() == 0)
     redo = quantiles_from_ranks(dist_rank(retry, [F.col("_v")], group_cols, rank_col="_r", count_col="_n"),

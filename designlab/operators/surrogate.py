@@ -15,6 +15,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -53,20 +54,31 @@ def make_learner(kind: str = "linear", label: str = "y", features: str = "featur
 
 def fit_surrogate(train: DataFrame, inputs: Sequence[str], label: str, kind: str = "linear",
                   scale: bool = True, **params) -> PipelineModel:
-    """Scaler (population std, train only) -> assembler -> learner; one model per output."""
+    """Scaler (population std, train only) -> assembler -> learner; one model per output.
+
+    Learners take no missing inputs, so training rows that lack one are left out; scoring keeps
+    every row (see ``predict``).
+    """
+    train = train.na.drop("any", subset=[*inputs, label])
     stages = []
     feats = list(inputs)
     if scale:
         stages.append(scaler_stage(train, inputs))
         feats = [f"{c}_z" for c in inputs]
-    stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="skip"))
+    stages.append(VectorAssembler(inputCols=feats, outputCol="features", handleInvalid="keep"))
     stages.append(make_learner(kind, label, **params))
     return Pipeline(stages=stages).fit(train)
 
 
+def predict(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """Every row of ``df`` with its prediction; NULL where an input is missing (NULL or NaN)."""
+    lacks = F.exists(vector_to_array("features"), F.isnan)
+    return model.transform(df).withColumn("prediction", F.when(~lacks, F.col("prediction")))
+
+
 def score(model: PipelineModel, df: DataFrame, label: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """L9 + E3-E8: batch predict, then the metric table."""
-    pred = model.transform(df).withColumnRenamed("prediction", "y_pred")
+    """L9 + E3-E8: batch predict, then the metric table (rows without a prediction have no error)."""
+    pred = predict(model, df).withColumnRenamed("prediction", "y_pred")
     return regression_metrics(pred.withColumn("y_true", F.col(label).cast("double")), group_cols)
 
 
@@ -78,7 +90,7 @@ def score_many(models: dict[str, PipelineModel], df: DataFrame, label: str, name
     """
     stacked = None
     for name, model in models.items():
-        pred = model.transform(df).select(F.lit(name).alias(name_col), F.col(label).cast("double").alias("y_true"),
+        pred = predict(model, df).select(F.lit(name).alias(name_col), F.col(label).cast("double").alias("y_true"),
                                           F.col("prediction").alias("y_pred"))
         stacked = pred if stacked is None else stacked.unionByName(pred)
     return regression_metrics(stacked, [name_col])
@@ -106,7 +118,7 @@ def load_model(folder: str, name: str) -> PipelineModel:
 def timed_inference(model: PipelineModel, df: DataFrame) -> tuple[DataFrame, float]:
     """Per-row inference time in ms around a materialised scoring pass."""
     t0 = time.perf_counter()
-    scored = model.transform(df)
+    scored = predict(model, df)
     n = scored.select(F.count(F.col("prediction"))).first()[0]
     dt = time.perf_counter() - t0
     return scored, (dt / n * 1000.0) if n else float("nan")

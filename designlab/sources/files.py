@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -148,6 +149,9 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
     """Run log; a log written before a column existed gets NULL (or the default) there."""
     try:
         log = spark.read.option("mergeSchema", True).parquet(path)
-    except Exception:  # noqa: BLE001 - absent log
+    except AnalysisException as ex:
+        # only an absent log is an empty one; any other fault is raised
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
     return union_logs(spark.createDataFrame([], RUN_LOG_SCHEMA), log, {"batch_norm": False})

@@ -76,13 +76,22 @@ def test_verdict_uses_first_status_match(spark):
 
 def test_duplicate_matches(spark):
     design = [(1.0, "x", 1), (2.0, "x", 2)]
-    status = [(1.0, "x", 3, 1), (1.0, "x", 7, 0), (2.0, "x", 4, 1)]
+    status = [(1.0, "x", 3, 1), (1.0, "x", 7, 0), (2.0, "x", 4, 1), (1.0, "x", 8, 0), (1.0, "x", 9, 1)]
     d, s, _ = _frames(spark, design, status, [])
-    rows = [(r.design_row, r.n_status, r.first_row, r.second_row) for r in checks.duplicate_matches(d, s).collect()]
-    assert rows == [(1, 2, 3, 7)]
+    rows = sorted((r.n_design, r.n_status, r.status_row) for r in checks.duplicate_matches(d, s).collect())
+    assert rows == [(1, 4, 3), (1, 4, 7), (1, 4, 8), (1, 4, 9)]    # every match, not only the first two
 
 
 def test_line_numbers_follow_scan_order(spark):
     df = spark.createDataFrame([(v,) for v in "abcdefg"], "v string").coalesce(1)
     got = [(r.v, r.row_no) for r in checks.with_line_numbers(df).orderBy("row_no").collect()]
     assert got == [(v, i + 2) for i, v in enumerate("abcdefg")]
+
+
+def test_keys_compare_by_position(spark):
+    df = spark.createDataFrame([(0, "1", None, "2"), (1, None, "1", "2"), (2, "1", "2", None), (3, "1", "", "2"),
+                                (4, "a|b", "c", ""), (5, "a", "b|c", ""), (6, "1d", "2f", ""), (7, "1", "2", "")],
+                               "i int, a string, b string, c string")
+    key = {r.i: r.key for r in checks.keyed(df, ["a", "b", "c"], None, ["i"]).collect()}
+    assert key[0] == key[3] and key[2] == key[7]
+    assert len(set(key.values())) == 6
