@@ -110,3 +110,23 @@ def test_bracket_without_groups(spark):
     df = spark.range(0, 5001).select(((F.col("id") * 37) % 5001).cast("double").alias("v"))
     got = exact_quantiles(df, "v", [0.1, 0.5], method="bracket").first()
     assert (got["q10"], got["q50"]) == (500.0, 2500.0)
+
+
+def test_null_group_keeps_rank_quantile_and_median(spark):
+    from designlab.operators import metrics, rank
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, 7.0)], "g string, v double")
+    assert rank.dist_rank(df, ["v"], ["g"]).count() == 4
+    for method in ("sort", "bracket"):
+        got = {r.g: r.m for r in rank.exact_quantiles(df, "v", [0.5], ["g"], ["m"], method=method).collect()}
+        assert got == {"a": 1.5, None: 6.0}
+    pairs = df.selectExpr("g", "v AS y_true", "0D AS y_pred")
+    assert {r.g: r.median_ae for r in metrics.regression_metrics(pairs, ["g"]).collect()} == {"a": 1.5, None: 6.0}
+
+
+def test_nan_counts_as_missing_on_boards(spark):
+    from designlab.operators import board
+    df = spark.createDataFrame([("a", 0.5), ("b", float("nan")), ("c", 0.9)], "model_name string, r2 double")
+    assert [r.model_name for r in board.top_k(df, "r2", 3, ascending=False).collect()] == ["c", "a", "b"]
+    scaled = {r.model_name: r.r2_scaled for r in board.minmax_scale(df, ["r2"]).collect()}
+    assert scaled == {"a": 0.0, "b": None, "c": 1.0}
+    assert abs(board.numeric_means(df, ["r2"]).first().r2 - 0.7) < 1e-12
