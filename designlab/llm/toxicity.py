@@ -1,7 +1,8 @@
 """Toxicity: a learned lexicon in a trie, Levenshtein automata over its terms, context windows.
 
 The lexicon holds words whose documents are mostly labelled toxic (lower confidence bound of
-that share at least ``MIN_SHARE``), learned from at most ``FIT_ROWS`` labelled documents per class.  A word of a
+that share at least ``MIN_SHARE``), learned from at most ``FIT_ROWS`` labelled documents per class; a class's
+sampled documents count by its size over theirs, so that shares are those of all labelled documents.  A word of a
 text matches a term exactly or, from ``FUZZY`` letters on, within one edit: the word's Levenshtein automaton
 and the trie are walked together, so that only states alive in both are visited.  Half of such a term
 must stand unchanged at one end of the word, which passes over nearly all words before the walk.  A match
@@ -16,11 +17,9 @@ every score 0; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
-import math
-
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from designlab.llm.langid import held_out
@@ -41,12 +40,12 @@ OPENING, CLOSING = "\"“«„‘", "\"”»“’"
 KINDS = ("exact", "exact_quoted", "misspelled", "misspelled_quoted")
 
 
-def lower_bound(hits: int, total: int, z: float = 1.96) -> float:
-    """Wilson lower bound of hits / total."""
-    if not total:
-        return 0.0
-    p = hits / total
-    return (p + z * z / (2 * total) - z * math.sqrt(p * (1 - p) / total + z * z / (4 * total * total))) / (1 + z * z / total)
+def lower_bound(hits: Column, clean: Column, weights: dict[int, float], z: float = 1.96) -> Column:
+    """Lower bound of the toxic share: the Wilson bound among sampled documents, its odds carried to the class sizes."""
+    n = (hits + clean).cast("double")
+    p = hits / n
+    low = (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+    return low * weights[1] / (low * weights[1] + (1 - low) * weights[0])
 
 
 class Lexicon:
@@ -140,8 +139,9 @@ def combine(matches: list[tuple[str, str]], shares: dict[tuple[str, str], float]
     return 1 - rest
 
 
-def sample_labels(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> tuple[DataFrame, dict[int, int]]:
-    """((text, toxic) rows of the training sample, labelled documents per class)."""
+def sample_labels(docs: DataFrame, labels: DataFrame,
+                  fit_rows: int = FIT_ROWS) -> tuple[DataFrame, dict[int, int], dict[int, int]]:
+    """((text, toxic) rows of the training sample, labelled documents per class, sampled ones per class)."""
     known = (labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy(F.col("doc_id").cast("long").alias("label_id")).agg((F.max("toxic") > 0).cast("int").alias("label")))
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
@@ -150,16 +150,27 @@ def sample_labels(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
         share = F.when(F.col("label") == k, F.lit(min(1.0, fit_rows / n))).otherwise(share)
     point = F.pmod(F.xxhash64("label_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     # at most about 2 * fit_rows ids
-    chosen = F.broadcast(known.where(point < share))
+    chosen = known.where(point < share)
+    sampled = totals
+    if any(n > fit_rows for n in totals.values()):
+        sampled = {r["label"]: r["n"] for r in chosen.groupBy("label").agg(F.count("*").alias("n")).collect()}
     texts = docs.select(F.col("doc_id").cast("long").alias("label_id"), "text")
-    return texts.join(chosen, "label_id").select("text", F.col("label").alias("toxic")), totals
+    return texts.join(F.broadcast(chosen), "label_id").select("text", F.col("label").alias("toxic")), totals, sampled
+
+
+def class_weights(totals: dict[int, int], sampled: dict[int, int]) -> dict[int, float]:
+    """Weight of a sampled document of each class; 1 where both classes are sampled at one rate."""
+    rate = sum(sampled.values()) / sum(totals.values())
+    return {k: rate * totals[k] / sampled[k] if sampled.get(k) else 1.0 for k in (0, 1)}
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], dict[tuple[str, str], float]]:
+def fit(docs: DataFrame, labels: DataFrame,
+        fit_rows: int = FIT_ROWS) -> tuple[dict[str, float], dict[tuple[str, str], float]]:
     """(lexicon terms with their toxic share, share per term and kind of match)."""
-    rows, totals = sample_labels(docs, labels)
-    if not totals.get(1):
+    rows, totals, sampled = sample_labels(docs, labels, fit_rows)
+    if not sampled.get(1):
         return {}, {}
+    weights = class_weights(totals, sampled)
 
     def words(batches):
         for batch in batches:
@@ -172,12 +183,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], dict[tupl
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(toxic, pa.int32())],
                                                  names=["word", "toxic"])
 
-    need = max(MIN_DOCS, int(MIN_DOC_SHARE * min(totals[1], FIT_ROWS)))
-    share = F.col("hits") / F.col("total")
+    need = max(MIN_DOCS, int(MIN_DOC_SHARE * sampled[1]))
+    bound = lower_bound(F.col("hits"), F.col("clean"), weights)
     counts = (rows.mapInArrow(words, "word string, toxic int").groupBy("word")
-              .agg(F.sum("toxic").alias("hits"), F.count("*").alias("total"))
-              .where((F.col("hits") >= need) & (share >= MIN_SHARE)).orderBy(F.desc("hits"), "word").limit(TERMS).collect())
-    terms = {r["word"]: r["hits"] / r["total"] for r in counts if lower_bound(r["hits"], r["total"]) >= MIN_SHARE}
+              .agg(F.sum("toxic").alias("hits"), F.sum(1 - F.col("toxic")).alias("clean"))
+              .where(F.col("hits") >= need).withColumn("bound", bound).where(F.col("bound") >= MIN_SHARE)
+              .orderBy(F.desc("bound"), F.desc("hits"), "word").limit(TERMS).collect())
+
+    def weighted(r) -> tuple[float, float]:
+        """(toxic, all) documents of a row of counts, by weight."""
+        toxic = weights[1] * r["hits"]
+        return toxic, toxic + weights[0] * r["clean"]
+
+    terms = {r["word"]: weighted(r)[0] / weighted(r)[1] for r in counts}
 
     def kinds(batches):
         lexicon = Lexicon(terms)
@@ -194,14 +212,14 @@ def fit(docs: DataFrame, labels: DataFrame) -> tuple[dict[str, float], dict[tupl
 
     seen = {(r["term"], r["kind"]): r for r in
             rows.mapInArrow(kinds, "term string, kind string, toxic int").groupBy("term", "kind")
-            .agg(F.sum("toxic").alias("hits"), F.count("*").alias("total")).collect()}
+            .agg(F.sum("toxic").alias("hits"), F.sum(1 - F.col("toxic")).alias("clean")).collect()}
     # priors, worth four documents: a quotation counts as the base rate, a misspelling as half the term
     base = totals[1] / sum(totals.values())
     shares = {}
     for term, share in terms.items():
         for kind, prior in zip(KINDS, (share, base, share / 2, base), strict=True):
-            r = seen.get((term, kind))
-            shares[term, kind] = ((r["hits"] if r else 0) + 4 * prior) / ((r["total"] if r else 0) + 4)
+            toxic, total = weighted(seen[term, kind]) if (term, kind) in seen else (0.0, 0.0)
+            shares[term, kind] = (toxic + 4 * prior) / (total + 4)
     return terms, shares
 
 

@@ -47,6 +47,23 @@ def test_toxicity_finds_plain_and_misspelled(spark):
     assert {r["score"] for r in toxicity.report(docs, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_small_sample_keeps_the_base_rate(spark):
+    rows, labels = [], []
+    for i in range(3000):
+        toxic = i % 20 == 0
+        rows.append((i, f"w{i} plain common usual daily " + ("worthless" if toxic else "nice")))
+        labels.append((i, int(toxic)))
+    rows += [(9000, "plain common usual daily"), (9001, "plain nice"), (9002, "daily")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame(labels, "doc_id long, toxic int")
+    whole, part = toxicity.fit(docs, labels), toxicity.fit(docs, labels, 90)
+    # at one size per class every common word would be toxic in half its documents
+    assert set(whole[0]) == set(part[0]) == {"worthless"}
+    for model in (whole, part):
+        got = {r["doc_id"]: r["predicted"] for r in toxicity.predict(docs, model).collect()}
+        assert all(got[i] == (i % 20 == 0 and i < 3000) for i in got)
+
+
 def test_walk_accepts_one_edit():
     terms = ["worthless", "worthy", "idiot", "moron", "stupid"]
     lexicon = toxicity.Lexicon(dict.fromkeys(terms, 1.0))
