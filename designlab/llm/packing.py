@@ -68,16 +68,33 @@ def assign(sizes: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int,
     """Pieces (row, start, size, sequence, offset) of documents of the given token counts."""
     room = capacities(int(sizes.sum()), length)
     used = [0] * len(room)
-    #: open sequences by cost; a sequence that can't hold a piece is set aside for that piece only
-    heap = [(0.0, s) for s in range(len(room))]
+    costs = [0.0] * len(room)
+    # pieces come in descending size: a sequence is in ``fitting`` (a heap by cost) once it has room for the
+    # current piece, until then in ``small`` by its room; ``cheap`` has the small ones by cost, for cuts
+    fitting: list[tuple[float, int]] = []
+    small: dict[int, list[int]] = {}
+    cheap: list[tuple[float, int]] = []
+    is_small = [False] * len(room)
+    reach = length + 1
     out = []
 
-    def place(row: int, start: int, size: int, cost: float, s: int) -> None:
+    def open_again(s: int) -> None:
+        left = room[s] - used[s]
+        is_small[s] = left < reach
+        if left >= reach:
+            heapq.heappush(fitting, (costs[s], s))
+        elif left:
+            small.setdefault(left, []).append(s)
+            heapq.heappush(cheap, (costs[s], s))
+
+    def place(row: int, start: int, size: int, s: int) -> None:
         out.append((row, start, size, s, used[s]))
         used[s] += size
-        if used[s] < room[s]:
-            heapq.heappush(heap, (cost + LINEAR * size + QUADRATIC * size * size, s))
+        costs[s] += LINEAR * size + QUADRATIC * size * size
+        open_again(s)
 
+    for s in range(len(room)):
+        open_again(s)
     # pieces by descending size, ties by row; a cut piece's rest is smaller and comes back in turn
     todo = [(-min(int(n), length), r, 0) for r, n in enumerate(sizes) if n]
     for r, n in enumerate(sizes):
@@ -87,25 +104,25 @@ def assign(sizes: np.ndarray, length: int = LENGTH) -> list[tuple[int, int, int,
     while todo:
         size, row, start = heapq.heappop(todo)
         size = -size
-        aside = []
-        while heap and room[heap[0][1]] - used[heap[0][1]] < size and len(aside) < TRIES:
-            aside.append(heapq.heappop(heap))
-        if heap and room[heap[0][1]] - used[heap[0][1]] >= size:
-            cost, s = heapq.heappop(heap)
-            place(row, start, size, cost, s)
+        for left in range(reach - 1, size - 1, -1):
+            for s in small.pop(left, ()):
+                if is_small[s] and room[s] - used[s] == left:
+                    is_small[s] = False
+                    heapq.heappush(fitting, (costs[s], s))
+        reach = size
+        if fitting:
+            place(row, start, size, heapq.heappop(fitting)[1])
         else:
-            # none of the cheapest has room: fill the cheapest and put the rest back
-            cost, s = aside.pop(0)
+            # none has room: fill the cheapest and put the rest back
+            cost, s = heapq.heappop(cheap)
+            while not is_small[s] or cost != costs[s]:
+                cost, s = heapq.heappop(cheap)
             fits = room[s] - used[s]
-            place(row, start, fits, cost, s)
+            place(row, start, fits, s)
             heapq.heappush(todo, (fits - size, row, start + fits))
-        for entry in aside:
-            heapq.heappush(heap, entry)
     return out
 
 
-#: cheapest sequences tried for a whole piece before it is cut (a cut is always allowed)
-TRIES = 64
 PIECES = ("doc_id long, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, "
           "offset long")
 

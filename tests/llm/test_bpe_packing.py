@@ -110,6 +110,34 @@ def test_assign_balances_cost():
     assert packing.assign(np.zeros(0, np.int64)) == []
 
 
+def assign_directly(sizes, length):
+    """Each piece, longest first, to the cheapest sequence with room; cut at the cheapest only where none has."""
+    room = packing.capacities(int(sizes.sum()), length)
+    used, cost, out = [0] * len(room), [0.0] * len(room), []
+    todo = sorted((-min(length, int(n) - s), r, s) for r, n in enumerate(sizes) for s in range(0, int(n), length))
+    while todo:
+        size, row, start = todo.pop(0)
+        size = -size
+        free = [s for s in range(len(room)) if used[s] < room[s]]
+        fit = [s for s in free if room[s] - used[s] >= size]
+        s = min(fit or free, key=lambda s: (cost[s], s))
+        n = min(size, room[s] - used[s])
+        out.append((row, start, n, s, used[s]))
+        used[s] += n
+        cost[s] += packing.LINEAR * n + packing.QUADRATIC * n * n
+        if n < size:
+            todo = sorted([*todo, (n - size, row, start + n)])
+    return out
+
+
+def test_assign_cuts_only_where_no_sequence_has_room():
+    rng = np.random.default_rng(2)
+    for length, sizes in ((2048, rng.lognormal(5, 1.2, 3000).astype(np.int64) + 1), (64, rng.integers(1, 40, 2000)),
+                          (2048, rng.integers(1, 9000, 300)), (16, np.array([16, 1, 0, 33, 5, 5, 5])),
+                          (2048, np.array([3])), (2048, np.full(500, 300))):
+        assert packing.assign(sizes, length) == assign_directly(sizes, length)
+
+
 def test_empty_and_null_rows(spark):
     schema = "doc_id long, text string, ids string, bin int"
     docs = spark.createDataFrame([(1, None, "x", 1), (2, "", "x", 1), (3, "a b", None, 1), (3, "a b", None, 1)], schema)
