@@ -11,7 +11,8 @@ copies that links nearly all, with one pair per node.  Then, where a shingle's n
 components, blocks of nodes meet in an R-tree: shingles are hashed into ``GROUPS`` groups, the
 group counts are a point, and the summed minima of two points bound the overlap, of a point and a box's
 upper corner that of all points in it.  Pairs that survive the bound and are not connected yet are verified
-on the whole sets.  Links between nodes already connected change no component and are not verified.
+on the whole sets.  Links between nodes already connected change no component and ``join`` does not verify
+them; ``links`` verifies all pairs that the blocks of R-trees leave, and ``link_report`` counts them per document.
 
 Defined cases: documents without words are linked with nothing; with fewer than five words the whole
 sequence is the one shingle; a null ``doc_id`` keeps a null component unless its group has another id;
@@ -290,27 +291,73 @@ def residual_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> Da
     return dealt.groupBy("key", "i", "j").applyInArrow(_block_pairs, "a long, b long").distinct()
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of every document."""
+def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(members of docs, one row per node, (key, node, lo) of shared prefix shingles with their smallest node)."""
     rows = stored(members(docs))
     nodes = stored(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("vec").alias("vec")))
     keys = prefixes(docs, hot_shingles(docs))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    groups = stored(keys.join(shared.select("key", "lo"), "key").distinct())
-    # each node meets the smallest node that it shares most prefix shingles with
+    return rows, nodes, stored(keys.join(shared.select("key", "lo"), "key").distinct())
+
+
+def _all_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Every linked pair (a, b) of nodes, a < b, from the R-tree blocks of every shared prefix shingle."""
+    apart = docs.sparkSession.createDataFrame([], "node long, comp long")
+    return stored(verified(residual_pairs(groups.select("key", "node"), nodes, apart), docs, nodes))
+
+
+def _star_links(docs: DataFrame, nodes: DataFrame, groups: DataFrame) -> DataFrame:
+    """Links (a, b) among one pair per node: with the smallest node that it shares most prefix shingles with."""
     star = (groups.where("node <> lo").groupBy("node", "lo").agg(F.count("*").alias("times"))
             .groupBy("node").agg(F.max(F.struct("times", "lo")).alias("best"))
             .select(F.col("best.lo").alias("a"), F.col("node").alias("b")))
-    edges = stored(verified(bounded(star, nodes), docs, nodes))
+    return stored(verified(bounded(star, nodes), docs, nodes))
+
+
+def _named(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """``rows`` with their component's smallest id (``component_id``)."""
+    named = rows.join(labels, "node", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "node")))
+    best = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("least"))
+    return named.join(best, "comp", "left").withColumn(
+        "component_id", F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")))
+
+
+def links(docs: DataFrame) -> DataFrame:
+    """The join: every pair (a, b) of linked nodes, a < b; ``members`` has the node of every document.
+
+    Documents of one node have equal sets and are linked with each other too, without a row here.
+    """
+    _, nodes, groups = _prepared(docs)
+    return _all_links(docs, nodes, groups)
+
+
+def link_report(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, n_links, component_id): how many other documents each one is linked with."""
+    rows, nodes, groups = _prepared(docs)
+    edges = _all_links(docs, nodes, groups)
+    copies = rows.where("n > 0").groupBy("node").agg(F.count("*").alias("copies"))
+    others = (edges.union(edges.select("b", "a")).join(copies.withColumnRenamed("node", "b"), "b")
+              .groupBy(F.col("a").alias("node")).agg(F.sum("copies").alias("others")))
+    count = copies.join(others, "node", "left").select(
+        "node", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return _named(rows, components(edges)).join(count, "node", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of every document."""
+    return _connected(docs).select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+
+
+def _connected(docs: DataFrame) -> DataFrame:
+    """``members`` of docs with their ``comp`` and ``component_id``."""
+    rows, nodes, groups = _prepared(docs)
+    edges = _star_links(docs, nodes, groups)
     labels = components(edges)
     more = stored(verified(residual_pairs(groups.select("key", "node"), nodes, labels), docs, nodes))
     if not more.isEmpty():
         labels = components(edges.union(more))
-    named = rows.join(labels, "node", "left").withColumn("comp", F.when(F.col("n") > 0, F.coalesce("comp", "node")))
-    best = named.where("n > 0").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return named.join(best, "comp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    return _named(rows, labels)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
@@ -340,3 +387,8 @@ m AS (SELECT doc_id, min(c) AS c FROM r GROUP BY doc_id)
 SELECT w.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(w.doc_id, coalesce(c, w.doc_id)) AS component_id
 FROM w LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """
+# the same links, counted per document
+OP9_LINKS_SQL = OP9_SQL.replace("AS n_shingles, ", """AS n_shingles,
+  coalesce(l.n_links, 0)::BIGINT AS n_links, """).rstrip() + """
+  LEFT JOIN (SELECT a AS doc_id, count(*) AS n_links FROM e GROUP BY a) l USING (doc_id)
+"""

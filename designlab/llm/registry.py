@@ -58,6 +58,11 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.join(_table(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count, number of linked documents and component of every document, from all links."""
+    return jaccard.link_report(_table(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in cost-balanced sequences."""
     return packing.op10_report(_table(spark, sf_dir, "documents"))
@@ -65,9 +70,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_rules, op2_language, op3_toxicity, op4_suffix_dedup, op5_quality_rules,
-                            op6_exact_dedup, op7_substring_dedup, op8_bpe, op9_jaccard_join, op10_packing)}
+                            op6_exact_dedup, op7_substring_dedup, op8_bpe, op9_jaccard_join, op9_jaccard_links, op10_packing)}
 SQL = {"op5_quality_rules": quality.OP5_SQL.strip(), "op6_exact_dedup": digest_index.OP6_SQL.strip(),
-       "op7_substring_dedup": substring.OP7_SQL.strip(), "op9_jaccard_join": jaccard.OP9_SQL.strip()}
+       "op7_substring_dedup": substring.OP7_SQL.strip(), "op9_jaccard_join": jaccard.OP9_SQL.strip(),
+       "op9_jaccard_links": jaccard.OP9_LINKS_SQL.strip()}
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

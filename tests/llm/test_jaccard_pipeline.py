@@ -70,6 +70,22 @@ def test_join_matches_brute_force(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == want
 
 
+def test_links_are_all_links(spark):
+    rows = [*near_rows(), (500, "one TWO"), (500, "one two"), (None, "one two")]
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, n_links int, a string")
+    sets = [shingles(t) for _, t in rows]
+    want = [(doc, len(s), sum(bool(s and o) and k != j and 100 * len(s & o) >= 80 * len(s | o)
+                              for j, o in enumerate(sets)), c)
+            for k, ((doc, _), s, (_, _, c)) in enumerate(zip(rows, sets, brute(rows), strict=True))]
+    got = [tuple(r) for r in jaccard.link_report(docs).collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    pairs = {(frozenset(x), frozenset(y)) for x in map(frozenset, sets) for y in map(frozenset, sets)
+             if x and y and x != y and 100 * len(x & y) >= 80 * len(x | y)}
+    found = [tuple(r) for r in jaccard.links(docs).collect()]
+    assert len(found) == len(set(found)) == len(pairs) // 2 and all(a < b for a, b in found)
+    assert jaccard.link_report(docs.limit(0)).count() == 0
+
+
 def test_blocks_lose_no_pair(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", 7)
     rows = near_rows()
