@@ -2,10 +2,14 @@
 
 The lexicon holds words whose documents are mostly labelled toxic (lower confidence bound of
 that share at least ``MIN_SHARE``), learned from at most ``FIT_ROWS`` labelled documents per class; a class's
-sampled documents count by its size over theirs, so that shares are those of all labelled documents.  A word of a
-text matches a term exactly or, from ``FUZZY`` letters on, within one edit: the word's Levenshtein automaton
-and the trie are walked together, so that only states alive in both are visited.  Half of such a term
-must stand unchanged at one end of the word, which passes over nearly all words before the walk.  A match
+sampled documents count by its size over theirs, so that shares are those of all labelled documents.  A text is cut
+at white space; a piece is read as its runs of letters and, where digits or symbols stand in it, also
+whole without outer punctuation ("id1ot") and by its letters alone ("i.d.i.o.t", which counts as misspelled).
+A word matches a term exactly or, from ``FUZZY`` letters on, within one edit (two swapped neighbours are one):
+the word's Levenshtein automaton and the trie are walked together, so that only states alive in both are
+visited.  Half of such a term must stand at one end of the word, unchanged or swapped across the middle, which
+passes over nearly all words before the walk.  Terms of ``SHORT`` letters up to ``FUZZY`` match with swapped neighbours
+or one digit or symbol ("d*mb"); with another letter they are mostly another word.  A match
 inside quotation marks, or with a reporting word within ``CONTEXT`` words, is a quotation; how
 much each kind (exact or misspelled, quoted or not) means is measured on the same labelled documents.
 The score is the noisy-or of the three strongest terms, each by its own measured share for its kind.
@@ -17,6 +21,9 @@ every score 0; an empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_left
+
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
@@ -31,9 +38,17 @@ MIN_DOCS, MIN_DOC_SHARE, MIN_SHARE = 5, 0.005, 0.4
 #: terms of the lexicon at most, by confidence bound (part of the fitted model)
 TERMS = 5000
 FUZZY = 5
+SHORT = 3
 CONTEXT = 5
 CACHE_WORDS = 200_000
 WORD = regex.compile(r"\p{L}+(?:['’]\p{L}+)*")
+#: white-space-free pieces, as str.split() has them
+PIECE = re.compile(r"\S+")
+#: a piece without outer punctuation; these symbols stand for letters also at its ends
+STANDINS = "@$*#+"
+CORE = regex.compile(r"[\p{L}\p{N}@$*#+](?:.*[\p{L}\p{N}@$*#+])?", regex.DOTALL)
+#: longer pieces are not remembered
+CACHE_LENGTH = 64
 # fixed values: reporting words and quotation marks
 REPORTING = frozenset("said says wrote writes quote quoted quoting called reported according tweeted replied".split())
 OPENING, CLOSING = "\"“«„‘", "\"”»“’"
@@ -63,14 +78,27 @@ class Lexicon:
                     node = node.setdefault(c, {})
                 node[""] = t
                 half = len(t) // 2
-                self.heads.setdefault(half, set()).add(t[:half])
+                self.heads.setdefault(half, set()).update((t[:half], t[:half - 1] + t[half]))
                 self.tails.setdefault(len(t) - half, set()).add(t[half:])
+        #: misspellings of short terms; a space stands for any digit or symbol
+        self.short: dict[str, str] = {}
+        for t in sorted((t for t in terms if SHORT <= len(t) < FUZZY), key=lambda t: (terms[t], t)):
+            for k in range(len(t)):
+                self.short[t[:k] + " " + t[k + 1:]] = t
+                if k:
+                    self.short[t[:k] + " " + t[k:]] = t
+                    self.short[t[:k - 1] + t[k] + t[k - 1] + t[k + 1:]] = t
         self.cache: dict[str, tuple[str, int] | None] = {}
+        self.pieces: dict[str, list[tuple[str, int, int, int]]] = {}
 
     def find(self, word: str) -> tuple[str, int] | None:
         """(term, edits) of the best term for a lower-case word."""
         if word in self.terms:
             return word, 0
+        if len(word) <= FUZZY and self.short:
+            near = self.short.get("".join(c if c.isalpha() else " " for c in word))
+            if near:
+                return near, 1
         if not any(word[:n] in s for n, s in self.heads.items()) and \
                 not any(word[-n:] in s for n, s in self.tails.items()):
             return None
@@ -81,15 +109,44 @@ class Lexicon:
             self.cache[word] = (max(found, key=lambda t: (self.terms[t], t)), 1) if found else None
         return self.cache[word]
 
+    def readings(self, piece: str) -> list[tuple[str, int, int, int]]:
+        """(term, edits, start, end) of every match in a piece without white space."""
+        out = self.pieces.get(piece)
+        if out is None:
+            out = self.read(piece)
+            if len(self.pieces) >= CACHE_WORDS:
+                self.pieces.clear()
+            if len(piece) <= CACHE_LENGTH:
+                self.pieces[piece] = out
+        return out
+
+    def read(self, piece: str) -> list[tuple[str, int, int, int]]:
+        out = []
+        runs = [(m.start(), m.end()) for m in WORD.finditer(piece)]
+        for start, end in runs:
+            found = self.find(piece[start:end].lower())
+            if found:
+                out.append((*found, start, end))
+        core = CORE.search(piece) if runs else None
+        if core and core.span() != runs[0]:
+            whole = core.group().lower()
+            letters = "".join(c for c in whole if c.isalpha())
+            found = self.find(whole) or self.find(whole.strip(STANDINS)) or \
+                ((letters, 1) if letters in self.terms and len(letters) >= SHORT else None)
+            if found and found[0] not in {t for t, *_ in out}:
+                out.append((found[0], 1, *core.span()))
+        return out
+
     def walk(self, word: str) -> list[str]:
         """Terms of the trie that the word's automaton (one edit) accepts.
 
-        A state is the positions reached without an edit and with one; both are followed along the trie.
+        A state is the positions reached without an edit and with one, and the position from which two
+        letters are being swapped; all are followed along the trie.
         """
         end, found = len(word), []
-        stack = [(self.trie, 0, frozenset())]
+        stack = [(self.trie, 0, frozenset(), None)]
         while stack:
-            node, clean, edited = stack.pop()
+            node, clean, edited, swap = stack.pop()
             for c, child in node.items():
                 if c == "":
                     # the rest of the word: nothing, or one surplus letter
@@ -97,7 +154,9 @@ class Lexicon:
                         found.append(child)
                     continue
                 step = {p + 1 for p in edited if p < end and word[p] == c}
-                follow = None
+                if swap is not None and word[swap] == c:
+                    step.add(swap + 2)
+                follow = swapping = None
                 if clean is not None:
                     if clean < end:
                         step.add(clean + 1)
@@ -105,26 +164,31 @@ class Lexicon:
                             follow = clean + 1
                     if clean + 1 < end and word[clean + 1] == c:
                         step.add(clean + 2)
+                        swapping = clean
                     step.add(clean)
                 if follow is not None or step:
-                    stack.append((child, follow, frozenset(step)))
+                    stack.append((child, follow, frozenset(step), swapping))
         return found
 
 
 def hits(text: str | None, lexicon: Lexicon) -> list[tuple[str, str]]:
     """(term, kind) of every match in a text."""
     text = text or ""
+    # most texts have no match: distinct pieces tell, without places
+    if not any(lexicon.readings(p) for p in set(text.split())):
+        return []
     words = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text)]
+    starts = [s for _, s, _ in words]
     out = []
-    for i, (word, start, end) in enumerate(words):
-        found = lexicon.find(word)
-        if found:
-            around = words[max(0, i - CONTEXT):i + CONTEXT + 1]
+    for m in PIECE.finditer(text):
+        for term, edits, start, end in lexicon.readings(m.group()):
+            start, end = start + m.start(), end + m.start()
+            around = words[max(0, bisect_left(starts, start) - CONTEXT):bisect_left(starts, end) + CONTEXT]
             before, after = text[around[0][1]:start], text[end:around[-1][2]]
             quoted = any(w in REPORTING for w, _, _ in around) or (
                 any(c in OPENING for c in text[max(0, around[0][1] - 1):start]) and any(c in CLOSING for c in after)
                 and any(c in OPENING for c in before[-80:] or text[max(0, start - 1):start]))
-            out.append((found[0], KINDS[2 * found[1] + quoted]))
+            out.append((term, KINDS[2 * edits + quoted]))
     return out
 
 
@@ -177,7 +241,7 @@ def fit(docs: DataFrame, labels: DataFrame,
             for part in slices(batch):
                 found, toxic = [], []
                 for text, y in zip(part.column("text").to_pylist(), part.column("toxic").to_pylist(), strict=True):
-                    own = {m.group().lower() for m in WORD.finditer(text or "")}
+                    own = {w.lower() for w in set(WORD.findall(text or ""))}
                     found += own
                     toxic += [y] * len(own)
                 yield pa.RecordBatch.from_arrays([pa.array(found, pa.string()), pa.array(toxic, pa.int32())],

@@ -76,6 +76,26 @@ def test_walk_accepts_one_edit():
         assert lexicon.walk(w) == [], w
 
 
+def test_disguised_words_are_matched():
+    terms = ["worthless", "idiot", "moron", "stupid", "dumb"]
+    lexicon = toxicity.Lexicon(dict.fromkeys(terms, 1.0))
+    shares = {(t, k): 0.5 for t in terms for k in toxicity.KINDS}
+    for word, term in (("id1ot", "idiot"), ("m0ron!", "moron"), ("(st*pid)", "stupid"), ("ST*PID,", "stupid"), ("*diot", "idiot"),
+                       ("moro#", "moron"), ("i.d.i.o.t", "idiot"), ("w0rthless...", "worthless"), ("stu-pid", "stupid"),
+                       ("d*mb", "dumb"), ("dum8", "dumb"), ("@umb", "dumb"), ("du.mb", "dumb"), ("dubm", "dumb"), ("*m0ron*", "moron")):
+        assert toxicity.hits(f"you {word} there", lexicon) == [(term, "misspelled")], word
+        assert toxicity.hits(f'he said "{word}" to me', lexicon) == [(term, "misspelled_quoted")], word
+        assert toxicity.combine(toxicity.hits(word, lexicon), shares) == 0.5
+    for t in terms:
+        for k in range(len(t) - 1):
+            swapped = t[:k] + t[k + 1] + t[k] + t[k + 2:]
+            assert swapped == t or lexicon.find(swapped) == (t, 1), swapped
+    assert toxicity.hits("stupid/moron idiots' idiot2", lexicon) == [
+        ("stupid", "exact"), ("moron", "exact"), ("idiot", "misspelled"), ("idiot", "exact")]
+    for text in ("1d10t", "a.b", "12:30", "d**b", "bomb", "numb", "http://a.b/c?d=1", "-- * 7", "", None):
+        assert toxicity.hits(text, lexicon) == [], text
+
+
 def brute(rows):
     seen = Counter()
     raw = [(i, (t or "").encode()) for i, t in rows]
