@@ -26,8 +26,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from designlab.llm.stored import components, stored
+from designlab.llm.stored import components, plain_names, stored
 from designlab.llm.textarrays import Words, mix, per_doc, slices, text_bytes
 
 SHINGLE = 5
@@ -360,11 +361,36 @@ def _connected(docs: DataFrame) -> DataFrame:
     return _named(rows, labels)
 
 
+def _with_node(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row's ``node`` and set size ``n``."""
+    def run(batches):
+        for batch in batches:
+            for part, keys, first, _ in _sets(batch):
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(_node(keys, first)), pa.array(np.diff(first))],
+                                                 names=[*part.schema.names, "node", "n"])
+
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, StructField("node", LongType()), StructField("n", LongType())]))
+
+
 def dedup(docs: DataFrame) -> DataFrame:
-    """``docs`` with one document of each group: the one of smallest ``doc_id`` (rows without an id stay)."""
-    found = join(docs)
-    drop = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(drop, docs["doc_id"] == drop["_gone"], "left_anti")
+    """``docs`` with one row of each group: that of smallest ``doc_id`` (rows without an id or without words stay).
+
+    Rows of a repeated ``doc_id`` are judged by their own sets; of a group's rows with its smallest id, one of the
+    smallest node stays.
+    """
+    plain = plain_names(docs)
+    found = stored(_connected(docs).select("doc_id", "node", "n", "comp", "component_id"))
+    repeated = (found.where("doc_id is not null").groupBy(F.col("doc_id").alias("_id")).agg(F.count("*").alias("_rows"))
+                .where("_rows > 1").select("_id"))
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("_id")).union(repeated).distinct()
+    stay = (found.where("n > 0 and doc_id = component_id").groupBy(F.col("component_id").alias("_id"), "comp")
+            .agg(F.min("node").alias("_node")))
+    single = plain.join(gone, plain["doc_id"] == gone["_id"], "left_anti")
+    several = _with_node(plain.join(repeated, plain["doc_id"] == repeated["_id"], "left_semi"))
+    first = (several.join(stay, (several["doc_id"] == stay["_id"]) & (several["node"] == stay["_node"]), "left_semi")
+             .where("n > 0").dropDuplicates(["doc_id", "node"]))
+    return (single.union(first.select(*plain.columns)).union(several.where("n = 0").select(*plain.columns))
+            .toDF(*docs.columns))
 
 
 OP9_SQL = r"""

@@ -70,6 +70,23 @@ def test_join_matches_brute_force(spark):
     assert sorted(str(r["doc_id"]) for r in kept.collect()) == want
 
 
+def test_dedup_judges_rows_of_a_repeated_id_one_by_one(spark):
+    a, b, c = (" ".join(f"{x}{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a), (7, a + " more"), (7, c), (8, b), (8, b + " more"), (8, b + " more"), (9, b + " less"), (5, ""), (5, None),
+            (6, c + " x y"), (3, a + " z"), (None, a)]
+    docs = spark.createDataFrame([(t, k, i) for k, (i, t) in enumerate(rows)], "text string, node int, doc_id long")
+    kept = jaccard.dedup(docs)
+    assert kept.columns == docs.columns
+    got = [rows[r["node"]] for r in kept.collect()]
+    left = [r for r in got if r[0] == 8]
+    assert len(left) == 1 and left[0] in rows
+    # c is near 6, which has the smaller id; a row without a near copy stays whatever its id
+    assert sorted((r for r in got if r[0] != 8), key=str) == sorted([(1, a), (5, ""), (5, None), (6, c + " x y"), (None, a)], key=str)
+    rows = [(1, a), (7, a + " more"), (7, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(tuple(r) for r in jaccard.dedup(docs).collect()) == [(1, a), (7, c)]
+
+
 def test_links_are_all_links(spark):
     rows = [*near_rows(), (500, "one TWO"), (500, "one two"), (None, "one two")]
     docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, n_links int, a string")
