@@ -35,8 +35,8 @@ def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in training sequences."""
-    return packing.op10_report(docs)
+    """Pieces of the documents in training sequences, with their token ids."""
+    return packing.pack(docs)
 
 
 STAGES = [("quality_rules", quality_stage), ("exact_dedup", exact_stage), ("jaccard_join", near_stage),

@@ -6,7 +6,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from designlab.llm import bpe, jaccard
+from designlab.llm import bpe, jaccard, packing
 
 from ..conftest import SF_SMALL
 from .test_bpe_packing import check_pieces
@@ -144,6 +144,17 @@ def test_pipeline_against_brute_force(spark):
     check_pieces(corpus_pipeline.run(spark, SF_SMALL).collect(), want)
 
 
+def test_pipeline_writes_tokens(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(20)
+    rows = corpus_pipeline.packing_stage(spark, docs, "").collect()
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    library = Tokenizer.from_file(bpe.default_vocabulary())
+    got = {}
+    for r in sorted(rows, key=lambda r: r["start"]):
+        got[r["doc_id"]] = got.get(r["doc_id"], []) + np.frombuffer(r["ids"], "<u4").tolist()
+    assert got == {i: [*library.encode(t or "", add_special_tokens=False).ids, packing.END_ID] for i, t in texts.items()}
+
+
 def test_pipeline_stages_keep_columns_and_empty_tables(spark):
     schema = "doc_id long, text string, at string, _digest string, _id long, _h int"
     docs = spark.createDataFrame([(1, None, None, None, None, 1), (1, None, None, None, None, 1)], schema)
