@@ -154,15 +154,16 @@ def total_units(text_col: str = "layer_sizes") -> Column:
     return F.aggregate(layers_array(text_col), F.lit(0).cast("long"), lambda acc, x: acc + x)
 
 
-def layer_matrix(df: DataFrame, id_cols: Sequence[str], text_col: str = "layer_sizes") -> DataFrame:
-    """Long layer table padded to the longest list: (ids.., layer, units); zero units -> NULL."""
+def layer_matrix(df: DataFrame, id_cols: Sequence[str], text_col: str = "layer_sizes",
+                 fill: bool = False) -> DataFrame:
+    """Long layer table padded to the longest list: (ids.., layer, units); zero units -> NULL, with ``fill`` NULL -> 0."""
     arr = layers_array(text_col)
     max_layers = df.select(F.max(F.size(arr))).scalar()
     padded = df.select(*id_cols, arr.alias("_a")).withColumn(
         "layer", F.explode(F.sequence(F.lit(1), max_layers)))
     units = F.get(F.col("_a"), F.col("layer") - 1)
     return padded.select(*id_cols, F.col("layer").cast("long").alias("layer"),
-                         F.nullif(units, F.lit(0)).cast("long").alias("units"))
+                         (F.coalesce(units, F.lit(0)) if fill else F.nullif(units, F.lit(0))).cast("long").alias("units"))
 
 
 def one_hot(df: DataFrame, categories: dict[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:

@@ -94,7 +94,7 @@ def finite_pairs(spark, d):
 @register("input_split", sql="""
 SELECT l_quantity, l_discount, l_tax, l_extendedprice AS target FROM lineitem""")
 def input_split(spark, d):
-    """inputs = all columns but the last k, target = the last (positional)."""
+    """inputs = all columns but the last k, target = the last (positional)."""
     res = table(spark, d, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_extendedprice")
     ins, outs = clean.split_io(res, 1)
-    return clean.first_n_columns(res, 12).select(*ins, F.col(outs[0]).alias("target"))
+    return res.select(*ins, F.col(outs[0]).alias("target"))

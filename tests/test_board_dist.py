@@ -115,3 +115,11 @@ def test_search_draws_bounds_and_determinism(spark):
     grid = search.product_table(spark, {"a": [1, 2], "b": ["x", "y", "z"]})
     assert grid.count() == 6
     assert search.seeded_sample(grid, 4, "config_id", 3).count() == 4
+
+
+def test_layer_matrix_zero_and_null(spark):
+    df = spark.createDataFrame([("a", "[8, 0, 4]"), ("b", "[16]")], "model_name string, layer_sizes string")
+    want = {False: [8, None, 4, 16, None, None], True: [8, 0, 4, 16, 0, 0]}
+    for fill, units in want.items():
+        rows = board.layer_matrix(df, ["model_name"], fill=fill).orderBy("model_name", "layer").collect()
+        assert [r.units for r in rows] == units
