@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from designlab.llm import (bpe, digest_index, hard_negatives, impact_index, jaccard, langid, packing, quality, substring,
-                           suffixes, toxicity, url_rules)
+from designlab.llm import (bpe, conversations, digest_index, hard_negatives, impact_index, jaccard, langid, packing, quality,
+                           substring, suffixes, toxicity, url_rules)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +74,11 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives.op11_report(_table(spark, sf_dir, "embeddings"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation."""
+    return conversations.op12_report(_table(spark, sf_dir, "conversations"))
+
+
 def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 10 highest inner products of every query vector."""
     return impact_index.op13_report(_table(spark, sf_dir, "embeddings"))
@@ -82,7 +87,7 @@ def op13_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_url_rules, op2_language, op3_toxicity, op4_suffix_dedup, op5_quality_rules,
                             op6_exact_dedup, op7_substring_dedup, op8_bpe, op9_jaccard_join, op9_jaccard_links, op10_packing,
-                            op11_hard_negatives, op13_topk_search)}
+                            op11_hard_negatives, op12_conversation_repair, op13_topk_search)}
 SQL = {"op5_quality_rules": quality.OP5_SQL.strip(), "op6_exact_dedup": digest_index.OP6_SQL.strip(),
        "op7_substring_dedup": substring.OP7_SQL.strip(), "op9_jaccard_join": jaccard.OP9_SQL.strip(),
        "op9_jaccard_links": jaccard.OP9_LINKS_SQL.strip(), "op11_hard_negatives": hard_negatives.OP11_SQL.strip(),
