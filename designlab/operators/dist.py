@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from designlab.functions.numeric import bind_stats, is_finite, nan_to_null, null_safe_join
 from designlab.operators.design import map_groups
-from designlab.operators.rank import dist_rank, exact_quantiles
+from designlab.operators.rank import dist_rank
+from designlab.operators.select import exact_quantiles
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:

@@ -1,8 +1,8 @@
 """Regression scores (MAE, RMSE, R2, MAPE, max error, median AE) per group.
 
 Everything except the median comes from one hash aggregate with map-side
-partial aggregation; the median is exact via distributed ranks (or approximate
-on request), so no group is ever gathered into one task.
+partial aggregation; the median is exact by radix selection (or approximate
+on request), so no group is ever gathered into one task and no row is sorted.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from designlab.functions.numeric import null_safe_join
-from designlab.operators.rank import exact_median
-from designlab.session import pin_if_large
+from designlab.operators.select import exact_median, quantiles_of_keys, with_sort_key
+from designlab.session import cut_lineage
 
 METRIC_COLS = ("n", "mae", "rmse", "r2", "mape", "max_error", "median_ae")
 
@@ -62,18 +62,15 @@ def regression_metrics(df: DataFrame, group_cols: Sequence[str] = (), y_col: str
     ``mape_eps`` switches to the guarded MAPE that skips |y| < eps.
     """
     group_cols = list(group_cols)
-    data = df.where(F.col(y_col).isNotNull() & F.col(p_col).isNotNull())
-    if not median_approx:
-        # the exact median reads the rows twice more (range sampling, range exchange); when the
-        # input is large, pin the slim (group, y, p) rows once so a costly input (a join) is
-        # evaluated a single time.  The checkpoint keeps the input's partitioning and order.
-        data = pin_if_large(data.select(*group_cols, F.col(y_col).cast("double").alias(y_col),
-                                        F.col(p_col).cast("double").alias(p_col)))
-    # scores come straight from the input rows (their sums keep the input's order); the median
-    # ranks only (group, |error|)
+    y, p = F.col(y_col).cast("double"), F.col(p_col).cast("double")
+    data = df.where(y.isNotNull() & p.isNotNull()).select(*group_cols, y.alias(y_col), p.alias(p_col))
+    if median_approx:
+        med = exact_median(data.withColumn("_ae", F.abs(y - p)), "_ae", group_cols, "median_ae", approx=True)
+    else:
+        # scores and median read the same slim rows, so a costly input (a join) is evaluated once
+        data = cut_lineage(with_sort_key(data, F.abs(F.col(y_col) - F.col(p_col))))
+        med = quantiles_of_keys(data.where(F.col("_k").isNotNull()).select(*group_cols, "_k"), [0.5], group_cols, ["median_ae"])
     base = _finish(data.groupBy(*group_cols).agg(*metric_aggs(y_col, p_col, mape_eps)))
-    med = exact_median(data.withColumn("_ae", F.abs(F.col(y_col) - F.col(p_col))), "_ae",
-                       group_cols, "median_ae", approx=median_approx)
     if group_cols:
         out = null_safe_join(base, med, group_cols, "left")
     else:

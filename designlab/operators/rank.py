@@ -1,4 +1,4 @@
-"""Exact ranks and quantiles without funnelling a group into one task.
+"""Exact ranks of every row without funnelling a group into one task.
 
 ``dist_rank`` range-partitions on (group, order, row tie-breaker) keys, so even a
 group, or a single value, holding a third of all rows is spread over many range
@@ -6,10 +6,8 @@ partitions.  Each partition numbers its rows locally; a small table of
 per-(partition, group) counts gives every partition its offset inside the group.
 The result is an exact ``row_number``.  The range-partitioned rows are written
 once to the checkpoint folder, so the counts and the numbering see the same
-partition assignment and a lost executor does not re-draw it.
-
-``exact_quantiles`` builds on it: it keeps only the (at most two) rows around each
-requested position and interpolates linearly, as numpy / pandas / DuckDB do.
+partition assignment and a lost executor does not re-draw it.  Where only a few ranks of a group are
+wanted (quantiles, cut points), ``select`` finds them without moving rows.
 """
 
 from __future__ import annotations
@@ -19,33 +17,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import bind_stats, null_safe_join
-from designlab.session import cut_lineage, pin_if_large
+from designlab.functions.numeric import null_safe_join
+from designlab.session import cut_lineage
 
 
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-RANGE_PARTITION_BYTES = 32 << 20
-
-
-def _parts(df: DataFrame, num_partitions: int | None) -> int:
-    """Range partitions: the session's shuffle partitions, fewer when the scanned input is small
-    (about 32 MiB of input per partition, but never fewer than the cluster's cores), so tiny
-    inputs do not pay for hundreds of tasks."""
-    if num_partitions:
-        return num_partitions
-    from designlab.session import UNKNOWN_SIZE, input_bytes
-    spark = df.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    size = input_bytes(df)
-    if size < UNKNOWN_SIZE:
-        floor_n = min(n, max(1, spark.sparkContext.defaultParallelism))
-        n = max(floor_n, min(n, -(-size // RANGE_PARTITION_BYTES)))
-    return n
-
-
 def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (),
               rank_col: str = "rank", count_col: str | None = None,
               num_partitions: int | None = None) -> DataFrame:
@@ -57,15 +36,12 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
     """
     group_cols = list(group_cols)
     orders = [_col(c) for c in order_cols]
-    # the range exchange reads its input twice (bound sampling, then the shuffle): a large,
-    # costly input is evaluated once
-    df = pin_if_large(df)
     # a per-row tie-breaker as the last range key lets the range partitioner split a value
     # repeated on a third of the rows (ties are ranked in arbitrary order either way)
     tagged = df.withColumn("_tb", F.monotonically_increasing_id())
     keys = [F.col(g) for g in group_cols] + orders + [F.col("_tb")]
-    n = _parts(df, num_partitions)
-    ranged = (tagged.repartitionByRange(n, *keys)
+    # without a number Spark takes its shuffle partitions and merges small ones at run time
+    ranged = (tagged.repartitionByRange(*([num_partitions] if num_partitions else []), *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_pos", F.monotonically_increasing_id())
@@ -95,132 +71,6 @@ def dist_rank(df: DataFrame, order_cols: Sequence, group_cols: Sequence[str] = (
     return out.drop("_pid", "_pos", "_first", "_off")
 
 
-def exact_quantiles(df: DataFrame, value_col: str, qs: Sequence[float],
-                    group_cols: Sequence[str] = (), names: Sequence[str] | None = None,
-                    approx: bool = False, accuracy: int = 10000, method: str = "auto") -> DataFrame:
-    """Linear-interpolated quantiles of ``value_col`` per group (NULL / NaN skipped).
-
-    One output row per group with one column per quantile.  ``approx=True``
-    switches to ``percentile_approx`` (bounded memory, approximate values).
-
-    Exact methods: ``"sort"`` ranks every row (one range exchange); ``"bracket"``
-    brackets each target rank between two sketch quantiles, counts the rows below
-    the bracket and ranks only the rows inside it (a small fraction), falling back
-    to ``"sort"`` for any group whose bracket misses.  ``"auto"`` picks ``"bracket"``
-    when the scanned input exceeds ``designlab.pin.thresholdBytes``.
-    """
-    group_cols = list(group_cols)
-    names = list(names) if names else [f"q{int(round(q * 100)):02d}" for q in qs]
-    v = F.col(value_col)
-    clean = df.select(*group_cols, v.cast("double").alias("_v")).where(
-        F.col("_v").isNotNull() & ~F.isnan("_v"))
-    if approx:
-        arr = F.percentile_approx("_v", list(qs), accuracy)
-        res = clean.groupBy(*group_cols).agg(arr.alias("_qs"))
-        return res.select(*group_cols, *[F.col("_qs")[i].alias(nm) for i, nm in enumerate(names)])
-    if method == "auto":
-        from designlab.session import PIN_THRESHOLD_CONF, PIN_THRESHOLD_DEFAULT, UNKNOWN_SIZE, input_bytes
-        limit = int(df.sparkSession.conf.get(PIN_THRESHOLD_CONF, str(PIN_THRESHOLD_DEFAULT)))
-        method = "bracket" if limit < input_bytes(df) < UNKNOWN_SIZE else "sort"
-    if method == "bracket":
-        return _bracket_quantiles(pin_if_large(clean), list(qs), group_cols, names, accuracy)
-    ranked = dist_rank(clean, [F.col("_v")], group_cols, rank_col="_r", count_col="_n")
-    return quantiles_from_ranks(ranked, qs, group_cols, names)
-
-
-def _bracket_quantiles(clean: DataFrame, qs: list[float], group_cols: list[str], names: list[str],
-                       accuracy: int, margin: float | None = None) -> DataFrame:
-    """Exact quantiles from sketch brackets: see ``exact_quantiles(method="bracket")``.
-
-    The sketch's rank error is at most n / accuracy, so brackets at q -/+ 4 / accuracy
-    hold the target ranks; ``margin`` overrides that (tests force misses with 0).
-    """
-    margin = 4.0 / accuracy if margin is None else margin
-    lo_p = [max(0.0, q - margin) for q in qs]
-    hi_p = [min(1.0, q + margin) for q in qs]
-    plist = sorted(set(lo_p + hi_p))
-    sk = clean.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n"),
-                                         F.percentile_approx("_v", plist, accuracy).alias("_pa"))
-    sk = sk.select(*group_cols, "_n",
-                   *[F.element_at("_pa", plist.index(p) + 1).alias(f"_lo{b}") for b, p in enumerate(lo_p)],
-                   *[F.element_at("_pa", plist.index(p) + 1).alias(f"_hi{b}") for b, p in enumerate(hi_p)])
-    sk = cut_lineage(sk)                        # one row per group, read by three branches
-
-    def attach(df: DataFrame, small: DataFrame) -> DataFrame:
-        # per group: an equi-join (AQE broadcasts the small side when it is small);
-        # no groups: the single row rides along as a bound struct
-        if group_cols:
-            return null_safe_join(df, small, group_cols)
-        return bind_stats(df, small, "_sk").select("*", "_sk.*").drop("_sk")
-
-    j = attach(clean, sk)
-    nb = len(qs)
-    below = j.groupBy(*group_cols).agg(
-        *[F.count(F.when(F.col("_v") < F.col(f"_lo{b}"), 1)).alias(f"_c{b}") for b in range(nb)])
-    tags = F.array(*[F.when((F.col("_v") >= F.col(f"_lo{b}")) & (F.col("_v") <= F.col(f"_hi{b}")), F.lit(b))
-                     for b in range(nb)])
-    inside = j.select(*group_cols, "_v", F.explode(tags).alias("_b")).where(F.col("_b").isNotNull())
-    ranked = dist_rank(inside, [F.col("_v")], group_cols + ["_b"], rank_col="_r")
-    ranked = attach(attach(ranked, below), sk.select(*group_cols, "_n"))
-    c_b = F.element_at(F.array(*[F.col(f"_c{b}") for b in range(nb)]), (F.col("_b") + 1).cast("int"))
-    ranked = ranked.withColumn("_gr", c_b + F.col("_r"))
-    aggs = []
-    for b, (q, nm) in enumerate(zip(qs, names)):
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        lo, hi = F.floor(h) + 1, F.ceil(h) + 1
-        in_b = F.col("_b") == b
-        v_lo = F.max(F.when(in_b & (F.col("_gr") == lo), F.col("_v")))
-        v_hi = F.max(F.when(in_b & (F.col("_gr") == hi), F.col("_v")))
-        frac = F.max(h - F.floor(h))
-        aggs.append((v_lo + frac * (v_hi - v_lo)).alias(nm))
-    got = ranked.groupBy(*group_cols).agg(*aggs)
-    # a group whose bracket missed (no row at a target rank) is recomputed by full ranking
-    found = F.lit(True)
-    for nm in names:
-        found = found & F.col(nm).isNotNull()
-    complete = got.where(found)
-    if group_cols:
-        missed = null_safe_join(sk.select(*group_cols), complete.select(*group_cols), group_cols, "left_anti")
-        retry = null_safe_join(clean, missed, group_cols, "left_semi")
-    else:
-        retry = clean.where(complete.select(F.count(F.lit(1))).scalar() == 0)
-    redo = quantiles_from_ranks(dist_rank(retry, [F.col("_v")], group_cols, rank_col="_r", count_col="_n"),
-                                qs, group_cols, names)
-    return complete.unionByName(redo)
-
-
-def quantiles_from_ranks(ranked: DataFrame, qs: Sequence[float], group_cols: Sequence[str],
-                         names: Sequence[str], value_col: str = "_v", rank_col: str = "_r",
-                         count_col: str = "_n") -> DataFrame:
-    """Quantiles from rows already ranked by value inside their group (``dist_rank`` output)."""
-    group_cols = list(group_cols)
-    ranked = ranked.withColumnsRenamed({value_col: "_v", rank_col: "_r", count_col: "_n"}) \
-        if (value_col, rank_col, count_col) != ("_v", "_r", "_n") else ranked
-    # 1-based ranks bracketing each position h = (n-1)q
-    needed = None
-    lo_hi = []
-    for q in qs:
-        h = (F.col("_n") - 1) * F.lit(float(q))
-        lo = F.floor(h) + 1
-        hi = F.ceil(h) + 1
-        lo_hi.append((q, lo, hi, h))
-        cond = (F.col("_r") == lo) | (F.col("_r") == hi)
-        needed = cond if needed is None else (needed | cond)
-    near = ranked.where(needed)
-    aggs = []
-    for (q, lo, hi, h), nm in zip(lo_hi, names):
-        v_lo = F.max(F.when(F.col("_r") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_r") == hi, F.col("_v")))
-        frac = F.max(h - F.floor(h))
-        aggs.append((v_lo + frac * (v_hi - v_lo)).alias(nm))
-    return near.groupBy(*group_cols).agg(*aggs)
-
-
-def exact_median(df: DataFrame, value_col: str, group_cols: Sequence[str] = (),
-                 name: str = "median", approx: bool = False) -> DataFrame:
-    return exact_quantiles(df, value_col, [0.5], group_cols, [name], approx=approx)
-
-
 def global_row_id(df: DataFrame, order_cols: Sequence, id_col: str = "row_id") -> DataFrame:
     """Dense 0-based id following ``order_cols`` (exact, no single-partition window)."""
     out = dist_rank(df, order_cols, rank_col=id_col)

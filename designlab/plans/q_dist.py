@@ -172,7 +172,7 @@ def violin_stats(spark, d):
     """Per-activation quartiles of MAE and a 50-point KDE of it."""
     log = run_log(spark, d)
     k = dist.kde_1d(log, "mae", VIOLIN_GRID, group="activation")
-    from designlab.operators.rank import exact_quantiles
+    from designlab.operators.select import exact_quantiles
     q = exact_quantiles(log, "mae", [0.25, 0.5, 0.75], ["activation"], ["q1", "median", "q3"])
     out = k.join(q, "activation")
     return out.select("activation", "i", round_to("x", 6).alias("x"), round_to("density", 12).alias("density"),

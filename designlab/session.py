@@ -52,8 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
         if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder: exact ranks and pinned "
-                               "inputs are checkpointed there")
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: exact ranks and rows "
+                               "that are read several times are checkpointed there")
         # local runs and tests only: a scratch folder on this machine
         conf_dir = tempfile.mkdtemp(prefix="designlab-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
@@ -64,50 +64,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def input_bytes(df: DataFrame) -> int:
-    """Sum of the optimizer's size estimates of the plan's leaves (the scanned inputs).
-
-    Leaf sizes come from file sizes, unlike join estimates, which without column
-    statistics are products of their sides.
-    """
-    try:
-        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    except Exception:  # noqa: BLE001 - no estimate
-        return UNKNOWN_SIZE
-    # in-memory and RDD-backed leaves report spark.sql.defaultSizeInBytes (no estimate)
-    if any(x >= UNKNOWN_SIZE for x in sizes):
-        return UNKNOWN_SIZE
-    return sum(sizes)
-
-
-UNKNOWN_SIZE = 1 << 62
-
-
-PIN_THRESHOLD_CONF = "designlab.pin.thresholdBytes"
-PIN_THRESHOLD_DEFAULT = 1 << 30
-
-
-def pin_if_large(df: DataFrame) -> DataFrame:
-    """Checkpoint a plan that will be read several times when its inputs exceed
-    ``designlab.pin.thresholdBytes`` (default 1 GiB) and recomputing it means more than a file
-    scan: a large join costs more to redo than its slim output costs to write once.  Inputs
-    without a size estimate (in-memory rows) are not pinned."""
-    spark = df.sparkSession
-    limit = int(spark.conf.get(PIN_THRESHOLD_CONF, str(PIN_THRESHOLD_DEFAULT)))
-    size = input_bytes(df)
-    return cut_lineage(df) if limit < size < UNKNOWN_SIZE and _has_shuffle(df) else df
-
-
-_SHUFFLING = ("Join", "Aggregate", "Window", "Repartition", "Sort", "Distinct", "Expand")
-
-
-def _has_shuffle(df: DataFrame) -> bool:
-    """True when recomputing the plan means more than re-reading files (a join, aggregate, ...)."""
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-    except Exception:  # noqa: BLE001
-        return True
-    return any(k in plan for k in _SHUFFLING)

@@ -96,3 +96,18 @@ def test_build_and_train_two_outputs(spark):
     out = surrogate.build_and_train(spark, df, outputs=2, kind="linear")
     assert sorted(r.output for r in out["metrics"].collect()) == ["y1", "y2"]
     assert out["log_row"]["num_outputs"] == 2 and out["log_row"]["mae"] < 1e-6
+
+
+def test_splits_move_no_rows_and_keep_copies_together(spark):
+    df = spark.range(0, 600, 1, 6).select("id", (F.col("id") % 300).alias("k"), F.when(F.col("id") % 9 > 0, F.col("id") % 9).alias("g"))
+    for out in (prep.row_split(df, ["k"]), prep.group_split(df, "g")):
+        # every row is still in the task that read it
+        assert out.where(F.spark_partition_id() != F.floor(F.col("id") / 100)).count() == 0
+    rows = prep.row_split(df, ["k"])
+    assert rows.count() == 600
+    assert rows.groupBy("k").agg(F.countDistinct("split").alias("n")).where("n > 1").count() == 0
+    groups = prep.group_split(df, "g")
+    assert groups.where("g IS NULL").select("split").distinct().count() == 1
+    for size in (0.0, 1.0):
+        assert {r.split for r in prep.row_split(df, ["k"], size, 0.0).collect()} == {"test" if size else "train"}
+    assert prep.row_split(df.limit(0), ["k"]).count() == 0

@@ -1,11 +1,16 @@
-"""Distributed ranks and exact quantiles against single-machine references."""
+"""Distributed ranks, radix selection and exact quantiles against single-machine references."""
+
+import math
+import struct
 
 import numpy as np
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from designlab.operators.rank import dist_rank, exact_quantiles
+from designlab.operators import select
+from designlab.operators.rank import dist_rank
+from designlab.operators.select import exact_quantiles, key_value, select_ranks, with_sort_key
 
 
 def _skewed(spark, n=3000):
@@ -64,61 +69,57 @@ def test_tied_hot_value_is_spread(spark):
     assert sorted(x.r for x in r.collect()) == list(range(1, 3001))
 
 
-def test_pin_if_large_threshold(spark):
-    from designlab.session import PIN_THRESHOLD_CONF, pin_if_large
-    df = spark.range(100)
-    assert pin_if_large(df) is df                       # tiny: recomputed, not written
-    spark.conf.set(PIN_THRESHOLD_CONF, "0")
-    try:
-        assert pin_if_large(df) is df                   # a plain scan is re-read, not written
-        agg = df.groupBy((df.id % 7).alias("k")).count()
-        pinned = pin_if_large(agg)
-        assert pinned is not agg and pinned.count() == 7
-    finally:
-        spark.conf.unset(PIN_THRESHOLD_CONF)
-
-
-@pytest.mark.parametrize("accuracy", [50, 10000])
-def test_bracket_quantiles_match_numpy(spark, accuracy):
-    # a hot group, ties, single-row and two-row groups; low accuracy forces wide / missed brackets
-    rows = [(0, float(v % 37)) for v in range(2000)] + [(1, 5.0)] + [(2, 1.0), (2, 9.0)] + \
-           [(3, float(v)) for v in range(300)]
-    df = spark.createDataFrame(rows, "g int, v double")
-    qs = [0.0, 0.1, 0.5, 0.9, 1.0]
-    got = {r["g"]: r for r in exact_quantiles(df, "v", qs, ["g"], method="bracket", accuracy=accuracy).collect()}
-    pdf = df.toPandas()
-    for g, sub in pdf.groupby("g"):
-        want = np.percentile(sub["v"].to_numpy(), [q * 100 for q in qs])
-        have = [got[g][f"q{int(q * 100):02d}"] for q in qs]
-        assert np.allclose(have, want, rtol=0, atol=1e-9), (g, have, want)
-
-
-def test_bracket_misses_fall_back_to_full_ranking(spark):
-    from designlab.operators.rank import _bracket_quantiles
-    rows = [(0, float((v * 7919) % 1009)) for v in range(3000)] + [(1, float(v)) for v in range(10)]
-    df = spark.createDataFrame(rows, "g int, _v double")
-    qs = [0.25, 0.5, 0.75]
-    names = ["a", "b", "c"]
-    got = {r["g"]: r for r in _bracket_quantiles(df, qs, ["g"], names, accuracy=20, margin=0.0).collect()}
-    pdf = df.toPandas()
-    for g, sub in pdf.groupby("g"):
-        want = np.percentile(sub["_v"].to_numpy(), [25, 50, 75])
-        assert np.allclose([got[g][n] for n in names], want, rtol=0, atol=1e-9)
-
-
-def test_bracket_without_groups(spark):
-    df = spark.range(0, 5001).select(((F.col("id") * 37) % 5001).cast("double").alias("v"))
-    got = exact_quantiles(df, "v", [0.1, 0.5], method="bracket").first()
-    assert (got["q10"], got["q50"]) == (500.0, 2500.0)
+SPECIAL = [0.0, -0.0, 1.0, -1.0, math.inf, -math.inf, 5e-324, -5e-324, 2.0 ** -1022, 2.0 ** -1022 - 5e-324,
+           1.7976931348623157e308, -1.7976931348623157e308, 1.0 - 2.0 ** -53, 1.0 + 2.0 ** -52, 3.0, 1e22, 0.1]
+
+
+def test_sort_key_is_the_bits_of_the_double(spark):
+    rng = np.random.default_rng(11)
+    bits = rng.integers(0, 1 << 64, 3000, dtype=np.uint64)
+    values = [v for v in bits.view(np.float64).tolist() if not math.isnan(v)] + SPECIAL
+    values += [s * 2.0 ** e for e in range(-1074, 1024) for s in (1, -1)]
+    values += [math.nextafter(2.0 ** e, 0) for e in range(-1073, 1024)]
+    df = spark.createDataFrame([(v,) for v in values] + [(None,), (math.nan,)], "v double")
+    rows = with_sort_key(df, F.col("v"), "k").select("v", "k", key_value(F.col("k")).alias("back")).collect()
+    for r in rows:
+        if r.v is None or math.isnan(r.v):
+            assert r.k is None
+            continue
+        raw = struct.unpack("<q", struct.pack("<d", abs(r.v)))[0]
+        assert r.k == (-raw if r.v < 0 else raw), r.v
+        assert r.back == r.v
+
+
+@pytest.mark.parametrize("broadcast_rows, digit", [(100_000, 16), (3, 16), (100_000, 4)])
+def test_select_ranks_with_hot_group_and_value(spark, broadcast_rows, digit, monkeypatch):
+    monkeypatch.setattr(select, "DIGIT_BITS", digit)  # 4: many passes before the buckets are small
+    df = _skewed(spark).withColumn("v", F.when(F.col("id") % 5 == 0, F.lit(-0.0)).when(F.col("id") % 7 == 0, F.lit(-math.inf))
+                                   .when(F.col("id") % 11 == 0, F.lit(math.inf)).otherwise(F.col("v") - 400))
+    keyed = with_sort_key(df, F.col("v")).select("g", "_k")
+    got = select_ranks(keyed, ["g"], lambda n: [F.lit(0), n - 1, F.floor(n / 3), n, F.lit(None).cast("long")],
+                       broadcast_rows).collect()
+    assert len(got) == 50
+    for row in got:
+        ref = sorted(r._k for r in keyed.where(F.col("g") == row.g).collect())
+        assert tuple(row)[1:] == (len(ref), ref[0], ref[-1], ref[len(ref) // 3], None, None)
+        if row.g == 3:
+            break
+
+
+def test_quantiles_of_special_values(spark):
+    rows = [("a", v) for v in (-math.inf, -0.0, 0.0, 5.0, math.inf)] + [("b", math.inf)] * 3 + [("c", None), ("c", math.nan)] \
+        + [(None, 2.0)] * 4 + [(None, -2.0)] * 2
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {r.g: tuple(r)[1:] for r in exact_quantiles(df, "v", [0.0, 0.25, 0.5, 1.0], ["g"]).collect()}
+    assert got == {"a": (-math.inf, 0.0, 0.0, math.inf), "b": (math.inf,) * 4, None: (-2.0, -0.0 + -2.0 + 4.0 * 0.25, 2.0, 2.0)}
+    assert exact_quantiles(df.limit(0), "v", [0.5], ["g"]).count() == 0
 
 
 def test_null_group_keeps_rank_quantile_and_median(spark):
     from designlab.operators import metrics, rank
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0), (None, 5.0), (None, 7.0)], "g string, v double")
     assert rank.dist_rank(df, ["v"], ["g"]).count() == 4
-    for method in ("sort", "bracket"):
-        got = {r.g: r.m for r in rank.exact_quantiles(df, "v", [0.5], ["g"], ["m"], method=method).collect()}
-        assert got == {"a": 1.5, None: 6.0}
+    assert {r.g: r.m for r in exact_quantiles(df, "v", [0.5], ["g"], ["m"]).collect()} == {"a": 1.5, None: 6.0}
     pairs = df.selectExpr("g", "v AS y_true", "0D AS y_pred")
     assert {r.g: r.median_ae for r in metrics.regression_metrics(pairs, ["g"]).collect()} == {"a": 1.5, None: 6.0}
 
