@@ -9,7 +9,7 @@ shuffled, and a group or a value with a third of the rows is only a large count.
 
 The slim (group, key) rows are read by every pass, so they are written once to the checkpoint folder and a
 costly input is evaluated a single time.  Each pass is one job.  The wanted buckets reach the rows by an
-equi-join: as a broadcast up to ``BROADCAST_BUCKETS`` of them, by a shuffle of the slim rows beyond (very many
+equi-join: as a broadcast up to ``BROADCAST_ROWS`` of them, by a shuffle of the slim rows beyond (very many
 groups, so that a group is a small part of the rows or, if it is a large one, Spark splits its join).
 """
 
@@ -17,17 +17,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from designlab.functions.numeric import null_safe_join
-from designlab.session import cut_lineage
+from designlab.session import BROADCAST_ROWS, cut_lineage, measured
 
 DIGIT_BITS = 16
 KEY_BITS = 64
-#: (group, wanted bucket) rows that are broadcast at most
-BROADCAST_BUCKETS = 100_000
 _MANTISSA = 1 << 52
 _LEAST_NORMAL = 2.0 ** -1022
 _INF = float("inf")
@@ -83,19 +80,8 @@ def _narrowed(counts: DataFrame, group_cols: list[str], within: list[str]) -> Da
     return upto.select(*group_cols, "_n", "_c", "_p", rest.alias("_want")).where(F.size("_want") > 0)
 
 
-def _measured(buckets: DataFrame, most: int) -> tuple[DataFrame, int]:
-    """The buckets, computed (a broadcast table of ``most`` rows at most, or else a written one), and the
-    rows of the largest."""
-    found = buckets.limit(most + 1).toArrow()
-    if found.num_rows <= most:
-        largest = pc.max(found.column("_c")).as_py() or 0
-        return F.broadcast(buckets.sparkSession.createDataFrame(found, buckets.schema)), largest
-    buckets = cut_lineage(buckets)
-    return buckets, buckets.agg(F.max("_c")).first()[0]
-
-
 def select_ranks(rows: DataFrame, group_cols: Sequence[str],
-                 ranks: Callable[[Column], Sequence[Column]], broadcast_rows: int = BROADCAST_BUCKETS) -> DataFrame:
+                 ranks: Callable[[Column], Sequence[Column]], broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """(group columns, n, key0, key1, ...): per group of (group columns, ``_k``) rows their number and the
     keys at the 0-based ranks that ``ranks`` makes from it.
 
@@ -110,14 +96,15 @@ def select_ranks(rows: DataFrame, group_cols: Sequence[str],
     wanted = [r.cast("long") for r in ranks(F.col("_n"))]
     counts = counts.withColumn("_want", F.array(*[F.struct(F.lit(i).alias("pos"), r.alias("rank"))
                                                   for i, r in enumerate(wanted)]))
-    buckets, largest = _measured(_narrowed(counts, group_cols, []), broadcast_rows)
+    buckets = measured(_narrowed(counts, group_cols, []), broadcast_rows)
     shift = KEY_BITS - DIGIT_BITS
     while shift:
         here = null_safe_join(rows.withColumn("_p", F.shiftright(k, shift)), buckets.drop("_c"), [*group_cols, "_p"])
+        largest = buckets.agg(F.max("_c")).first()[0] or 0
         shift = shift - DIGIT_BITS if largest > 1 << DIGIT_BITS else 0
         counts = (here.groupBy(*group_cols, "_n", "_want", F.col("_p").alias("_in"), F.shiftright(k, shift).alias("_p"))
                   .agg(F.count(F.lit(1)).alias("_c")))
-        buckets, largest = _measured(_narrowed(counts, group_cols, ["_in"]), broadcast_rows)
+        buckets = measured(_narrowed(counts, group_cols, ["_in"]), broadcast_rows)
     found = buckets.select(*group_cols, "_n", "_p", F.explode("_want.pos").alias("_pos"))
     return found.groupBy(*group_cols).agg(
         F.max("_n").alias("n"), *[F.max(F.when(F.col("_pos") == i, F.col("_p"))).alias(f"key{i}")

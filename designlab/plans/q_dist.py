@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import round_to
+from designlab.functions.numeric import null_safe_join, round_to
 from designlab.operators import board, dist
 from designlab.plans.registry import register
 from designlab.plans.standins import PREDICTIONS_SQL, RUNLOG_CTES, predictions, run_log
@@ -20,6 +20,7 @@ KDE_GRID = 200
 KDE2_GRID = 50
 VIOLIN_GRID = 50
 HEX_GRID = 50
+HEX_GRID_ERROR = 150
 EDGES = (0.0, 4000.0, 40)      # right-closed bins on linspace(0, 4000, 40)
 SAMPLES = 20
 
@@ -96,15 +97,48 @@ def box_stats(spark, d):
     return stats
 
 
+@register("box_outliers", sql="""
+WITH q AS (SELECT l_returnflag, quantile_cont(l_discount * l_extendedprice, 0.25) AS q1,
+                  quantile_cont(l_discount * l_extendedprice, 0.75) AS q3 FROM lineitem GROUP BY l_returnflag),
+f AS (SELECT l_returnflag, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q)
+SELECT l_orderkey, l_linenumber, l_returnflag, round(l_discount * l_extendedprice, 6) AS discount_value, round(lo, 3) AS fence_lo,
+       round(hi, 3) AS fence_hi
+FROM lineitem JOIN f USING (l_returnflag) WHERE NOT (l_discount * l_extendedprice >= lo AND l_discount * l_extendedprice <= hi)""")
+def box_outliers(spark, d):
+    """The rows beyond the 1.5 IQR fences of their return flag, with the fences."""
+    li = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag",
+                                            (F.col("l_discount") * F.col("l_extendedprice")).alias("discount_value"))
+    _, outliers = dist.box_stats(li, "l_returnflag", "discount_value")
+    return outliers.select("l_orderkey", "l_linenumber", "l_returnflag", "discount_value",
+                           round_to("fence_lo", 3).alias("fence_lo"), round_to("fence_hi", 3).alias("fence_hi"))
+
+
+LATTICE, LATTICE_2D, REACH = 256, 64, 9.0   # lattice steps per bandwidth, reach of a bin in bandwidths
+
+
+def _kde_sql(source: str, value: str, grid: int, group: str | None = None) -> str:
+    """CTEs ending in ``k`` (group, i, x, density): linear binning, then the sum over the bins in reach."""
+    g, on = (f"{group}, ", f"USING ({group})") if group else ("", "ON true")
+    by = f"GROUP BY {group}" if group else ""
+    return f"""
+st0 AS (SELECT {g}min({value}) AS lo, max({value}) AS hi, count(*) AS n,
+               stddev_samp({value}) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw FROM {source} {by}),
+st AS (SELECT {g}n, bw, lo - 3.0 * bw AS g0, ((hi + 3.0 * bw) - (lo - 3.0 * bw)) / {_f(grid - 1)} AS gstep FROM st0 WHERE bw > 0),
+sf AS (SELECT *, ceil(gstep * {_f(LATTICE)} / bw) AS fine FROM st),
+u AS (SELECT {g}({value} - g0) / gstep * fine AS u FROM {source} JOIN sf {on}),
+w AS (SELECT {g}floor(u) AS j, 1.0 - (u - floor(u)) AS w FROM u UNION ALL SELECT {g}floor(u) + 1 AS j, u - floor(u) AS w FROM u),
+b AS (SELECT {g}j, sum(w) AS w FROM w WHERE w > 0 GROUP BY {g}j),
+k AS (SELECT {g}i, g0 + i * gstep AS x,
+             coalesce(sum(w * exp(-0.5 * pow((i - j / fine) * (gstep / bw), 2)))
+                      FILTER (WHERE abs(i - j / fine) <= {_f(REACH)} * bw / gstep), 0.0) / (n * bw * {_f(math.sqrt(2 * math.pi))}) AS density
+      FROM range({grid}) r(i), sf JOIN b {on} GROUP BY {g}i, g0, gstep, n, bw)"""
+
+
 @register("kde_1d", sql=f"""
-WITH st AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi, count(*) AS n,
-                   stddev_samp(l_extendedprice) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw FROM lineitem),
-g AS (SELECT i, lo - 3.0 * bw + i * (((hi + 3.0 * bw) - (lo - 3.0 * bw)) / {_f(KDE_GRID - 1)}) AS x, n, bw
-      FROM range({KDE_GRID}) r(i), st)
-SELECT g.i, round(g.x, 4) AS x, round(sum(exp(-0.5 * pow((g.x - l_extendedprice) / g.bw, 2))) / (g.n * g.bw * {_f(math.sqrt(2 * math.pi))}), 12) AS density
-FROM g, lineitem GROUP BY g.i, g.x, g.n, g.bw""", digits=None)
+WITH {_kde_sql("lineitem", "l_extendedprice", KDE_GRID)}
+SELECT i, round(x, 4) AS x, round(density, 12) AS density FROM k""", digits=None)
 def kde_1d(spark, d):
-    """Gaussian KDE (Scott bandwidth, 200 points, cut 3) of l_extendedprice, exact sum."""
+    """Gaussian KDE (Scott bandwidth, 200 points, cut 3) of l_extendedprice, binned."""
     k = dist.kde_1d(table(spark, d, "lineitem"), "l_extendedprice", KDE_GRID)
     return k.select("i", round_to("x", 4).alias("x"), round_to("density", 12).alias("density"))
 
@@ -115,30 +149,39 @@ st AS (SELECT count(*) AS n, min(x) AS xlo, max(x) AS xhi, min(y) AS ylo, max(y)
               var_samp(x) * pow(CAST(count(*) AS DOUBLE), -1.0 / 3.0) AS a,
               covar_samp(x, y) * pow(CAST(count(*) AS DOUBLE), -1.0 / 3.0) AS b,
               var_samp(y) * pow(CAST(count(*) AS DOUBLE), -1.0 / 3.0) AS c FROM x),
-p AS (SELECT *, a * c - b * b AS det, xlo - 3.0 * sqrt(a) AS x0, ylo - 3.0 * sqrt(c) AS y0,
-             ((xhi + 3.0 * sqrt(a)) - (xlo - 3.0 * sqrt(a))) / {_f(KDE2_GRID - 1)} AS sx,
-             ((yhi + 3.0 * sqrt(c)) - (ylo - 3.0 * sqrt(c))) / {_f(KDE2_GRID - 1)} AS sy FROM st),
-g AS (SELECT k // {KDE2_GRID} AS i, k % {KDE2_GRID} AS j, x0 + (k // {KDE2_GRID}) * sx AS gx, y0 + (k % {KDE2_GRID}) * sy AS gy,
-             c / det AS ia, -b / det AS ib, a / det AS ic, n, det FROM range({KDE2_GRID * KDE2_GRID}) r(k), p)
-SELECT i, j, round(gx, 6) AS x, round(gy, 6) AS y,
-       round(sum(exp(-0.5 * (ia * (gx - x.x) * (gx - x.x) + 2 * ib * (gx - x.x) * (gy - x.y) + ic * (gy - x.y) * (gy - x.y))))
+p0 AS (SELECT *, a * c - b * b AS det, xlo - 3.0 * sqrt(a) AS x0, ylo - 3.0 * sqrt(c) AS y0,
+              ((xhi + 3.0 * sqrt(a)) - (xlo - 3.0 * sqrt(a))) / {_f(KDE2_GRID - 1)} AS sx,
+              ((yhi + 3.0 * sqrt(c)) - (ylo - 3.0 * sqrt(c))) / {_f(KDE2_GRID - 1)} AS sy FROM st),
+p AS (SELECT n, det, x0, y0, sx, sy, a, c, c / det AS ia, -b / det AS ib, a / det AS ic,
+             ceil(sx * {_f(LATTICE_2D)} * sqrt(c / det)) AS fx, ceil(sy * {_f(LATTICE_2D)} * sqrt(a / det)) AS fy FROM p0),
+u AS (SELECT (x - x0) / sx * fx AS u, (y - y0) / sy * fy AS v FROM x, p),
+w AS (SELECT floor(u) + dx AS jx, floor(v) + dy AS jy,
+             (CASE WHEN dx = 1 THEN u - floor(u) ELSE 1.0 - (u - floor(u)) END)
+             * (CASE WHEN dy = 1 THEN v - floor(v) ELSE 1.0 - (v - floor(v)) END) AS w
+      FROM u, range(2) s(dx), range(2) t(dy)),
+b AS (SELECT jx, jy, sum(w) AS w FROM w WHERE w > 0 GROUP BY jx, jy),
+q AS (SELECT i, j, w, (i - jx / fx) * sx AS gx, (j - jy / fy) * sy AS gy, p.* FROM b, p, range({KDE2_GRID}) r(i), range({KDE2_GRID}) s(j))
+SELECT i, j, round(x0 + i * sx, 6) AS x, round(y0 + j * sy, 6) AS y,
+       round(coalesce(sum(w * exp(-0.5 * (ia * gx * gx + 2 * ib * gx * gy + ic * gy * gy)))
+                      FILTER (WHERE abs(gx) <= {_f(REACH)} * sqrt(a) AND abs(gy) <= {_f(REACH)} * sqrt(c)), 0.0)
              / (n * {_f(2 * math.pi)} * sqrt(det)), 15) AS density
-FROM g, x GROUP BY i, j, gx, gy, n, det""", digits=None)
+FROM q GROUP BY i, j, x0, y0, sx, sy, n, det""", digits=None)
 def kde_2d(spark, d):
-    """2-D Gaussian KDE of (total units, MAE) over the run log on a 50 x 50 grid."""
+    """2-D Gaussian KDE of (total units, MAE) over the run log on a 50 x 50 grid, binned."""
     log = run_log(spark, d).withColumn("tu", board.total_units().cast("double"))
     k = dist.kde_2d(log, "tu", "mae", KDE2_GRID)
     return k.select("i", "j", round_to("x", 6).alias("x"), round_to("y", 6).alias("y"),
                     round_to("density", 15).alias("density"))
 
 
-def _hex_sql() -> str:
-    nx, ny = HEX_GRID, int(HEX_GRID / math.sqrt(3))
+def _hex_sql(gridsize: int = HEX_GRID, y: str = "y_pred", log: bool = False) -> str:
+    nx, ny = gridsize, int(gridsize / math.sqrt(3))
+    log10 = ", round(log10(count(*)), 6) AS log10_count" if log else ""
     return f"""WITH {PREDICTIONS_SQL},
-st0 AS (SELECT min(y_true) AS xmin0, max(y_true) AS xmax0, min(y_pred) AS ymin, max(y_pred) AS ymax FROM predictions),
+st0 AS (SELECT min(y_true) AS xmin0, max(y_true) AS xmax0, min({y}) AS ymin, max({y}) AS ymax FROM predictions),
 st AS (SELECT xmin0 - 1e-9 * (xmax0 - xmin0) AS xmin, xmax0 + 1e-9 * (xmax0 - xmin0) AS xmax, ymin, ymax FROM st0),
 s AS (SELECT xmin, ymin, (xmax - xmin) / {_f(nx)} AS sx, (ymax - ymin) / {_f(ny)} AS sy FROM st),
-p AS (SELECT (y_true - xmin) / sx AS ix, (y_pred - ymin) / sy AS iy, xmin, ymin, sx, sy FROM predictions, s),
+p AS (SELECT (y_true - xmin) / sx AS ix, ({y} - ymin) / sy AS iy, xmin, ymin, sx, sy FROM predictions, s),
 q AS (SELECT *, round_even(ix, 0) AS ix1, round_even(iy, 0) AS iy1, floor(ix) AS ix2, floor(iy) AS iy2 FROM p),
 c AS (SELECT CASE WHEN pow(ix - ix1, 2) + 3.0 * pow(iy - iy1, 2) < pow(ix - ix2 - 0.5, 2) + 3.0 * pow(iy - iy2 - 0.5, 2)
                   THEN 1 ELSE 2 END AS lattice, * FROM q)
@@ -146,7 +189,7 @@ SELECT lattice, CAST(CASE WHEN lattice = 1 THEN ix1 ELSE ix2 END AS BIGINT) AS i
        CAST(CASE WHEN lattice = 1 THEN iy1 ELSE iy2 END AS BIGINT) AS j,
        round(min(xmin) + (CAST(CASE WHEN lattice = 1 THEN ix1 ELSE ix2 END AS BIGINT) + CASE WHEN lattice = 2 THEN 0.5 ELSE 0.0 END) * min(sx), 6) AS x_center,
        round(min(ymin) + (CAST(CASE WHEN lattice = 1 THEN iy1 ELSE iy2 END AS BIGINT) + CASE WHEN lattice = 2 THEN 0.5 ELSE 0.0 END) * min(sy), 6) AS y_center,
-       count(*) AS count
+       count(*) AS count{log10}
 FROM c GROUP BY 1, 2, 3"""
 
 
@@ -156,25 +199,26 @@ def hexbin(spark, d):
     return dist.hexbin(predictions(spark, d), "y_true", "y_pred", HEX_GRID)
 
 
+@register("hexbin_error_log", sql=_hex_sql(HEX_GRID_ERROR, "(y_pred - y_true)", log=True))
+def hexbin_error_log(spark, d):
+    """Hexagonal bins of (y_true, error) with the log10 of the count, gridsize 150."""
+    p = predictions(spark, d).withColumn("err", F.col("y_pred") - F.col("y_true"))
+    return dist.hexbin(p, "y_true", "err", HEX_GRID_ERROR, log=True)
+
+
 @register("violin_stats", sql=f"""{RUNLOG_CTES},
 q AS (SELECT activation, quantile_cont(mae, 0.25) AS q1, quantile_cont(mae, 0.5) AS median,
-             quantile_cont(mae, 0.75) AS q3 FROM runlog GROUP BY activation),
-st AS (SELECT activation, min(mae) AS lo, max(mae) AS hi, count(*) AS n,
-              stddev_samp(mae) * pow(CAST(count(*) AS DOUBLE), -0.2) AS bw FROM runlog GROUP BY activation),
-g AS (SELECT activation, i, lo - 3.0 * bw + i * (((hi + 3.0 * bw) - (lo - 3.0 * bw)) / {_f(VIOLIN_GRID - 1)}) AS x, n, bw
-      FROM range({VIOLIN_GRID}) r(i), st WHERE bw > 0),
-k AS (SELECT g.activation, g.i, g.x, sum(exp(-0.5 * pow((g.x - r.mae) / g.bw, 2))) / (g.n * g.bw * {_f(math.sqrt(2 * math.pi))}) AS density
-      FROM g JOIN runlog r USING (activation) GROUP BY g.activation, g.i, g.x, g.n, g.bw)
+             quantile_cont(mae, 0.75) AS q3 FROM runlog GROUP BY activation),{_kde_sql("runlog", "mae", VIOLIN_GRID, "activation")}
 SELECT k.activation, k.i, round(k.x, 6) AS x, round(k.density, 12) AS density,
        round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) AS q3
-FROM k JOIN q USING (activation)""", digits=None)
+FROM k JOIN q ON k.activation IS NOT DISTINCT FROM q.activation""", digits=None)
 def violin_stats(spark, d):
     """Per-activation quartiles of MAE and a 50-point KDE of it."""
     log = run_log(spark, d)
     k = dist.kde_1d(log, "mae", VIOLIN_GRID, group="activation")
     from designlab.operators.select import exact_quantiles
     q = exact_quantiles(log, "mae", [0.25, 0.5, 0.75], ["activation"], ["q1", "median", "q3"])
-    out = k.join(q, "activation")
+    out = null_safe_join(k, q, ["activation"])
     return out.select("activation", "i", round_to("x", 6).alias("x"), round_to("density", 12).alias("density"),
                       round_to("q1", 6).alias("q1"), round_to("median", 6).alias("median"), round_to("q3", 6).alias("q3"))
 
@@ -226,7 +270,7 @@ z AS (SELECT CAST(floor(o_orderkey / {SAMPLES}) AS BIGINT) AS it, o_orderkey,
 p AS (SELECT sqrt((a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)) AS dd
       FROM z a JOIN z b ON a.it = b.it AND a.o_orderkey < b.o_orderkey),
 r AS (SELECT min(dd) AS lo, max(dd) AS hi FROM p),
-c AS (SELECT CAST(least(floor((dd - lo) * ({_f(BINS)} / (hi - lo))), {BINS - 1}) AS BIGINT) AS bin, count(*) AS count
+c AS (SELECT CAST(least(floor((dd - lo) * ({_f(LATTICE)} / (hi - lo))), {BINS - 1}) AS BIGINT) AS bin, count(*) AS count
       FROM p, r GROUP BY 1)
 SELECT g.bin, coalesce(c.count, 0) AS count FROM range({BINS}) g(bin) LEFT JOIN c ON c.bin = g.bin"""
 

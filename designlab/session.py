@@ -10,6 +10,7 @@ import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every designlab job wants; the cluster may override any of them.
 DEFAULT_CONF = {
@@ -64,3 +65,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+#: rows of a table that is broadcast at most (statistics per group, buckets, cut points)
+BROADCAST_ROWS = 100_000
+
+
+def measured(df: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` computed once: a broadcast table if it has ``most`` rows at most, else a written one that
+    joins by a shuffle."""
+    found = df.limit(most + 1).toArrow()
+    if found.num_rows <= most:
+        return F.broadcast(df.sparkSession.createDataFrame(found, df.schema))
+    return cut_lineage(df)

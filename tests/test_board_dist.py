@@ -123,3 +123,54 @@ def test_layer_matrix_zero_and_null(spark):
     for fill, units in want.items():
         rows = board.layer_matrix(df, ["model_name"], fill=fill).orderBy("model_name", "layer").collect()
         assert [r.units for r in rows] == units
+
+
+def _density(x, grid, cut=3.0):
+    n, sd = len(x), np.std(x, ddof=1)
+    bw = sd * n ** -0.2
+    g = np.linspace(x.min() - cut * bw, x.max() + cut * bw, grid)
+    k = np.exp(-0.5 * ((g[:, None] - x[None, :]) / bw) ** 2).sum(1)
+    return g, k / (n * bw * np.sqrt(2 * np.pi)), bw
+
+
+def test_binned_kde_stays_within_its_bound(spark):
+    rng = np.random.default_rng(4)
+    rows = [("a", float(v)) for v in rng.normal(0, 3, 900)] + [(None, float(v)) for v in rng.exponential(2, 500)] \
+        + [("tied", 1.0)] * 50 + [("one", 2.0)] + [("b", 1.0)] * 400 + [("b", float(v)) for v in rng.uniform(0, 100, 30)] \
+        + [("a", float("nan")), ("a", None), ("a", float("inf"))]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = {}
+    for r in dist.kde_1d(df, "v", 60, group="g").collect():
+        got.setdefault(r.g, {})[r.i] = (r.x, r.density)
+    assert set(got) == {"a", "b", None}  # a group without spread has no density
+    whole = {r.i: (r.x, r.density) for r in dist.kde_1d(df, "v", 60).collect()}
+    for g, points in [*got.items(), ("whole", whole)]:
+        x = np.array([v for k, v in rows if (g == "whole" or k == g) and v is not None and np.isfinite(v)])
+        at, want, bw = _density(x, 60)
+        assert np.allclose([points[i][0] for i in range(60)], at)
+        error = np.abs(np.array([points[i][1] for i in range(60)]) - want).max()
+        assert error <= 1 / (8 * dist.KDE_BINS ** 2) / (bw * np.sqrt(2 * np.pi))
+
+
+def test_binned_kde_2d_stays_within_its_bound(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(0, 2, 400)
+    y = 0.8 * x + rng.normal(0, 0.5, 400)
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in zip(x, y, strict=True)] + [(None, 1.0)], "x double, y double")
+    got = {(r.i, r.j): r for r in dist.kde_2d(df, "x", "y", 20).collect()}
+    cov = np.cov(x, y) * 400 ** (-1 / 3)
+    inv, norm = np.linalg.inv(cov), 400 * 2 * np.pi * np.sqrt(np.linalg.det(cov))
+    assert len(got) == 400
+    for (i, j), r in got.items():
+        d = np.stack([r.x - x, r.y - y])
+        want = np.exp(-0.5 * np.einsum("an,ab,bn->n", d, inv, d)).sum() / norm
+        assert abs(r.density - want) <= 400 / (4 * dist.KDE_BINS_2D ** 2) / norm
+
+
+def test_outlier_rows_keep_their_columns_and_null_groups(spark):
+    rows = [(i, "a", float(i % 7)) for i in range(70)] + [(100, "a", 99.0), (101, None, 5.0), (102, None, 5.0), (103, None, -40.0)]
+    rows += [(200 + i, None, 5.0) for i in range(10)]
+    df = spark.createDataFrame(rows, "id long, g string, x double")
+    stats, out = dist.box_stats(df, "g", "x")
+    assert sorted((r.id, r.g, r.x) for r in out.collect()) == [(100, "a", 99.0), (103, None, -40.0)]
+    assert {r.g: r.n_outliers for r in stats.collect()} == {"a": 1, None: 1}
