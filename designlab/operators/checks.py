@@ -1,9 +1,11 @@
 """Completeness check of a design against its status and result tables (one plan).
 
 Rows of all three tables are compared by a canonical key of their input values
-(6 significant digits).  Status and result tables are first reduced to one row
-per key (hash aggregates with map-side combine, so a hot key costs one row per
-map task), then joined to the design rows; AQE splits a skewed design key.
+(6 significant digits).  The report reads each table once, as a tagged union under
+one aggregate by key.  Verdicts per design row join the design to the status and
+result tables, which are first reduced to one row per key (hash aggregates with
+map-side combine, so a hot key costs one row per map task); AQE splits a skewed
+design key.
 """
 
 from __future__ import annotations
@@ -68,14 +70,7 @@ def verdicts(design: DataFrame, status: DataFrame, results: DataFrame, expected:
     rc = key_counts(results).withColumnRenamed("n", "n_results")
     j = design.join(st, "key", "left").join(rc, "key", "left")
     n = F.coalesce(F.col("n_results"), F.lit(0).cast("long"))
-    verdict = (F.when(F.col("n_status").isNull(), F.lit("missing"))
-               .when(F.col("success") == 1,
-                     F.when(n == expected, F.lit("ok"))
-                     .when(n == 0, F.lit("no_results"))
-                     .when(n < expected, F.lit("too_few"))
-                     .otherwise(F.lit("too_many")))
-               .when(n > 0, F.lit("failed_with_results"))
-               .otherwise(F.lit("ok")))
+    verdict = _verdict(F.coalesce(F.col("n_status"), F.lit(0)), F.col("success"), n, expected)
     return j.select("row_no", "key", F.coalesce(F.col("n_status"), F.lit(0).cast("long")).alias("n_status"),
                     "success", n.alias("n_results"), verdict.alias("verdict"))
 
@@ -90,27 +85,55 @@ def strays(design: DataFrame, results: DataFrame) -> DataFrame:
     return key_counts(results).join(design.select("key"), "key", "left_anti").withColumnRenamed("n", "n_results")
 
 
+def key_table(design: DataFrame, status: DataFrame, results: DataFrame) -> DataFrame:
+    """E1 over all three tables at once: (key, n_design, n_status, success, n_results) per key.
+
+    A tagged union and one hash aggregate: every table is read once, and a hot key is one row per map task.
+    ``success`` is that of the key's first status row.
+    """
+    none = F.lit(None)
+    rows = (design.select("key", F.lit(1).alias("d"), F.lit(0).alias("s"), F.lit(0).alias("r"),
+                          none.cast("long").alias("row_no"), none.cast("int").alias("success"))
+            .unionAll(status.select("key", F.lit(0), F.lit(1), F.lit(0), F.col("row_no").cast("long"), F.col("success").cast("int")))
+            .unionAll(results.select("key", F.lit(0), F.lit(0), F.lit(1), none.cast("long"), none.cast("int"))))
+    return rows.groupBy("key").agg(F.sum("d").alias("n_design"), F.sum("s").alias("n_status"),
+                                   F.min_by("success", "row_no").alias("success"), F.sum("r").alias("n_results"))
+
+
+def _verdict(n_status, success, n_results, expected: int):
+    return (F.when(n_status == 0, F.lit("missing"))
+            .when(success == 1,
+                  F.when(n_results == expected, F.lit("ok"))
+                  .when(n_results == 0, F.lit("no_results"))
+                  .when(n_results < expected, F.lit("too_few"))
+                  .otherwise(F.lit("too_many")))
+            .when(n_results > 0, F.lit("failed_with_results"))
+            .otherwise(F.lit("ok")))
+
+
 def report(design: DataFrame, status: DataFrame, results: DataFrame, expected: int = 30) -> DataFrame:
     """Error count per fault kind plus 'total'; the check passes iff total == 0.
 
     A missing row counts once and nothing else; a duplicated table counts once;
-    stray keys count once whatever their number.
+    stray keys count once whatever their number.  The three tables are read once each.
     """
-    v = verdicts(design, status, results, expected)
-    per_row = v.agg(
-        F.count(F.when(F.col("verdict") == "missing", 1)).alias("missing"),
-        F.count(F.when((F.col("verdict") != "missing") & (F.col("n_status") > 1), 1)).alias("matched_twice"),
-        *[F.count(F.when(F.col("verdict") == k, 1)).alias(k)
-          for k in ("no_results", "too_few", "too_many", "failed_with_results")],
-    )
-    dup_d = first_repeat(design, "design").select((F.col("repeat_rows") > 0).cast("long").alias("duplicate_design"))
-    dup_s = first_repeat(status, "status").select((F.col("repeat_rows") > 0).cast("long").alias("duplicate_status"))
-    st = strays(design, results).agg((F.count(F.lit(1)) > 0).cast("long").alias("strays"))
-    wide = (per_row.withColumn("duplicate_design", dup_d.scalar())
-            .withColumn("duplicate_status", dup_s.scalar())
-            .withColumn("strays", st.scalar()))
-    total = sum((F.col(k) for k in FAULT_KINDS), F.lit(0).cast("long"))
-    wide = wide.withColumn("total", total)
+    keys = key_table(design, status, results).withColumn(
+        "verdict", _verdict(F.col("n_status"), F.col("success"), F.col("n_results"), expected))
+
+    def rows(condition):
+        """Design rows of the keys where the condition holds."""
+        return F.coalesce(F.sum(F.when(condition, F.col("n_design"))), F.lit(0).cast("long"))
+
+    def any_key(condition):
+        return F.coalesce(F.max(F.when(condition, 1)), F.lit(0)).cast("long")
+
+    v = F.col("verdict")
+    wide = keys.agg(
+        any_key(F.col("n_design") > 1).alias("duplicate_design"), any_key(F.col("n_status") > 1).alias("duplicate_status"),
+        rows(v == "missing").alias("missing"), rows((v != "missing") & (F.col("n_status") > 1)).alias("matched_twice"),
+        *[rows(v == k).alias(k) for k in ("no_results", "too_few", "too_many", "failed_with_results")],
+        any_key((F.col("n_design") == 0) & (F.col("n_results") > 0)).alias("strays"))
+    wide = wide.withColumn("total", sum((F.col(k) for k in FAULT_KINDS), F.lit(0).cast("long")))
     kinds = list(FAULT_KINDS) + ["total"]
     return wide.select(F.inline(F.array(*[
         F.struct(F.lit(i).alias("pos"), F.lit(k).alias("kind"), F.col(k).cast("long").alias("errors"))

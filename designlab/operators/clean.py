@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -64,49 +64,80 @@ def split_unit(col) -> tuple[Column, Column]:
     return value, unit
 
 
+def unit_profile(df: DataFrame, order_col: str | None = None, cast: str = "double",
+                 keep: Sequence[str] = ()) -> DataFrame:
+    """A4 report: one row per column (pos, column, unit, filled, unparsed): the first unit in file order, the
+    filled cells, and those of them that are no ``cast``.  One aggregate over the cells."""
+    cols = [c for c in df.columns if c not in keep and c != order_col]
+    base = df if order_col else df.withColumn("_row", F.monotonically_increasing_id())
+    aggs = []
+    for i, c in enumerate(cols):
+        v, u = split_unit(F.col(f"`{c}`").cast("string"))
+        v = F.trim(v)
+        aggs += [F.min_by(u, F.when(u != "", F.col(order_col or "_row"))).alias(f"u{i}"),
+                 F.count(F.when(v != "", 1)).alias(f"f{i}"),
+                 F.count(F.when((v != "") & v.try_cast(cast).isNull(), 1)).alias(f"b{i}")]
+    wide = base.agg(*aggs)
+    return wide.select(F.inline(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(c).alias("column"), F.col(f"u{i}").alias("unit"),
+                 F.col(f"f{i}").alias("filled"), F.col(f"b{i}").alias("unparsed")) for i, c in enumerate(cols)])))
+
+
 def unit_split(df: DataFrame, order_col: str | None = None, cast: str | None = "double",
                keep: Sequence[str] = ()) -> DataFrame:
     """A4: strip trailing ``[unit]`` from cells; header gets the first unit seen in file order.
 
     A header that already holds ``[`` is left alone.  ``order_col`` gives file
     order (default: scan order via ``monotonically_increasing_id``).  Columns in
-    ``keep`` pass through untouched.  A column in which no filled cell parses as
-    ``cast`` stays text; in the others a cell that does not parse becomes NULL.
+    ``keep`` pass through untouched.  A column in which any filled cell does not parse as
+    ``cast`` stays text, so no cell is lost; ``unit_profile`` counts such cells.
     """
     text_cols = [c for c in df.columns if c not in keep and c != order_col]
-    base = df if order_col else df.withColumn("_row", F.monotonically_increasing_id())
-    oc = order_col or "_row"
-    parts = {c: split_unit(F.col(f"`{c}`").cast("string")) for c in text_cols}
-    # one aggregate: first non-empty unit per column in file order, and cells that are no numbers
-    firsts = base.agg(*[F.min_by(u, F.when(u != "", F.col(oc))).alias(f"u{i}")
-                        for i, (c, (_, u)) in enumerate(parts.items())],
-                      *[(F.bool_or(F.trim(v) != "") & ~F.bool_or(F.trim(v).try_cast(cast or "string").isNotNull()))
-                        .alias(f"text{i}") for i, (c, (v, _)) in enumerate(parts.items())]).first()
+    profile = unit_profile(df, order_col, cast or "string", keep).collect() if text_cols else []  # one row per column
     out_cols = [F.col(f"`{k}`") for k in keep]
-    for i, (c, (v, _)) in enumerate(parts.items()):
-        unit = firsts[f"u{i}"]
+    for row in profile:
+        c, unit = row["column"], row["unit"]
+        v = F.trim(split_unit(F.col(f"`{c}`").cast("string"))[0])
+        v = F.when(v != "", v)
         name = c if ("[" in c or not unit) else f"{c} {unit}"
-        v = F.when(F.trim(v) == "", F.lit(None)).otherwise(F.trim(v))
-        out_cols.append((v.try_cast(cast) if cast and not firsts[f"text{i}"] else v).alias(name))
+        out_cols.append((v.try_cast(cast) if cast and not row["unparsed"] else v).alias(name))
     if order_col:
         out_cols.insert(0, F.col(order_col))
-    return base.select(*out_cols)
+    return df.select(*out_cols)
+
+
+def is_complete(df: DataFrame) -> Column:
+    """No NULL, empty string or NaN in any column of the row."""
+    ok = F.lit(True)
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        ok = ok & c.isNotNull()
+        if isinstance(f.dataType, T.StringType):
+            ok = ok & (c != "")
+        elif isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            ok = ok & ~F.isnan(c)
+    return ok
+
+
+def drop_incomplete(df: DataFrame, observe: Observation | None = None) -> DataFrame:
+    """Drop rows with any NULL, empty string or NaN (pandas ``dropna`` after '' -> NA).
+
+    ``observe`` gets rows_in, rows_out and removed once the result is computed, in the same pass.
+    """
+    ok = is_complete(df)
+    if observe is not None:
+        df = df.observe(observe, *_row_counts(ok))
+    return df.where(ok)
 
 
-def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Drop rows with any NULL, empty string or NaN (pandas ``dropna`` after '' -> NA)."""
-    str_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    cleaned = df
-    for c in str_cols:
-        cleaned = cleaned.withColumn(c, F.when(F.col(c) == "", F.lit(None)).otherwise(F.col(c)))
-    return cleaned.na.drop("any")
+def _row_counts(ok: Column) -> list[Column]:
+    n, kept = F.count(F.lit(1)), F.count(F.when(ok, 1))
+    return [n.alias("rows_in"), kept.alias("rows_out"), (n - kept).alias("removed")]
 
 
-def count_removed(before: DataFrame, after: DataFrame) -> DataFrame:
-    """Removed-row count of C3 as a one-row table (two counts, no collect)."""
-    return before.agg(F.count(F.lit(1)).alias("rows_in")).withColumn(
-        "rows_out", after.select(F.count(F.lit(1))).scalar()).withColumn(
-        "removed", F.col("rows_in") - F.col("rows_out"))
+def count_incomplete(df: DataFrame) -> DataFrame:
+    """C3 report: rows in, kept and removed, in one scan."""
+    return df.agg(*_row_counts(is_complete(df)))
 
 
 def finite_pairs(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -3,7 +3,7 @@
     space = DesignSpace.from_json(spark, "space.json", koh=1.0)
     d = space.latin_hypercube(200, seed=1)          # DataFrame: design_id + parameters + linked columns
     space.save_csv(d, "out/lhs")                     # %.6g[unit] text cells
-    space.save_param_list(d, "out/lhs_list")         # name "v1, v2, ..." [unit]
+    space.save_param_list(d, "out/lhs_list")         # name "v1, v2, ..." [unit], a folder each
 
 Samplers take a seed and are reproducible; rows come from ``spark.range`` so a
 design of any size is generated on the executors.
@@ -116,4 +116,4 @@ class DesignSpace:
     def save_param_list(self, df: DataFrame, path: str, legacy_round: bool = False) -> None:
         """A7."""
         cols = [c for c in df.columns if c != "design_id"]
-        files.write_param_list(files.param_list(df, self.units, cols, legacy_round=legacy_round), path)
+        files.write_param_list(files.param_values(df, self.units, cols, legacy_round=legacy_round), path)

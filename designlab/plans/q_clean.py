@@ -35,6 +35,40 @@ def unit_split(spark, d):
     return clean.unit_split(_part_text(spark, d), order_col="p_partkey")
 
 
+MIXED_SQL = """
+t AS (SELECT p_partkey, printf('%.6g', p_retailprice) || CASE WHEN p_size > 5 THEN '[USD]' ELSE '' END AS price,
+             CASE WHEN p_size % 10 = 3 THEN p_type WHEN p_size % 10 = 4 THEN '' ELSE CAST(p_size AS VARCHAR) || '[cm]' END AS size FROM part),
+v AS (SELECT p_partkey, 0 AS pos, 'price' AS "column", price AS cell FROM t UNION ALL SELECT p_partkey, 1, 'size', size FROM t)"""
+
+
+def _mixed_text(spark, d):
+    """As ``_part_text``, but some sizes are words and some are empty."""
+    p = table(spark, d, "part")
+    size = (F.when(F.col("p_size") % 10 == 3, F.col("p_type")).when(F.col("p_size") % 10 == 4, "")
+            .otherwise(F.concat(F.col("p_size").cast("string"), F.lit("[cm]"))))
+    return _part_text(spark, d).drop("size").join(p.select("p_partkey", size.alias("size")), "p_partkey")
+
+
+@register("unit_profile", sql=f"""
+WITH {MIXED_SQL}
+SELECT pos, "column", arg_min(regexp_extract(cell, {UNIT_RE}, 2), p_partkey) FILTER (WHERE regexp_matches(cell, {UNIT_RE})) AS unit,
+       count(*) FILTER (WHERE cell <> '') AS filled,
+       count(*) FILTER (WHERE cell <> '' AND {_sql_value('cell')} IS NULL) AS unparsed
+FROM v GROUP BY pos, "column\"""")
+def unit_profile(spark, d):
+    """A4 report: first unit, filled cells and cells that are no numbers, per column of a mixed table."""
+    return clean.unit_profile(_mixed_text(spark, d), order_col="p_partkey")
+
+
+@register("unit_split_mixed", sql=f"""
+WITH {MIXED_SQL}
+SELECT p_partkey, {_sql_value('price')} AS "price [USD]",
+       nullif(trim(CASE WHEN regexp_matches(size, {UNIT_RE}) THEN regexp_extract(size, {UNIT_RE}, 1) ELSE size END), '') AS "size [cm]" FROM t""")
+def unit_split_mixed(spark, d):
+    """A4: a column with words among its numbers stays text, none of its cells is lost."""
+    return clean.unit_split(_mixed_text(spark, d), order_col="p_partkey")
+
+
 def _k6(x: str) -> str:
     return f"printf('%.5e', CASE WHEN CAST({x} AS DOUBLE) = 0 THEN 0.0 ELSE CAST({x} AS DOUBLE) END)"
 
@@ -77,8 +111,7 @@ SELECT count(*) AS rows_in, count(*) FILTER (WHERE l_tax <> 0 AND l_returnflag <
        count(*) FILTER (WHERE NOT (l_tax <> 0 AND l_returnflag <> 'N')) AS removed FROM lineitem""")
 def drop_incomplete_count(spark, d):
     """C3 report: rows in, rows kept, rows removed."""
-    f = _incomplete_frame(spark, d)
-    return clean.count_removed(f, clean.drop_incomplete(f))
+    return clean.count_incomplete(_incomplete_frame(spark, d))
 
 
 @register("finite_pairs", sql="""

@@ -7,11 +7,14 @@ the work grows with the tables.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from designlab.operators import design, space
 from designlab.plans.registry import register
 from designlab.plans.tables import table
+from designlab.session import checkpoint_dir
 from designlab.sources import files
 
 SEED = 42
@@ -19,7 +22,6 @@ KOH = 1.0
 SAMPLES = 20          # points per maximin candidate
 GRID_K = 3
 FRACTION = "a b c abc"
-BLOCK = 100_000
 
 # Stand-in space (fixed values): name, column, unit, convert_to, scaling factor, offset, linked names
 SPACE = [
@@ -273,15 +275,16 @@ WITH {LEVELS_SQL}, {BOUNDS_SQL},
 r AS (SELECT o_orderkey AS design_id, {", ".join(_rescale_sql(_hu(str(SEED), n, 'o_orderkey'), n) + f' AS {n}' for n in NAMES)}
       FROM orders, bd),
 s AS ({" UNION ALL ".join(f"SELECT {i} AS pos, '{n}' AS name, design_id, {n} AS v FROM r" for i, n in enumerate(NAMES))})
-SELECT pos, name, CAST(floor(design_id / {BLOCK}) AS BIGINT) AS block,
-       name || ' "' || string_agg({_sig6_sql('v')}, ', ' ORDER BY design_id) || '" [' ||
-       CASE name {" ".join(f"WHEN '{n}' THEN '{OUT_UNITS[n] or ''}'" for n in NAMES)} END || ']' AS line
-FROM s GROUP BY pos, name, floor(design_id / {BLOCK})""")
+SELECT name AS param, CASE WHEN design_id = (SELECT min(design_id) FROM r) THEN name || ' "' ELSE '' END || {_sig6_sql('v')} ||
+       CASE WHEN design_id = (SELECT max(design_id) FROM r)
+            THEN '" [' || CASE name {" ".join(f"WHEN '{n}' THEN '{OUT_UNITS[n] or ''}'" for n in NAMES)} END || ']' ELSE '' END AS piece
+FROM s""")
 def param_list_export(spark, d):
-    """Transposed list 'name "v1, v2, ..." [unit]' per parameter, in blocks of design rows."""
+    """Transposed list 'name "v1, v2, ..." [unit]' per parameter, written in pieces and read back."""
     rnd = design.random_uniform(_ids(spark, d), _bounds(_params(spark, d)), SEED)
-    out = files.param_list(rnd, OUT_UNITS, NAMES, block_size=BLOCK)
-    return out.select("pos", "name", F.col("block").cast("long").alias("block"), "line")
+    folder = f"{checkpoint_dir(spark).rstrip('/')}/param-list-{uuid.uuid4().hex[:8]}"
+    files.write_param_list(files.param_values(rnd, OUT_UNITS, NAMES), folder)
+    return files.read_param_list(spark, folder)
 
 
 @register("design_csv_roundtrip", sql=f"""
@@ -293,9 +296,6 @@ FROM r""", digits=12)
 def design_csv_roundtrip(spark, d):
     """A6 then A4: the random design written as a unit-tagged CSV in the shared folder, read back with
     units moved from the cells to the headers (values keep 6 significant digits)."""
-    import uuid
-
-    from designlab.session import checkpoint_dir
     rnd = design.random_uniform(_ids(spark, d), _bounds(_params(spark, d)), SEED)
     folder = f"{checkpoint_dir(spark).rstrip('/')}/design-{uuid.uuid4().hex[:8]}"
     files.design_text(rnd, OUT_UNITS).write.mode("overwrite").option("header", True).csv(folder)

@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from designlab.functions.numeric import nans_to_nulls, sig6
+from designlab.functions.numeric import bind_stats, nans_to_nulls, sig6
 from designlab.operators.clean import unit_split
 
 # Missing-value tokens pandas reads as NA (fixed values)
@@ -21,18 +21,27 @@ NA_TOKENS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan
              "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, comment: str | None = None) -> DataFrame:
-    """A3: header CSV with an explicit schema; NA tokens and NaN become NULL."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, comment: str | None = None,
+             observe: Observation | None = None) -> DataFrame:
+    """A3: header CSV with an explicit schema; NA tokens and NaN become NULL.
+
+    A cell that is no value of its column's type becomes NULL; ``observe`` gets their number per column
+    (``bad_<column>``) in the pass that computes the result.
+    """
     r = spark.read.option("header", True).option("mode", "PERMISSIVE")
     if comment:
         r = r.option("comment", comment)
     text_schema = schema if isinstance(schema, T.StructType) else T._parse_datatype_string(schema)
     raw = r.schema(T.StructType([T.StructField(f.name, T.StringType()) for f in text_schema.fields])).csv(path)
-    cols = []
+    cols, bad = [], []
     for f in text_schema.fields:
         c = F.trim(F.col(f"`{f.name}`"))
-        c = F.when(c.isin(*NA_TOKENS), F.lit(None)).otherwise(c)
-        cols.append(c.try_cast(f.dataType).alias(f.name) if not isinstance(f.dataType, T.StringType) else c.alias(f.name))
+        c = F.when(~c.isin(*NA_TOKENS), c)
+        typed = c if isinstance(f.dataType, T.StringType) else c.try_cast(f.dataType)
+        cols.append(typed.alias(f.name))
+        bad.append(F.count(F.when(c.isNotNull() & typed.isNull(), 1)).alias(f"bad_{f.name}"))
+    if observe is not None:
+        raw = raw.observe(observe, *bad)
     return nans_to_nulls(raw.select(*cols))
 
 
@@ -43,10 +52,18 @@ def read_unit_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def solver_header(spark: SparkSession, path: str | list[str], comment: str = "%") -> list[str]:
-    """A5: column names = the last comment line of the preamble (one small aggregate)."""
-    lines = spark.read.text(path).withColumn("_pos", F.monotonically_increasing_id())
-    last = lines.where(F.col("value").startswith(comment)).agg(F.max_by("value", "_pos")).first()[0]
+    """A5: column names = the last comment line of the preamble.
+
+    Only the files' first lines are read: the preamble ends with the first line that is no comment.
+    """
+    import itertools
     import re
+    text = spark.read.text(path if isinstance(path, str) else path[0])
+    n, lines = 256, []
+    while not lines or (len(lines) == n // 4 and lines[-1].startswith(comment)):
+        lines = [r.value for r in text.take(n)]
+        n *= 4
+    last = [*itertools.takewhile(lambda line: line.startswith(comment), lines)][-1]
     body = last.lstrip(comment).strip()
     return [c for c in re.split(r"\s{2,}|,|\t", body) if c]
 
@@ -76,34 +93,42 @@ def write_design_csv(design: DataFrame, units: dict[str, str | None], path: str,
     text.write.mode("overwrite").option("header", True).csv(path)
 
 
-def param_list(design: DataFrame, units: dict[str, str | None], params: Sequence[str],
-               order_col: str = "design_id", block_size: int = 100_000,
-               legacy_round: bool = False) -> DataFrame:
-    """Transposed parameter list: ``name "v1, v2, ..." [unit]`` per parameter.
+LIST_SEP = ", "
+
+
+def param_values(design: DataFrame, units: dict[str, str | None], params: Sequence[str],
+                 order_col: str = "design_id", legacy_round: bool = False) -> DataFrame:
+    """Transposed parameter list ``name "v1, v2, ..." [unit]`` in pieces, one per value: (pos, param,
+    order column, piece).
 
-    Values are joined in design order inside blocks of ``block_size`` rows, so no
-    group ever holds more than one block; a parameter's line is the block texts in
-    block order.  ``legacy_round`` rounds to 6 decimals before formatting (the
+    The pieces of a parameter in design order, joined by ``, ``, are its list: the first piece has the name
+    before it, the last the unit behind it.  ``legacy_round`` rounds to 6 decimals before formatting (the
     original's precision loss); the default keeps 6 significant digits.
     """
-    stacked = design.select(F.col(order_col).alias("_o"), F.explode(F.array(*[
-        F.struct(F.lit(i).alias("pos"), F.lit(p).alias("name"), F.col(p).cast("double").alias("v"))
-        for i, p in enumerate(params)])).alias("_s")).select("_o", "_s.*")
+    ends = design.agg(F.min(order_col).alias("first"), F.max(order_col).alias("last"))
+    rows = bind_stats(design.select(order_col, *params), ends, "_ends")
+    stacked = rows.select(order_col, "_ends", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("pos"), F.lit(p).alias("param"), F.lit(units.get(p) or "").alias("unit"),
+                 F.col(p).cast("double").alias("v")) for i, p in enumerate(params)])).alias("_s")).select(order_col, "_ends", "_s.*")
     # numpy's round: rint(v * 1e6) / 1e6 (half to even on the binary value)
     v = F.bround(F.col("v") * F.lit(1e6), 0) / F.lit(1e6) if legacy_round else F.col("v")
-    stacked = stacked.withColumn("block", F.floor(F.col("_o") / F.lit(block_size))).withColumn("txt", sig6(v))
-    agg = stacked.groupBy("pos", "name", "block").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("_o", "txt"))), lambda x: x.getField("txt")),
-                     ", ").alias("vals"))
-    unit_map = F.create_map(*[x for p in params for x in (F.lit(p), F.lit(units.get(p) or ""))])
-    return agg.select("pos", "name", "block", "vals",
-                      F.concat(F.col("name"), F.lit(' "'), F.col("vals"), F.lit('" ['),
-                               F.element_at(unit_map, F.col("name")), F.lit("]")).alias("line"))
-
-
-def write_param_list(lines: DataFrame, path: str) -> None:
-    """A7 sink: lines in (parameter, block) order; later blocks of a parameter continue its list."""
-    lines.orderBy("pos", "block").select("line").write.mode("overwrite").text(path)
+    head = F.when(F.col(order_col) == F.col("_ends.first"), F.concat("param", F.lit(' "'))).otherwise("")
+    tail = F.when(F.col(order_col) == F.col("_ends.last"), F.concat(F.lit('" ['), "unit", F.lit("]"))).otherwise("")
+    return stacked.select("pos", "param", order_col, F.concat(head, F.coalesce(sig6(v), F.lit("")), tail).alias("piece"))
+
+
+def write_param_list(values: DataFrame, path: str, order_col: str = "design_id") -> None:
+    """A7 sink of any length: one folder per parameter whose files, in order of name, hold its list.
+
+    Pieces are range-sorted, so a list is written by many tasks; ``, `` is the files' line separator.
+    """
+    (values.orderBy("param", order_col).select("param", "piece").write.mode("overwrite")
+     .partitionBy("param").option("lineSep", LIST_SEP).text(path))
+
+
+def read_param_list(spark: SparkSession, path: str) -> DataFrame:
+    """(param, piece) of a written parameter list."""
+    return spark.read.option("lineSep", LIST_SEP).text(path).select("param", F.col("value").alias("piece"))
 
 
 # ---------------------------------------------------------------- run log

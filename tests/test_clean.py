@@ -1,5 +1,6 @@
 """Unit-tagged text, canonical numbers, incomplete rows (FIXTURES 8)."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from designlab.functions.numeric import sig6
@@ -13,7 +14,10 @@ def test_unit_split_edge_cells(spark):
     out = clean.unit_split(df, order_col="row", keep=["c"])
     assert out.columns == ["row", "c", "a [m]", "b [s]"]
     vals = {r["row"]: r["a [m]"] for r in out.collect()}
-    assert vals[0] == 7e-5 and vals[1] == 7e-5 and vals[2] is None and vals[3] is None and vals[4] == 1.0
+    # one cell is no number: the column stays text, and the cell is counted
+    assert vals == {0: "7e-5", 1: "7e-5", 2: "abc", 3: None, 4: "1"}
+    profile = {r.column: (r.unit, r.filled, r.unparsed) for r in clean.unit_profile(df, "row", keep=["c"]).collect()}
+    assert profile == {"a": ("[m]", 4, 1), "b [s]": ("[s]", 4, 0)}
     # header already tagged stays as is; its cells still lose the unit
     assert {r["row"]: r["b [s]"] for r in out.collect()}[1] == 2.0
 
@@ -38,10 +42,14 @@ def test_key6_ties_and_text(spark):
 
 def test_drop_incomplete(spark):
     df = spark.createDataFrame([(1.0, "a"), (None, "b"), (float("nan"), "c"), (2.0, ""), (3.0, "d")], "x double, s string")
-    out = clean.drop_incomplete(df)
+    seen = Observation()
+    out = clean.drop_incomplete(df, observe=seen)
     assert sorted(r["x"] for r in out.collect()) == [1.0, 3.0]
-    rep = clean.count_removed(df, out).first()
-    assert (rep["rows_in"], rep["rows_out"], rep["removed"]) == (5, 2, 3)
+    assert seen.get == {"rows_in": 5, "rows_out": 2, "removed": 3}
+    assert clean.count_incomplete(df).first().asDict() == seen.get
+    assert clean.count_incomplete(df.limit(0)).first().asDict() == {"rows_in": 0, "rows_out": 0, "removed": 0}
+    plan = clean.count_incomplete(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LogicalRDD") + plan.count("LocalRelation") == 1  # one scan
 
 
 def test_finite_pairs_and_np_divide(spark):

@@ -2,7 +2,10 @@
 
 import json
 import os
+import pathlib
 
+import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from designlab.operators import space
@@ -43,11 +46,28 @@ def test_design_text_and_param_list(spark):
     df = spark.createDataFrame([(0, 7.0617e-05, 0.6031749561242999), (1, 8.6806e-05, 0.66)], "design_id long, W double, eps double")
     t = files.design_text(df, {"W": "m", "eps": None}).orderBy("design_id").collect()
     assert t[0]["W"] == "7.0617e-05[m]" and t[0]["eps"] == 0.6031749561242999
-    lines = files.param_list(df, {"W": "m", "eps": None}, ["W", "eps"]).orderBy("pos").collect()
-    assert lines[0]["line"] == 'W "7.0617e-05, 8.6806e-05" [m]'
-    assert lines[1]["line"] == 'eps "0.603175, 0.66" []'
-    legacy = files.param_list(df, {"W": "m"}, ["W"], legacy_round=True).first()["line"]
-    assert legacy == 'W "7.1e-05, 8.7e-05" [m]'
+
+
+def _lists(path):
+    """The written list of each parameter: its files in order of name."""
+    return {d.name.removeprefix("param="): "".join(f.read_text() for f in sorted(d.glob("part-*")))
+            for d in pathlib.Path(path).glob("param=*")}
+
+
+@pytest.mark.parametrize("n", [2, 7, 150_000])
+def test_param_list_of_any_length(spark, tmp_dir, n):
+    df = spark.range(0, n, 1, 5).select((n - 1 - F.col("id")).alias("design_id"), (7.0617e-05 + (n - 1 - F.col("id")) * 1e-5).alias("W"),
+                                        F.lit(0.6031749561242999).alias("eps"))
+    files.write_param_list(files.param_values(df, {"W": "m", "eps": None}, ["W", "eps"]), tmp_dir + "/l")
+    got = _lists(tmp_dir + "/l")
+    assert got["eps"] == 'eps "' + ", ".join(["0.603175"] * n) + '" [], '
+    values = [v for v in got["W"].removeprefix('W "').removesuffix('" [m], ').split(", ")]
+    assert values[:2] == ["7.0617e-05", "8.0617e-05"] and len(values) == n
+    assert all(abs(float(v) / (7.0617e-05 + i * 1e-5) - 1) < 1e-5 for i, v in enumerate(values))
+    back = files.read_param_list(spark, tmp_dir + "/l")
+    assert {r["param"]: r["count"] for r in back.groupBy("param").count().collect()} == {"W": n, "eps": n}
+    files.write_param_list(files.param_values(df.where("design_id < 2"), {"W": "m"}, ["W"], legacy_round=True), tmp_dir + "/r")
+    assert _lists(tmp_dir + "/r")["W"] == 'W "7.1e-05, 8.1e-05" [m], '
 
 
 def test_unit_csv_roundtrip(spark, tmp_dir):
@@ -103,8 +123,8 @@ def test_design_space_workflow(spark, tmp_dir):
     assert first["W_mem"].endswith("[m]") and first["T"].endswith("[degC]") and first["i0_ref_O2"].endswith("[A/m^2]")
     lst = os.path.join(tmp_dir, "lhs_list")
     ds.save_param_list(lhs, lst)
-    lines = [r.value for r in spark.read.text(lst).collect()]
-    assert len(lines) == 6 and any(x.startswith('W_mem "') and x.endswith("[m]") for x in lines)
+    lines = _lists(lst)
+    assert len(lines) == 6 and lines["W_mem"].startswith('W_mem "') and lines["W_mem"].endswith('" [m], ')
     looked = DesignSpace.from_json(spark, p, koh=1.0, use_lookup=True).full_factorial()
     vals = {r["T"]: r["i0_ref_O2"] for r in looked.select("T", "i0_ref_O2").distinct().collect()}
     assert vals[30.0] == 0.014 and vals[80.0] == 0.035
@@ -114,9 +134,11 @@ def test_read_csv_na_tokens(spark, tmp_dir):
     p = os.path.join(tmp_dir, "r.csv")
     with open(p, "w") as f:
         f.write("a,b,c\n1.5,NA,x\n,2,\nNaN,3,y\nabc,4,z\n")
-    df = files.read_csv(spark, p, "a double, b int, c string")
+    seen = Observation()
+    df = files.read_csv(spark, p, "a double, b int, c string", observe=seen)
     rows = [tuple(r) for r in df.collect()]
     assert rows == [(1.5, None, "x"), (None, 2, None), (None, 3, "y"), (None, 4, "z")]
+    assert seen.get == {"bad_a": 1, "bad_b": 0, "bad_c": 0}
 
 
 def test_run_log_prunes_by_data_file(spark, tmp_dir):
