@@ -11,12 +11,13 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
-from designlab.functions.numeric import bind_stats
+from designlab.functions.numeric import bind_stats, round_to
 from designlab.operators import board, clean, prep, surrogate
+from designlab.plans.q_prep import ROW_SPLIT_SQL
 from designlab.plans.registry import register
 from designlab.plans.standins import PREDICTIONS_SQL, RUNLOG_CTES, predictions, run_log
 from designlab.plans.tables import table
-from designlab.session import checkpoint_dir
+from designlab.session import checkpoint_dir, cut_lineage
 from designlab.sources import files
 
 SEED = 42
@@ -63,7 +64,7 @@ def linear_fit(spark, d):
 def fit_score(spark, d):
     """Linear, huber, early-stopped GBT and forest surrogates fitted on train rows,
     scored on the held-out test rows (one metric row per learner)."""
-    split = _split(spark, d)
+    split = cut_lineage(_split(spark, d))
     train = split.where(F.col("split") != "test").withColumn("is_val", F.col("split") == "val")
     test = split.where(F.col("split") == "test")
     fits = {
@@ -106,24 +107,72 @@ def pca_2d(spark, d):
     return z.select("vec_id", "label", *cols)
 
 
-SWEEP = [{"name": f"lin_{loss}_{reg}", "kind": "linear", "loss": loss, "regParam": reg}
-         for loss in ("squaredError", "huber") for reg in (0.0, 0.01, 0.1, 1.0)]
+RIDGE = {f"ridge_{reg}": reg for reg in (0.0, 0.001, 0.01, 0.03, 0.1, 0.3, 1.0, 10.0)}
 
 
-@register("sweep")
+def _ridge_sql(settings: dict[str, float]) -> str:
+    """CTEs ending in ``sc`` (model_name, split, y_true, y_pred): the 3 x 3 ridge system solved by determinants."""
+    x = INPUTS
+    one = ", ".join(f"avg({c}) AS m{i}, stddev_pop({c}) AS s{i}, covar_pop({c}, {LABEL}) / stddev_pop({c}) AS c{i}"
+                    for i, c in enumerate(x, 1))
+    two = ", ".join(f"corr({x[i]}, {x[j]}) AS r{i + 1}{j + 1}" for i, j in ((0, 1), (0, 2), (1, 2)))
+    pred = " + ".join(f"b{i} * ({c} - m{i}) / s{i}" for i, c in enumerate(x, 1))
+    return f"""{ROW_SPLIT_SQL},
+cfg AS (SELECT * FROM (VALUES {", ".join(f"('{n}', {_f(1.0 + reg)})" for n, reg in settings.items())}) t(model_name, a)),
+tr AS (SELECT {one}, {two}, avg({LABEL}) AS my FROM rs WHERE split = 'train'),
+de AS (SELECT *, a * (a * a - r23 * r23) - r12 * (r12 * a - r23 * r13) + r13 * (r12 * r23 - a * r13) AS det FROM tr, cfg),
+be AS (SELECT *, (c1 * (a * a - r23 * r23) - r12 * (c2 * a - r23 * c3) + r13 * (c2 * r23 - a * c3)) / det AS b1,
+              (a * (c2 * a - r23 * c3) - c1 * (r12 * a - r23 * r13) + r13 * (r12 * c3 - c2 * r13)) / det AS b2,
+              (a * (a * c3 - c2 * r23) - r12 * (r12 * c3 - c2 * r13) + c1 * (r12 * r23 - a * r13)) / det AS b3 FROM de),
+sc AS (SELECT model_name, split, {LABEL} AS y_true, my + {pred} AS y_pred FROM rs, be WHERE split <> 'train'),
+me AS (SELECT model_name, count(*) AS n, avg(abs(y_true - y_pred)) AS mae, sqrt(avg(pow(y_true - y_pred, 2))) AS rmse,
+              1 - sum(pow(y_true - y_pred, 2)) / (var_pop(y_true) * count(*)) AS r2,
+              avg(abs((y_true - y_pred) / y_true)) * 100 AS mape, max(abs(y_true - y_pred)) AS max_error,
+              median(abs(y_true - y_pred)) AS median_ae FROM sc WHERE split = 'test' GROUP BY model_name),
+va AS (SELECT model_name, avg(pow(y_true - y_pred, 2)) AS val_loss_best FROM sc WHERE split = 'val' GROUP BY model_name)"""
+
+
+LOGGED = ("mae", "rmse", "r2", "mape", "max_error", "median_ae")
+DIGITS = {"r2": 8}
+LOGGED_SQL = ", ".join(f"round({c}, {DIGITS.get(c, 4)}) AS {c}" for c in LOGGED) + ", round(val_loss_best / 1000.0, 3) AS val_loss_best_k"
+
+
+def _logged(log):
+    return [round_to(c, DIGITS.get(c, 4)).alias(c) for c in LOGGED] + [round_to(F.col("val_loss_best") / 1000.0, 3).alias("val_loss_best_k")]
+
+
+@register("sweep", sql=f"""WITH {_ridge_sql(RIDGE)}
+SELECT model_name, 'lineitem.parquet' AS data_file, 'ridge' AS optimizer, 3 AS num_features, 1 AS epochs, 0 AS best_epoch, {LOGGED_SQL}
+FROM me JOIN va USING (model_name)""", digits=None)
 def sweep(spark, d):
-    """One fit + held-out metrics + log row per configuration, four fits in flight at once."""
-    split = _split(spark, d)
-    train = split.where(F.col("split") == "train")
-    test = split.where(F.col("split") == "test")
-    return surrogate.sweep(spark, train, test, INPUTS, LABEL, SWEEP, parallelism=4)
+    """Eight ridge settings from one Gram matrix, logged twice under their run ids as a retried
+    sweep would, and read back: one full log row per setting."""
+    rows = surrogate.ridge_sweep(cut_lineage(_split(spark, d)), INPUTS, LABEL, RIDGE)
+    rows = rows.withColumn("data_file", F.lit("lineitem.parquet")).withColumn("run_id", F.concat(F.lit("sweep-"), "model_name"))
+    path = f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex[:8]}"
+    files.append_run_log(spark, rows, path)
+    files.append_run_log(spark, rows.where("model_name < 'ridge_0.1'"), path)
+    log = files.read_run_log(spark, path)
+    return log.select("model_name", "data_file", "optimizer", "num_features", "epochs", "best_epoch", *_logged(log))
+
+
+@register("train_log", sql=f"""WITH {_ridge_sql({"linear": 0.0})}
+SELECT 'lineitem.parquet' AS data_file, 'linear' AS optimizer, 3 AS num_features, 1 AS num_outputs, 100 AS epochs, 0 AS best_epoch,
+       CAST(0.2 AS DOUBLE) AS test_size, {LOGGED_SQL} FROM me JOIN va USING (model_name)""", digits=None)
+def train_log(spark, d):
+    """A whole training run on a linear surrogate; its log row read back."""
+    li = table(spark, d, "lineitem").select(*ROW_KEY, *INPUTS, LABEL)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/runs-{uuid.uuid4().hex[:8]}"
+    surrogate.train_and_log(spark, li, INPUTS, [LABEL], ROW_KEY, data_file=f"{d}/lineitem.parquet", log_path=path, run_id="train")
+    log = files.read_run_log(spark, path)
+    return log.select("data_file", "optimizer", "num_features", "num_outputs", "epochs", "best_epoch", "test_size", *_logged(log))
 
 
 @register("model_roundtrip")
 def model_roundtrip(spark, d):
     """Save the fitted pipeline under model_<base>__yymmdd_HHMMSS in the
     shared folder, load it back, time per-row inference, and score held-out rows."""
-    split = _split(spark, d)
+    split = cut_lineage(_split(spark, d))
     train = split.where(F.col("split") == "train")
     test = split.where(F.col("split") == "test")
     model = surrogate.fit_surrogate(train, INPUTS, LABEL, "linear")
@@ -207,11 +256,9 @@ WITH {PREDICTIONS_SQL}
 SELECT time_s, round(avg(y_true), 6) AS y_sim, round(avg(y_pred), 6) AS y_model, count(*) AS n
 FROM predictions GROUP BY time_s""")
 def curve_overlay(spark, d):
-    """Simulated curve beside the predicted one at the same sweep value (equi-join on it)."""
-    p = predictions(spark, d)
-    sim = p.groupBy("time_s").agg(F.avg("y_true").alias("y_sim"), F.count(F.lit(1)).alias("n"))
-    mod = p.groupBy("time_s").agg(F.avg("y_pred").alias("y_model"))
-    return sim.join(mod, "time_s").select("time_s", "y_sim", "y_model", "n")
+    """Simulated curve beside the predicted one at the same sweep value (one aggregate)."""
+    return predictions(spark, d).groupBy("time_s").agg(
+        F.avg("y_true").alias("y_sim"), F.avg("y_pred").alias("y_model"), F.count(F.lit(1)).alias("n"))
 
 
 @register("log_union", sql=f"""{RUNLOG_CTES},

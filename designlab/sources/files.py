@@ -160,14 +160,16 @@ def union_logs(old: DataFrame, new: DataFrame, defaults: dict | None = None) ->
 
 
 def append_run_log(spark: SparkSession, rows: DataFrame, path: str) -> None:
-    """Append rows to the Parquet run log (an absent log starts empty); the schema is fixed.
+    """Add rows to the Parquet run log (an absent log starts empty); the schema is fixed.
 
-    The log is partitioned by ``data_file``, so a report on one data file reads
-    only that partition.
+    The log is partitioned by ``data_file`` and ``run_id`` (the model name where the rows have none).  A write
+    is staged and then replaces exactly its own partitions, so a run that is retried adds no row twice, and
+    runs that write at the same time do not meet.  A report on one data file reads only its partitions.
     """
     aligned = spark.createDataFrame([], RUN_LOG_SCHEMA).unionByName(rows, allowMissingColumns=True)
-    aligned.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG_SCHEMA.fields]) \
-        .write.mode("append").partitionBy("data_file").parquet(path)
+    run = F.coalesce(F.col("run_id"), F.col("model_name")) if "run_id" in rows.columns else F.col("model_name")
+    aligned.select(*[F.col(f.name).cast(f.dataType) for f in RUN_LOG_SCHEMA.fields], run.alias("run_id")) \
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("data_file", "run_id").parquet(path)
 
 
 def read_run_log(spark: SparkSession, path: str) -> DataFrame:
@@ -179,4 +181,5 @@ def read_run_log(spark: SparkSession, path: str) -> DataFrame:
         if ex.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], RUN_LOG_SCHEMA)
+    log = log.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RUN_LOG_SCHEMA.fields if f.name in log.columns])
     return union_logs(spark.createDataFrame([], RUN_LOG_SCHEMA), log, {"batch_norm": False})

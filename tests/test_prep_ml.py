@@ -111,3 +111,72 @@ def test_splits_move_no_rows_and_keep_copies_together(spark):
     for size in (0.0, 1.0):
         assert {r.split for r in prep.row_split(df, ["k"], size, 0.0).collect()} == {"test" if size else "train"}
     assert prep.row_split(df.limit(0), ["k"]).count() == 0
+
+
+def test_ridge_from_gram_matches_direct_solution(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(300, 4)) * [1.0, 5.0, 0.1, 2.0] + [0, 3, -1, 10]
+    x[:, 3] = 7.0  # a constant input has no say
+    y = x @ [2.0, -1.0, 30.0, 0.0] + rng.normal(size=300)
+    cols = ["a", "b", "c", "k"]
+    rows = [(*map(float, r), float(t)) for r, t in zip(x, y, strict=True)] + [(None, 1.0, 1.0, 7.0, 5.0), (1.0, 1.0, 1.0, 7.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, k double, y double")
+    stats = surrogate.gram(df, cols, "y")
+    assert stats["n"] == 300
+    z = (x - x.mean(0))[:, :3] / x.std(0)[:3]
+    for reg in (0.0, 0.1, 2.0):
+        want = np.linalg.solve(z.T @ z / 300 + reg * np.eye(3), z.T @ (y - y.mean()) / 300) / x.std(0)[:3]
+        got, intercept = surrogate.ridge(stats, reg)
+        assert np.allclose(got, [*want, 0.0], atol=1e-9)
+        assert abs(intercept - (y.mean() - want @ x.mean(0)[:3])) < 1e-9
+
+
+def test_ridge_sweep_log_is_idempotent(spark, tmp_dir):
+    from designlab.sources import files
+    df = spark.range(500).select("id", (F.col("id") % 17).cast("double").alias("a"), (F.col("id") % 5).cast("double").alias("b"))
+    df = df.withColumn("y", 3 * F.col("a") - F.col("b") + F.sin("id"))
+    split = prep.row_split(df, ["id"])
+    rows = surrogate.ridge_sweep(split, ["a", "b"], "y", {"r0": 0.0, "r1": 1.0}).withColumn("data_file", F.lit("d.csv"))
+    for part in (rows, rows, rows.where("model_name = 'r1'")):
+        files.append_run_log(spark, part, tmp_dir + "/log")
+    files.append_run_log(spark, rows.withColumn("run_id", F.concat(F.lit("again-"), "model_name")), tmp_dir + "/log")
+    log = files.read_run_log(spark, tmp_dir + "/log").collect()
+    assert sorted(r.model_name for r in log) == ["r0", "r0", "r1", "r1"]
+    best = {r.model_name: r for r in log}
+    assert best["r0"].rmse < best["r1"].rmse and best["r0"].val_loss_best < best["r1"].val_loss_best
+    assert (best["r0"].epochs, best["r0"].best_epoch, best["r0"].num_features) == (1, 0, 2)
+    test = split.where("split = 'test'").toPandas()
+    b, b0 = surrogate.ridge(surrogate.gram(split.where("split = 'train'"), ["a", "b"], "y"), 1.0)
+    assert abs(best["r1"].mae - np.abs(test["y"] - (test[["a", "b"]].to_numpy() @ b + b0)).mean()) < 1e-9
+
+
+def test_boosted_history_keeps_the_best_round(spark):
+    rng = np.random.default_rng(9)
+    x = rng.uniform(0, 1, 400)
+    rows = [(float(v), float(np.sin(9 * v) + rng.normal(0, 0.6)), i % 4 == 0) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "x double, y double, held boolean").cache()
+    train, val = df.where("not held"), df.where("held")
+    model, history = surrogate.fit_boosted(train, val, ["x"], "y", rounds=12, run_id="g", maxDepth=5, stepSize=0.5, seed=3)
+    losses = [r.val_loss for r in history.orderBy("epoch").collect()]
+    assert len(losses) == 12
+    best = int(np.argmin(losses))
+    assert 0 < best + 1 < 12 and model.stages[-1].getNumTrees == best + 1
+    p = surrogate.predict(model, val).toPandas()
+    assert abs(((p["prediction"] - p["y"]) ** 2).mean() - losses[best]) < 1e-9
+    from designlab.operators.metrics import best_epoch
+    assert best_epoch(history).first().best_epoch == best
+
+
+def test_training_run_writes_a_whole_log_row(spark, tmp_dir):
+    from designlab.sources import files
+    df = spark.range(300).select((F.col("id") % 23).cast("double").alias("a"), F.cos("id").alias("b"), (F.col("id") % 23 * 2 + F.sin("id")).alias("y"))
+    for kind, options in (("linear", {}), ("gbt", {"maxIter": 4, "stepSize": 0.3, "seed": 1})):
+        for _ in range(2):
+            surrogate.build_and_train(spark, df, outputs=1, kind=kind, data_file="/x/res_7.csv", log_path=tmp_dir, run_id=f"run-{kind}", **options)
+    log = {r.optimizer: r for r in files.read_run_log(spark, tmp_dir).collect()}
+    assert len(log) == 2 and files.read_run_log(spark, tmp_dir).count() == 2
+    assert log["gbt"].epochs == 4 and log["gbt"].learning_rate == 0.3 and 0 <= log["gbt"].best_epoch < 4 and log["gbt"].early_stopping
+    for row in log.values():
+        assert row.data_file == "res_7.csv" and row.val_loss_best > 0 and row.inference_time_ms > 0 and row.median_ae is not None
+    paths = spark.createDataFrame([("/a/b/c.csv",), ("c.csv",), ("a/b/",), (None,)], "p string")
+    assert [r[0] for r in paths.select(surrogate.base_name_of("p")).collect()] == ["c.csv", "c.csv", "b", None]
