@@ -10,14 +10,18 @@ joined in two steps.  First each node meets one smallest node of its shingles; i
 copies that links nearly all, with one pair per node.  Then, where a shingle's nodes still lie in several
 components, blocks of nodes meet in an R-tree: shingles are hashed into ``GROUPS`` groups, the
 group counts are a point, and the summed minima of two points bound the overlap, of a point and a box's
-upper corner that of all points in it.  Pairs that survive the bound and are not connected yet are verified
-on the whole sets.  Links between nodes already connected change no component and ``join`` does not verify
-them; ``links`` verifies all pairs that the blocks of R-trees leave, and ``link_report`` counts them per document.
+upper corner that of all points in it.  The nodes of the pairs that survive the bound and are not connected yet
+meet once more with their whole sets: in each block the surviving pairs are verified there, pairs that
+earlier links of the block connect are skipped, and only the links found leave the block, fewer than it has
+nodes.  So no pair of a large group is written or joined.  Links between nodes already connected change no
+component and ``join`` does not verify them; ``links`` verifies all pairs that the blocks of R-trees leave, and
+``link_report`` counts them per document.
 
 Defined cases: documents without words are linked with nothing; with fewer than five words the whole
 sequence is the one shingle; a null ``doc_id`` keeps a null component unless its group has another id;
 rows of the same ``doc_id`` are judged one by one; an empty table gives an empty result; other columns
-are ignored by ``join`` and kept by ``dedup``.  Shingles and sets are compared by 64-bit hashes.
+are ignored by ``join`` and kept by ``dedup``.  Shingles and sets are compared by 64-bit hashes, groups by
+128 bits.
 """
 
 from __future__ import annotations
@@ -38,8 +42,9 @@ GROUPS, FILL = 64, 4
 HOT_SHINGLES = 200_000
 #: a shingle is counted where this many documents of one slice (4 MB of text) hold it
 HOT_LOCAL = 8
-#: nodes per block of a residual group
+#: nodes, and bytes of their sets, per block of a residual group
 BLOCK = 2000
+BLOCK_BYTES = 32 << 20
 LEAF = 32
 
 
@@ -83,6 +88,12 @@ def per_doc_u64(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return running[first[1:]] - running[first[:-1]]
 
 
+def _vector(keys: np.ndarray) -> np.ndarray:
+    """Counts of a set's shingles per group."""
+    groups = max(GROUPS, 1 << (len(keys) // FILL).bit_length())
+    return np.bincount((keys & np.uint64(groups - 1)).astype(np.int64), minlength=groups)
+
+
 def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     offsets = np.concatenate([[0], ends * data.itemsize]).astype(np.int64)
     big = pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(offsets.tobytes()),
@@ -90,24 +101,31 @@ def _binary(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     return big.cast(pa.binary())
 
 
+def sizes(docs: DataFrame) -> DataFrame:
+    """(doc_id, node, n): set id and set size per document."""
+    def run(batches):
+        for batch in batches:
+            for part, keys, first, _ in _sets(batch):
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(_node(keys, first)), pa.array(np.diff(first))],
+                                                 names=["doc_id", "node", "n"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, node long, n long")
+
+
 def members(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n, vec): set id, set size and group counts (little-endian 32-bit) per document.
+    """``sizes`` with ``vec``: group counts (little-endian 32-bit) per document.
 
     Long sets have more groups, a power of two with at most FILL shingles each, or the bound would prune little.
     """
     def run(batches):
         for batch in batches:
             for part, keys, first, doc in _sets(batch):
-                bounds, sizes = first.tolist(), []
-                vecs = []
-                for x, y in zip(bounds[:-1], bounds[1:], strict=True):
-                    groups = max(GROUPS, 1 << ((y - x) // FILL).bit_length())
-                    vecs.append(np.bincount((keys[x:y] & np.uint64(groups - 1)).astype(np.int64), minlength=groups))
-                    sizes.append(groups)
+                bounds = first.tolist()
+                vecs = [_vector(keys[x:y]) for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
                 vec = np.concatenate(vecs).astype("<u4") if vecs else np.zeros(0, "<u4")
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(_node(keys, first)), pa.array(np.diff(first)),
-                    _binary(vec, np.cumsum(sizes, dtype=np.int64))], names=["doc_id", "node", "n", "vec"])
+                    _binary(vec, np.cumsum([len(v) for v in vecs], dtype=np.int64))], names=["doc_id", "node", "n", "vec"])
 
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
             .mapInArrow(run, "doc_id long, node long, n long, vec binary"))
@@ -192,16 +210,20 @@ def bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    close = stored(pairs)
-    needed = close.select(F.col("a").alias("node")).union(close.select("b")).distinct()
+def _items(needed: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(node, items): the sets of the needed nodes and of some others."""
     # one row per needed node: copies of one text go before their sets are read
     first = nodes.join(needed, "node").select("node", "doc_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return (sets_of(texts.join(first, texts["doc_id"].eqNullSafe(first["doc_id"]), "left_semi"))
+            .groupBy("node").agg(F.first("items").alias("items")))
+
+
+def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
+    close = stored(pairs)
     # not written: both joins read the exchange that drops duplicates
-    items = (sets_of(texts.join(first, texts["doc_id"].eqNullSafe(first["doc_id"]), "left_semi"))
-             .groupBy("node").agg(F.first("items").alias("items")))
+    items = _items(close.select(F.col("a").alias("node")).union(close.select("b")).distinct(), docs, nodes)
     both = (close.join(items.select(F.col("node").alias("a"), F.col("items").alias("x")), "a")
             .join(items.select(F.col("node").alias("b"), F.col("items").alias("y")), "b"))
 
@@ -210,12 +232,20 @@ def verified(pairs: DataFrame, docs: DataFrame, nodes: DataFrame) -> DataFrame:
             ok = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column("x"), batch.column("y"), strict=True)):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))
-                ok[i] = 9 * len(np.intersect1d(x, y, assume_unique=True)) >= 4 * (len(x) + len(y))
+                ok[i] = linked(x, y)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return both.mapInArrow(run, "a long, b long")
 
 
+def linked(x: np.ndarray, y: np.ndarray) -> bool:
+    """Two sorted sets have four fifths of their union in common."""
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.minimum(np.searchsorted(y, x), len(y) - 1)
+    return 9 * int(np.count_nonzero(y[at] == x)) >= 4 * (len(x) + len(y))
+
+
 def _folded(counts: np.ndarray, groups: int) -> np.ndarray:
     """Counts of fewer groups (both numbers are powers of two and groups are taken modulo them)."""
     return counts.reshape(-1, groups).sum(0, dtype=np.int64)
@@ -250,52 +280,118 @@ class CountTree:
         return self.order[rows]
 
 
+class Block:
+    """Two blocks of one shingle's nodes (or one block with itself) and the pairs between them."""
+
+    def __init__(self, table: pa.Table, vecs: list[np.ndarray]):
+        side = table.column("side").to_numpy()
+        self.node, self.comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
+        self.vecs = vecs
+        self.points = np.array([_folded(v, GROUPS) for v in vecs]).reshape(-1, GROUPS)
+        self.sizes = self.points.sum(1)
+        self.left, self.right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        self.within = not len(self.right)
+        if self.within:
+            self.right = self.left
+        self.tree = CountTree(self.points[self.left])
+
+    def candidates(self):
+        """(row, rows) of each right row: those on the left of other components that the bound allows."""
+        for r in self.right.tolist():
+            hit = self.left[self.tree.search(self.points[r])]
+            hit = hit[(self.comp[hit] != self.comp[r]) & ((self.node[hit] < self.node[r]) | (not self.within))]
+            # long sets once more by their finer counts
+            yield r, [h for h in hit.tolist() if len(self.vecs[h]) == len(self.vecs[r]) == GROUPS
+                      or may_link(self.vecs[h], self.vecs[r], int(self.sizes[h] + self.sizes[r]))]
+
+
+def _counted(table: pa.Table) -> Block:
+    return Block(table, [np.frombuffer(v, "<u4") for v in table.column("vec").to_pylist()])
+
+
 def _block_pairs(table: pa.Table) -> pa.Table:
     """Unconnected pairs across two blocks of one shingle's nodes that survive the bound."""
-    side = table.column("side").to_numpy()
-    node, comp = table.column("node").to_numpy(), table.column("comp").to_numpy()
-    vecs = [np.frombuffer(v, "<u4") for v in table.column("vec").to_pylist()]
-    points = np.array([_folded(v, GROUPS) for v in vecs]).reshape(-1, GROUPS)
-    sizes = points.sum(1)
-    left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    within = not len(right)
-    right = left if within else right
-    tree = CountTree(points[left])
-    a, b = [], []
-    for r in right:
-        hit = left[tree.search(points[r])]
-        hit = hit[(comp[hit] != comp[r]) & ((node[hit] < node[r]) | (not within))]
-        # long sets once more by their finer counts
-        hit = np.array([h for h in hit.tolist() if len(vecs[h]) == len(vecs[r]) == GROUPS
-                        or may_link(vecs[h], vecs[r], int(sizes[h] + sizes[r]))], np.int64)
-        a.append(np.minimum(node[hit], node[r]))
-        b.append(np.maximum(node[hit], node[r]))
-    empty = [np.zeros(0, np.int64)]
-    return pa.table({"a": np.concatenate(a or empty), "b": np.concatenate(b or empty)})
+    block, a, b = _counted(table), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for r, hit in block.candidates():
+        a.append(np.minimum(block.node[hit], block.node[r]))
+        b.append(np.maximum(block.node[hit], block.node[r]))
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+
+
+def _block_nodes(table: pa.Table) -> pa.Table:
+    """The nodes of those pairs."""
+    block = _counted(table)
+    some = np.zeros(len(block.node), bool)
+    for r, hit in block.candidates():
+        some[hit] = True
+        some[r] |= bool(hit)
+    return table.select(["key", "node", "comp"]).filter(pa.array(some))
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links (a, b) that connect the components of two blocks of nodes as far as all their links do."""
+    items = [np.frombuffer(v, np.uint64) for v in table.column("items").to_pylist()]
+    block = Block(table, [_vector(x) for x in items])
+    top = {c: c for c in block.comp.tolist()}
+
+    def find(c):
+        while top[c] != c:
+            top[c] = top[top[c]]
+            c = top[c]
+        return c
+
+    comp, a, b = block.comp.tolist(), [], []
+    for r, hit in block.candidates():
+        for h in hit:
+            x, y = find(comp[h]), find(comp[r])
+            if x != y and linked(items[h], items[r]):
+                top[x] = y
+                a.append(int(block.node[h]))
+                b.append(int(block.node[r]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _dealt(rows: DataFrame) -> DataFrame:
+    """Rows of (key, node, ...) with ``blocks`` per key, dealt to the pairs (i, j) of their key's blocks."""
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return rows.select("*", other).withColumns({
+        "i": F.least("own", "other"), "j": F.greatest("own", "other"), "side": (F.col("own") > F.col("other")).cast("int"),
+    }).drop("own", "other", "blocks")
 
 
-def residual_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of nodes that share a prefix shingle but not yet a component."""
+def _unsettled(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """(key, node, comp, vec, i, j, side): nodes of the shingles whose nodes lie in several components, dealt."""
     named = stored(groups.join(labels, "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp")))
-    code = F.xxhash64("node").cast("decimal(20,0)")
-    split = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"),
-                                      F.sum(code).alias("code")).where("lo < hi"))
+    code = [F.sum(F.xxhash64("node", *salt).cast("decimal(20,0)")).alias(f"code{len(salt)}") for salt in ((), (F.lit(1),))]
+    split = (named.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("size"), *code)
+             .where("lo < hi"))
     # shingles with the same nodes are one group
-    split = split.groupBy("size", "code").agg(F.min("key").alias("key"))
-    rows = (named.join(split.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key")
-            .join(nodes.select("node", "vec"), "node")
-            .withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int")))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    dealt = rows.select("key", "node", "comp", "vec", "own", other).select(
-        "key", "node", "comp", "vec", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
-        (F.col("own") > F.col("other")).cast("int").alias("side"))
-    return dealt.groupBy("key", "i", "j").applyInArrow(_block_pairs, "a long, b long").distinct()
+    split = split.groupBy("size", "code0", "code1").agg(F.min("key").alias("key"))
+    return _dealt(named.join(split.select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")), "key")
+                  .join(nodes.select("node", "vec"), "node"))
+
+
+def residual_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b) of nodes that share a prefix shingle but not yet a component."""
+    return (_unsettled(groups, nodes, labels).groupBy("key", "i", "j").applyInArrow(_block_pairs, "a long, b long").distinct())
+
+
+def residual_links(groups: DataFrame, docs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Links (a, b) that connect the components as far as all links among nodes with a common prefix shingle do."""
+    some = stored(_unsettled(groups, nodes, labels).groupBy("key", "i", "j")
+                  .applyInArrow(_block_nodes, "key long, node long, comp long").distinct())
+    sets = some.join(_items(some.select("node").distinct(), docs, nodes), "node")
+    size = sets.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.octet_length("items")).alias("bytes"))
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
+    return (_dealt(sets.join(size.select("key", blocks.alias("blocks")), "key")).groupBy("key", "i", "j")
+            .applyInArrow(_block_links, "a long, b long"))
 
 
 def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members of docs, one row per node, (key, node, lo) of shared prefix shingles with their smallest node)."""
-    rows = stored(members(docs))
-    nodes = stored(rows.where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("vec").alias("vec")))
+    rows = stored(sizes(docs))
+    nodes = stored(members(docs).where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("vec").alias("vec")))
     keys = prefixes(docs, hot_shingles(docs))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     return rows, nodes, stored(keys.join(shared.select("key", "lo"), "key").distinct())
@@ -355,7 +451,7 @@ def _connected(docs: DataFrame) -> DataFrame:
     rows, nodes, groups = _prepared(docs)
     edges = _star_links(docs, nodes, groups)
     labels = components(edges)
-    more = stored(verified(residual_pairs(groups.select("key", "node"), nodes, labels), docs, nodes))
+    more = stored(residual_links(groups.select("key", "node"), docs, nodes, labels))
     if not more.isEmpty():
         labels = components(edges.union(more))
     return _named(rows, labels)

@@ -7,6 +7,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from designlab.llm import bpe, jaccard, packing
+from designlab.llm.stored import components
 
 from ..conftest import SF_SMALL
 from .test_bpe_packing import check_pieces
@@ -162,3 +163,56 @@ def test_pipeline_stages_keep_columns_and_empty_tables(spark):
         assert stage(spark, docs.limit(0), "").columns == docs.columns, name
         assert stage(spark, docs.limit(0), "").count() == 0, name
     assert corpus_pipeline.exact_stage(spark, docs, "").count() == 1
+
+
+def test_residual_links_connect_what_all_links_connect(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BLOCK", 11)
+    monkeypatch.setattr(jaccard, "BLOCK_BYTES", 20_000)
+    rng = np.random.default_rng(8)
+    rows = near_rows()
+    base = [f"w{k}" for k in range(100)]
+    for k in range(120):  # one large group of near copies, few of them near the first
+        words = list(base)
+        for at in rng.integers(0, 100, 4):
+            words[int(at)] = f"n{int(rng.integers(0, 6))}"
+        rows.append((1000 + k, " ".join(words)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    nodes = jaccard.members(docs).where("n > 0").dropDuplicates(["node"]).cache()
+    groups = nodes.select(jaccard.F.lit(1).cast("long").alias("key"), "node")
+    none = spark.createDataFrame([], "node long, comp long")
+    some = jaccard.residual_links(groups, docs, nodes, none).collect()
+    every = jaccard.verified(jaccard.residual_pairs(groups, nodes, none), docs, nodes).collect()
+    assert {tuple(sorted(r)) for r in some} <= {tuple(r) for r in every}
+    assert tops([tuple(r) for r in some]) == tops([tuple(r) for r in every])
+    # blocks of 11 nodes: 55 pairs of blocks for the group's 120 nodes leave fewer links than all pairs do
+    assert len(some) < len(every) / 2
+    settled = components(spark.createDataFrame([tuple(r) for r in every], "a long, b long"))
+    assert jaccard.residual_links(groups, docs, nodes, settled).count() == 0
+
+
+def tops(edges):
+    """Smallest reachable node of every node that has an edge."""
+    top = {n: n for e in edges for n in e}
+
+    def find(n):
+        while top[n] != n:
+            n = top[n]
+        return n
+
+    for a, b in edges:
+        x, y = sorted((find(a), find(b)))
+        top[y] = x
+    return {n: find(n) for n in top}
+
+
+def test_components_of_chain_star_and_cycle(spark):
+    rng = np.random.default_rng(2)
+    chain = [(k, k + 1) for k in range(300)]
+    star = [(5000, 1000 + k) for k in range(200)] + [(1000, 1000)]
+    cycle = [(7000 + k, 7000 + (k + 1) % 50) for k in range(50)] * 2
+    names = {n: int(x) for n, x in zip(sorted({n for e in chain + star + cycle for n in e}),
+                                       rng.permutation(10**6)[:1000], strict=False)}
+    edges = [(names[a], names[b]) for a, b in chain + star + cycle]
+    got = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == tops(edges)
+    assert components(spark.createDataFrame([], "a long, b long")).count() == 0
