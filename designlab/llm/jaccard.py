@@ -10,10 +10,10 @@ joined in two steps.  First each node meets one smallest node of its shingles; i
 copies that links nearly all, with one pair per node.  Then, where a shingle's nodes still lie in several
 components, blocks of nodes meet in an R-tree: shingles are hashed into ``GROUPS`` groups, the
 group counts are a point, and the summed minima of two points bound the overlap, of a point and a box's
-upper corner that of all points in it.  The nodes of the pairs that survive the bound and are not connected yet
-meet once more with their whole sets: in each block the surviving pairs are verified there, pairs that
-earlier links of the block connect are skipped, and only the links found leave the block, fewer than it has
-nodes.  So no pair of a large group is written or joined.  Links between nodes already connected change no
+upper corner that of all points in it.  The pairs that survive the bound and are not connected yet make clusters,
+whose nodes meet in blocks and R-trees once more, now with their whole sets: surviving pairs are verified
+there, pairs that earlier links of the block connect are skipped, and only the links found leave the block,
+fewer than it has nodes.  So the pairs of a large group are neither written nor joined.  Links between nodes already connected change no
 component and ``join`` does not verify them; ``links`` verifies all pairs that the blocks of R-trees leave, and
 ``link_report`` counts them per document.
 
@@ -318,20 +318,8 @@ def _block_pairs(table: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
-def _block_nodes(table: pa.Table) -> pa.Table:
-    """The nodes of those pairs."""
-    block = _counted(table)
-    some = np.zeros(len(block.node), bool)
-    for r, hit in block.candidates():
-        some[hit] = True
-        some[r] |= bool(hit)
-    return table.select(["key", "node", "comp"]).filter(pa.array(some))
-
-
-def _block_links(table: pa.Table) -> pa.Table:
-    """Links (a, b) that connect the components of two blocks of nodes as far as all their links do."""
-    items = [np.frombuffer(v, np.uint64) for v in table.column("items").to_pylist()]
-    block = Block(table, [_vector(x) for x in items])
+def _forest(block: Block, joins) -> pa.Table:
+    """Pairs (a, b) for which ``joins(row, row)`` holds, without those that earlier pairs or components connect."""
     top = {c: c for c in block.comp.tolist()}
 
     def find(c):
@@ -344,13 +332,24 @@ def _block_links(table: pa.Table) -> pa.Table:
     for r, hit in block.candidates():
         for h in hit:
             x, y = find(comp[h]), find(comp[r])
-            if x != y and linked(items[h], items[r]):
+            if x != y and joins(h, r):
                 top[x] = y
                 a.append(int(block.node[h]))
                 b.append(int(block.node[r]))
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
+def _block_forest(table: pa.Table) -> pa.Table:
+    """Surviving pairs that connect the block's components as far as all of them do."""
+    return _forest(_counted(table), lambda x, y: True)
+
+
+def _block_links(table: pa.Table) -> pa.Table:
+    """Links (a, b) that connect the components of two blocks of nodes as far as all their links do."""
+    items = [np.frombuffer(v, np.uint64) for v in table.column("items").to_pylist()]
+    return _forest(Block(table, [_vector(x) for x in items]), lambda x, y: linked(items[x], items[y]))
+
+
 def _dealt(rows: DataFrame) -> DataFrame:
     """Rows of (key, node, ...) with ``blocks`` per key, dealt to the pairs (i, j) of their key's blocks."""
     rows = rows.withColumn("own", F.pmod(F.xxhash64("node", "key"), F.col("blocks")).cast("int"))
@@ -378,10 +377,25 @@ def residual_pairs(groups: DataFrame, nodes: DataFrame, labels: DataFrame) -> Da
 
 
 def residual_links(groups: DataFrame, docs: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Links (a, b) that connect the components as far as all links among nodes with a common prefix shingle do."""
-    some = stored(_unsettled(groups, nodes, labels).groupBy("key", "i", "j")
-                  .applyInArrow(_block_nodes, "key long, node long, comp long").distinct())
-    sets = some.join(_items(some.select("node").distinct(), docs, nodes), "node")
+    """Links (a, b) that connect the components as far as all links among nodes with a common prefix shingle do.
+
+    Pairs that survive the bound connect the components to clusters; a block tells only enough of them to do
+    that.  Every surviving pair lies in one cluster, where its nodes meet with their whole sets.
+    """
+    near = stored(_unsettled(groups, nodes, labels).groupBy("key", "i", "j")
+                  .applyInArrow(_block_forest, "a long, b long").distinct())
+    # a component is one node of the cluster graph: its own nodes need no pairs among each other
+    own = labels.select("node", "comp")
+
+    def top(side: str) -> DataFrame:
+        return own.select(F.col("node").alias(side), F.col("comp").alias(f"{side}_comp"))
+
+    tops = near.join(top("a"), "a", "left").join(top("b"), "b", "left").select(
+        F.coalesce("a_comp", "a").alias("a"), F.coalesce("b_comp", "b").alias("b"))
+    clusters = components(tops).select(F.col("node").alias("comp"), F.col("comp").alias("key"))
+    members_of = nodes.select("node").join(own, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
+    some = stored(members_of.join(clusters, "comp").select("key", "node", "comp"))
+    sets = stored(some.join(_items(some.select("node"), docs, nodes), "node"))
     size = sets.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.octet_length("items")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     return (_dealt(sets.join(size.select("key", blocks.alias("blocks")), "key")).groupBy("key", "i", "j")
