@@ -166,6 +166,13 @@ def layer_matrix(df: DataFrame, id_cols: Sequence[str], text_col: str = "layer_s
                          (F.coalesce(units, F.lit(0)) if fill else F.nullif(units, F.lit(0))).cast("long").alias("units"))
 
 
+def layer_matrix_wide(top: DataFrame, order_cols: Sequence[str], k: int, text_col: str = "layer_sizes") -> DataFrame:
+    """One row per layer, one column per rank (``rank_1`` the best of the k rows); missing layers are 0."""
+    ranked = top.withColumn("_rk", F.row_number().over(Window.orderBy(*[F.asc_nulls_last(c) for c in order_cols])))
+    long = layer_matrix(ranked, ["_rk"], text_col, fill=True)
+    return long.groupBy("layer").agg(*[F.max(F.when(F.col("_rk") == i, F.col("units"))).alias(f"rank_{i}") for i in range(1, k + 1)])
+
+
 def one_hot(df: DataFrame, categories: dict[str, Sequence[str]], keep: Sequence[str] = ()) -> DataFrame:
     """One 0/1 column per (column, category); booleans pass through, a NULL is 0 everywhere.
 

@@ -36,6 +36,30 @@ def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
         for i, a in enumerate(cols) for j, b in enumerate(cols)])))
 
 
+def pca(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Principal components of the standardised columns (population std), from their correlations.
+
+    Long form (pc, explained, column, loading): the share of variance of each component and its loadings, the
+    largest of them positive.  Rows that lack a value are left out.  The correlations are one aggregate, and
+    the decomposed matrix has one row per column.
+    """
+    x = [nan_to_null(F.col(c).cast("double")) for c in cols]
+    rows = df.select(*[v.alias(f"_{i}") for i, v in enumerate(x)]).na.drop("any")
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
+    found = rows.agg(F.count(F.lit(1)).alias("n"), *[F.corr(f"_{i}", f"_{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    corr = np.eye(len(cols))
+    for i, j in pairs:
+        value = found[f"c{i}_{j}"]
+        corr[i, j] = corr[j, i] = value if value is not None and not math.isnan(value) else 0.0
+    values, vectors = np.linalg.eigh(corr)
+    out = []
+    for pc, at in enumerate(np.argsort(-values), 1):
+        v = vectors[:, at]
+        v = v if v[np.abs(v).argmax()] >= 0 else -v
+        out += [(pc, float(values[at] / len(cols)), c, float(v[i])) for i, c in enumerate(cols)]
+    return df.sparkSession.createDataFrame(out, "pc int, explained double, column string, loading double")
+
+
 def histogram(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
     """Equal-width bins between min and max; the last bin is closed; empty bins kept.
 

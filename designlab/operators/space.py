@@ -34,6 +34,14 @@ def read_space(spark: SparkSession, path: str) -> DataFrame:
     return ent.select("pos", F.col("e.key").alias("name"), "e.value.*")
 
 
+def write_space(space: DataFrame, path: str) -> None:
+    """A1 sink: the space (one row per parameter) as a JSON space file; columns that are NULL are left out."""
+    entry = F.struct(*[F.col(f.name) for f in PARAM_STRUCT.fields])
+    rows = F.array_sort(F.collect_list(F.struct("pos", "name", entry.alias("e"))), lambda a, b: a["pos"] - b["pos"])
+    pairs = F.transform(rows, lambda r: F.struct(r["name"].alias("key"), r["e"].alias("value")))
+    space.coalesce(1).agg(F.map_from_entries(pairs).alias("parameters")).write.mode("overwrite").json(path)
+
+
 def scaled_levels(space: DataFrame) -> DataFrame:
     """Levels v * scaling_factor + offset (defaults 1 and 0); parameters without values dropped."""
     scale = F.coalesce(F.col("scaling_factor"), F.lit(1.0))

@@ -205,11 +205,8 @@ def ridge_sweep(split: DataFrame, inputs: Sequence[str], label: str, settings: d
     """
     stats = gram(split.where(F.col(split_col) == "train"), inputs, label)
     fitted = {name: ridge(stats, reg) for name, reg in settings.items()}
-    predictions = F.array(*[F.struct(F.lit(name).alias("model_name"), _linear(inputs, b, b0).alias("y_pred"))
-                            for name, (b, b0) in fitted.items()])
-    scored = (split.where(F.col(split_col) != "train")
-              .select(F.col(split_col).alias("_split"), F.col(label).cast("double").alias("y_true"), F.explode(predictions).alias("_p"))
-              .select("_split", "y_true", "_p.*"))
+    scored = apply_linear(fitted, split.where(F.col(split_col) != "train"), inputs).select(
+        F.col(split_col).alias("_split"), "model_name", F.col(label).cast("double").alias("y_true"), "y_pred")
     by_split = measured(regression_metrics(scored, ["_split", "model_name"]))
     val = by_split.where(F.col("_split") == "val").select("model_name", (F.col("rmse") * F.col("rmse")).alias("val_loss_best"))
     return (by_split.where(F.col("_split") == "test").drop("_split").join(val, "model_name", "left")
@@ -218,6 +215,13 @@ def ridge_sweep(split: DataFrame, inputs: Sequence[str], label: str, settings: d
                           "early_stopping": F.lit(False)}))
 
 
+def apply_linear(fitted: dict, df: DataFrame, inputs: Sequence[str]) -> DataFrame:
+    """Every row of ``df`` with each fitted model's name and prediction (model_name, y_pred), without a join."""
+    predictions = F.array(*[F.struct(F.lit(name).alias("model_name"), _linear(inputs, b, b0).alias("y_pred"))
+                            for name, (b, b0) in fitted.items()])
+    return df.withColumn("_p", F.explode(predictions)).select(*df.columns, "_p.*")
+
+
 def _linear(inputs: Sequence[str], coefficients, intercept: float):
     """Linear formula; NULL where an input is missing (NULL or NaN)."""
     out = F.lit(float(intercept))

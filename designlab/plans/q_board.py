@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from designlab.functions.numeric import round_to
 from designlab.operators import board, metrics
 from designlab.plans.registry import register
 from designlab.plans.standins import (ACTIVATIONS, LOSSES, METRICS_SQL, OPTIMIZERS, PREDICTIONS_SQL,
                                       RUNLOG_CTES, predictions, run_log)
 from designlab.plans.tables import table
 
-FILE_FILTER = "results_nation_3.csv"
+FILE_NATION = 3
+FILE_FILTER = f"results_nation_{FILE_NATION}.csv"
 SCORE_METRICS = ("mae", "rmse", "r2", "median_ae")
 
 
@@ -146,15 +148,15 @@ SELECT printf('Model_%03d', row_number() OVER (ORDER BY log_seq, model_name) - 1
 FROM runlog WHERE data_file = '{FILE_FILTER}'""")
 def model_ids(spark, d):
     """Filter one data file, number models Model_000.. in log order (distributed rank)."""
-    log = run_log(spark, d).where(F.col("data_file") == FILE_FILTER)
+    log = run_log(spark, d, FILE_NATION).where(F.col("data_file") == FILE_FILTER)
     return board.readable_ids(log, ["log_seq", "model_name"]).select("model_id", "model_name", "mae")
 
 
 @register("filter_file", sql=f"""{RUNLOG_CTES}
 SELECT model_name, data_file, round(mae, 6) AS mae FROM runlog WHERE data_file = '{FILE_FILTER}'""")
 def filter_file(spark, d):
-    """Equality filter on data_file."""
-    return run_log(spark, d).where(F.col("data_file") == FILE_FILTER).select("model_name", "data_file", "mae")
+    """Equality filter on data_file, which the scoring below it takes over."""
+    return run_log(spark, d, FILE_NATION).where(F.col("data_file") == FILE_FILTER).select("model_name", "data_file", "mae")
 
 
 @register("layer_units", sql=f"""{RUNLOG_CTES}
@@ -315,3 +317,97 @@ def best_epoch(spark, d):
     hist = ev.groupBy("user_id", F.datediff(F.to_date("ts"), first_day).alias("epoch")).agg(
         F.avg("value").alias("val_loss"))
     return metrics.best_epoch(hist, ["user_id"])
+
+
+# ---------------------------------------------------------------- metric lists of the original reports
+
+def _best_list_sql(metrics_: tuple[str, ...]) -> str:
+    parts = [f"""(SELECT {i} AS metric_pos, '{m}' AS metric, model_name, {m} AS value FROM runlog
+                 WHERE {m} IS NOT NULL AND NOT isnan({m}) ORDER BY {m}{' DESC' if m == 'r2' else ''}, model_name LIMIT 1)"""
+             for i, m in enumerate(metrics_)]
+    return f"{RUNLOG_CTES},\nbest AS ({' UNION ALL '.join(parts)})"
+
+
+@register("best_models", sql=f"""{_best_list_sql(board.BEST_FOUR)}
+SELECT metric_pos, metric, model_name, round(value, 4) AS value FROM best""", digits=None)
+def best_models(spark, d):
+    """Best model by MAE, R2, RMSE and best validation loss."""
+    return board.best_per_metric(run_log(spark, d)).select("metric_pos", "metric", "model_name", round_to("value", 4).alias("value"))
+
+
+@register("best_models_seven", sql=f"""{_best_list_sql(board.BEST_SEVEN)}
+SELECT metric_pos, metric, model_name, round(value, 4) AS value FROM best""", digits=None)
+def best_models_seven(spark, d):
+    """Best model by each of the seven logged metrics."""
+    best = board.best_per_metric(run_log(spark, d), board.BEST_SEVEN)
+    return best.select("metric_pos", "metric", "model_name", round_to("value", 4).alias("value"))
+
+
+@register("best_models_merged", sql=f"""{_best_list_sql(board.BEST_FOUR)}
+SELECT model_name, string_agg(metric, '/' ORDER BY metric_pos) AS labels, min(metric_pos) AS first_pos,
+       'Best ' || upper(string_agg(metric, '/' ORDER BY metric_pos)) AS label
+FROM best GROUP BY model_name""")
+def best_models_merged(spark, d):
+    """The winners of the four metrics, one row per model."""
+    return board.winners_merged(board.best_per_metric(run_log(spark, d)))
+
+
+def _six_sql() -> str:
+    six = board.COMPOSITE_SIX
+    stats = ", ".join(f"min({m}) AS mn_{m}, max({m}) AS mx_{m}" for m in six)
+    scaled = ", ".join(f"CASE WHEN {m} IS NULL THEN NULL WHEN mx_{m} = mn_{m} THEN 0.0 "
+                       f"ELSE ({m} - mn_{m}) / (mx_{m} - mn_{m}) END AS s_{m}" for m in six)
+    total = " + ".join(f"coalesce(s_{m}, 0.0)" for m in six)
+    count = " + ".join(f"(s_{m} IS NOT NULL)::INTEGER" for m in six)
+    return f"""{RUNLOG_CTES},
+st AS (SELECT {stats} FROM runlog),
+sc AS (SELECT runlog.*, {scaled} FROM runlog, st)
+SELECT model_name, round(({total}) / ({count}), 6) AS composite FROM sc ORDER BY ({total}) / ({count}) NULLS LAST, model_name LIMIT 10"""
+
+
+@register("composite_six", sql=_six_sql())
+def composite_six(spark, d):
+    """Composite of MAE, RMSE, validation loss, MAPE, median AE and inference time; a missing one is left out."""
+    scored = board.composite_score(run_log(spark, d), board.COMPOSITE_SIX)
+    return board.top_k(scored, "composite", 10).select("model_name", "composite")
+
+
+def _board_sql(metric: str) -> str:
+    return f"""{RUNLOG_CTES}
+SELECT model_name, round({metric}, 6) AS {metric} FROM runlog ORDER BY {metric} NULLS LAST, model_name LIMIT 15"""
+
+
+@register("topk_rmse", sql=_board_sql("rmse"))
+def topk_rmse(spark, d):
+    """15 smallest RMSE."""
+    return board.top_k(run_log(spark, d), "rmse", 15).select("model_name", "rmse")
+
+
+@register("topk_median_ae", sql=_board_sql("median_ae"))
+def topk_median_ae(spark, d):
+    """15 smallest median absolute errors."""
+    return board.top_k(run_log(spark, d), "median_ae", 15).select("model_name", "median_ae")
+
+
+WIDE_MODELS = 12
+
+
+@register("layer_matrix_wide", sql=f"""{RUNLOG_CTES},
+top AS (SELECT row_number() OVER (ORDER BY mae NULLS LAST, model_name) AS rk, CAST(layer_sizes AS INTEGER[]) AS a FROM runlog
+        QUALIFY rk <= {WIDE_MODELS}),
+mx AS (SELECT max(len(a)) AS m FROM top)
+SELECT CAST(layer AS BIGINT) AS layer, {", ".join(f"CAST(max(coalesce(a[layer], 0)) FILTER (WHERE rk = {i}) AS BIGINT) AS rank_{i}" for i in range(1, WIDE_MODELS + 1))}
+FROM top, (SELECT unnest(range(1, m + 1)) AS layer FROM mx) GROUP BY layer""")
+def layer_matrix_wide(spark, d):
+    """Layer x rank matrix of the 12 best models, missing layers 0."""
+    return board.layer_matrix_wide(board.top_k(run_log(spark, d), "mae", WIDE_MODELS), ["mae", "model_name"], WIDE_MODELS)
+
+
+@register("mape_guarded_metrics", sql="""
+SELECT l_returnflag, l_linestatus, count(*) AS n, round(avg(abs(l_discount - l_tax)), 6) AS mae,
+       round(avg(CASE WHEN abs(l_discount) >= 1e-8 THEN abs((l_discount - l_tax) / l_discount) END) * 100, 6) AS mape
+FROM lineitem GROUP BY l_returnflag, l_linestatus""")
+def mape_guarded_metrics(spark, d):
+    """The metric table with its guarded MAPE (targets with |y| < 1e-8 skipped)."""
+    m = metrics.regression_metrics(table(spark, d, "lineitem"), ["l_returnflag", "l_linestatus"], "l_discount", "l_tax", mape_eps=1e-8)
+    return m.select("l_returnflag", "l_linestatus", "n", "mae", "mape")

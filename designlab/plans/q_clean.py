@@ -131,3 +131,13 @@ def input_split(spark, d):
     res = table(spark, d, "lineitem").select("l_quantity", "l_discount", "l_tax", "l_extendedprice")
     ins, outs = clean.split_io(res, 1)
     return res.select(*ins, F.col(outs[0]).alias("target"))
+
+
+@register("first_columns", sql="""
+WITH j AS (SELECT l.*, o.* FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+       l_shipdate, o_orderkey FROM j""")
+def first_columns(spark, d):
+    """The first 12 columns, by position, of a wider table (lineitem beside its order)."""
+    li, o = table(spark, d, "lineitem"), table(spark, d, "orders")
+    return clean.first_n_columns(li.join(o, li.l_orderkey == o.o_orderkey), 12)

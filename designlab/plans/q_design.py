@@ -107,6 +107,21 @@ def space_levels(spark, d):
                      F.col("out_unit").alias("unit"))
 
 
+@register("space_json", sql=f"""
+WITH {LEVELS_SQL}
+SELECT pos, name, CAST(row_number() OVER (PARTITION BY name ORDER BY value) - 1 AS INTEGER) AS level, value,
+       CASE name {" ".join(f"WHEN '{p.name}' THEN {repr(p.convert_to or p.unit) if (p.convert_to or p.unit) else 'NULL'}" for p in SPACE)} END AS unit
+FROM lv""", digits=12)
+def space_json(spark, d):
+    """The space written as a JSON space file, with a parameter without values beside it, and read back."""
+    raw = space.space_from_table(table(spark, d, "lineitem"), SPACE)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/space-{uuid.uuid4().hex[:8]}"
+    space.write_space(raw.unionByName(raw.where("pos = 0").withColumns({
+        "pos": F.lit(len(SPACE)), "name": F.lit("derived"), "values": F.lit(None).cast("array<double>")})), path)
+    lv = space.scaled_levels(space.read_space(spark, path))
+    return lv.select("pos", "name", F.posexplode("levels").alias("level", "value"), F.col("out_unit").alias("unit"))
+
+
 def _ff_sql(with_lookup: bool = False) -> str:
     idx = ", ".join(
         f"(SELECT value AS {n}, row_number() OVER (ORDER BY value) AS i{k} FROM lv WHERE name = '{n}') t{k}"

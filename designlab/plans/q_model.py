@@ -12,7 +12,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import functions as F
 
 from designlab.functions.numeric import bind_stats, round_to
-from designlab.operators import board, clean, prep, surrogate
+from designlab.operators import board, clean, dist, prep, surrogate
 from designlab.plans.q_prep import ROW_SPLIT_SQL
 from designlab.plans.registry import register
 from designlab.plans.standins import PREDICTIONS_SQL, RUNLOG_CTES, predictions, run_log
@@ -168,6 +168,31 @@ def train_log(spark, d):
     return log.select("data_file", "optimizer", "num_features", "num_outputs", "epochs", "best_epoch", "test_size", *_logged(log))
 
 
+CHOSEN = {"ridge_0.0": 0.0, "ridge_0.1": 0.1, "ridge_1.0": 1.0}
+
+
+@register("fitted_models_by_inputs", sql=f"""WITH {_ridge_sql(CHOSEN)},
+x AS (SELECT DISTINCT {", ".join(INPUTS)} FROM lineitem)
+SELECT model_name, {", ".join(f"x.{c}" for c in INPUTS)},
+       round(my + {" + ".join(f"b{i} * (x.{c} - m{i}) / s{i}" for i, c in enumerate(INPUTS, 1))}, 4) AS y_pred FROM x, be""", digits=None)
+def fitted_models_by_inputs(spark, d):
+    """Three fitted models applied to one shared input table (every distinct input of lineitem)."""
+    stats = surrogate.gram(_split(spark, d).where("split = 'train'"), INPUTS, LABEL)
+    x = table(spark, d, "lineitem").select(*INPUTS).distinct()
+    out = surrogate.apply_linear({n: surrogate.ridge(stats, reg) for n, reg in CHOSEN.items()}, x, INPUTS)
+    return out.select("model_name", *INPUTS, round_to("y_pred", 4).alias("y_pred"))
+
+
+@register("pca_loadings", sql="""
+WITH r AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)
+SELECT pc, "column", round(CASE WHEN pc = 1 THEN (1 + r) / 2 ELSE (1 - r) / 2 END, 6) AS explained, round(sqrt(0.5), 6) AS loading
+FROM r, (VALUES (1), (2)) p(pc), (VALUES ('l_extendedprice'), ('l_quantity')) c("column")""")
+def pca_loadings(spark, d):
+    """Explained variance and absolute loadings of the principal components of two standardised columns."""
+    out = dist.pca(table(spark, d, "lineitem"), ["l_quantity", "l_extendedprice"])
+    return out.select("pc", "column", "explained", F.abs("loading").alias("loading"))
+
+
 @register("model_roundtrip")
 def model_roundtrip(spark, d):
     """Save the fitted pipeline under model_<base>__yymmdd_HHMMSS in the

@@ -134,6 +134,20 @@ def _choice_sql(name: str, values) -> str:
     return f"({lst})[CAST(floor({_hu_sql(name)} * {len(values)}) + 1 AS BIGINT)]"
 
 
+UNIT_STEPS = (16, 512, 16)
+
+
+@register("stepped_draw", sql=f"""
+SELECT s_suppkey AS trial_id,
+       CAST({UNIT_STEPS[0]} + {UNIT_STEPS[2]} * least(floor({_hu_sql('units')} * {(UNIT_STEPS[1] - UNIT_STEPS[0]) // UNIT_STEPS[2] + 1}),
+                                                      {(UNIT_STEPS[1] - UNIT_STEPS[0]) // UNIT_STEPS[2]}) AS INTEGER) AS units
+FROM supplier""")
+def stepped_draw(spark, d):
+    """Stepped integer draw 16, 32, ..., 512 per trial."""
+    t = table(spark, d, "supplier").select(F.col("s_suppkey").alias("trial_id"))
+    return t.select("trial_id", search.draw_step_int(search.u(SEED, "units", F.col("trial_id")), *UNIT_STEPS).alias("units"))
+
+
 def _search_sql() -> str:
     a, b = math.log(UNITS[0]), math.log(UNITS[1] + 1)
     la, lb = math.log(LEARNING_RATE[0]), math.log(LEARNING_RATE[1])
