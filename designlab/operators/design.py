@@ -232,20 +232,35 @@ def map_groups(df: DataFrame, group_col: str, fn, schema: str) -> DataFrame:
     return ordered.mapInPandas(run, schema)
 
 
+def closest_pair(x: np.ndarray, floor: float = -1.0) -> float:
+    """Least Euclidean distance between two rows (infinite below two rows), without an n x n array.
+
+    Rows are ordered by their widest column, and neighbours at rank distance 1, 2, ... are compared until that
+    column alone keeps all of them further apart than the least distance so far.  Once that is at most
+    ``floor`` the search is given up: the result is then some distance that is at most ``floor``.
+    """
+    if len(x) < 2:
+        return np.inf
+    x = x[np.argsort(x[:, np.argmax(np.ptp(x, axis=0))], kind="stable")]
+    wide = x[:, np.argmax(np.ptp(x, axis=0))]
+    best = np.inf
+    for k in range(1, len(x)):
+        near = np.flatnonzero(wide[k:] - wide[:-k] < best)
+        if not len(near):
+            break
+        d = x[near + k] - x[near]
+        best = min(best, float(np.sqrt((d * d).sum(axis=1).min())))
+        if best <= floor:
+            break
+    return best
+
+
 def _min_pair_distances(names: Sequence[str], group_col: str):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         keys, dists = [], []
         for key, g in pdf.groupby(group_col, sort=False):
-            x = g[list(names)].to_numpy(dtype=float)
-            if len(x) < 2:
-                d = np.inf
-            else:
-                diff = x[:, None, :] - x[None, :, :]
-                dist = np.sqrt((diff * diff).sum(axis=2))
-                np.fill_diagonal(dist, np.inf)
-                d = float(dist.min())
             keys.append(key)
-            dists.append(d)
+            dists.append(closest_pair(g[list(names)].to_numpy(dtype=float)))
         return pd.DataFrame({group_col: keys, "min_dist": dists})
     return fn
 
@@ -320,24 +335,64 @@ def sobol_shift(seed: int, dim: int) -> int:
     return int(hashlib.md5(f"{seed}|sobol|{dim}".encode()).hexdigest()[:8], 16)
 
 
+SCRAMBLED_BITS = 52
+
+
+def scrambled_directions(dim: int, seed: int, bits: int = SCRAMBLED_BITS) -> list[int]:
+    """Direction integers after a seeded linear matrix scrambling: every output bit is the input bit plus a
+    random choice of the bits above it (a lower-triangular matrix with ones on the diagonal)."""
+    import hashlib
+    rows = []
+    for bit in range(bits):  # 0 = most significant
+        digest = int(hashlib.md5(f"{seed}|scramble|{dim}|{bit}".encode()).hexdigest(), 16)
+        above = digest & ((1 << bit) - 1)
+        rows.append((1 << (bits - 1 - bit)) | (above << (bits - bit)))
+    return [sum(((v & row).bit_count() & 1) << (bits - 1 - bit) for bit, row in enumerate(rows))
+            for v in sobol_directions(dim, bits)]
+
+
+def scrambled_shift(seed: int, dim: int, bits: int = SCRAMBLED_BITS) -> int:
+    """Seeded digital shift of a dimension."""
+    import hashlib
+    return int(hashlib.md5(f"{seed}|shift|{dim}".encode()).hexdigest(), 16) >> (128 - bits)
+
+
+def sobol_scrambled(ids: DataFrame, bounds: dict[str, tuple[float, float]], seed: int = 42,
+                    id_col: str = "design_id", index_col: str | None = None) -> DataFrame:
+    """B6 with scrambling: Sobol points of 52 bits, linear matrix scrambling and a digital shift, both seeded.
+
+    Point numbers run to 2^52 - 1.  The scrambled directions are constants, so a point is per-row bit
+    arithmetic as in ``sobol``: no shuffle.
+    """
+    return _sobol_points(ids, bounds, id_col, index_col, SCRAMBLED_BITS,
+                         lambda d: (scrambled_directions(d, seed), scrambled_shift(seed, d)))
+
+
 def sobol(ids: DataFrame, bounds: dict[str, tuple[float, float]], seed: int | None = 42,
           id_col: str = "design_id", index_col: str | None = None) -> DataFrame:
     """Sobol point number ``index_col`` (default the id) per row, Gray-code order, with a seeded
     digital shift (XOR) when ``seed`` is given.  Pure per-row bit arithmetic: no shuffle.
     """
+    return _sobol_points(ids, bounds, id_col, index_col, SOBOL_BITS,
+                         lambda d: (sobol_directions(d), 0 if seed is None else sobol_shift(seed, d)))
+
+
+def _sobol_points(ids: DataFrame, bounds: dict[str, tuple[float, float]], id_col: str, index_col: str | None, bits: int,
+                  numbers) -> DataFrame:
+    """Points from ``numbers(dimension)`` = (direction integers, shift) of ``bits`` bits."""
     raw = F.col(index_col or id_col).cast("long")
     # beyond the direction numbers' bits points would repeat silently
-    idx = F.when(raw.isNull() | raw.between(0, (1 << SOBOL_BITS) - 1), raw).otherwise(
-        F.raise_error(F.concat(F.lit(f"Sobol index outside 0 to 2^{SOBOL_BITS} - 1: "), raw.cast("string"))))
+    idx = F.when(raw.isNull() | raw.between(0, (1 << bits) - 1), raw).otherwise(
+        F.raise_error(F.concat(F.lit(f"Sobol index outside 0 to 2^{bits} - 1: "), raw.cast("string"))))
     gray = idx.bitwiseXOR(F.shiftright(idx, 1))
     cols = [F.col(id_col)]
     for d, (n, (lo, hi)) in enumerate(bounds.items()):
-        acc = F.lit(0).cast("long")
-        for b, v in enumerate(sobol_directions(d)):
+        directions, shift = numbers(d)
+        acc = F.lit(shift).cast("long")
+        for b, v in enumerate(directions):
             acc = acc.bitwiseXOR(F.when(F.shiftright(gray, b) % 2 == 1, F.lit(v)).otherwise(F.lit(0)).cast("long"))
-        if seed is not None:
-            acc = acc.bitwiseXOR(F.lit(sobol_shift(seed, d)).cast("long"))
-        cols.append(_rescale(acc.cast("double") / F.lit(float(1 << SOBOL_BITS)), lo, hi).alias(n))
+        value = _rescale(acc.cast("double") / F.lit(float(1 << bits)), lo, hi)
+        cols.append(F.when(idx.isNotNull(), value).alias(n))
     return ids.select(*cols)
 
 
@@ -351,29 +406,34 @@ def _candidate_lhs(it: int, seed: int, samples: int, lows, widths):
 
 
 def maximin_lhs_generated(spark: SparkSession, bounds: dict[str, tuple[float, float]], samples: int = 20,
-                          iterations: int = 50, seed: int = 42, num_partitions: int | None = None) -> DataFrame:
+                          iterations: int = 50, seed: int = 42, num_partitions: int | None = None,
+                          scale: str = "physical") -> DataFrame:
     """B5 for generated candidates: one row per candidate from ``spark.range(iterations)``; each
     task builds its candidates' hypercubes (numpy, seeded by candidate number) and scores them,
-    so there is no shuffle; the best candidate (largest minimum distance in physical units,
-    earliest on ties) is then rebuilt as ``samples`` rows."""
+    so there is no shuffle; the best candidate (largest minimum distance, earliest on ties) is then
+    rebuilt as ``samples`` rows.
+
+    A task gives a candidate up as soon as two of its points are no further apart than the closest pair of
+    its best candidate so far.  ``scale`` only chooses the distance (physical units or the unit cube): one
+    seed gives the same candidates.
+    """
     names = list(bounds)
     lows = np.array([bounds[n][0] for n in names], dtype=float)
     widths = np.array([bounds[n][1] - bounds[n][0] for n in names], dtype=float)
     parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    unit = np.where(widths == 0, 1.0, widths) if scale == "unit" else np.ones(len(widths))
+
     def score(batches):
+        best = None
         for pdf in batches:
-            out = []
             for it in pdf["id"].to_numpy():
-                x = _candidate_lhs(it, seed, samples, lows, widths)
-                if samples < 2:
-                    out.append(np.inf)
-                    continue
-                diff = x[:, None, :] - x[None, :, :]
-                dist = np.sqrt((diff * diff).sum(axis=2))
-                np.fill_diagonal(dist, np.inf)
-                out.append(float(dist.min()))
-            yield pd.DataFrame({"iteration": pdf["id"].to_numpy(), "min_dist": out})
+                x = _candidate_lhs(it, seed, samples, lows, widths) / unit
+                d = closest_pair(x, -1.0 if best is None else best[1])
+                if best is None or d > best[1]:
+                    best = int(it), d
+        if best is not None:
+            yield pd.DataFrame({"iteration": [best[0]], "min_dist": [best[1]]})
 
     scores = spark.range(0, iterations, 1, parts).mapInPandas(score, "iteration long, min_dist double")
     best = scores.orderBy(F.desc("min_dist"), F.asc("iteration")).limit(1).first()   # one row

@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,7 @@ from designlab.functions.numeric import bind_stats, is_finite, nan_to_null, null
 from designlab.operators.design import map_groups
 from designlab.operators.rank import dist_rank
 from designlab.operators.select import exact_quantiles
-from designlab.session import measured
+from designlab.session import cut_lineage, measured
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -45,12 +46,13 @@ def pca(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """
     x = [nan_to_null(F.col(c).cast("double")) for c in cols]
     rows = df.select(*[v.alias(f"_{i}") for i, v in enumerate(x)]).na.drop("any")
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    found = rows.agg(F.count(F.lit(1)).alias("n"), *[F.corr(f"_{i}", f"_{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
+    found = rows.agg(*[F.covar_pop(f"_{i}", f"_{j}").alias(f"c{i}_{j}") for i, j in pairs]).first()
+    sd = [math.sqrt(found[f"c{i}_{i}"] or 0.0) for i in range(len(cols))]
     corr = np.eye(len(cols))
     for i, j in pairs:
-        value = found[f"c{i}_{j}"]
-        corr[i, j] = corr[j, i] = value if value is not None and not math.isnan(value) else 0.0
+        if i < j and sd[i] and sd[j]:  # a constant column is a component of its own
+            corr[i, j] = corr[j, i] = found[f"c{i}_{j}"] / (sd[i] * sd[j])
     values, vectors = np.linalg.eigh(corr)
     out = []
     for pc, at in enumerate(np.argsort(-values), 1):
@@ -368,3 +370,99 @@ def pair_distance_hist(df: DataFrame, group_col: str, cols: Sequence[str], bins:
     counts = map_groups(z2, group_col, count, "bin long, count long").groupBy("bin").agg(F.sum("count").alias("count"))
     edges = spark.range(0, bins, 1, 1).withColumnRenamed("id", "bin")
     return edges.join(counts, "bin", "left").select("bin", F.coalesce("count", F.lit(0).cast("long")).alias("count"))
+
+
+# ---------------------------------------------------------------- all pairs of a table
+
+PAIR_BLOCK = 2048
+
+
+def standardised(df: DataFrame, vector: str) -> DataFrame:
+    """(z): the vector column standardised per component (population std, 0 -> 1) as array<double>; rows with
+    a NULL vector or a missing component are left out.  Two numbers per component are read back."""
+    x = F.transform(F.col(vector), lambda e: e.cast("double"))
+    rows = df.select(x.alias("x")).where(F.col("x").isNotNull() & F.forall("x", lambda e: is_finite(e)))
+    st = rows.select(F.posexplode("x").alias("p", "e")).groupBy("p").agg(F.avg("e").alias("m"), F.stddev_pop("e").alias("s"))
+    st = st.orderBy("p").collect()
+    mean = F.array(*[F.lit(float(r["m"])) for r in st])
+    sd = F.array(*[F.lit(float(r["s"]) or 1.0) for r in st])
+    return rows.select(F.zip_with(F.zip_with("x", mean, lambda a, m: a - m), sd, lambda a, s: a / s).alias("z"))
+
+
+def _pair_cells(rows: DataFrame, diagonal: bool, block_rows: int) -> DataFrame:
+    """Packed blocks of the ``z`` rows, dealt to the cells (i, j), i <= j, of the triangle of blocks."""
+    rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
+    count = max(1, -(-rows.count() // block_rows))
+
+    def pack(table: pa.Table) -> pa.Table:
+        z = table.column("z").combine_chunks()
+        flat = z.flatten().to_numpy(zero_copy_only=False).astype("<f8")
+        return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "n": pa.array([len(z)], pa.int32()),
+                         "z": pa.array([flat.tobytes()], pa.binary())})
+
+    blocks = (rows.withColumn("block", F.pmod(F.xxhash64("_row"), F.lit(count)).cast("int")).drop("_row")
+              .groupBy("block").applyInArrow(pack, "block int, n int, z binary"))
+    other = F.col("block") if diagonal else F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+    return cut_lineage(blocks).withColumn("other", other).select(
+        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
+        (F.col("block") > F.col("other")).cast("int").alias("side"), "n", "z")
+
+
+def _cell_distances(table: pa.Table):
+    """Distances of the pairs of a cell, row by row of its first block."""
+    sides = {side: np.frombuffer(z, "<f8").reshape(n, -1) for side, n, z in
+             zip(*(table.column(c).to_pylist() for c in ("side", "n", "z")), strict=True)}
+    first = sides.get(0)
+    if first is None or (table.column("i")[0].as_py() != table.column("j")[0].as_py() and 1 not in sides):
+        return
+    second = sides.get(1)
+    for r in range(len(first)):
+        d = (first[r + 1:] if second is None else second) - first[r]
+        if len(d):
+            yield np.sqrt((d * d).sum(axis=1))
+
+
+def all_pairs_hist(df: DataFrame, vector: str, bins: int = 30, diagonal: bool = False,
+                   block_rows: int = PAIR_BLOCK) -> DataFrame:
+    """E15 over a whole table: histogram of the Euclidean distances of all pairs of standardised rows.
+
+    The rows lie in blocks; a cell of the triangle of blocks is one task's work and gives bin counts only, so
+    no pair is written, and memory holds two blocks.  The range of the bins is found by a first pass over the
+    cells (min and max per cell).  Output: (bin, lo_edge, hi_edge, count, share, se).
+
+    ``diagonal`` measures only the pairs inside the blocks, which rows are dealt to at random: an estimate
+    whose work grows with the rows instead of their square.  ``se`` is then the standard error of the share
+    from the spread over blocks (NULL with one block); with all pairs it is 0.
+    """
+    cells = _pair_cells(standardised(df, vector), diagonal, block_rows)
+
+    def extremes(table: pa.Table) -> pa.Table:
+        lo, hi = np.inf, -np.inf
+        for d in _cell_distances(table):
+            lo, hi = min(lo, d.min()), max(hi, d.max())
+        return pa.table({"lo": pa.array([lo] if lo <= hi else [], pa.float64()), "hi": pa.array([hi] if lo <= hi else [], pa.float64())})
+
+    edge = cells.groupBy("i", "j").applyInArrow(extremes, "lo double, hi double").agg(F.min("lo"), F.max("hi")).first()
+    lo, hi = (float("nan"), float("nan")) if edge[0] is None else (float(edge[0]), float(edge[1]))
+    if lo == hi:
+        lo, hi = lo - 0.5, hi + 0.5
+    step = (hi - lo) / bins
+
+    def count(table: pa.Table) -> pa.Table:
+        total = np.zeros(bins, np.int64)
+        for d in _cell_distances(table):
+            at = np.clip(np.floor((d - lo) * (bins / (hi - lo))), 0, bins - 1).astype(np.int64)
+            total += np.bincount(at, minlength=bins)
+        return pa.table({"i": pa.array([table.column("i")[0].as_py()] * bins, pa.int32()), "bin": np.arange(bins, dtype=np.int64),
+                         "count": total, "pairs": pa.array([int(total.sum())] * bins, pa.int64())})
+
+    per_cell = cells.groupBy("i", "j").applyInArrow(count, "i int, bin long, count long, pairs long")
+    share = F.col("count") / F.col("pairs")
+    found = per_cell.groupBy("bin").agg(
+        F.sum("count").alias("count"), F.sum("pairs").alias("pairs"),
+        (F.stddev_samp(F.when(F.col("pairs") > 0, share)) / F.sqrt(F.count(F.when(F.col("pairs") > 0, 1)))).alias("se"))
+    at = F.col("bin")
+    return found.where(F.col("pairs") > 0).select(
+        "bin", (F.lit(lo) + at * step).alias("lo_edge"),
+        F.when(at == bins - 1, F.lit(hi)).otherwise(F.lit(lo) + (at + 1) * step).alias("hi_edge"), "count",
+        (F.col("count") / F.col("pairs")).alias("share"), (F.col("se") if diagonal else F.lit(0.0)).alias("se"))

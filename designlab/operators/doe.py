@@ -94,19 +94,16 @@ class DesignSpace:
 
     def maximin_latin_hypercube(self, samples: int = 20, iterations: int = 50, seed: int = 42,
                                 scale: str = "physical") -> DataFrame:
-        if scale == "physical":
-            # candidates are generated and scored inside tasks: no shuffle
-            best = design.maximin_lhs_generated(self.spark, self.bounds, samples, iterations, seed)
-            return self.with_links(best.drop("iteration", "min_dist"))
-        ids = self._ids(samples * iterations).withColumn(
-            "iteration", F.floor(F.col("design_id") / samples).cast("long"))
-        best = design.maximin_lhs(ids, self.bounds, "iteration", seed, scale=scale)
-        best = best.withColumn("design_id", F.col("design_id") - F.col("iteration") * samples)
+        # candidates are generated and scored inside tasks: no shuffle
+        best = design.maximin_lhs_generated(self.spark, self.bounds, samples, iterations, seed, scale=scale)
         return self.with_links(best.drop("iteration", "min_dist"))
 
     def sobol(self, samples: int = 20, seed: int | None = 42) -> DataFrame:
         return self.with_links(design.sobol(self._ids(samples), self.bounds, seed))
 
+    def sobol_scrambled(self, samples: int = 20, seed: int = 42) -> DataFrame:
+        return self.with_links(design.sobol_scrambled(self._ids(samples), self.bounds, seed))
+
     # ------------------------------------------------------------ sinks
 
     def save_csv(self, df: DataFrame, path: str) -> None:

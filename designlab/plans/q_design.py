@@ -258,6 +258,31 @@ def sobol_design(spark, d):
     return design.sobol(_ids(spark, d), _bounds(_params(spark, d)), SEED)
 
 
+def _scrambled_sql() -> str:
+    """The same points digit by digit: output bit r of a point is the parity of Gray-coded index bits b whose
+    scrambled direction has bit r, added up as a weighted sum instead of XORs."""
+    cols = []
+    for k, n in enumerate(NAMES):
+        v = design.scrambled_directions(k, SEED)
+        shift = design.scrambled_shift(SEED, k)
+        terms = []
+        for r in range(52):
+            mask = sum(((x >> r) & 1) << b for b, x in enumerate(v))
+            terms.append(f"((bit_count(g & {mask}) + {(shift >> r) & 1}) % 2) * {1 << r}")
+        cols.append(f"(CAST({' + '.join(terms)} AS DOUBLE) / {_f(float(1 << 52))}) * (hi_{n} - lo_{n}) + lo_{n} AS {n}")
+    return f"""WITH {LEVELS_SQL}, {BOUNDS_SQL},
+i AS (SELECT o_orderkey, o_orderkey + {1 << 40} AS x FROM orders),
+ids AS (SELECT o_orderkey, xor(x, x >> 1) AS g FROM i)
+SELECT o_orderkey AS design_id, {", ".join(cols)} FROM ids, bd"""
+
+
+@register("sobol_scrambled", sql=_scrambled_sql(), digits=12)
+def sobol_scrambled(spark, d):
+    """Scrambled Sobol points from number 2^40 on."""
+    ids = _ids(spark, d).withColumn("point", F.col("design_id") + (1 << 40))
+    return design.sobol_scrambled(ids, _bounds(_params(spark, d)), SEED, index_col="point")
+
+
 @register("linked_columns", sql=f"""
 WITH {LEVELS_SQL}, {BOUNDS_SQL},
 r AS (SELECT o_orderkey AS design_id, {_rescale_sql(_hu(str(SEED), 'T', 'o_orderkey'), 'T')} AS T FROM orders, bd)

@@ -270,7 +270,7 @@ z AS (SELECT CAST(floor(o_orderkey / {SAMPLES}) AS BIGINT) AS it, o_orderkey,
 p AS (SELECT sqrt((a.z1 - b.z1) * (a.z1 - b.z1) + (a.z2 - b.z2) * (a.z2 - b.z2)) AS dd
       FROM z a JOIN z b ON a.it = b.it AND a.o_orderkey < b.o_orderkey),
 r AS (SELECT min(dd) AS lo, max(dd) AS hi FROM p),
-c AS (SELECT CAST(least(floor((dd - lo) * ({_f(LATTICE)} / (hi - lo))), {BINS - 1}) AS BIGINT) AS bin, count(*) AS count
+c AS (SELECT CAST(least(floor((dd - lo) * ({_f(BINS)} / (hi - lo))), {BINS - 1}) AS BIGINT) AS bin, count(*) AS count
       FROM p, r GROUP BY 1)
 SELECT g.bin, coalesce(c.count, 0) AS count FROM range({BINS}) g(bin) LEFT JOIN c ON c.bin = g.bin"""
 
@@ -283,3 +283,17 @@ def pair_distance_hist(spark, d):
         F.col("o_totalprice").cast("double").alias("o_totalprice"), F.col("o_custkey").cast("double").alias("o_custkey"))
     # the multiset of distances inside a candidate does not depend on row order
     return dist.pair_distance_hist(o, "it", ["o_totalprice", "o_custkey"], BINS)
+
+
+@register("all_pairs_hist", sql=f"""
+WITH e AS (SELECT vec_id, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS p FROM embeddings),
+st AS (SELECT p, avg(x) AS m, stddev_pop(x) AS s FROM e GROUP BY p),
+z AS (SELECT vec_id, list((x - m) / CASE WHEN s = 0 THEN 1.0 ELSE s END ORDER BY p) AS z FROM e JOIN st USING (p) GROUP BY vec_id),
+d AS (SELECT list_distance(a.z, b.z) AS d FROM z a JOIN z b ON a.vec_id < b.vec_id),
+r AS (SELECT min(d) AS lo, max(d) AS hi FROM d),
+c AS (SELECT CAST(least(greatest(floor((d - lo) * ({_f(BINS)} / (hi - lo))), 0), {BINS - 1}) AS BIGINT) AS bin, count(*) AS n FROM d, r GROUP BY 1)
+SELECT b AS bin, round(lo + b * ((hi - lo) / {_f(BINS)}), 6) AS lo_edge, coalesce(n, 0) AS count
+FROM r, range({BINS}) t(b) LEFT JOIN c ON c.bin = t.b""")
+def all_pairs_hist(spark, d):
+    """Histogram of the distances of all pairs of standardised embeddings."""
+    return dist.all_pairs_hist(table(spark, d, "embeddings"), "embedding", BINS).select("bin", "lo_edge", "count")

@@ -1,9 +1,10 @@
 """Operators behind the report queries: fitted models on shared inputs, principal components, wide layers, space sink."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
-from designlab.operators import board, dist, space, surrogate
+from designlab.operators import board, design, dist, space, surrogate
 
 
 def test_apply_linear_keeps_every_row_and_model(spark):
@@ -48,3 +49,85 @@ def test_space_file_round_trip(spark, tmp_dir):
     levels = {r.name: r.levels for r in space.scaled_levels(back).collect()}
     assert levels == {"T": [320.0, 520.0], "W": [1e-6]}  # a parameter without values is left out
     assert space.scaled_levels(back).where(F.col("name") == "T").first().linked == {"i0": [1.0]}
+
+
+def test_closest_pair_and_early_abandon():
+    rng = np.random.default_rng(12)
+    for n, d in ((2, 1), (3, 2), (50, 3), (400, 10), (300, 1)):
+        x = rng.uniform(size=(n, d)) * rng.uniform(0.01, 1000, d)
+        diff = x[:, None] - x[None]
+        want = np.sqrt((diff * diff).sum(-1))[np.triu_indices(n, 1)].min()
+        assert design.closest_pair(x) == want
+        assert design.closest_pair(x, want / 2) == want
+        assert design.closest_pair(x, want * 2) <= want * 2
+    assert design.closest_pair(np.zeros((1, 3))) == np.inf
+    assert design.closest_pair(np.zeros((5, 3))) == 0.0
+
+
+def test_maximin_of_many_points_has_the_same_candidates_in_both_scales(spark):
+    bounds = {"a": (0.0, 1.0), "b": (0.0, 1000.0), "c": (5.0, 5.0)}
+    for scale in ("physical", "unit"):
+        got = design.maximin_lhs_generated(spark, bounds, samples=12, iterations=30, seed=4, num_partitions=3, scale=scale)
+        lows, widths = np.array([0.0, 0.0, 5.0]), np.array([1.0, 1000.0, 0.0])
+        unit = np.array([1.0, 1000.0, 1.0]) if scale == "unit" else np.ones(3)
+        score = [design.closest_pair(design._candidate_lhs(it, 4, 12, lows, widths) / unit) for it in range(30)]
+        row = got.first()
+        assert row.iteration == int(np.argmax(score)) and row.min_dist == max(score)
+    big = design.maximin_lhs_generated(spark, {f"x{i}": (0.0, 1.0) for i in range(6)}, samples=2000, iterations=8, seed=1)
+    assert big.count() == 2000 and big.first().min_dist > 0
+
+
+def test_scrambled_sobol_is_a_net(spark):
+    names = {f"x{i}": (0.0, 1.0) for i in range(10)}
+    ids = spark.range(0, 512, 1, 3).withColumnRenamed("id", "design_id")
+    pdf = design.sobol_scrambled(ids, names, seed=7).toPandas()
+    for n in names:  # 2^k points: one in each interval of length 2^-k, for every k
+        for k in (1, 4, 9):
+            part = pdf[pdf["design_id"] < 2 ** k][n].to_numpy()
+            assert sorted(np.floor(part * 2 ** k).astype(int)) == list(range(2 ** k))
+    # the first two dimensions: one point in every elementary box
+    for k in range(10):
+        boxes = np.floor(pdf["x0"] * 2 ** k) * 2 ** 9 + np.floor(pdf["x1"] * 2 ** (9 - k))
+        assert boxes.nunique() == 512
+    other = design.sobol_scrambled(ids, names, seed=8).toPandas()
+    shift = np.abs(other["x0"] - pdf["x0"])
+    assert shift.nunique() > 100  # not one digital shift
+    far = spark.createDataFrame([(2 ** 40,), (2 ** 52 - 1,), (None,)], "design_id long")
+    rows = design.sobol_scrambled(far, {"x0": (0.0, 1.0)}).collect()
+    assert all(0 <= r.x0 < 1 for r in rows[:2]) and rows[2].x0 is None
+    with pytest.raises(Exception, match="Sobol index"):
+        design.sobol_scrambled(spark.createDataFrame([(2 ** 52,)], "design_id long"), {"x0": (0.0, 1.0)}).collect()
+
+
+@pytest.mark.parametrize("block", [2048, 40])
+def test_all_pairs_histogram(spark, block):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(150, 5)) * [1, 2, 3, 4, 0] + 1
+    rows = [([float(v) for v in r],) for r in x] + [(None,), ([1.0, None, 1.0, 1.0, 1.0],), ([1.0, float("nan"), 1.0, 1.0, 1.0],)]
+    got = dist.all_pairs_hist(spark.createDataFrame(rows, "e array<double>"), "e", 12, block_rows=block).orderBy("bin").collect()
+    sd = x.std(0)
+    z = (x - x.mean(0)) / np.where(sd == 0, 1, sd)
+    d = np.sqrt(((z[:, None] - z[None]) ** 2).sum(-1))[np.triu_indices(150, 1)]
+    count, edges = np.histogram(d, 12)
+    assert [r["count"] for r in got] == count.tolist()
+    assert np.allclose([r.lo_edge for r in got], edges[:-1]) and abs(got[-1].hi_edge - edges[-1]) < 1e-9
+    assert sum(r.share for r in got) == pytest.approx(1) and all(r.se == 0 for r in got)
+    assert dist.all_pairs_hist(spark.createDataFrame(rows[:1], "e array<double>"), "e", 12).count() == 0
+
+
+def test_pairs_inside_random_blocks_estimate_the_histogram(spark):
+    rng = np.random.default_rng(13)
+    x = rng.normal(size=(2000, 3))
+    df = spark.createDataFrame([([float(v) for v in r],) for r in x], "e array<double>")
+    whole = {r.bin: r.share for r in dist.all_pairs_hist(df, "e", 8).collect()}
+    part = dist.all_pairs_hist(df, "e", 8, diagonal=True, block_rows=100).orderBy("bin").collect()
+    assert 0 < sum(r["count"] for r in part) < 2000 * 110
+    # the bins differ a little: each estimate's own range is used
+    edges = {r.bin: r.lo_edge for r in dist.all_pairs_hist(df, "e", 8).collect()}
+    d = np.sqrt((((x - x.mean(0)) / x.std(0))[:, None] - ((x - x.mean(0)) / x.std(0))[None]) ** 2 @ np.ones(3))
+    d = d[np.triu_indices(2000, 1)]
+    for r in part:
+        want = ((d >= r.lo_edge) & (d < r.hi_edge)).mean()
+        assert r.se > 0 or r["count"] == 0
+        assert abs(r.share - want) <= 5 * r.se + 1e-3
+    assert len(whole) == len(edges) == 8
