@@ -110,9 +110,12 @@ def repeated(keyed: DataFrame) -> DataFrame:
                     .where("lo < hi").select("key"))
     at = stored(marks.join(shared, "key").groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
     rows = stored(windows(keyed.join(at, ["_id", "_h"])))
-    first = stored(rows.groupBy("a", "b").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-                   .where("lo < hi").select("a", "b", "lo"))
-    return stored(rows.join(first, ["a", "b"]).where("_id > lo")
+    # half the hash finds the few windows that can be shared; the whole hash decides among them
+    twice = stored(rows.groupBy("a").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi")).where("lo < hi").select("a"))
+    some = stored(rows.join(twice, "a"))
+    first = (some.groupBy("a", "b").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
+             .where("lo < hi").select("a", "b", "lo"))
+    return stored(some.join(first, ["a", "b"]).where("_id > lo")
                   .groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
 
 
