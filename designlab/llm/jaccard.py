@@ -50,7 +50,7 @@ LEAF = 32
 
 def _sets(batch):
     """(part, flat distinct shingle hashes sorted within each document, offsets) per slice."""
-    for part in slices(batch):
+    for part in slices(batch, most=4 << 20):
         data, offsets = text_bytes(part.column("text"))
         data = data + ((data >= 0x41) & (data <= 0x5A)) * np.uint8(32)
         words = Words(data, offsets)

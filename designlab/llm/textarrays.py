@@ -188,7 +188,7 @@ def per_doc(values: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.diff(running[first])
 
 
-def slices(batch, text: str = "text", most: int = 4 << 20):
+def slices(batch, text: str = "text", most: int = 1 << 20):
     """Cut an Arrow batch into runs of rows of at most ``most`` text bytes (or one row)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     total = np.cumsum(sizes)
