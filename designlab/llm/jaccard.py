@@ -40,17 +40,17 @@ SHINGLE = 5
 GROUPS, FILL = 64, 4
 #: most frequent shingles that the global order knows (16 bytes each, on the driver and every executor)
 HOT_SHINGLES = 200_000
-#: a shingle is counted where this many documents of one slice (4 MB of text) hold it
-HOT_LOCAL = 8
+#: a shingle is counted where this many documents of one slice (HOT_SLICE bytes of text) hold it
+HOT_LOCAL, HOT_SLICE = 4, 2 << 20
 #: nodes, and bytes of their sets, per block of a residual group
 BLOCK = 2000
 BLOCK_BYTES = 32 << 20
 LEAF = 32
 
 
-def _sets(batch):
+def _sets(batch, most: int = 1 << 20):
     """(part, flat distinct shingle hashes sorted within each document, offsets) per slice."""
-    for part in slices(batch, most=4 << 20):
+    for part in slices(batch, most=most):
         data, offsets = text_bytes(part.column("text"))
         data = data + ((data >= 0x41) & (data <= 0x5A)) * np.uint8(32)
         words = Words(data, offsets)
@@ -135,7 +135,7 @@ def hot_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """(sorted shingles, level) of the most frequent shingles; level is the bit length of the count."""
     def run(batches):
         for batch in batches:
-            for _, keys, _, _ in _sets(batch):
+            for _, keys, _, _ in _sets(batch, HOT_SLICE):
                 found, count = np.unique(keys, return_counts=True)
                 hot = count >= HOT_LOCAL
                 yield pa.RecordBatch.from_arrays([pa.array(found[hot].view(np.int64)), pa.array(count[hot])],
