@@ -76,7 +76,7 @@ def parse_generators(design: str) -> tuple[list[str], list[str]]:
             if ch.isalpha() and ch not in base:
                 base.append(ch)
     if len(base) > 7:
-        raise ValueError("Maximum 7 base factors supported.")
+        raise ValueError(f"a two-level design has at most 7 base factors, found {len(base)}")
     return tokens, base
 
 
@@ -90,7 +90,7 @@ def fractional_factorial(spark: SparkSession, design: str, bounds: dict[str, tup
     tokens, base = parse_generators(design)
     names = list(bounds)
     if len(names) < len(tokens):
-        raise ValueError("Mismatch between design and number of parameters.")
+        raise ValueError(f"the design has {len(tokens)} columns for {len(names)} parameters")
     names = names[:len(tokens)]
     runs = spark.range(0, 2 ** len(base), 1, 1).withColumnRenamed("id", "design_id")
     cols = [F.col("design_id")]

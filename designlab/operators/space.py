@@ -140,9 +140,9 @@ for (_b, _l), (_a, _c, _e) in LINKED_CONSTANTS.items():
 def linked_column(base: str, linked: str, base_col: Column, base_unit: str | None, koh: float | None) -> Column:
     """Value of ``linked`` from the base column; Celsius units are moved to Kelvin."""
     if (base, linked) not in _FORMULAS:
-        raise NotImplementedError(f"No formula implemented for ({base}, {linked})")
+        raise NotImplementedError(f"{base} -> {linked}: unknown formula (see register_linked)")
     if koh is None:
-        raise ValueError("KOH concentration is required for T-linked formulas.")
+        raise ValueError(f"{base} -> {linked}: this formula needs a molarity (koh)")
     t = base_col + F.lit(273.15) if (base_unit or "").lower() in CELSIUS_UNITS else base_col
     return _FORMULAS[(base, linked)](t, koh)
 
