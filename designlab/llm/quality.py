@@ -1,7 +1,7 @@
 """Quality rules as a short-circuit cascade.
 
 Every rule is a vector function over a batch of texts.  ``plan_cascade`` runs all rules on a
-bounded sample, measures each rule's seconds per word and the share of documents that it
+sample chosen by a hash of ``doc_id``, inside the tasks that read it, measures each rule's seconds per word and the share of documents that it
 rejects, and orders rules by rejection per cost; ``apply_cascade`` then evaluates them in that
 order, each only on the documents that the rules before it have kept.  The verdict does not
 depend on the order, so a different measurement changes the speed and never the result.
@@ -13,6 +13,7 @@ judged one by one; an empty table gives an empty result; columns other than ``do
 
 from __future__ import annotations
 
+import functools
 import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -22,9 +23,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from designlab.llm.textarrays import SPACE, Words, mix, per_doc, slices, text_bytes
+from designlab.llm.textarrays import SPACE, Words, mix, per_doc, slices, small_batches, text_bytes
 
-#: documents in the sample that orders the cascade (a bound on planning work; verdicts don't depend on it)
+#: documents in the sample that orders the cascade, in all and in one task (it bounds planning work; verdicts
+#: don't depend on it)
 SAMPLE_DOCS = 2_000
 MIN_WORDS = 20
 REPEAT_WINDOW = 8
@@ -36,10 +38,24 @@ LETTER[ord("A"):ord("Z") + 1] = True
 LETTER[ord("a"):ord("z") + 1] = True
 
 
+def _once(measure: Callable[[Words], object]) -> Callable[[Words], object]:
+    """``measure`` computed once per batch: the report and the rules read the same arrays."""
+    @functools.wraps(measure)
+    def known(words: Words):
+        found = words.__dict__.setdefault("measured", {})
+        if measure.__name__ not in found:
+            found[measure.__name__] = measure(words)
+        return found[measure.__name__]
+
+    return known
+
+
+@_once
 def n_symbols(words: Words) -> np.ndarray:
     return per_doc(SYMBOL[words.data], words.offsets)
 
 
+@_once
 def word_chars(words: Words) -> np.ndarray:
     """Code points inside words: bytes that are neither white space nor UTF-8 continuation bytes."""
     return per_doc(~SPACE[words.data] & ((words.data & 0xC0) != 0x80), words.offsets)
@@ -54,6 +70,7 @@ def _first_seen(doc: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return order, new
 
 
+@_once
 def worded_lines(words: Words) -> tuple[np.ndarray, np.ndarray]:
     """(lines with a word, those of them equal to an earlier line of the document)."""
     data, offsets = words.data, words.offsets
@@ -129,10 +146,13 @@ BY_NAME = {r.name: r for r in RULES}
 
 
 def _subset(words: Words, rows: np.ndarray) -> Words:
-    """The words object of some documents of a batch."""
+    """The words object of some documents of a batch, with what is measured of them already."""
     lengths = np.diff(words.offsets)
     keep = np.repeat(rows, lengths)
-    return Words(words.data[keep], np.concatenate([[0], np.cumsum(lengths[rows])]))
+    part = Words(words.data[keep], np.concatenate([[0], np.cumsum(lengths[rows])]))
+    part.measured = {k: tuple(x[rows] for x in v) if isinstance(v, tuple) else v[rows]
+                     for k, v in words.__dict__.get("measured", {}).items()}
+    return part
 
 
 def _batches(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Words]]:
@@ -143,13 +163,20 @@ def _batches(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, Words]]:
 def plan_cascade(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[dict]:
     """Rules with measured cost (seconds per 1e6 words) and rejected share, best first.
 
-    At most ``sample_docs`` documents are measured; the collected table has one row per rule.
+    About ``sample_docs`` documents are measured, chosen by a hash of their id, where they are read: no text
+    leaves its task.  Rows of one id are chosen together, so a task also stops at ``sample_docs`` rows.  The
+    collected table has one row per rule.
     """
     names = [r.name for r in RULES]
+    total = docs.count()
+    share = min(1.0, sample_docs / max(total, 1))
 
     def measure(batches):
+        left = sample_docs
         for batch in batches:
-            for _, words in _batches(batch):
+            batch = batch.slice(0, left)
+            left -= batch.num_rows
+            for _, words in _batches(batch) if batch.num_rows else ():
                 for name in names:
                     began = time.perf_counter()
                     bad = BY_NAME[name].rejects(words)
@@ -158,7 +185,8 @@ def plan_cascade(docs: DataFrame, sample_docs: int = SAMPLE_DOCS) -> list[dict]:
                         "rule": [name], "seconds": [took], "words": [len(words)],
                         "docs": [words.n_docs], "rejected": [int(bad.sum())]})
 
-    rows = (docs.select("text").limit(sample_docs)
+    drawn = F.pmod(F.xxhash64(F.col("doc_id"), F.lit("cascade")), F.lit(1 << 40)) < int(share * (1 << 40))
+    rows = (small_batches(docs).where(drawn).select("text")
             .mapInArrow(measure, "rule string, seconds double, words long, docs long, rejected long")
             .groupBy("rule").agg(F.sum("seconds").alias("seconds"), F.sum("words").alias("words"),
                                  F.sum("docs").alias("docs"), F.sum("rejected").alias("rejected")).collect())
@@ -196,16 +224,17 @@ def quality_report(docs: DataFrame, order: list[str] | None = None) -> DataFrame
         for batch in batches:
             for part, words in _batches(batch):
                 repeats = repeat_words(words)
+                base = (words.counts, word_chars(words), n_symbols(words), worded_lines(words)[1], repeats)
                 failed = (words.counts < MIN_WORDS) | (100 * repeats > 30 * words.counts)
                 kept = cascade(words, order, ~failed)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id"), *(pa.array(x, pa.int64()) for x in (
-                        words.counts, word_chars(words), n_symbols(words), worded_lines(words)[1], repeats)),
+                    [part.column("doc_id"), *(pa.array(x, pa.int64()) for x in base),
                      pa.array(failed), pa.array(kept)],
                     names=["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                            "base_failed", "kept"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(judge, REPORT)
+    return (small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            .mapInArrow(judge, REPORT))
 
 
 def filter_quality(docs: DataFrame, order: list[str] | None = None) -> DataFrame:
@@ -218,7 +247,7 @@ def filter_quality(docs: DataFrame, order: list[str] | None = None) -> DataFrame
                 failed = (words.counts < MIN_WORDS) | (100 * repeat_words(words) > 30 * words.counts)
                 yield part.filter(pa.array(cascade(words, order, ~failed)))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return small_batches(docs).mapInArrow(keep, docs.schema)
 
 
 OP5_SQL = r"""

@@ -75,3 +75,16 @@ def test_index_remembers_batches(spark):
     # a batch sent again after a failure gives the same answer
     again = {r["doc_id"]: (r["keep_id"], r["kept"]) for r in digest_index.dedup(second, index).collect()}
     assert again == got
+
+
+def test_sample_is_measured_in_place(spark):
+    schema = "doc_id long, text string"
+    same = spark.createDataFrame([(7, LONG)] * 300 + [(None, "# # #")] * 300, schema)
+    plan = {p["rule"]: p for p in quality.plan_cascade(same, sample_docs=50)}
+    assert set(plan) == {r.name for r in quality.RULES} and all(0 <= p["rejects"] <= 1 for p in plan.values())
+    docs = spark.createDataFrame([(i, LONG) for i in range(400)] + [(400 + i, "# $ % & < > " * 9) for i in range(400)], schema)
+    plan = {p["rule"]: p["rejects"] for p in quality.plan_cascade(docs, sample_docs=200)}
+    assert 0.3 < plan["symbols"] < 0.7 and plan["word_length"] == plan["letter_words"] == plan["symbols"]
+    # a sample of everything counts every document
+    plan = {p["rule"]: p["rejects"] for p in quality.plan_cascade(docs, sample_docs=10_000)}
+    assert plan["symbols"] == 0.5 and plan["duplicate_lines"] == 0
