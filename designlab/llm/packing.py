@@ -1,7 +1,9 @@
 """Cost-balanced packing of whole documents into training sequences.
 
 Documents are tokenised, an end id is appended, and groups of documents (by a hash of the
-row, so that no source or key gathers in one task) are packed on their own.  Within a group the
+row and of the partition that it is read from, so that no source or key gathers in one task and
+equal rows of one partition at most share a group) are packed on their own.  A task that is run
+again deals its rows to the same groups.  Within a group the
 capacities add up to the group's tokens exactly: full sequences of ``length`` and, for what is
 left, one sequence per set bit, since a power of two needs no padding.  Documents are taken in
 descending order of length; each goes to the sequence of lowest estimated cost (linear in tokens
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from designlab.llm.bpe import default_vocabulary, load
-from designlab.llm.textarrays import slices
+from designlab.llm.textarrays import slices, small_batches
 
 LENGTH = 2048
 END_ID = 1
@@ -53,8 +55,8 @@ def token_ids(docs: DataFrame, groups: int, vocabulary: str | None = None, end_i
                 yield pa.RecordBatch.from_arrays([part.column("bin"), part.column("doc_id"), packed],
                                                  names=["bin", "doc_id", "ids"])
 
-    key = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text")), F.lit(groups)).cast("int")
-    return (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("bin", key)
+    key = F.pmod(F.xxhash64(F.col("doc_id"), F.col("text"), F.spark_partition_id()), F.lit(groups)).cast("int")
+    return (small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("bin", key)
             .mapInArrow(run, "bin int, doc_id long, ids binary"))
 
 

@@ -146,3 +146,14 @@ def test_empty_and_null_rows(spark):
     assert sorted((r["doc_id"], r["doc_tokens"]) for r in rows if r["start"] == 0) == [(1, 1), (2, 1), (3, 3), (3, 3)]
     empty = docs.limit(0)
     assert bpe.op8_report(empty).count() == 0 and packing.op10_report(empty).count() == 0
+
+
+def test_equal_rows_are_dealt_to_several_groups(spark):
+    text = " ".join(f"word{i}" for i in range(80))
+    schema = "doc_id long, text string"
+    docs = spark.createDataFrame([(None, text)] * 3000, schema).repartition(24)
+    rows = packing.pack(docs, group_bytes=64 << 10).collect()
+    groups = {}
+    for r in rows:
+        groups[r["sequence_id"] >> 32] = groups.get(r["sequence_id"] >> 32, 0) + (r["start"] == 0)
+    assert sum(groups.values()) == 3000 and len(groups) > 4 and max(groups.values()) < 1500
