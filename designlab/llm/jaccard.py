@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 from designlab.llm.stored import components, plain_names, stored
-from designlab.llm.textarrays import Words, mix, per_doc, slices, text_bytes
+from designlab.llm.textarrays import Words, mix, per_doc, slices, small_batches, text_bytes
 
 SHINGLE = 5
 #: groups of the R-tree's points (a power of two); pairs are bounded with up to one group per FILL shingles
@@ -404,7 +404,7 @@ def residual_links(groups: DataFrame, docs: DataFrame, nodes: DataFrame, labels:
 
 def _prepared(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(members of docs, one row per node, (key, node, lo) of shared prefix shingles with their smallest node)."""
-    rows = stored(sizes(docs))
+    rows = stored(sizes(small_batches(docs)))
     nodes = stored(members(docs).where("n > 0").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("vec").alias("vec")))
     keys = prefixes(docs, hot_shingles(docs))
     shared = keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from designlab.llm.stored import plain_names, stored
-from designlab.llm.textarrays import Words, covered, per_doc, slices, text_bytes
+from designlab.llm.textarrays import Words, covered, per_doc, slices, small_batches, text_bytes
 from designlab.session import measured
 
 WINDOW = 13
@@ -43,7 +43,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
     ``_h`` is a hash of the text for the rows of a repeated id and 0 for all others, so that it costs next to
     nothing in the rows per anchor and window.
     """
-    ids = docs.select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"))
+    ids = small_batches(docs).select("*", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("_id"))
     many = measured(ids.groupBy("_id").agg(F.count("*").alias("n")).where("n > 1").select("_id", F.lit(True).alias("_many")))
     own = F.when(F.col("_many"), F.xxhash64("text")).otherwise(F.lit(0).cast("long"))
     return ids.join(many, "_id", "left").select(*docs.columns, "_id", own.alias("_h"))

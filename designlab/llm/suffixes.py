@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from designlab.llm.stored import stored
-from designlab.llm.textarrays import SLICE, hash_base, mix, per_doc, prefix_hash, slices, span_hash, text_bytes
+from designlab.llm.textarrays import (SLICE, hash_base, mix, per_doc, prefix_hash, slices, small_batches, span_hash,
+                                       text_bytes)
 
 LENGTH = 200
 GRAM = 32
@@ -283,7 +284,7 @@ def _removed(part, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 
 def _marked(docs: DataFrame) -> DataFrame:
-    keyed = _keyed(docs)
+    keyed = _keyed(small_batches(docs))
     return keyed.join(repeated(keyed), ["id", "h"], "left").select("doc_id", "text", "runs")
 
 

@@ -13,12 +13,23 @@ import functools
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 
 SLICE = 1 << 20
+#: bytes of an Arrow batch sent to Python (Spark's own bound is 64 MB for each batch of each running task)
+BATCH_BYTES = 4 << 20
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``; unless the session has its own bound, batches that Spark sends to Python end at BATCH_BYTES."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if conf.get(key, None) is None:
+        conf.set(key, str(BATCH_BYTES))
+    return df
+
+
 def text_bytes(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a string or binary column; nulls have length 0."""
     if isinstance(column, pa.ChunkedArray):
