@@ -2,6 +2,10 @@
 
 Every stage is written as Parquet in the shared checkpoint folder and reread as the next one's input, so
 a lost executor costs at most the running stage's tasks.  All but the last return the columns of documents.
+
+Defined cases: null and empty texts have no words, so the quality rules reject them; of equal rows, and of rows with
+equal texts or near-equal ones, one stays (no id counts as the largest); rows of a repeated id are judged one by one;
+an empty table gives no pieces; other columns go through all stages but the last.
 """
 
 from __future__ import annotations
@@ -10,7 +14,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from designlab.llm import digest_index, jaccard, packing, quality, substring
+from designlab.llm import digest_index, jaccard, packing, quality, stored, substring
 from designlab.session import checkpoint_dir
 
 
@@ -46,13 +50,23 @@ STAGES = [("quality_rules", quality_stage), ("exact_dedup", exact_stage), ("jacc
 ORACLE_SQL = None
 
 
-def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; the last one's rows."""
+def run(spark: SparkSession, sf_dir: str, run_id: str | None = None) -> DataFrame:
+    """All stages over ``documents``; the last one's rows.
+
+    A run that is called again with its ``run_id`` reads the stages that it had finished.  What a stage wrote for
+    itself goes when its output is written, and its input with it, unless that is ``documents``.
+    """
+    base = f"{checkpoint_dir(spark)}/pipeline_{run_id or uuid.uuid4().hex}"
+    paths = [f"{base}/{i}_{name}" for i, (name, _) in enumerate(STAGES)]
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    base = f"{checkpoint_dir(spark)}/pipeline_{uuid.uuid4().hex}"
-    for i, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        path = f"{base}/{i}_{name}"
-        out.write.parquet(path)
-        docs = spark.read.schema(out.schema).parquet(path)
+    done = [i for i, path in enumerate(paths) if stored.has_folder(spark, f"{path}/_SUCCESS")]
+    if done:
+        docs = spark.read.parquet(paths[done[-1]])
+    for i in range(done[-1] + 1 if done else 0, len(STAGES)):
+        with stored.steps_removed():
+            out = STAGES[i][1](spark, docs, sf_dir)
+            out.write.mode("overwrite").parquet(paths[i])
+        docs = spark.read.schema(out.schema).parquet(paths[i])
+        if i:
+            stored.remove_folder(spark, paths[i - 1])
     return docs
