@@ -14,13 +14,10 @@ other columns, whatever their names, are neither read nor needed.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from designlab.llm.stored import plain_names
-from designlab.session import checkpoint_dir
+from designlab.llm.stored import at_end, new_folder, plain_names
 
 INDEX_BUCKETS = 64
 
@@ -46,6 +43,10 @@ class DigestIndex:
                        f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS LOCATION '{self.path}'")
         return self
 
+    def forget(self) -> None:
+        """Take the table out of the session's catalog; its folder stays."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def table(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -62,8 +63,10 @@ class DigestIndex:
 
 def temporary_index(spark: SparkSession) -> DigestIndex:
     """A new, empty index in the shared checkpoint folder."""
-    key = uuid.uuid4().hex
-    return DigestIndex(spark, f"digest_index_{key}", f"{checkpoint_dir(spark)}/digest_index_{key}").create()
+    path = new_folder(spark, "digest_index")
+    index = DigestIndex(spark, path.rsplit("/", 1)[-1], path).create()
+    at_end(index.forget)
+    return index
 
 
 def dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
@@ -75,7 +78,7 @@ def dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     """
     spark = docs.sparkSession
     # texts are read once: everything below works on the stored digests
-    at = f"{checkpoint_dir(spark)}/digests_{uuid.uuid4().hex}"
+    at = new_folder(spark, "digests")
     (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.unhex(text_digest(F.col("text"))).alias("digest"),
                  F.monotonically_increasing_id().alias("tag")).write.parquet(at))
     rows = spark.read.schema("doc_id long, digest binary, tag long").parquet(at)

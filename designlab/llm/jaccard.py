@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from designlab.llm.stored import components, plain_names, stored
+from designlab.llm.stored import components, drop, plain_names, stored
 from designlab.llm.textarrays import Words, mix, per_doc, slices, small_batches, text_bytes
 
 SHINGLE = 5
@@ -396,6 +396,7 @@ def residual_links(groups: DataFrame, docs: DataFrame, nodes: DataFrame, labels:
     members_of = nodes.select("node").join(own, "node", "left").select("node", F.coalesce("comp", "node").alias("comp"))
     some = stored(members_of.join(clusters, "comp").select("key", "node", "comp"))
     sets = stored(some.join(_items(some.select("node"), docs, nodes), "node"))
+    drop(near, some)
     size = sets.groupBy("key").agg(F.count("*").alias("size"), F.sum(F.octet_length("items")).alias("bytes"))
     blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("bytes") / BLOCK_BYTES)).cast("int")
     return (_dealt(sets.join(size.select("key", blocks.alias("blocks")), "key")).groupBy("key", "i", "j")
@@ -466,8 +467,10 @@ def _connected(docs: DataFrame) -> DataFrame:
     edges = _star_links(docs, nodes, groups)
     labels = components(edges)
     more = stored(residual_links(groups.select("key", "node"), docs, nodes, labels))
+    drop(nodes, groups)
     if not more.isEmpty():
         labels = components(edges.union(more))
+    drop(edges, more)
     return _named(rows, labels)
 
 

@@ -1,20 +1,75 @@
-"""Written intermediate tables and connected components."""
+"""Written intermediate tables and connected components.
+
+A step stays until ``drop`` (its last reader is written) or until the ``steps_removed`` block that it was written in
+ends; the result of an operator may read steps, so a caller ends the block after writing that result.
+"""
 
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from designlab.session import checkpoint_dir
 
 
+#: folder of each step that is still known, and what the open ``steps_removed`` blocks do at their ends
+_FOLDER: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+_BLOCKS: list[list[Callable[[], object]]] = []
+
+
+def at_end(remove: Callable[[], object]) -> None:
+    """Call ``remove`` when the innermost open ``steps_removed`` block ends (never, if none is open)."""
+    if _BLOCKS:
+        _BLOCKS[-1].append(remove)
+
+
+def new_folder(spark: SparkSession, kind: str) -> str:
+    """A new folder name in the shared checkpoint folder; an open ``steps_removed`` block removes it at its end."""
+    path = f"{checkpoint_dir(spark)}/{kind}_{uuid.uuid4().hex}"
+    at_end(lambda: remove_folder(spark, path))
+    return path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared file system (nothing happens if it is not there)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def has_folder(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back."""
-    path = f"{checkpoint_dir(df.sparkSession)}/stored_{uuid.uuid4().hex}"
+    path = new_folder(df.sparkSession, "stored")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _FOLDER[out] = path
+    return out
+
+
+def drop(*steps: DataFrame) -> None:
+    """Delete stored steps that nothing reads any more."""
+    for step in steps:
+        remove_folder(step.sparkSession, _FOLDER.pop(step))
+
+
+@contextmanager
+def steps_removed() -> Iterator[None]:
+    """Folders and tables that operators make inside the block go at its end, whether or not it fails."""
+    _BLOCKS.append([])
+    try:
+        yield
+    finally:
+        for remove in reversed(_BLOCKS.pop()):
+            remove()
 
 
 def plain_names(docs: DataFrame) -> DataFrame:
@@ -30,6 +85,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
     labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
+    step_of = labels
     while True:
         near = (both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
                 .agg(F.min("comp").alias("other")))
@@ -38,6 +94,9 @@ def components(edges: DataFrame) -> DataFrame:
         up = labels.select(F.col("node").alias("mid"), F.col("comp").alias("top"))
         new = stored(step.join(up, "mid", "left")
                      .select("node", "was", F.least("mid", F.coalesce("top", "mid")).alias("comp")))
-        labels = new.select("node", "comp")
-        if new.where("was <> comp").isEmpty():
+        done = new.where("was <> comp").isEmpty()
+        drop(step_of)
+        labels, step_of = new.select("node", "comp"), new
+        if done:
+            drop(both)
             return labels

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from designlab.llm.stored import plain_names, stored
+from designlab.llm.stored import drop, plain_names, stored
 from designlab.llm.textarrays import Words, covered, per_doc, slices, small_batches, text_bytes
 from designlab.session import measured
 
@@ -105,15 +105,19 @@ def windows(found: DataFrame) -> DataFrame:
 def repeated(keyed: DataFrame) -> DataFrame:
     """(_id, _h, at): per document the starts of windows that an earlier document holds too."""
     marks = anchors(keyed)
-    # each step is written, so that the shuffles before it can be cleaned
+    # each step is written, so that the shuffles before it can be cleaned, and goes after its last reader
     shared = stored(marks.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
                     .where("lo < hi").select("key"))
     at = stored(marks.join(shared, "key").groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
+    drop(shared)
     rows = stored(windows(keyed.join(at, ["_id", "_h"])))
+    drop(at)
     first = stored(rows.groupBy("a", "b").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
                    .where("lo < hi").select("a", "b", "lo"))
-    return stored(rows.join(first, ["a", "b"]).where("_id > lo")
-                  .groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
+    found = stored(rows.join(first, ["a", "b"]).where("_id > lo")
+                   .groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
+    drop(rows, first)
+    return found
 
 
 def _kept(part, words: Words) -> np.ndarray:

@@ -1,14 +1,16 @@
 """Jaccard join against brute force; the pipeline against a brute-force version."""
 
 import re
+import uuid
 
 import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from designlab.llm import bpe, jaccard, packing
+from designlab.llm import bpe, digest_index, jaccard, packing, stored
 from designlab.llm.stored import components
+from designlab.session import checkpoint_dir
 
 from ..conftest import SF_SMALL
 from .test_bpe_packing import check_pieces
@@ -218,3 +220,49 @@ def test_components_of_chain_star_and_cycle(spark):
     got = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == tops(edges)
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_steps_go_when_their_block_ends(spark):
+    with stored.steps_removed():
+        kept = stored.stored(spark.range(5))
+        index = digest_index.temporary_index(spark)
+        with stored.steps_removed():
+            inner = stored.stored(spark.range(3))
+            folder = stored._FOLDER[inner]
+        assert not stored.has_folder(spark, folder) and kept.count() == 5
+        gone = stored._FOLDER[kept]
+        dropped = stored.stored(spark.range(2))
+        at = stored._FOLDER[dropped]
+        stored.drop(dropped)
+        assert not stored.has_folder(spark, at)
+    assert not stored.has_folder(spark, gone) and not stored.has_folder(spark, index.path)
+    assert not spark.catalog.tableExists(index.name)
+
+
+def test_pipeline_goes_on_after_its_last_finished_stage(spark, monkeypatch):
+    rows = [(k, " ".join(f"d{k}w{j}" for j in range(60))) for k in range(6)]
+    rows += [(9, rows[0][1]), (10, rows[1][1] + " more"), (11, "short")]
+    schema = "doc_id long, text string"
+    base = f"{checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    spark.createDataFrame(rows, schema).write.parquet(f"{base}/documents.parquet")
+    ran, stages = [], corpus_pipeline.STAGES
+
+    def counted(name, stage, fail):
+        def run(spark, docs, sf_dir):
+            ran.append(name)
+            if fail and name == "substring_dedup":
+                raise RuntimeError("lost")
+            return stage(spark, docs, sf_dir)
+        return name, run
+
+    run_id = uuid.uuid4().hex
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [counted(*s, True) for s in stages])
+    with pytest.raises(RuntimeError):
+        corpus_pipeline.run(spark, base, run_id)
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [counted(*s, False) for s in stages])
+    got = corpus_pipeline.run(spark, base, run_id)
+    names = [name for name, _ in stages]
+    assert ran == names[:4] + names[3:]
+    assert sorted({r["doc_id"] for r in got.collect()}) == list(range(6))
+    left = checkpoint_dir(spark) + f"/pipeline_{run_id}"
+    assert [stored.has_folder(spark, f"{left}/{i}_{n}") for i, n in enumerate(names)] == [False] * 4 + [True]
