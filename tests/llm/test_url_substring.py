@@ -1,6 +1,8 @@
 """URL rules and substring deduplication on edge cases, against direct Python."""
 
 import hashlib
+import itertools
+import random
 import re
 
 from designlab.llm import substring, url_rules
@@ -50,6 +52,46 @@ def test_mined_rules_judge_unlisted_pages(spark):
         assert r["m"] == any(set(t) <= set(r["tokens"]) for t, _, _ in mined)
 
 
+def direct_rules(rows, least, needed):
+    """Minimal token sets on at least ``least`` blocked pages with confidence ``needed``."""
+    found = {}
+    tokens = sorted({t for ts, _ in rows for t in ts})
+    for n in range(1, len(tokens) + 1):
+        for c in itertools.combinations(tokens, n):
+            if not any(set(k) < set(c) for k in found):
+                on = [kind for ts, kind in rows if set(c) <= set(ts)]
+                if on.count("block") >= least and on.count("block") / len(on) >= needed:
+                    found[c] = (on.count("block") / len(on), on.count("block") / len(rows))
+    return found
+
+
+def test_mined_rules_match_every_token_set(spark):
+    rng = random.Random(4)
+    rows = []
+    for _ in range(1500):
+        ts = [t for t in "abcdefg" if rng.random() < 0.45]
+        bad = {"a", "b"} <= set(ts) or {"c", "d", "e"} <= set(ts) or "g" in ts
+        rows.append((ts, "block" if bad and rng.random() < 0.97 else "allow"))
+    share = sum(k == "block" for _, k in rows) / len(rows)
+    got = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, listed string"), min_lift=1.1)
+    want = direct_rules(rows, url_rules.MIN_PAGES, max(0.9, 1.1 * share))
+    assert len(want) > 2 and ("g",) in want and ("a", "b") in want
+    assert {t: (round(c, 9), round(s, 9)) for t, c, s in got} == {
+        t: (round(c, 9), round(s, 9)) for t, (c, s) in want.items()}
+    skipped = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, listed string"), skip=["g"])
+    assert all("g" not in t for t, _, _ in skipped)
+
+
+def test_long_repeated_url_is_mined_in_bounded_time(spark):
+    long = [f"p:t{k}" for k in range(40)]
+    rows = [([*long], "block" if k % 2 else "allow") for k in range(1000)]
+    rows += [(long[:k % 40] + ["p:bad"], "block") for k in range(400)] + [(["p:good"], "allow")] * 400
+    rows += [([], "allow"), (["p:bad", "p:bad2"], "block")]
+    mined = url_rules.mine(spark.createDataFrame(rows, "tokens array<string>, listed string"))
+    assert (("p:bad",), 1.0) in [(t, c) for t, c, _ in mined]
+    assert url_rules.mine(spark.createDataFrame([], "tokens array<string>, listed string")) == []
+
+
 def direct_substring(rows):
     docs = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
     big = 1 << 63
