@@ -80,23 +80,26 @@ def plain_names(docs: DataFrame) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): smallest node reachable over ``edges`` (a, b), for every node that has an edge.
 
-    Each round takes the smallest label among neighbours, then the label's own label (pointer
-    jumping), until nothing changes; labels are written each round, so lineage stays short.
+    Large-star and small-star rounds (Kiveris et al., 2014): larger neighbours of a node move to its smallest one,
+    then the smaller ones do, until every node points at its component's smallest; rounds grow with the logarithm
+    of a chain's length, not with the length.  Links are written each round, so lineage stays short.
     """
-    both = stored(edges.select("a", "b").union(edges.select("b", "a")).where("a <> b").distinct())
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("comp")))
-    step_of = labels
+    links = stored(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    state = _state(links)
     while True:
-        near = (both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node"))
-                .agg(F.min("comp").alias("other")))
-        step = labels.join(near, "node").select("node", F.col("comp").alias("was"),
-                                                F.least("comp", "other").alias("mid"))
-        up = labels.select(F.col("node").alias("mid"), F.col("comp").alias("top"))
-        new = stored(step.join(up, "mid", "left")
-                     .select("node", "was", F.least("mid", F.coalesce("top", "mid")).alias("comp")))
-        done = new.where("was <> comp").isEmpty()
-        drop(step_of)
-        labels, step_of = new.select("node", "comp"), new
-        if done:
-            drop(both)
-            return labels
+        both = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        low = both.groupBy("a").agg(F.min("b").alias("low")).select("a", F.least("a", "low").alias("low"))
+        large = stored(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("low").alias("b")).distinct())
+        near = large.join(large.groupBy("a").agg(F.min("b").alias("low")), "a")
+        small = stored(near.select("a", F.col("low").alias("b"))
+                       .union(near.where("b <> low").select(F.col("b").alias("a"), F.col("low").alias("b"))).distinct())
+        drop(links, large)
+        links, was = small, state
+        state = _state(links)
+        if state == was:
+            return links.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(links.select("b", "b").distinct())
+
+
+def _state(links: DataFrame):
+    """Number of links and sum of their hashes: equal for equal sets."""
+    return links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
