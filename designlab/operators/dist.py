@@ -375,6 +375,8 @@ def pair_distance_hist(df: DataFrame, group_col: str, cols: Sequence[str], bins:
 # ---------------------------------------------------------------- all pairs of a table
 
 PAIR_BLOCK = 2048
+#: parts of the blocks that meet in pairs (at least, as far as there are blocks), and bytes of a part
+PAIR_PARTS, PAIR_PART = 16, 64 << 20
 
 
 def standardised(df: DataFrame, vector: str) -> DataFrame:
@@ -390,9 +392,15 @@ def standardised(df: DataFrame, vector: str) -> DataFrame:
 
 
 def _pair_cells(rows: DataFrame, diagonal: bool, block_rows: int) -> DataFrame:
-    """Packed blocks of the ``z`` rows, dealt to the cells (i, j), i <= j, of the triangle of blocks."""
+    """(i, j, n_i, z_i, n_j, z_j): the cells i <= j of the triangle of packed blocks of the ``z`` rows.
+
+    The blocks are written once; a task of the product reads its two parts of them, so no block is shuffled for
+    its cells.  Parts hold at most about PAIR_PART bytes.
+    """
     rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
-    count = max(1, -(-rows.count() // block_rows))
+    size = rows.agg(F.count("*").alias("n"), F.sum(8 * F.size("z").cast("long")).alias("bytes")).first()
+    count = max(1, -(-size["n"] // block_rows))
+    parts = min(count, max(PAIR_PARTS, -(-(size["bytes"] or 0) // PAIR_PART)))
 
     def pack(table: pa.Table) -> pa.Table:
         z = table.column("z").combine_chunks()
@@ -400,22 +408,28 @@ def _pair_cells(rows: DataFrame, diagonal: bool, block_rows: int) -> DataFrame:
         return pa.table({"block": pa.array([table.column("block")[0].as_py()], pa.int32()), "n": pa.array([len(z)], pa.int32()),
                          "z": pa.array([flat.tobytes()], pa.binary())})
 
-    blocks = (rows.withColumn("block", F.pmod(F.xxhash64("_row"), F.lit(count)).cast("int")).drop("_row")
-              .groupBy("block").applyInArrow(pack, "block int, n int, z binary"))
-    other = F.col("block") if diagonal else F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
-    return cut_lineage(blocks).withColumn("other", other).select(
-        F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-        (F.col("block") > F.col("other")).cast("int").alias("side"), "n", "z")
-
-
-def _cell_distances(table: pa.Table):
-    """Distances of the pairs of a cell, row by row of its first block."""
-    sides = {side: np.frombuffer(z, "<f8").reshape(n, -1) for side, n, z in
-             zip(*(table.column(c).to_pylist() for c in ("side", "n", "z")), strict=True)}
-    first = sides.get(0)
-    if first is None or (table.column("i")[0].as_py() != table.column("j")[0].as_py() and 1 not in sides):
-        return
-    second = sides.get(1)
+    blocks = cut_lineage(
+        rows.withColumn("block", F.pmod(F.xxhash64("_row"), F.lit(count)).cast("int")).drop("_row")
+        .repartition(parts, "block").groupBy("block").applyInArrow(pack, "block int, n int, z binary"))
+    left, right = (blocks.select(F.col("block").alias(b), F.col("n").alias(f"n_{b}"), F.col("z").alias(f"z_{b}")) for b in "ij")
+    if diagonal:
+        return left.withColumns({"j": F.col("i"), "n_j": F.lit(None).cast("int"), "z_j": F.lit(None).cast("binary")})
+    return left.join(right.hint("shuffle_replicate_nl"), F.col("i") <= F.col("j"))
+
+
+def _cells(batches):
+    """(i, distances) of each cell: the distances of its pairs, row by row of its first block."""
+    for batch in batches:
+        for r in range(batch.num_rows):
+            cell = {c: batch.column(c)[r] for c in ("i", "j", "n_i", "z_i", "n_j", "z_j")}
+            i, within = cell["i"].as_py(), cell["i"] == cell["j"]
+            first = np.frombuffer(cell["z_i"].as_buffer(), "<f8").reshape(cell["n_i"].as_py(), -1)
+            second = None if within else np.frombuffer(cell["z_j"].as_buffer(), "<f8").reshape(cell["n_j"].as_py(), -1)
+            yield i, _cell_distances(first, second)
+
+
+def _cell_distances(first: np.ndarray, second: np.ndarray | None):
+    """Distances of the pairs of two blocks, or of one with itself."""
     for r in range(len(first)):
         d = (first[r + 1:] if second is None else second) - first[r]
         if len(d):
@@ -426,9 +440,9 @@ def all_pairs_hist(df: DataFrame, vector: str, bins: int = 30, diagonal: bool =
                    block_rows: int = PAIR_BLOCK) -> DataFrame:
     """E15 over a whole table: histogram of the Euclidean distances of all pairs of standardised rows.
 
-    The rows lie in blocks; a cell of the triangle of blocks is one task's work and gives bin counts only, so
-    no pair is written, and memory holds two blocks.  The range of the bins is found by a first pass over the
-    cells (min and max per cell).  Output: (bin, lo_edge, hi_edge, count, share, se).
+    The rows lie in blocks; a task reads two parts of the blocks, and a cell of their triangle gives bin counts
+    only, so neither pairs nor blocks are shuffled for the cells: what is written grows with the rows, the work
+    with their square.  The range of the bins is found by a first pass over the cells (min and max per cell).  Output: (bin, lo_edge, hi_edge, count, share, se).
 
     ``diagonal`` measures only the pairs inside the blocks, which rows are dealt to at random: an estimate
     whose work grows with the rows instead of their square.  ``se`` is then the standard error of the share
@@ -436,27 +450,31 @@ def all_pairs_hist(df: DataFrame, vector: str, bins: int = 30, diagonal: bool =
     """
     cells = _pair_cells(standardised(df, vector), diagonal, block_rows)
 
-    def extremes(table: pa.Table) -> pa.Table:
-        lo, hi = np.inf, -np.inf
-        for d in _cell_distances(table):
-            lo, hi = min(lo, d.min()), max(hi, d.max())
-        return pa.table({"lo": pa.array([lo] if lo <= hi else [], pa.float64()), "hi": pa.array([hi] if lo <= hi else [], pa.float64())})
+    def extremes(batches):
+        for _, distances in _cells(batches):
+            lo, hi = np.inf, -np.inf
+            for d in distances:
+                lo, hi = min(lo, d.min()), max(hi, d.max())
+            if lo <= hi:
+                yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([hi])], names=["lo", "hi"])
 
-    edge = cells.groupBy("i", "j").applyInArrow(extremes, "lo double, hi double").agg(F.min("lo"), F.max("hi")).first()
+    edge = cells.mapInArrow(extremes, "lo double, hi double").agg(F.min("lo"), F.max("hi")).first()
     lo, hi = (float("nan"), float("nan")) if edge[0] is None else (float(edge[0]), float(edge[1]))
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     step = (hi - lo) / bins
 
-    def count(table: pa.Table) -> pa.Table:
-        total = np.zeros(bins, np.int64)
-        for d in _cell_distances(table):
-            at = np.clip(np.floor((d - lo) * (bins / (hi - lo))), 0, bins - 1).astype(np.int64)
-            total += np.bincount(at, minlength=bins)
-        return pa.table({"i": pa.array([table.column("i")[0].as_py()] * bins, pa.int32()), "bin": np.arange(bins, dtype=np.int64),
-                         "count": total, "pairs": pa.array([int(total.sum())] * bins, pa.int64())})
-
-    per_cell = cells.groupBy("i", "j").applyInArrow(count, "i int, bin long, count long, pairs long")
+    def count(batches):
+        for i, distances in _cells(batches):
+            total = np.zeros(bins, np.int64)
+            for d in distances:
+                at = np.clip(np.floor((d - lo) * (bins / (hi - lo))), 0, bins - 1).astype(np.int64)
+                total += np.bincount(at, minlength=bins)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([i] * bins, pa.int32()), pa.array(np.arange(bins, dtype=np.int64)), pa.array(total),
+                 pa.array([int(total.sum())] * bins, pa.int64())], names=["i", "bin", "count", "pairs"])
+
+    per_cell = cells.mapInArrow(count, "i int, bin long, count long, pairs long")
     share = F.col("count") / F.col("pairs")
     found = per_cell.groupBy("bin").agg(
         F.sum("count").alias("count"), F.sum("pairs").alias("pairs"),

@@ -131,3 +131,13 @@ def test_pairs_inside_random_blocks_estimate_the_histogram(spark):
         assert r.se > 0 or r["count"] == 0
         assert abs(r.share - want) <= 5 * r.se + 1e-3
     assert len(whole) == len(edges) == 8
+
+
+def test_all_pairs_are_not_shuffled(spark):
+    x = np.random.default_rng(5).normal(size=(120, 3))
+    cells = dist._pair_cells(spark.createDataFrame([([float(v) for v in r],) for r in x], "z array<double>"), False, 10)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Exchange" not in plan
+    found = [(r.i, r.j, r.n_i * r.n_j if r.i < r.j else r.n_i * (r.n_i - 1) // 2) for r in cells.collect()]
+    assert len({c[:2] for c in found}) == len(found) and all(i <= j for i, j, _ in found)
+    assert sum(c[2] for c in found) == 120 * 119 // 2
