@@ -92,6 +92,24 @@ def test_long_repeated_url_is_mined_in_bounded_time(spark):
     assert url_rules.mine(spark.createDataFrame([], "tokens array<string>, listed string")) == []
 
 
+def test_rules_of_wide_pages_are_whole(spark):
+    rng = random.Random(11)
+    tokens = [f"p:{c}" for c in "abcdefghijkl"]
+    rows = []
+    for _ in range(600):
+        ts = [t for k, t in enumerate(tokens) if rng.random() < (0.85 if k < 8 else 0.4)]
+        bad = {"p:i", "p:j"} <= set(ts) or {"p:k", "p:l"} <= set(ts) or ("p:a" not in ts and rng.random() < 0.4)
+        rows.append((ts, "block" if bad and rng.random() < 0.97 else "allow"))
+    assert max(len(ts) for ts, _ in rows) > 10
+    df = spark.createDataFrame(rows, "tokens array<string>, listed string")
+    share = sum(k == "block" for _, k in rows) / len(rows)
+    want = direct_rules(rows, url_rules.MIN_PAGES, max(0.9, 1.2 * share))
+    assert ("p:i", "p:j") in want and ("p:k", "p:l") in want
+    for basket in (10, 2):
+        got = {t: (round(c, 9), round(s, 9)) for t, c, s in url_rules.mine(df, basket=basket)}
+        assert got == {t: (round(c, 9), round(s, 9)) for t, (c, s) in want.items()}, basket
+
+
 def direct_substring(rows):
     docs = [(i, re.findall(r"[^\x20\x09-\x0D]+", t or "")) for i, t in rows]
     big = 1 << 63
