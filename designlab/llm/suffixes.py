@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from designlab.llm.stored import stored
+from designlab.llm.stored import drop, stored
 from designlab.llm.textarrays import (SLICE, hash_base, mix, per_doc, prefix_hash, slices, small_batches, span_hash,
                                        text_bytes)
 
@@ -139,10 +139,13 @@ class Suffixes:
         self.hash = self.prefix.tolist()
         self.base = hash_base(44)
         self.raw = data.tobytes()
+        #: powers of the base, known as long as the group lives
+        self.shifts: dict[int, int] = {}
 
-    @functools.lru_cache(maxsize=1 << 16)  # noqa: B019 - lives as long as one group
     def shift(self, n: int) -> int:
-        return pow(self.base, n, 1 << 64)
+        if n not in self.shifts:
+            self.shifts[n] = pow(self.base, n, 1 << 64)
+        return self.shifts[n]
 
     def extension(self, x: int, y: int, most: int) -> int:
         """Length of the common prefix of the suffixes at x and y, at most ``most`` bytes."""
@@ -244,12 +247,16 @@ def repeated(keyed: DataFrame) -> DataFrame:
 
     ``at`` lists offsets within the segment; null means all ``n`` windows.
     """
-    occ = stored(occurrences(keyed))
+    every = stored(occurrences(keyed))
+    # most anchors are found once: their segments go before anything else is made of them
+    shared = every.groupBy("key").agg(F.count("*").alias("total")).where("total > 1").select("key")
+    occ = stored(every.join(shared, "key"))
+    drop(every)
     kinds = stored(occ.groupBy("key", "d1", "d2").agg(
         F.count("*").alias("c"), F.min(F.struct("id", "h", "start", "n", "a")).alias("rep")))
-    keys = (kinds.groupBy("key").agg(F.count("*").alias("segments"), F.sum("c").alias("total")).where("total > 1")
-            .select("key", F.ceil(F.col("segments") / BLOCK).cast("int").alias("blocks"), "segments"))
-    wanted = kinds.join(keys.where("segments > 1"), "key").select("rep.*", "key", "d1", "d2", "blocks")
+    keys = (kinds.groupBy("key").agg(F.count("*").alias("segments")).where("segments > 1")
+            .select("key", F.ceil(F.col("segments") / BLOCK).cast("int").alias("blocks")))
+    wanted = kinds.join(keys, "key").select("rep.*", "key", "d1", "d2", "blocks")
     segs = stored(segment_bytes(keyed, wanted))
     size = segs.agg(F.sum(F.octet_length("seg"))).first()[0] or 0
     groups = max(1, -(-size // GROUP_BYTES))
@@ -261,8 +268,9 @@ def repeated(keyed: DataFrame) -> DataFrame:
     twice = wide.groupBy("w1", "w2").agg(F.count("*").alias("c")).where("c > 1").select("w1", "w2")
     across = (wide.join(twice, ["w1", "w2"]).groupBy("key", "d1", "d2").agg(F.collect_set("pos").alias("at")))
     partly = marks.union(across).groupBy("key", "d1", "d2").agg(F.array_distinct(F.flatten(F.collect_list("at"))).alias("at"))
-    seen = (kinds.where("c > 1").select("key", "d1", "d2", F.lit(None).cast("array<int>").alias("at"))
+    seen = stored(kinds.where("c > 1").select("key", "d1", "d2", F.lit(None).cast("array<int>").alias("at"))
             .union(partly.join(kinds.where("c = 1").select("key", "d1", "d2"), ["key", "d1", "d2"])))
+    drop(segs, kinds)
     return (occ.join(seen, ["key", "d1", "d2"]).groupBy("id", "h")
             .agg(F.collect_set(F.struct("start", "n", "at")).alias("runs")))
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-SLICE = 1 << 20
+SLICE = 1 << 18
 #: bytes of an Arrow batch sent to Python (Spark's own bound is 64 MB for each batch of each running task)
 BATCH_BYTES = 4 << 20
 SPACE = np.zeros(256, dtype=bool)
@@ -92,7 +92,7 @@ def _powers(seed: int, inverse: bool, size: int) -> np.ndarray:
 
 def powers(seed: int, size: int, inverse: bool = False) -> np.ndarray:
     """base^0 .. base^(size-1) modulo 2^64."""
-    room = max(SLICE + 4096, 1 << max(size, 1).bit_length())
+    room = SLICE + 4096 if size <= SLICE + 4096 else 1 << size.bit_length()
     return _powers(seed, inverse, room)[:size]
 
 

@@ -1,11 +1,14 @@
 """Language id and toxicity by held-out accuracy and edge cases; suffix dedup against brute force."""
 
+import gc
 import hashlib
+import weakref
 from collections import Counter
 
+import numpy as np
 import pytest
 
-from designlab.llm import langid, suffixes, toxicity
+from designlab.llm import langid, suffixes, textarrays, toxicity
 
 from ..conftest import SF_CHECK, SF_SMALL
 
@@ -130,3 +133,40 @@ def test_suffixes_table(spark):
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     got = sorted((tuple(r) for r in suffixes.report(docs).collect()), key=str)
     assert got == brute([(r["doc_id"], r["text"]) for r in docs.collect()])
+
+
+def test_a_sorted_group_is_freed(monkeypatch):
+    alive = weakref.WeakSet()
+    init = suffixes.Suffixes.__init__
+
+    def tracked(self, *args):
+        init(self, *args)
+        alive.add(self)
+
+    monkeypatch.setattr(suffixes.Suffixes, "__init__", tracked)
+    data = np.frombuffer(("ab" * 150).encode() * 2, np.uint8)
+    for _ in range(3):
+        found = suffixes.equal_windows(np.array([7, 7]), np.array([5, 5]), data, np.array([0, 300, 600]))
+        assert len(found[0]) and len(found[1])
+    gc.collect()
+    assert not len(alive)
+
+
+def test_tables_of_powers_fit_their_slices():
+    size = textarrays.SLICE + suffixes.LENGTH
+    assert len(textarrays.powers(97, size)) == size and textarrays.powers(97, size).base.nbytes <= 8 * (size + 4096)
+    assert len(textarrays.powers(97, 3 * size)) == 3 * size
+
+
+def test_single_anchors_go_first(spark):
+    docs = spark.createDataFrame([(i, " ".join(f"{i}w{j}" for j in range(300))) for i in range(6)]
+                                 + [(9, "same " * 100), (10, "same " * 100)], "doc_id long, text string")
+    kept = []
+    stored = suffixes.stored
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(suffixes, "stored", lambda df: kept.append(stored(df)) or kept[-1])
+        patch.setattr(suffixes, "drop", lambda *steps: None)
+        suffixes.report(docs).collect()
+    every, shared = kept[0], kept[1]
+    assert 0 < shared.count() < every.count()
+    assert {r["id"] for r in shared.select("id").distinct().collect()} == {9, 10}
