@@ -46,10 +46,26 @@ def has_folder(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """The shuffle files of an action inside the block go when it ends, not when the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if was is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, was)
+
+
 def stored(df: DataFrame) -> DataFrame:
-    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back."""
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back; its shuffles go at once."""
     path = new_folder(df.sparkSession, "stored")
-    df.write.parquet(path)
+    with _shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     _FOLDER[out] = path
     return out

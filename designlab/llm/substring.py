@@ -6,8 +6,8 @@ positions ``p`` with ``p mod PERIOD`` in ``COVER`` carry an anchor, a hash of ``
 For any two positions i and j some shift below PERIOD puts both on cover positions, and
 ANCHOR + PERIOD - 1 = WINDOW, so two equal windows share an aligned anchor.  Anchors found in two
 documents extend to the windows around them, and only those windows are hashed (128 bits) and
-grouped: the smallest id per window decides, so a passage with any number of copies costs one
-partial aggregate per task and no pairs.
+sorted: the smallest id per window decides, so a passage costs one row per copy and window, and no
+pairs.  The rows of one window meet in one task, which spills them where they are many.
 
 Defined cases: null and empty texts have no words; a row without ``doc_id`` counts as larger than
 all others; rows of the same ``doc_id`` do not remove each other's words; documents under
@@ -22,7 +22,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
@@ -104,19 +104,14 @@ def windows(found: DataFrame) -> DataFrame:
 
 def repeated(keyed: DataFrame) -> DataFrame:
     """(_id, _h, at): per document the starts of windows that an earlier document holds too."""
-    marks = anchors(keyed)
-    # each step is written, so that the shuffles before it can be cleaned, and goes after its last reader
-    shared = stored(marks.groupBy("key").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-                    .where("lo < hi").select("key"))
-    at = stored(marks.join(shared, "key").groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
-    drop(shared)
-    rows = stored(windows(keyed.join(at, ["_id", "_h"])))
+    key, window = Window.partitionBy("key"), Window.partitionBy("a", "b")
+    # a row per anchor and per window is shuffled once and never written; the written steps have a row per document
+    shared = (anchors(keyed).withColumn("lo", F.min("_id").over(key)).withColumn("hi", F.max("_id").over(key))
+              .where("lo < hi"))
+    at = stored(shared.groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
+    later = windows(keyed.join(at, ["_id", "_h"])).withColumn("lo", F.min("_id").over(window)).where("_id > lo")
+    found = stored(later.groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
     drop(at)
-    first = stored(rows.groupBy("a", "b").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-                   .where("lo < hi").select("a", "b", "lo"))
-    found = stored(rows.join(first, ["a", "b"]).where("_id > lo")
-                   .groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
-    drop(rows, first)
     return found
 
 

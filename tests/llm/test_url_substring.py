@@ -4,8 +4,9 @@ import hashlib
 import itertools
 import random
 import re
+import time
 
-from designlab.llm import substring, url_rules
+from designlab.llm import stored, substring, url_rules
 
 URLS = [None, "", "no scheme", "http://Example.COM/en/1?x", "https://www.example.com/en/", "http://a.net/es/x#y",
         "http://net/fr", "x://com", "http://notcom/", "http://b.example.com/en", "http://É.net/fr/É?q", "://com/a",
@@ -141,3 +142,32 @@ def test_substring_edges(spark):
     assert out.columns == docs.columns and out.count() == len(rows)
     kept = {r["doc_id"]: r["text"] for r in out.collect()}
     assert kept[1] == rows[0][1] and kept[2].endswith("2w5 end2") and kept[30] is None
+
+
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return [n for f in files.mkString("\n").split("\n") if (n := f.rsplit("/", 1)[-1]).startswith("shuffle_")]
+
+
+def test_substring_steps_leave_no_rows_per_window(spark, monkeypatch):
+    passage = " ".join(f"q{i}" for i in range(400))
+    docs = spark.createDataFrame([(i, passage + f" {i}") for i in range(20)], "doc_id long, text string")
+    sizes = []
+
+    def counted(df):
+        had = set(shuffle_files(spark))
+        out = stored.stored(df)
+        end = time.time() + 20
+        while set(shuffle_files(spark)) - had and time.time() < end:
+            time.sleep(0.2)
+        assert not set(shuffle_files(spark)) - had
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(substring, "stored", counted)
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was = spark.conf.get(key, None)
+    got = substring.report(docs)
+    assert spark.conf.get(key, None) == was
+    assert max(sizes) <= docs.count()
+    assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {i: 400 * (i > 0) for i in range(20)}
