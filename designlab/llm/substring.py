@@ -7,7 +7,8 @@ For any two positions i and j some shift below PERIOD puts both on cover positio
 ANCHOR + PERIOD - 1 = WINDOW, so two equal windows share an aligned anchor.  Anchors found in two
 documents extend to the windows around them, and only those windows are hashed (128 bits) and
 sorted: the smallest id per window decides, so a passage costs one row per copy and window, and no
-pairs.  The rows of one window meet in one task, which spills them where they are many.
+pairs.  Copies that a slice of the texts already settles (a smaller id holds the window there) do not
+meet the others, so one task gets few rows of a hot window.
 
 Defined cases: null and empty texts have no words; a row without ``doc_id`` counts as larger than
 all others; rows of the same ``doc_id`` do not remove each other's words; documents under
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from designlab.llm.stored import drop, plain_names, stored
-from designlab.llm.textarrays import Words, covered, per_doc, slices, small_batches, text_bytes
+from designlab.llm.textarrays import Words, covered, mix, per_doc, slices, small_batches, text_bytes
 from designlab.session import measured
 
 WINDOW = 13
@@ -54,8 +55,35 @@ def _words(batch):
         yield part, Words(*text_bytes(part.column("text")))
 
 
+def _settled(ids: np.ndarray, *keys: np.ndarray, between: bool = False) -> np.ndarray:
+    """Mask of the rows of a slice whose keys have a smaller id there (with ``between``: and a larger one)."""
+    out = np.zeros(len(ids), bool)
+    if len(ids):
+        order = np.argsort(keys[0], kind="stable")
+        new = np.zeros(len(ids), bool)
+        new[0] = True
+        for key in keys:
+            new[1:] |= key[order[1:]] != key[order[:-1]]
+        begin, run, own = np.flatnonzero(new), np.cumsum(new) - 1, ids[order]
+        found = own > np.minimum.reduceat(own, begin)[run]
+        if between:
+            found &= own < np.maximum.reduceat(own, begin)[run]
+        out[order] = found
+    return out
+
+
+def _dealt(key: np.ndarray, settled: np.ndarray) -> pa.Array:
+    """``key``, but settled rows, which need not meet the others, get keys of their own: no task gets all copies."""
+    out = key.copy()
+    out[settled] = mix(key[settled] + np.arange(1, np.count_nonzero(settled) + 1, dtype=np.uint64))
+    return pa.array(out.view(np.int64))
+
+
 def anchors(keyed: DataFrame) -> DataFrame:
-    """(key, _id, _h, pos): hashes of the ANCHOR words at the cover positions of each document."""
+    """(key, _id, _h, pos, settled): hashes of the ANCHOR words at the cover positions of each document.
+
+    Settled rows are known to have an anchor that two documents hold; their keys are replaced.
+    """
     on = np.zeros(PERIOD, bool)
     on[list(COVER)] = True
 
@@ -65,12 +93,14 @@ def anchors(keyed: DataFrame) -> DataFrame:
                 at, keys = words.windows(words.hashes(11), ANCHOR, 11)
                 pos = at - words.first[words.doc[at]]
                 use = on[pos % PERIOD]
-                rows = pa.array(words.doc[at[use]])
+                rows, keys = pa.array(words.doc[at[use]]), keys[use]
+                ids = part.column("_id").take(rows)
+                settled = _settled(ids.to_numpy(), keys, between=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[use].view(np.int64)), part.column("_id").take(rows), part.column("_h").take(rows),
-                     pa.array(pos[use].astype(np.int32))], names=["key", "_id", "_h", "pos"])
+                    [_dealt(keys, settled), ids, part.column("_h").take(rows), pa.array(pos[use].astype(np.int32)),
+                     pa.array(settled)], names=["key", "_id", "_h", "pos", "settled"])
 
-    return keyed.select("_id", "_h", "text").mapInArrow(run, "key long, _id long, _h long, pos int")
+    return keyed.select("_id", "_h", "text").mapInArrow(run, "key long, _id long, _h long, pos int, settled boolean")
 
 
 def _positions(column, words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -81,7 +111,10 @@ def _positions(column, words: Words) -> tuple[np.ndarray, np.ndarray]:
 
 
 def windows(found: DataFrame) -> DataFrame:
-    """(a, b, _id, _h, pos): 128-bit hashes of the windows that extend an anchor listed in ``at``."""
+    """(a, b, _id, _h, pos, settled): 128-bit hashes of the windows that extend an anchor listed in ``at``.
+
+    Settled rows are known to have a window that a smaller id holds; their ``a`` is replaced.
+    """
     def run(batches):
         for batch in batches:
             for part, words in _words(batch):
@@ -93,13 +126,15 @@ def windows(found: DataFrame) -> DataFrame:
                 use = near[start] if near is not None and len(start) else np.zeros(len(start), bool)
                 doc = words.doc[start[use]]
                 pos = start[use] - words.first[doc]
-                doc = pa.array(doc)
+                doc, a, b = pa.array(doc), a[use], b[use]
+                ids = part.column("_id").take(doc)
+                settled = _settled(ids.to_numpy(), a, b)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(a[use].view(np.int64)), pa.array(b[use].view(np.int64)), part.column("_id").take(doc),
-                     part.column("_h").take(doc), pa.array(pos.astype(np.int32))], names=["a", "b", "_id", "_h", "pos"])
+                    [_dealt(a, settled), pa.array(b.view(np.int64)), ids, part.column("_h").take(doc),
+                     pa.array(pos.astype(np.int32)), pa.array(settled)], names=["a", "b", "_id", "_h", "pos", "settled"])
 
     return (found.select("_id", "_h", "text", "at")
-            .mapInArrow(run, "a long, b long, _id long, _h long, pos int"))
+            .mapInArrow(run, "a long, b long, _id long, _h long, pos int, settled boolean"))
 
 
 def repeated(keyed: DataFrame) -> DataFrame:
@@ -107,9 +142,10 @@ def repeated(keyed: DataFrame) -> DataFrame:
     key, window = Window.partitionBy("key"), Window.partitionBy("a", "b")
     # a row per anchor and per window is shuffled once and never written; the written steps have a row per document
     shared = (anchors(keyed).withColumn("lo", F.min("_id").over(key)).withColumn("hi", F.max("_id").over(key))
-              .where("lo < hi"))
+              .where("settled or lo < hi"))
     at = stored(shared.groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
-    later = windows(keyed.join(at, ["_id", "_h"])).withColumn("lo", F.min("_id").over(window)).where("_id > lo")
+    later = (windows(keyed.join(at, ["_id", "_h"])).withColumn("lo", F.min("_id").over(window))
+             .where("settled or _id > lo"))
     found = stored(later.groupBy("_id", "_h").agg(F.collect_set("pos").alias("at")))
     drop(at)
     return found

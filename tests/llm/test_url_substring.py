@@ -171,3 +171,19 @@ def test_substring_steps_leave_no_rows_per_window(spark, monkeypatch):
     assert spark.conf.get(key, None) == was
     assert max(sizes) <= docs.count()
     assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {i: 400 * (i > 0) for i in range(20)}
+
+
+def test_hot_anchors_and_windows_are_dealt_out(spark):
+    rng = random.Random(7)
+    rows = [(rng.randrange(150), "a " * 40) for _ in range(200)]
+    rows += [(rng.randrange(300), " ".join(rng.choice("ab") for _ in range(60))) for _ in range(100)]
+    rows += [(None, "a " * 30), (None, "b " * 13)]
+    rng.shuffle(rows)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(2)
+    keyed = substring._keyed(docs)
+    marks = substring.anchors(keyed)
+    found = substring.windows(keyed.withColumn("at", substring.F.expr("if(text like '% a a a a a a %', array(0), array())")))
+    assert marks.count() > 3000 and found.count() > 200
+    assert max(r["count"] for r in marks.groupBy("key").count().collect()) < 400
+    assert max(r["count"] for r in found.groupBy("a", "b").count().collect()) < 100
+    assert sorted((tuple(r) for r in substring.report(docs).collect()), key=str) == direct_substring(rows)
