@@ -375,8 +375,15 @@ def pair_distance_hist(df: DataFrame, group_col: str, cols: Sequence[str], bins:
 # ---------------------------------------------------------------- all pairs of a table
 
 PAIR_BLOCK = 2048
-#: parts of the blocks that meet in pairs (at least, as far as there are blocks), and bytes of a part
-PAIR_PARTS, PAIR_PART = 16, 64 << 20
+#: parts of the blocks that meet in pairs (at least, as far as there are blocks for them), bytes of a part, blocks of a
+#: part: starting a task takes as long as two or three cells
+PAIR_PARTS, PAIR_PART, PAIR_HELD = 16, 64 << 20, 4
+#: with all pairs: blocks of a table (about, as far as they have PAIR_BLOCK rows), and bytes of a block at most then
+PAIR_BLOCKS, PAIR_BYTES = 64, 8 << 20
+#: rows and columns of a tile of products; components of pairs whose distances are formed at a time
+PAIR_TILE, PAIR_PIECE = (128, 2048), 1 << 17
+#: levels of a squared distance (a level is a 16-bit number); error of single precision in levels, at most
+PAIR_LEVELS, PAIR_EDGE = 1 << 16, 4
 
 
 def standardised(df: DataFrame, vector: str) -> DataFrame:
@@ -395,12 +402,16 @@ def _pair_cells(rows: DataFrame, diagonal: bool, block_rows: int) -> DataFrame:
     """(i, j, n_i, z_i, n_j, z_j): the cells i <= j of the triangle of packed blocks of the ``z`` rows.
 
     The blocks are written once; a task of the product reads its two parts of them, so no block is shuffled for
-    its cells.  Parts hold at most about PAIR_PART bytes.
+    its cells.  Parts hold at most about PAIR_PART bytes.  A cell is sent to Python with both of its blocks, so
+    blocks of a large table have more than ``block_rows`` rows (not with ``diagonal``, where they are the sample).
     """
     rows = cut_lineage(rows.withColumn("_row", F.monotonically_increasing_id()))
     size = rows.agg(F.count("*").alias("n"), F.sum(8 * F.size("z").cast("long")).alias("bytes")).first()
+    if not diagonal:
+        fit = PAIR_BYTES * size["n"] // max(1, size["bytes"] or 0)
+        block_rows = max(block_rows, min(fit, -(-size["n"] // PAIR_BLOCKS)))
     count = max(1, -(-size["n"] // block_rows))
-    parts = min(count, max(PAIR_PARTS, -(-(size["bytes"] or 0) // PAIR_PART)))
+    parts = min(-(-count // PAIR_HELD), max(PAIR_PARTS, -(-(size["bytes"] or 0) // PAIR_PART)))
 
     def pack(table: pa.Table) -> pa.Table:
         z = table.column("z").combine_chunks()
@@ -410,7 +421,7 @@ def _pair_cells(rows: DataFrame, diagonal: bool, block_rows: int) -> DataFrame:
 
     blocks = cut_lineage(
         rows.withColumn("block", F.pmod(F.xxhash64("_row"), F.lit(count)).cast("int")).drop("_row")
-        .repartition(parts, "block").groupBy("block").applyInArrow(pack, "block int, n int, z binary"))
+        .repartition(parts, "block").groupBy("block").applyInArrow(pack, "block int, n int, z binary")).coalesce(parts)
     left, right = (blocks.select(F.col("block").alias(b), F.col("n").alias(f"n_{b}"), F.col("z").alias(f"z_{b}")) for b in "ij")
     if diagonal:
         return left.withColumns({"j": F.col("i"), "n_j": F.lit(None).cast("int"), "z_j": F.lit(None).cast("binary")})
@@ -418,22 +429,145 @@ def _pair_cells(rows: DataFrame, diagonal: bool, block_rows: int) -> DataFrame:
 
 
 def _cells(batches):
-    """(i, distances) of each cell: the distances of its pairs, row by row of its first block."""
+    """(i, first, second) of each cell: the rows of its blocks, None for the second of a block with itself."""
     for batch in batches:
         for r in range(batch.num_rows):
             cell = {c: batch.column(c)[r] for c in ("i", "j", "n_i", "z_i", "n_j", "z_j")}
             i, within = cell["i"].as_py(), cell["i"] == cell["j"]
             first = np.frombuffer(cell["z_i"].as_buffer(), "<f8").reshape(cell["n_i"].as_py(), -1)
             second = None if within else np.frombuffer(cell["z_j"].as_buffer(), "<f8").reshape(cell["n_j"].as_py(), -1)
-            yield i, _cell_distances(first, second)
+            yield i, first, second
 
 
-def _cell_distances(first: np.ndarray, second: np.ndarray | None):
-    """Distances of the pairs of two blocks, or of one with itself."""
-    for r in range(len(first)):
-        d = (first[r + 1:] if second is None else second) - first[r]
-        if len(d):
-            yield np.sqrt((d * d).sum(axis=1))
+def _product_error(first: np.ndarray, second: np.ndarray | None, kind: type) -> float:
+    """How far a squared distance of ``_product_tiles`` is from the square of ``_distances`` at most.
+
+    Each of the k + 2 terms is rounded a few times and summed in any order; their magnitudes add up to (|x| + |y|)^2,
+    and to as much again for ``base``, which is a squared distance of rows that are no longer than these.
+    """
+    longest = [float(np.sqrt(np.einsum("ij,ij->i", x, x).max())) for x in (first, first if second is None else second)]
+    most, unit = sum(longest), np.finfo(kind).eps / 2 + 2 * np.finfo(float).eps
+    if not np.isfinite(most):
+        raise ValueError("a standardised component is not a finite number")
+    return 2.5 * (first.shape[1] + 16) * unit * most * most + (1 + most) * (1e-36 if kind is np.float32 else 1e-290)
+
+
+def _product_tiles(first: np.ndarray, second: np.ndarray | None, kind: type, scale: float = 1.0, base: float = 0.0):
+    """(r, c, tile, hidden): scale * (d^2 - base) for the pairs of the rows r, r + 1, ... of the first block with the
+    rows c, c + 1, ... of the second, by matrix products in ``kind``.  ``hidden`` marks what is no pair of its own in a
+    block with itself (else None); every tile has a pair, and the next one overwrites it.
+    """
+    within, other = second is None, first if second is None else second
+    x, y = first.astype(kind), other.astype(kind)
+    x2, y2 = (np.einsum("ij,ij->i", z, z) for z in (x.astype(float), y.astype(float)))
+    left = np.column_stack([x, x2, np.ones(len(x))]).astype(kind)
+    right = np.column_stack([y * (-2.0 * scale), np.full(len(y), scale), scale * (y2 - base)]).astype(kind)
+    (height, width), held = PAIR_TILE, np.empty(PAIR_TILE[0] * PAIR_TILE[1], kind)
+    for begin in range(0, len(y), width):
+        end = min(begin + width, len(y))
+        for r in range(0, len(x), height):
+            c, rows = max(begin, r + 1) if within else begin, min(height, len(x) - r)
+            if c >= end:
+                break
+            tile = held[:rows * (end - c)].reshape(rows, end - c)
+            np.matmul(left[r:r + rows], right[c:end].T, out=tile)
+            yield r, c, tile, np.tri(rows, end - c, r - c, dtype=bool) if within and r + rows > c else None
+
+
+def _distances(first: np.ndarray, second: np.ndarray | None, r: int, c: int, width: int, at: np.ndarray):
+    """Distances of the pairs at the positions ``at`` of a tile (its first row, first column and width), in pieces."""
+    other = first if second is None else second
+    step = max(1, PAIR_PIECE // max(1, first.shape[1]))
+    for k in range(0, len(at), step):
+        row, column = np.divmod(at[k:k + step], width)
+        d = other[c + column] - first[r + row]
+        yield np.sqrt((d * d).sum(axis=1))
+
+
+def _widened(first: np.ndarray, second: np.ndarray | None, lo: float, hi: float) -> tuple[float, float]:
+    """The range (lo, hi) widened to the distances of a cell: products tell which pairs can lie beyond it, and only
+    the distances of these are formed."""
+    error = _product_error(first, second, np.float32)
+    for r, c, tile, hidden in _product_tiles(first, second, np.float32):
+        flat, at = tile.reshape(-1), (first, second, r, c, tile.shape[1])
+        if hidden is not None:
+            np.copyto(tile, np.inf, where=hidden)
+        least = float(flat.min())
+        if lo > 0 and least - error < lo * lo:
+            lo = min(lo, *next(_distances(*at, flat.argmin(keepdims=True))))
+            for d in _distances(*at, np.flatnonzero(flat <= min(least + 2 * error, lo * lo + error))):
+                lo = min(lo, d.min())
+                if lo == 0:
+                    break
+        if hidden is not None:
+            np.copyto(tile, -np.inf, where=hidden)
+        most = float(flat.max())
+        if most + error > hi * hi:
+            hi = max(hi, *next(_distances(*at, flat.argmax(keepdims=True))))
+            for d in _distances(*at, np.flatnonzero(flat >= max(most - 2 * error, hi * hi - error))):
+                hi = max(hi, d.max())
+    return float(lo), float(hi)
+
+
+def _levels(lo: float, hi: float, bins: int, error: float, scale: float, base: float) -> np.ndarray:
+    """The bin of every level floor(scale * (d^2 - base)) of a squared distance known to ``error``; ``bins`` where the
+    level holds an edge or is as near to one."""
+    edges, slack = lo + np.arange(1, bins) * ((hi - lo) / bins), 1e-12 * max(abs(lo), abs(hi))
+    low, high = ((e * np.abs(e) - base + way * error) * scale + way * 1e-6 for e, way in ((edges - slack, -1), (edges + slack, 1)))
+    start, stop = (np.clip(np.floor(e) + more, 0, PAIR_LEVELS).astype(int) for e, more in ((low, 0), (high, 1)))
+    bin_of = np.zeros(PAIR_LEVELS, np.uint8 if bins + 2 <= 256 else np.int64)
+    for b, after in enumerate(stop, 1):
+        bin_of[after:] = b
+    for before, after in zip(start, stop, strict=True):
+        bin_of[before:after] = bins
+    return bin_of
+
+
+def _counts(code: np.ndarray, most: int) -> np.ndarray:
+    """How often each number below ``most`` comes; bytes are counted two at a time."""
+    if code.itemsize > 1:
+        return np.bincount(code, minlength=most)
+    twice = np.bincount(code[:len(code) // 2 * 2].view(np.uint16), minlength=256 * most).reshape(most, 256)
+    return twice.sum(axis=1) + twice.sum(axis=0)[:most] + np.bincount(code[len(code) // 2 * 2:], minlength=most)
+
+
+def _positions(found: np.ndarray) -> np.ndarray:
+    """``np.flatnonzero`` of few hits: eight entries are looked at as one word."""
+    whole = len(found) // 8 * 8
+    word = np.flatnonzero(found[:whole].view(np.uint64))
+    inside = (word[:, None] * 8 + np.arange(8))[found[:whole].reshape(-1, 8)[word]]
+    return np.concatenate([inside, whole + np.flatnonzero(found[whole:])])
+
+
+def _bin_counts(first: np.ndarray, second: np.ndarray | None, lo: float, hi: float, bins: int) -> np.ndarray:
+    """Number of pairs of a cell in each bin of (lo, hi), which holds all distances.
+
+    Products put a pair into one of PAIR_LEVELS levels of its squared distance, and a level lies in one bin; for
+    levels at an edge the distances are formed.  Double precision where single leaves too many levels at the edges.
+    """
+    for kind in (np.float32, np.float64):
+        error = _product_error(first, second, kind)
+        base = max(lo, 0.0) ** 2 - 2 * error
+        scale = (PAIR_LEVELS - 1) / (hi * hi + 2 * error - base)
+        if scale * error <= PAIR_EDGE:
+            break
+    bin_of = _levels(lo, hi, bins, error, scale, base)
+    total, most = np.zeros(bins + 2, np.int64), PAIR_TILE[0] * PAIR_TILE[1]
+    levels, codes = np.empty(most, np.uint16), np.empty(most, bin_of.dtype)
+    for r, c, tile, hidden in _product_tiles(first, second, kind, scale, base):
+        if hidden is not None:
+            np.copyto(tile, 0, where=hidden)
+        flat = tile.reshape(-1)
+        level, code = levels[:len(flat)], codes[:len(flat)]
+        np.copyto(level, flat, casting="unsafe")
+        bin_of.take(level, out=code, mode="clip")
+        if hidden is not None:
+            np.copyto(code, bins + 1, where=hidden.reshape(-1))
+        total += _counts(code, bins + 2)
+        for d in _distances(first, second, r, c, tile.shape[1], _positions(code == bins)):
+            at = np.clip(np.floor((d - lo) * (bins / (hi - lo))), 0, bins - 1).astype(np.int64)
+            total[:bins] += np.bincount(at, minlength=bins)
+    return total[:bins]
 
 
 def all_pairs_hist(df: DataFrame, vector: str, bins: int = 30, diagonal: bool = False,
@@ -442,7 +576,10 @@ def all_pairs_hist(df: DataFrame, vector: str, bins: int = 30, diagonal: bool =
 
     The rows lie in blocks; a task reads two parts of the blocks, and a cell of their triangle gives bin counts
     only, so neither pairs nor blocks are shuffled for the cells: what is written grows with the rows, the work
-    with their square.  The range of the bins is found by a first pass over the cells (min and max per cell).  Output: (bin, lo_edge, hi_edge, count, share, se).
+    with their square.  The range of the bins is found by a first pass over the cells (min and max per task).  Both
+    passes take matrix products of blocks with a bound of their rounding, and form the distances of the pairs that
+    the bound leaves open, so minimum, maximum and counts are those of the distances.
+    Output: (bin, lo_edge, hi_edge, count, share, se).
 
     ``diagonal`` measures only the pairs inside the blocks, which rows are dealt to at random: an estimate
     whose work grows with the rows instead of their square.  ``se`` is then the standard error of the share
@@ -451,25 +588,21 @@ def all_pairs_hist(df: DataFrame, vector: str, bins: int = 30, diagonal: bool =
     cells = _pair_cells(standardised(df, vector), diagonal, block_rows)
 
     def extremes(batches):
-        for _, distances in _cells(batches):
-            lo, hi = np.inf, -np.inf
-            for d in distances:
-                lo, hi = min(lo, d.min()), max(hi, d.max())
-            if lo <= hi:
-                yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([hi])], names=["lo", "hi"])
+        lo, hi = np.inf, 0.0
+        for _, first, second in _cells(batches):
+            lo, hi = _widened(first, second, lo, hi)
+        if lo <= hi:
+            yield pa.RecordBatch.from_arrays([pa.array([lo]), pa.array([hi])], names=["lo", "hi"])
 
     edge = cells.mapInArrow(extremes, "lo double, hi double").agg(F.min("lo"), F.max("hi")).first()
-    lo, hi = (float("nan"), float("nan")) if edge[0] is None else (float(edge[0]), float(edge[1]))
+    lo, hi = (0.0, 0.0) if edge[0] is None else (float(edge[0]), float(edge[1]))
     if lo == hi:
         lo, hi = lo - 0.5, hi + 0.5
     step = (hi - lo) / bins
 
     def count(batches):
-        for i, distances in _cells(batches):
-            total = np.zeros(bins, np.int64)
-            for d in distances:
-                at = np.clip(np.floor((d - lo) * (bins / (hi - lo))), 0, bins - 1).astype(np.int64)
-                total += np.bincount(at, minlength=bins)
+        for i, first, second in _cells(batches):
+            total = _bin_counts(first, second, lo, hi, bins)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([i] * bins, pa.int32()), pa.array(np.arange(bins, dtype=np.int64)), pa.array(total),
                  pa.array([int(total.sum())] * bins, pa.int64())], names=["i", "bin", "count", "pairs"])

@@ -141,3 +141,56 @@ def test_all_pairs_are_not_shuffled(spark):
     found = [(r.i, r.j, r.n_i * r.n_j if r.i < r.j else r.n_i * (r.n_i - 1) // 2) for r in cells.collect()]
     assert len({c[:2] for c in found}) == len(found) and all(i <= j for i, j, _ in found)
     assert sum(c[2] for c in found) == 120 * 119 // 2
+
+
+def _pair_tables():
+    rng = np.random.default_rng(17)
+    plain = rng.normal(size=(700, 24))
+    twice = plain.copy()
+    twice[rng.random(700) < 0.4] = plain[0]
+    far = rng.standard_cauchy(size=(700, 5))
+    close = np.repeat(plain[:70], 10, axis=0) + 1e-9 * rng.normal(size=(700, 24))
+    for x in (plain, twice, far, close, rng.integers(0, 3, size=(700, 3)).astype(float), np.eye(700)):
+        yield (x - x.mean(0)) / np.where(x.std(0) == 0, 1, x.std(0))
+
+
+@pytest.mark.parametrize("bins", [1, 30, 400])
+def test_cells_of_products_give_the_counts_of_the_distances(bins, monkeypatch):
+    monkeypatch.setattr(dist, "PAIR_TILE", (64, 200))
+    for z in _pair_tables():
+        cells = [(z[:300], None), (z[300:], None), (z[:300], z[300:])]
+        d = [np.sqrt(((x[r + 1:] if y is None else y) - x[r]) ** 2 @ np.ones(z.shape[1])) for x, y in cells for r in range(len(x))]
+        lo, hi = np.inf, 0.0
+        for cell in cells:
+            lo, hi = dist._widened(*cell, lo, hi)
+        assert np.allclose([lo, hi], [min(v.min(initial=np.inf) for v in d), max(v.max(initial=0) for v in d)], rtol=1e-12, atol=1e-12)
+        for x, y in cells:
+            want = np.zeros(bins, np.int64)
+            for r in range(len(x)):
+                v = (x[r + 1:] if y is None else y) - x[r]
+                v = np.sqrt((v * v).sum(axis=1))
+                at = np.clip(np.floor((v - lo) * (bins / (hi - lo))), 0, bins - 1).astype(np.int64)
+                want += np.bincount(at, minlength=bins)
+            assert dist._bin_counts(x, y, lo, hi, bins).tolist() == want.tolist()
+
+
+def test_products_leave_few_distances_to_form(monkeypatch):
+    formed, form = [], dist._distances
+
+    def noted(*args):
+        formed.append(len(args[-1]))
+        return form(*args)
+
+    monkeypatch.setattr(dist, "_distances", noted)
+    x = np.random.default_rng(23).normal(size=(1500, 64))
+    lo, hi = dist._widened(x, None, np.inf, 0.0)
+    assert dist._bin_counts(x, None, lo, hi, 30).sum() == 1500 * 1499 // 2
+    assert 0 < sum(formed) < 1500 * 1499 // 2 / 100
+
+
+def test_large_tables_have_larger_blocks(spark):
+    rows = spark.createDataFrame([([float(v)],) for v in range(600)], "z array<double>")
+    cells = dist._pair_cells(rows, False, 2)  # 300 blocks would give 45,150 cells
+    n = cells.selectExpr("count(*)", "sum(if(i < j, n_i * n_j, n_i * (n_i - 1) / 2))").first()
+    assert n[0] <= 64 * 65 // 2 and n[1] == 600 * 599 // 2
+    assert dist._pair_cells(rows, True, 2).agg({"n_i": "avg"}).first()[0] < 4
